@@ -1,301 +1,292 @@
-"""Values of variant cells: typed extraction, text forms and the per-cell normalisers.
-
-Every normaliser returns ``struct<tag string, value variant>``: a cell of a
-ragged column keeps its own type next to its value.
+"""Values of variant cells, as SQL text: typed extraction, text forms and the per-cell normalisers.
+
+Every normaliser yields ``struct<tag string, value variant>``: a cell of a
+ragged column keeps its own type next to its value. A normaliser is a chain of
+small steps, each a struct of what the next one needs, so that the kind of a
+cell is worked out once whether the chain runs as projections over columns
+(:func:`normalise_columns`) or as nested transforms over an array
+(:func:`normalise_elements`).
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import DataFrame
 
-from tablebridge.functions.tags import NONE, is_date_wrapper, tag
+from tablebridge.functions.paths import get, let, literal, quote
+from tablebridge.functions.tags import NONE, is_date_wrapper, kind, tag, tag_of
 from tablebridge.spec import spark_type
 
-# The whole-number text a strict parser accepts.
+# The number texts a strict parser accepts.
 INTEGER_TEXT = r"^[+-]?[0-9]+\z"
 NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 # Extended-JSON wrappers in compact JSON text, and what replaces them.
-_WRAPPER_TEXT = (
+WRAPPER_TEXT = (
     (r'\{"\$number(?:Int|Long)":"([+-]?[0-9]+)"\}', "$1"),
     (r'\{"\$number(?:Double|Decimal)":"(-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?)"\}', "$1"),
     (r'\{"\$(?:oid|numberDouble|numberDecimal)":("[^"]*")\}', "$1"),
     (r'\{"\$date":(-?[0-9]+)\}', "$1"),
 )
-_DATE_TEXT = r'\{"\$date":"([^"\\]*)"\}'
-
+DATE_TEXT = r'\{"\$date":"([^"\\]*)"\}'
 
-def _get(v: Column, path: str, dtype: str) -> Column:
-    return F.try_variant_get(v, path, dtype)
 
+def _millis(text: str) -> str:
+    return f"unix_millis(try_cast({text} AS timestamp))"
 
-def _millis(text: Column) -> Column:
-    return F.unix_millis(text.try_cast("timestamp"))
 
-
-def date_millis(v: Column) -> Column:
+def date_millis(v: str) -> str:
     """Epoch milliseconds of a ``{"$date": ...}`` wrapper."""
-    return F.coalesce(
-        _get(v, '$["$date"]["$numberLong"]', "string").try_cast("bigint"),
-        F.when(
-            F.schema_of_variant(v) == "OBJECT<`$date`: BIGINT>", _get(v, '$["$date"]', "bigint")
-        ),
-        _millis(_get(v, '$["$date"]', "string")),
-    )
+    text = get(v, '$["$date"]', "string")
+    long = get(v, '$["$date"]["$numberLong"]', "string")
+    return f"coalesce(try_cast({long} AS bigint), try_cast({text} AS bigint), {_millis(text)})"
 
 
-def plain_json(text: Column) -> Column:
+def plain_json(text: str) -> str:
     """Replace Extended-JSON wrappers at any depth of compact JSON text by the plain values they hold.
 
     An unescaped quote can only delimit a key or a string in JSON text, so the
     patterns never match inside a string value.
     """
-    plain = reduce(lambda c, rule: F.regexp_replace(c, F.lit(rule[0]), F.lit(rule[1])), _WRAPPER_TEXT, text)
-    dates = F.regexp_extract_all(plain, F.lit(_DATE_TEXT), F.lit(1))
-    millis = F.transform(dates, lambda d: F.coalesce(_millis(d).cast("string"), F.to_json(d.cast("variant"))))
-    with_dates = F.array_join(
-        F.transform(
-            F.arrays_zip(F.split(plain, _DATE_TEXT, -1).alias("rest"), millis.alias("millis")),
-            lambda part: F.concat(part["rest"], F.coalesce(part["millis"], F.lit(""))),
-        ),
-        "",
-    )
-    return F.when(~text.contains('"$'), text).when(plain.contains('{"$date":"'), with_dates).otherwise(plain)
-
-
-def json_text(v: Column) -> Column:
+    plain = text
+    for pattern, value in WRAPPER_TEXT:
+        plain = f"regexp_replace({plain}, {literal(pattern)}, {literal(value)})"
+    millis = f"coalesce(cast({_millis('d')} AS string), to_json(cast(d AS variant)))"
+    pieces = f"split(p, {literal(DATE_TEXT)}, -1)"
+    dates = f"transform(regexp_extract_all(p, {literal(DATE_TEXT)}, 1), d -> {millis})"
+    dated = f"array_join(zip_with({pieces}, {dates}, (piece, ms) -> concat(piece, coalesce(ms, ''))), '')"
+    replaced = let("p", plain, f"""CASE WHEN contains(p, '{{"$date":"') THEN {dated} ELSE p END""")
+    return f"""CASE WHEN contains({text}, '"$') THEN {replaced} ELSE {text} END"""
+
+
+def json_text(v: str) -> str:
     """Compact JSON text without Extended-JSON wrappers."""
-    return plain_json(F.to_json(v))
+    return plain_json(f"to_json({v})")
 
 
-def nested(v: Column) -> Column:
+def nested(v: str) -> str:
     """An array or object variant with the Extended-JSON wrappers inside it replaced."""
-    text = F.to_json(v)
-    return F.when(~text.contains('"$'), v).otherwise(F.try_parse_json(plain_json(text)))
+    text = f"to_json({v})"
+    return f"""CASE WHEN contains({text}, '"$') THEN try_parse_json({plain_json(text)}) ELSE {v} END"""
 
 
-def typed(v: Column, dtype: str) -> Column:
+def typed(v: str, dtype: str) -> str:
     """Value of a cell whose tag is ``dtype``, as the Spark type of that tag.
 
-    ``try_variant_get`` coerces (``true`` becomes 1, ``"7"`` becomes 7), so call
+    ``try_variant_get`` coerces (``true`` becomes 1, ``"7"`` becomes 7), so use
     this only behind a test of the tag.
     """
     if dtype == "I32":
-        return F.coalesce(_get(v, "$", "int"), _get(v, '$["$numberInt"]', "string").try_cast("int"))
+        return f"coalesce({get(v, '$', 'int')}, try_cast({get(v, '$["$numberInt"]', 'string')} AS int))"
     if dtype == "I64":
-        return F.coalesce(
-            _get(v, "$", "bigint"), _get(v, '$["$numberLong"]', "string").try_cast("bigint"), date_millis(v)
-        )
+        long = f"try_cast({get(v, '$["$numberLong"]', 'string')} AS bigint)"
+        return f"coalesce({get(v, '$', 'bigint')}, {long}, {date_millis(v)})"
     if dtype == "Double64":
-        return F.coalesce(
-            _get(v, "$", "double"), _get(v, '$["$numberDouble"]', "double"), _get(v, '$["$numberDecimal"]', "double")
-        )
+        paths = ("$", '$["$numberDouble"]', '$["$numberDecimal"]')
+        return f"coalesce({', '.join(get(v, path, 'double') for path in paths)})"
     if dtype == "String":
-        return F.coalesce(_get(v, '$["$oid"]', "string"), _get(v, "$", "string"))
+        return f"coalesce({get(v, '$["$oid"]', 'string')}, {get(v, '$', 'string')})"
     if dtype in ("VecDyn", "Object"):
         return nested(v)
-    return _get(v, "$", spark_type(dtype))
-
-
-def whole_number(v: Column) -> Column:
-    """Value of an I32 or I64 cell as a 64-bit integer."""
-    return F.coalesce(_get(v, "$", "bigint"), _get(v, '$["$numberInt"]', "string").try_cast("bigint"), typed(v, "I64"))
+    return get(v, "$", spark_type(dtype))
 
 
-def strict_int(text: Column, dtype: str) -> Column:
+def strict_int(text: str, dtype: str) -> str:
     """Whole-number text as an integer; NULL unless the text is exactly a number that fits."""
-    return F.when(text.rlike(INTEGER_TEXT), text.try_cast(dtype))
+    return f"CASE WHEN {text} RLIKE {literal(INTEGER_TEXT)} THEN try_cast({text} AS {dtype}) END"
 
 
-def scalar_text(v: Column, dtype: str) -> Column:
+def scalar_text(v: str, dtype: str) -> str:
     """Text of a cell whose tag is ``dtype``: strings bare, everything else as JSON text."""
     if dtype == "String":
         return typed(v, "String")
-    if dtype in ("VecDyn", "Object"):
+    if dtype in ("VecDyn", "VecString", "Object"):
         return json_text(v)
-    if dtype == "VecString":
-        return F.lit("[]")
-    return typed(v, dtype).cast("string")
+    return f"cast({typed(v, dtype)} AS string)"
 
 
-def text_of(v: Column, found: Column) -> Column:
+def text_of(v: str, found: str) -> str:
     """Text of a cell of any tag; NULL for none."""
-    return (
-        F.when(found == "String", scalar_text(v, "String"))
-        .when(found == "I32", scalar_text(v, "I32"))
-        .when(found == "I64", scalar_text(v, "I64"))
-        .when(found == "Double64", scalar_text(v, "Double64"))
-        .when(found == "Bool", scalar_text(v, "Bool"))
-        .when(found.isin("VecDyn", "VecString", "Object"), json_text(v))
+    scalars = " ".join(
+        f"WHEN '{dtype}' THEN {scalar_text(v, dtype)}" for dtype in ("String", "I32", "I64", "Double64", "Bool")
     )
+    return f"CASE {found} {scalars} WHEN '{NONE}' THEN NULL ELSE {json_text(v)} END"
 
 
-def elements(v: Column) -> Column:
+def elements(v: str) -> str:
     """Elements of an array variant; NULL for anything else."""
-    return _get(v, "$", "array<variant>")
+    return get(v, "$", "array<variant>")
 
 
-def _element_text(e: Column) -> Column:
-    return F.coalesce(text_of(e, tag(e)), F.lit("null"))
+def rfc3339(millis: str) -> str:
+    """RFC-3339 text in UTC; the fraction has no trailing zeros and is left out when zero."""
+    seconds = f"cast(cast({millis} AS decimal(18,0)) / 1000 AS decimal(18,6))"
+    at = f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    return f"concat(translate(cast({at} AS string), ' ', 'T'), 'Z')"
 
 
-def _numbers(v: Column) -> Column:
-    """Array of doubles; an element that is not a number becomes NULL."""
-    return F.transform(
-        elements(v), lambda e: F.when(tag(e).isin("I32", "I64", "Double64"), F.coalesce(*_number_forms(e)))
-    )
+Step = Callable[[str], str]
 
+_NUMBER = "'^(BIGINT|DECIMAL|DOUBLE|FLOAT)'"
+_NUMBERS = "'^ARRAY<(BIGINT|DECIMAL|DOUBLE|FLOAT)'"
+_FRACTION = "'^(DECIMAL|DOUBLE|FLOAT)'"
+_EMPTY = "cast(cast(array() AS array<string>) AS variant)"
 
-def _number_forms(e: Column) -> list[Column]:
-    return [_get(e, "$", "double")] + [
-        _get(e, f'$["$number{kind}"]', "double") for kind in ("Double", "Decimal", "Int", "Long")
-    ]
 
+def _parts(p: str, *kept: str, **added: str) -> str:
+    fields = [f"'{name}', {p}.{name}" for name in kept] + [f"'{name}', {value}" for name, value in added.items()]
+    return f"named_struct({', '.join(fields)})"
 
-def _texts(v: Column) -> Column:
-    return F.transform(elements(v), _element_text)
 
+def _with_kind(v: str) -> str:
+    return _parts(v, v=v, kind=kind(v))
 
-def _first_tag(v: Column) -> Column:
-    return tag(_get(v, "$[0]", "variant"))
 
+def _with_tag(p: str) -> str:
+    return _parts(p, "v", "kind", tag=tag_of(f"{p}.v", f"{p}.kind"))
 
-def _cell(found: Column, value: Column) -> Column:
-    return F.struct(found.alias("tag"), value.alias("value"))
 
+def _with_array(p: str) -> str:
+    """Arrays also with their wrappers replaced; ``long`` when a wrapper states 64 bits."""
+    return _parts(
+        p,
+        "v",
+        "kind",
+        "tag",
+        a=f"CASE WHEN {p}.tag = 'VecDyn' THEN {nested(f'{p}.v')} END",
+        long=f"contains({p}.kind, '`$numberLong`')",
+    )
 
-def _variant(c: Column) -> Column:
-    return c.cast("variant")
 
+def _with_array_kind(p: str) -> str:
+    first = get(f"{p}.a", "$[0]", "variant")
+    return _parts(p, "v", "kind", "tag", "a", "long", array_kind=kind(f"{p}.a"), first_kind=kind(first))
 
-def rfc3339(millis: Column) -> Column:
-    """RFC-3339 text in UTC; the fraction has no trailing zeros and is left out when zero."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    at = epoch + F.make_dt_interval(secs=(millis.cast("decimal(18,0)") / 1000).cast("decimal(18,6)"))
-    return F.concat(F.translate(at.cast("string"), " ", "T"), F.lit("Z"))
 
+def _texts(a: str) -> str:
+    """Elements as text, those that are no strings as JSON text."""
+    return f"cast(transform({get(a, '$', 'array<string>')}, e -> coalesce(e, 'null')) AS variant)"
 
-def _all(v: Column, *tags: str) -> Column:
-    return F.forall(elements(v), lambda e: tag(e).isin(*tags))
 
+def _doubles(a: str) -> str:
+    return f"cast({get(a, '$', 'array<double>')} AS variant)"
 
-def _array_forms(v: Column, found: Column) -> tuple[Column, Column]:
-    """Whether an array goes out as doubles, and whether as integers.
 
-    The first element decides. An array that then holds anything the type
-    cannot take is neither, and goes out as text elements, so nothing is lost.
-    """
-    first = _first_tag(v)
-    is_array = found == "VecDyn"
-    doubles = is_array & (first == "Double64") & _all(v, "I32", "I64", "Double64")
-    integers = is_array & first.isin("I32", "I64") & _all(v, "I32", "I64")
-    return doubles, integers
-
-
-def typed_cell(v: Column) -> Column:
-    """Normalise for a typed sink: booleans and documents become text, arrays take the type of their first element."""
-    found = tag(v)
-    doubles, integers = _array_forms(v, found)
-    longs = F.transform(elements(v), whole_number)
+def _scalar(p: str) -> str:
+    """Value of a cell that is no array: integers stay, everything else becomes text."""
+    v = f"{p}.v"
+    return f"""CASE {p}.tag
+        WHEN 'I32' THEN cast({typed(v, 'I32')} AS variant)
+        WHEN 'I64' THEN cast({typed(v, 'I64')} AS variant)
+        WHEN 'VecString' THEN {_EMPTY}
+        WHEN '{NONE}' THEN NULL
+        ELSE cast({text_of(v, f'{p}.tag')} AS variant) END"""
+
+
+def _typed_cell(p: str) -> str:
+    v, a, found = f"{p}.v", f"{p}.a", f"{p}.tag"
+    integers = f"{p}.array_kind = 'ARRAY<BIGINT>'"
+    numbers = f"{p}.array_kind RLIKE {_NUMBERS}"
+    longs = get(a, "$", "array<bigint>")
     # JSON integers have no width: one that needs 64 bits makes the whole array 64 bits wide.
-    narrow = integers & _all(v, "I32")
-    out = (
-        F.when(found.isin("Bool", "Object"), "String")
-        .when(narrow, "VecI32")
-        .when(integers, "VecI64")
-        .when(doubles, "VecF64")
-        .when(found == "VecDyn", "VecString")
-        .otherwise(found)
-    )
-    value = (
-        F.when(found == "I32", _variant(typed(v, "I32")))
-        .when(found == "I64", _variant(typed(v, "I64")))
-        .when(found == "Double64", _variant(typed(v, "Double64")))
-        .when(found == "VecString", _variant(F.array().cast("array<string>")))
-        .when(integers, _variant(longs))
-        .when(doubles, _variant(_numbers(v)))
-        .when(found == "VecDyn", _variant(_texts(v)))
-        .when(found != NONE, _variant(text_of(v, found)))
-    )
-    return _cell(out, value)
-
-
-def http_cell(v: Column) -> Column:
-    """Normalise for a JSON body: only integers, text, number arrays and text arrays remain."""
-    found = tag(v)
-    doubles, _ = _array_forms(v, found)
-    is_date = is_date_wrapper(F.schema_of_variant(v))
-    out = (
-        F.when(is_date | found.isin("Bool", "Double64", "Object"), "String")
-        .when(doubles, "VecF64")
-        .when(found == "VecDyn", "VecString")
-        .otherwise(found)
+    wide = f"{p}.long OR array_max({longs}) > 2147483647 OR array_min({longs}) < -2147483648"
+    out = f"""CASE WHEN {found} IN ('Bool', 'Object') THEN 'String'
+        WHEN {found} <> 'VecDyn' THEN {found}
+        WHEN {integers} THEN CASE WHEN {wide} THEN 'VecI64' ELSE 'VecI32' END
+        WHEN {numbers} THEN 'VecF64' ELSE 'VecString' END"""
+    value = f"""CASE WHEN {found} = 'Double64' THEN cast({typed(v, 'Double64')} AS variant)
+        WHEN {found} <> 'VecDyn' THEN {_scalar(p)}
+        WHEN {integers} THEN cast({longs} AS variant)
+        WHEN {numbers} THEN {_doubles(a)} ELSE {_texts(a)} END"""
+    return _parts(p, tag=out, value=value)
+
+
+def _http_cell(p: str) -> str:
+    v, a, found = f"{p}.v", f"{p}.a", f"{p}.tag"
+    is_date = is_date_wrapper(f"{p}.kind")
+    numbers = f"{p}.first_kind RLIKE {_FRACTION} AND {p}.array_kind RLIKE {_NUMBERS}"
+    out = f"""CASE WHEN {is_date} OR {found} IN ('Bool', 'Double64', 'Object') THEN 'String'
+        WHEN {found} <> 'VecDyn' THEN {found}
+        WHEN {numbers} THEN 'VecF64' ELSE 'VecString' END"""
+    value = f"""CASE WHEN {is_date} THEN cast({rfc3339(date_millis(v))} AS variant)
+        WHEN {found} <> 'VecDyn' THEN {_scalar(p)}
+        WHEN {numbers} THEN {_doubles(a)} ELSE {_texts(a)} END"""
+    return _parts(p, tag=out, value=value)
+
+
+def _nested_cell(p: str) -> str:
+    v = f"{p}.v"
+    scalars = " ".join(
+        f"WHEN '{dtype}' THEN cast({typed(v, dtype)} AS variant)" for dtype in ("I32", "I64", "Double64", "String")
     )
-    value = (
-        F.when(is_date, _variant(rfc3339(date_millis(v))))
-        .when(found == "I32", _variant(typed(v, "I32")))
-        .when(found == "I64", _variant(typed(v, "I64")))
-        .when(found == "VecString", _variant(F.array().cast("array<string>")))
-        .when(doubles, _variant(_numbers(v)))
-        .when(found == "VecDyn", _variant(_texts(v)))
-        .when(found != NONE, _variant(text_of(v, found)))
-    )
-    return _cell(out, value)
-
-
-def nested_cell(v: Column) -> Column:
-    """Normalise for nested use: every level keeps its type, dates are epoch milliseconds."""
-    found = tag(v)
-    value = (
-        F.when(found == "I32", _variant(typed(v, "I32")))
-        .when(found == "I64", _variant(typed(v, "I64")))
-        .when(found == "Double64", _variant(typed(v, "Double64")))
-        .when(found == "String", _variant(typed(v, "String")))
-        .when(found != NONE, nested(v))
-    )
-    return _cell(found, value)
-
+    value = f"CASE {p}.tag {scalars} WHEN 'VecDyn' THEN {p}.a WHEN '{NONE}' THEN NULL ELSE {nested(v)} END"
+    return _parts(p, "tag", value=value)
+
+
+def _homogenised(p: str) -> str:
+    a, found = f"{p}.a", f"{p}.tag"
+    numbers = f"{p}.first_kind RLIKE {_NUMBER}"
+    texts = f"{p}.first_kind = 'STRING'"
+    none = f"{found} IN ('VecString', '{NONE}')"
+    number = f"CASE WHEN {kind('e')} RLIKE {_NUMBER} THEN {get('e', '$', 'double')} END"
+    mixed = f"cast(transform({elements(a)}, e -> {number}) AS variant)"
+    out = f"""CASE WHEN {none} THEN '{NONE}' WHEN {numbers} THEN 'VecF64'
+        WHEN {texts} THEN 'VecString' ELSE 'String' END"""
+    value = f"""CASE WHEN {none} THEN NULL
+        WHEN {numbers} THEN CASE WHEN {p}.array_kind RLIKE {_NUMBERS} THEN {_doubles(a)} ELSE {mixed} END
+        WHEN {texts} THEN {_texts(a)}
+        ELSE cast({json_text(f'{p}.v')} AS variant) END"""
+    return _parts(p, tag=out, value=value)
+
+
+_COMMON: tuple[Step, ...] = (_with_kind, _with_tag, _with_array, _with_array_kind)
+
+# For a typed sink: booleans and documents become text. Arrays take the type of
+# their elements: integers, other numbers, or else text, so nothing is lost.
+TYPED: tuple[Step, ...] = (*_COMMON, _typed_cell)
+
+# For a JSON body: integers, text, number arrays (by their first element) and text arrays.
+HTTP: tuple[Step, ...] = (*_COMMON, _http_cell)
+
+# For nested use: every level keeps its type, dates are epoch milliseconds.
+NESTED: tuple[Step, ...] = (*_COMMON, _nested_cell)
+
+# One element type per JSON array, chosen by its first element. Number first:
+# doubles, other elements NULL. Text first: text, other elements as JSON text.
+# Empty: none. Anything else is kept as JSON text.
+HOMOGENISE: tuple[Step, ...] = (*_COMMON, _homogenised)
+
+
+def normalise_columns(df: DataFrame, columns: Sequence[str], steps: Sequence[Step]) -> DataFrame:
+    """Replace variant columns by their normalised cells, one projection per step."""
+    targets = set(columns)
+    for step in steps:
+        df = df.selectExpr(
+            *[f"{step(quote(c))} AS {quote(c)}" if c in targets else quote(c) for c in df.columns]
+        )
+    return df
 
-def homogenise(v: Column) -> Column:
-    """Give a JSON array one element type, chosen by its first element.
 
-    Number first: doubles, other elements NULL. Text first: text, other
-    elements as JSON text. Empty: none. Anything else is kept as JSON text.
-    """
-    found = tag(v)
-    first = _first_tag(v)
-    numbers = (found == "VecDyn") & first.isin("I32", "I64", "Double64")
-    texts = (found == "VecDyn") & (first == "String")
-    out = (
-        F.when(numbers, "VecF64")
-        .when(texts, "VecString")
-        .when(found.isin("VecString", NONE), NONE)
-        .otherwise("String")
-    )
-    value = (
-        F.when(numbers, _variant(_numbers(v)))
-        .when(texts, _variant(_texts(v)))
-        .when(~found.isin("VecString", NONE), _variant(json_text(v)))
-    )
-    return _cell(out, value)
+def normalise_elements(values: str, steps: Sequence[Step]) -> str:
+    """Normalise every element of an array of variants."""
+    for step in steps:
+        values = f"transform({values}, c -> {step('c')})"
+    return values
 
 
-def safe_decode(text: Column, dtype: str) -> Column:
+def safe_decode(text: str, dtype: str) -> str:
     """Decode text as ``dtype``; NULL where it is not exactly a value of that type."""
     if dtype in ("I16", "I32", "I64"):
         return strict_int(text, spark_type(dtype))
     if dtype in ("Double32", "Double64"):
-        return F.when(text.rlike(NUMBER_TEXT), text.try_cast(spark_type(dtype)))
+        return f"CASE WHEN {text} RLIKE {literal(NUMBER_TEXT)} THEN try_cast({text} AS {spark_type(dtype)}) END"
     if dtype == "Bool":
-        return F.when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
+        return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
     if dtype == "String":
         return text
-    parsed = F.try_parse_json(text)
-    found = tag(parsed)
+    parsed = f"try_parse_json({text})"
     if dtype == "Object":
-        return F.when(found == "Object", parsed)
-    if dtype == "VecDyn":
-        return F.when(found.isin("VecDyn", "VecString"), parsed)
-    return F.when(found.isin("VecDyn", "VecString"), _get(parsed, "$", spark_type(dtype)))
+        return f"CASE WHEN {tag(parsed)} = 'Object' THEN {parsed} END"
+    value = parsed if dtype == "VecDyn" else get(parsed, "$", spark_type(dtype))
+    return f"CASE WHEN startswith({kind(parsed)}, 'ARRAY') THEN {value} END"

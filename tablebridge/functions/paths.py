@@ -1,8 +1,11 @@
-"""Addressing fields of a variant by key."""
+"""SQL text for names, literals and the fields of a variant.
 
-from __future__ import annotations
+Expressions over variants are built as SQL text: a document has many keys and
+each needs many small expressions, which Spark parses far faster than Python
+can assemble them node by node.
+"""
 
-from pyspark.sql import Column, functions as F
+from __future__ import annotations
 
 
 def quote(name: str) -> str:
@@ -10,6 +13,21 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def literal(text: str) -> str:
+    """A string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def get(v: str, path: str, dtype: str) -> str:
+    """The value at ``path`` as ``dtype``, NULL when absent or not convertible."""
+    return f"try_variant_get({v}, {literal(path)}, '{dtype}')"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def step(key: str) -> str | None:
     """Path step for ``key``, or None when no path can spell it."""
     if '"' not in key:
@@ -19,21 +37,20 @@ def step(key: str) -> str | None:
     return None
 
 
-def field(v: Column, *keys: str) -> Column:
+def field(v: str, *keys: str) -> str:
     """The variant found by following ``keys`` from ``v``; NULL when absent."""
-    pending = "$"
+    path = "$"
     for key in keys:
         spelled = step(key)
         if spelled is not None:
-            pending += spelled
+            path += spelled
             continue
-        if pending != "$":
-            v = F.try_variant_get(v, pending, "variant")
-            pending = "$"
-        v = F.element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(key))
-    return v if pending == "$" and keys else F.try_variant_get(v, pending, "variant")
+        if path != "$":
+            v, path = get(v, path, "variant"), "$"
+        v = f"element_at({entries(v)}, {literal(key)})"
+    return v if path == "$" else get(v, path, "variant")
 
 
-def entries(v: Column) -> Column:
+def entries(v: str) -> str:
     """Fields of an object variant as ``map<string,variant>``; NULL for anything else."""
-    return F.try_variant_get(v, "$", "map<string,variant>")
+    return get(v, "$", "map<string,variant>")

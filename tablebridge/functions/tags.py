@@ -1,4 +1,4 @@
-"""Type tags of variant values.
+"""Type tags of variant values, as SQL text.
 
 A tag is one of the type names in :data:`tablebridge.spec.DTYPES`, or
 ``None`` for a missing value or JSON null. Extended-JSON wrappers such as
@@ -7,7 +7,7 @@ A tag is one of the type names in :data:`tablebridge.spec.DTYPES`, or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from tablebridge.functions.paths import get, literal
 
 NONE = "None"
 
@@ -28,45 +28,55 @@ WRAPPERS = {
 TEXT_WRAPPERS = r"^OBJECT<`\$(binary|code|dbPointer|maxKey|minKey|regularExpression|symbol|timestamp|undefined|uuid)`:"
 
 
-def is_date_wrapper(kind: Column) -> Column:
-    return kind.startswith("OBJECT<`$date`: ") & kind.isin(*WRAPPERS["I64"])
-
-
-def tag(v: Column) -> Column:
-    """Type tag of a variant. Every condition reads ``kind``, so it is computed once per row."""
-    kind = F.schema_of_variant(v)
-    return (
-        F.when(kind.isNull() | (kind == "VOID"), NONE)
-        .when(kind == "STRING", "String")
-        .when(kind == "BIGINT", F.when(F.try_variant_get(v, "$", "int").isNotNull(), "I32").otherwise("I64"))
-        .when(kind == "BOOLEAN", "Bool")
-        .when(kind.rlike("^(DOUBLE|FLOAT|DECIMAL)"), "Double64")
-        .when(
-            kind.startswith("ARRAY"),
-            F.when(
-                (kind == "ARRAY<VOID>") & F.try_variant_get(v, "$[0]", "variant").isNull(), "VecString"
-            ).otherwise("VecDyn"),
-        )
-        .when(kind.isin(*WRAPPERS["String"]), "String")
-        .when(kind.isin(*WRAPPERS["I32"]), "I32")
-        .when(kind.isin(*WRAPPERS["I64"]), "I64")
-        .when(kind.isin(*WRAPPERS["Double64"]), "Double64")
-        .when(kind.startswith("OBJECT") & ~kind.rlike(TEXT_WRAPPERS), "Object")
-        .otherwise("String")
-    )
-
-
-def tag_as(v: Column, expected: str | None) -> Column:
+def kind(v: str) -> str:
+    """Schema text of a variant, NULL for a missing one. Tags are read off it."""
+    return f"schema_of_variant({v})"
+
+
+def one_of(value: str, *texts: str) -> str:
+    return f"{value} IN ({', '.join(map(literal, texts))})"
+
+
+def is_date_wrapper(k: str) -> str:
+    return one_of(k, *[wrapper for wrapper in WRAPPERS["I64"] if "$date" in wrapper])
+
+
+def tag_of(v: str, k: str) -> str:
+    """Type tag of a variant whose kind is ``k``."""
+    wrappers = " ".join(f"WHEN {one_of(k, *kinds)} THEN '{name}'" for name, kinds in WRAPPERS.items())
+    return f"""CASE
+        WHEN {k} IS NULL OR {k} = 'VOID' THEN '{NONE}'
+        WHEN {k} = 'STRING' THEN 'String'
+        WHEN {k} = 'BIGINT' THEN CASE WHEN {get(v, '$', 'int')} IS NOT NULL THEN 'I32' ELSE 'I64' END
+        WHEN {k} = 'BOOLEAN' THEN 'Bool'
+        WHEN {k} RLIKE '^(DOUBLE|FLOAT|DECIMAL)' THEN 'Double64'
+        WHEN startswith({k}, 'ARRAY') THEN
+            CASE WHEN {k} = 'ARRAY<VOID>' AND {get(v, '$[0]', 'variant')} IS NULL THEN 'VecString' ELSE 'VecDyn' END
+        WHEN startswith({k}, 'OBJECT<`$') THEN
+            CASE WHEN {k} RLIKE {literal(TEXT_WRAPPERS)} THEN 'String' {wrappers} ELSE 'Object' END
+        WHEN startswith({k}, 'OBJECT') THEN 'Object'
+        ELSE 'String' END"""
+
+
+def tag(v: str) -> str:
+    """Type tag of a variant.
+
+    Every condition reads the kind, so a projection computes it once per row.
+    Inside a lambda function nothing is shared: pass the kind to :func:`tag_of` there.
+    """
+    return tag_of(v, kind(v))
+
+
+def tag_as(v: str, expected: str | None) -> str:
     """Tag of ``v`` in a column declared as ``expected``.
 
     A plain JSON integer carries no width, so one that fits the declared
     integer type has that type. Explicit ``$numberInt`` / ``$numberLong``
     wrappers keep the width they state.
     """
-    found = tag(v)
     if expected == "I64":
-        return F.when(F.schema_of_variant(v) == "BIGINT", "I64").otherwise(found)
+        return f"CASE WHEN {kind(v)} = 'BIGINT' THEN 'I64' ELSE {tag(v)} END"
     if expected == "I16":
-        fits = F.try_variant_get(v, "$", "smallint").isNotNull()
-        return F.when((F.schema_of_variant(v) == "BIGINT") & fits, "I16").otherwise(found)
-    return found
+        fits = f"{kind(v)} = 'BIGINT' AND {get(v, '$', 'smallint')} IS NOT NULL"
+        return f"CASE WHEN {fits} THEN 'I16' ELSE {tag(v)} END"
+    return tag(v)

@@ -4,23 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tablebridge.functions.cells import elements, http_cell, nested_cell, typed, typed_cell
+from tablebridge.functions.cells import HTTP, NESTED, TYPED, elements, normalise_columns, typed
 from tablebridge.functions.paths import field, quote
-from tablebridge.functions.tags import tag
+from tablebridge.functions.tags import kind, tag_of
 from tablebridge.operators.discover import DOC, MAX_KEYS, discover_keys
 from tablebridge.spec import spark_type, suffix
 
 # The normalisers by the path that uses them.
-MODES = {"typed": typed_cell, "http": http_cell, "nested": nested_cell}
+MODES = {"typed": TYPED, "http": HTTP, "nested": NESTED}
 
 
-def check_names(df: DataFrame, carried: Iterable[str], names: Iterable[str]) -> None:
+def check_names(df: DataFrame, names: Iterable[str]) -> None:
     """Refuse column names that the session cannot tell apart."""
     sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
     seen: dict[str, str] = {}
-    for name in [*carried, *names]:
+    for name in names:
         folded = name if sensitive else name.lower()
         if folded in seen:
             hint = "" if sensitive or seen[folded] == name else "; set spark.sql.caseSensitive=true"
@@ -40,24 +40,22 @@ def align(docs: DataFrame, keys: Iterable[str] | None = None, doc: str = DOC, ma
     """
     keys = discover_keys(docs, doc, max_keys) if keys is None else list(keys)
     carried = carried_columns(docs, doc)
-    check_names(docs, carried, keys)
+    check_names(docs, [*carried, *keys])
 
-    def cell(key: str) -> Column:
-        v = field(F.col(quote(doc)), key)
-        return F.when(~F.is_variant_null(v), v).alias(key)
+    def cell(key: str) -> str:
+        v = field(quote(doc), key)
+        return f"CASE WHEN NOT is_variant_null({v}) THEN {v} END AS {quote(key)}"
 
-    return docs.select(*[quote(c) for c in carried], *[cell(key) for key in keys])
+    return docs.selectExpr(*[quote(c) for c in carried], *[cell(key) for key in keys])
 
 
 def normalise(
     docs: DataFrame, mode: str, keys: Iterable[str] | None = None, doc: str = DOC, max_keys: int = MAX_KEYS
 ) -> DataFrame:
     """One ``struct<tag, value>`` column per key, normalised for a ``typed``, ``http`` or ``nested`` consumer."""
-    to_cell = MODES[mode]
+    steps = MODES[mode]
     aligned = align(docs, keys, doc, max_keys)
-    carried = carried_columns(docs, doc)
-    cells = aligned.columns[len(carried) :]
-    return aligned.select(*[quote(c) for c in carried], *[to_cell(F.col(quote(c))).alias(c) for c in cells])
+    return normalise_columns(aligned, aligned.columns[len(carried_columns(docs, doc)) :], steps)
 
 
 def split_mixed(df: DataFrame, column: str, tags: Iterable[str], depth: int = 0) -> DataFrame:
@@ -66,16 +64,17 @@ def split_mixed(df: DataFrame, column: str, tags: Iterable[str], depth: int = 0)
     ``depth`` levels of arrays inside the array are opened first, so that their
     elements are split too. A column is NULL where no element has its tag.
     """
-    v = F.col(quote(column))
-    found = elements(v)
+    found = elements(quote(column))
     for _ in range(depth):
-        found = F.flatten(
-            F.transform(found, lambda e: F.when(tag(e) == "VecDyn", elements(e)).otherwise(F.array(e)))
-        )
+        opened = f"CASE WHEN startswith({kind('e')}, 'ARRAY') THEN {elements('e')} ELSE array(e) END"
+        found = f"flatten(transform({found}, e -> {opened}))"
+    with_kind = f"transform({found}, e -> named_struct('v', e, 'kind', {kind('e')}))"
+    tagged = f"transform({with_kind}, e -> named_struct('v', e.v, 'tag', {tag_of('e.v', 'e.kind')}))"
 
-    def part(dtype: str) -> Column:
-        kept = F.transform(F.filter(found, lambda e: tag(e) == dtype), lambda e: typed(e, dtype))
-        return F.when(F.size(kept) > 0, kept.cast(f"array<{spark_type(dtype)}>")).alias(f"{column}_{suffix(dtype)}")
+    def part(dtype: str) -> str:
+        kept = f"transform(filter(_tagged, e -> e.tag = '{dtype}'), e -> {typed('e.v', dtype)})"
+        values = f"cast({kept} AS array<{spark_type(dtype)}>)"
+        return f"CASE WHEN exists(_tagged, e -> e.tag = '{dtype}') THEN {values} END AS {quote(f'{column}_{suffix(dtype)}')}"
 
     parts = [part(dtype) for dtype in tags]
-    return df.select("*", *parts)
+    return df.selectExpr("*", f"{tagged} AS _tagged").selectExpr("*", *parts).drop("_tagged")

@@ -1,12 +1,13 @@
-"""Choosing columns by name."""
+"""Choosing columns and keys by name."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from tablebridge.functions.paths import quote
+from tablebridge.functions.paths import entries, quote
+from tablebridge.functions.tags import one_of
 
 
 def ignore_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -14,6 +15,15 @@ def ignore_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.drop(*names)
 
 
+def ignore_keys(docs: DataFrame, names: Iterable[str], doc: str = "doc") -> DataFrame:
+    """Remove keys from every document; documents that lack them are left as they are."""
+    names = list(names)
+    if not names:
+        return docs
+    kept = f"map_filter({entries(quote(doc))}, (k, v) -> NOT {one_of('k', *names)})"
+    return docs.withColumn(doc, F.expr(f"to_variant_object({kept})"))
+
+
 def select_existing(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """Keep those of ``names`` that exist, in the order asked for."""
     have = set(df.columns)

@@ -20,11 +20,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tablebridge.functions.cells import json_text, scalar_text, strict_int, typed
-from tablebridge.functions.paths import entries, field, quote
-from tablebridge.functions.tags import NONE, tag, tag_as
+from tablebridge.functions.paths import entries, field, get, literal, quote
+from tablebridge.functions.tags import NONE, kind, one_of, tag_as, tag_of
 from tablebridge.operators.align import carried_columns, check_names
 from tablebridge.operators.discover import DOC, MAX_KEYS, Known, discover
 from tablebridge.spec import ColumnSpec, Spec, parse_spec, spark_type, suffix
@@ -41,141 +41,122 @@ class Conformed(NamedTuple):
     clashes: list[str]
 
 
-@dataclass
+@dataclass(frozen=True)
 class _Output:
-    """One output column: its value, and when a value of the row belongs in it."""
+    """One output column: its value, its type, and when the row has a value for it."""
 
     name: str
-    value: Column
+    value: str
     kind: str
-    holds: Column
+    holds: str
     source: Path
     spill: bool = False
 
 
-class _Level:
-    """Builds the columns of one object level, top or nested."""
+def _reject(column: str, expected: str, actual: str, raw: str) -> str:
+    return f"named_struct('column', {column}, 'expected', {literal(expected)}, 'actual', {actual}, 'raw_json', {raw})"
 
-    def __init__(self, known: Known, cells: dict[Path, Column], tags: dict[Path, Column]):
-        self.known = known
-        self.cells = cells
-        self.tags = tags
-        self.rejects: list[Column] = []
+
+class _Plan:
+    """The projection for one spec and one set of known keys, as SQL text over cell and tag columns."""
+
+    def __init__(self, spec: Spec, known: Known, stable: bool):
+        self.known = {path: tags for path, tags in known.items() if all(path[:i] in known for i in range(1, len(path)))}
+        self.stable = stable
+        self.cells = {path: f"_cell{i}" for i, path in enumerate(sorted(self.known))}
+        self.tags = {path: f"_tag{i}" for i, path in enumerate(sorted(self.known))}
+        self.rejects: list[str] = []
         self.clashes: list[str] = []
+        self.columns = self.build((), spec)
 
     def keys(self, prefix: Path, spec: Spec) -> list[str]:
+        """Spec order first, then what else was found, alphabetically."""
         here = {path[-1] for path in self.known if path[:-1] == prefix}
         return [name for name in spec if name in here] + sorted(here - set(spec))
 
-    def build(self, prefix: Path, spec: Spec) -> list[Column]:
-        outputs = [out for key in self.keys(prefix, spec) for out in self.column(prefix + (key,), spec.get(key))]
-        real = {out.name: out for out in outputs if not out.spill}
-        spilled: dict[str, list[_Output]] = {}
-        for out in outputs:
-            if out.spill:
-                spilled.setdefault(out.name, []).append(out)
-        columns = []
-        for out in outputs:
-            if out.spill and (out.name in real or spilled[out.name][0] is not out):
-                continue
-            others = spilled.get(out.name, []) if not out.spill else spilled[out.name][1:]
-            columns.append((self.merged(out, others) if others else out.value).alias(out.name))
-        return columns
-
-    def merged(self, first: _Output, others: list[_Output]) -> Column:
-        """One column for several sources of the same name; the first non-null one stays."""
-        same = all(out.kind == first.kind for out in others)
-        value = first.value if same else F.when(first.holds, self.cells[first.source])
-        taken = first.holds
-        for out in others:
+    def build(self, prefix: Path, spec: Spec) -> dict[str, str]:
+        """Output columns of one object level, name to value."""
+        by_name: dict[str, list[_Output]] = {}
+        for key in self.keys(prefix, spec):
+            for out in self.outputs(prefix + (key,), spec.get(key)):
+                by_name.setdefault(out.name, []).append(out)
+        return {name: self.merged(sorted(outs, key=lambda out: out.spill)) for name, outs in by_name.items()}
+
+    def merged(self, outs: list[_Output]) -> str:
+        """One column for all sources of its name: the real column first; whatever comes too late is rejected."""
+        if len(outs) == 1:
+            return outs[0].value
+        same = len({out.kind for out in outs}) == 1
+        taken = outs[0].holds
+        for out in outs[1:]:
             self.clashes.append(f"{'.'.join(out.source)} -> {out.name}")
-            self.reject(taken & out.holds, out.source, first.kind)
-            value = F.coalesce(value, out.value if same else F.when(out.holds, self.cells[out.source]))
-            taken = taken | out.holds
-        return value
-
-    def reject(self, condition: Column, path: Path, expected: str) -> None:
-        self.rejects.append(
-            F.when(
-                condition,
-                F.struct(
-                    F.lit(".".join(path)).alias("column"),
-                    F.lit(expected).alias("expected"),
-                    self.tags[path].alias("actual"),
-                    F.to_json(self.cells[path]).alias("raw_json"),
-                ),
-            )
-        )
-
-    def value(self, path: Path, dtype: str, column: ColumnSpec | None) -> Column:
+            self.reject(f"({taken}) AND {out.holds}", out.source, outs[0].kind)
+            taken = f"{taken} OR {out.holds}"
+        values = [out.value if same else f"CASE WHEN {out.holds} THEN {self.cells[out.source]} END" for out in outs]
+        return f"coalesce({', '.join(values)})"
+
+    def reject(self, condition: str, path: Path, expected: str) -> None:
+        entry = _reject(literal(".".join(path)), expected, self.tags[path], f"to_json({self.cells[path]})")
+        self.rejects.append(f"CASE WHEN {condition} THEN {entry} END")
+
+    def value(self, path: Path, dtype: str, column: ColumnSpec | None) -> str:
         """The typed value of a cell; objects with a ``sub_schema`` become structs."""
         if dtype == "Object" and column and column.sub_schema:
             inner = self.build(path, column.sub_schema)
             if inner:
-                return F.struct(*inner)
+                return f"named_struct({', '.join(f'{literal(name)}, {value}' for name, value in inner.items())})"
         return typed(self.cells[path], dtype)
 
-    def column(self, path: Path, column: ColumnSpec | None) -> list[_Output]:
-        name, found = path[-1], self.tags[path]
+    def outputs(self, path: Path, column: ColumnSpec | None) -> list[_Output]:
+        name, cell, found = path[-1], self.cells[path], self.tags[path]
         seen = sorted(self.known[path] - {NONE})
 
-        def output(dtype: str, value: Column | None = None, as_name: str = name, spill: bool = False) -> _Output:
-            placed = F.when(found == dtype, self.value(path, dtype, column)) if value is None else value
-            return _Output(as_name, placed, dtype, found == dtype, path, spill)
+        def output(dtype: str, as_name: str = name, spill: bool = False) -> _Output:
+            value = f"CASE WHEN {found} = '{dtype}' THEN {self.value(path, dtype, column)} END"
+            return _Output(as_name, value, dtype, f"{found} = '{dtype}'", path, spill)
 
         if column is None or column.strategy == "Ignore":
-            if len(seen) == 1:
-                self.reject(~found.isin(NONE, seen[0]), path, seen[0])
+            if len(seen) == 1 and not self.stable:
+                self.reject(f"NOT {one_of(found, NONE, seen[0])}", path, seen[0])
                 return [output(seen[0])]
-            cell = self.cells[path]
-            return [_Output(name, F.when(found != NONE, cell), "variant", found != NONE, path)]
+            holds = f"{found} <> '{NONE}'"
+            return [_Output(name, f"CASE WHEN {holds} THEN {cell} END", "variant", holds, path)]
 
         expected = column.dtype
         if column.strategy == "Remove":
             return [output(expected)]
         if column.strategy == "Cast":
-            value, failed = self.cast(path, column, seen)
-            self.reject(failed, path, expected)
-            return [_Output(name, value, expected, value.isNotNull(), path)]
-        spills = [dtype for dtype in seen if dtype != expected]
-        self.reject(~found.isin(NONE, expected, *spills), path, expected)
-        return [output(expected)] + [
-            output(dtype, as_name=f"{name}_{suffix(dtype)}", spill=True)
-            for dtype in sorted(spills, key=suffix)
-        ]
-
-    def cast(self, path: Path, column: ColumnSpec, seen: Iterable[str]) -> tuple[Column, Column]:
-        """Value under ``Cast``, and the condition under which it failed."""
+            return [self.cast(path, column)]
+        spills = sorted((dtype for dtype in seen if dtype != expected), key=suffix)
+        self.reject(f"NOT {one_of(found, NONE, expected, *spills)}", path, expected)
+        return [output(expected)] + [output(dtype, f"{name}_{suffix(dtype)}", spill=True) for dtype in spills]
+
+    def cast(self, path: Path, column: ColumnSpec) -> _Output:
+        """The cast covers every tag, also ones that a fixed ``known`` lacks; what fails is rejected."""
         cell, found, expected = self.cells[path], self.tags[path], column.dtype
-        value = F.when(found == expected, self.value(path, expected, column))
-        castable = [expected]
+        branches = {expected: self.value(path, expected, column)}
+        failed = f"NOT {one_of(found, NONE, expected)}"
         if expected == "String":
-            # Written for every tag, so that types a fixed ``known`` lacks are cast as well.
+            words = get(cell, "$", "array<string>")
+            only_words = f"{kind(cell)} = 'ARRAY<STRING>' AND size(array_compact({words})) = size({words})"
             for dtype in ("I32", "I64", "Double64", "Bool", "Object"):
-                value = value.when(found == dtype, scalar_text(cell, dtype))
-            words = F.try_variant_get(cell, "$", "array<string>")
-            only_words = (F.schema_of_variant(cell) == "ARRAY<STRING>") & (
-                F.size(F.array_compact(words)) == F.size(words)
-            )
-            value = value.when(found == "VecString", F.lit(""))
-            value = value.when(
-                found == "VecDyn", F.when(only_words, F.array_join(words, " ")).otherwise(json_text(cell))
-            )
+                branches[dtype] = scalar_text(cell, dtype)
+            branches["VecString"] = "''"
+            branches["VecDyn"] = f"CASE WHEN {only_words} THEN array_join({words}, ' ') ELSE {json_text(cell)} END"
+            failed = ""
         elif expected == "I32":
-            value = value.when(found == "String", strict_int(typed(cell, "String"), spark_type("I32")))
-            castable.append("String")
-        if expected == "String":
-            return value, F.lit(False)
-        parsed = strict_int(typed(cell, "String"), spark_type("I32")) if expected == "I32" else F.lit(None)
-        failed = (found != NONE) & ~found.isin(*castable)
-        if expected == "I32":
-            failed = failed | ((found == "String") & parsed.isNull())
-        return value, failed
+            parsed = strict_int(typed(cell, "String"), spark_type("I32"))
+            branches["String"] = parsed
+            failed = f"NOT {one_of(found, NONE, expected, 'String')} OR ({found} = 'String' AND ({parsed}) IS NULL)"
+        if failed:
+            self.reject(failed, path, expected)
+        value = " ".join(f"WHEN '{dtype}' THEN {branch}" for dtype, branch in branches.items())
+        return _Output(path[-1], f"CASE {found} {value} END", expected, one_of(found, *branches), path)
 
 
-def default_row_id(doc: str = DOC) -> Column:
+def default_row_id(doc: str = DOC) -> str:
     """Identity of a document without a key of its own: equal documents have equal ids."""
-    return F.sha2(F.to_json(F.col(quote(doc))), 256)
+    return f"sha2(to_json({quote(doc)}), 256)"
 
 
 def conform_with_rejects(
@@ -184,58 +165,42 @@ def conform_with_rejects(
     known: Known | None = None,
     doc: str = DOC,
     max_keys: int = MAX_KEYS,
+    ignore: Iterable[str] = (),
+    stable: bool = False,
+    strict: bool | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """The conformed columns plus ``_rejects``, an array that is empty for clean rows; and the name clashes.
 
     Writing this frame once serves rows and rejects in one pass over the source.
+    ``strict`` (the default when ``known`` is given) also rejects keys that ``known`` does not list.
     """
     spec = parse_spec(spec)
-    given = known is not None
+    strict = known is not None if strict is None else strict
     if known is None:
         known = discover(docs, spec, doc, max_keys)
+    ignore = set(ignore)
+    known = {path: tags for path, tags in known.items() if path[0] not in ignore}
+    plan = _Plan(spec, known, stable)
     carried = carried_columns(docs, doc)
-
-    paths = [path for path in sorted(known) if all(path[:i] in known for i in range(1, len(path)))]
-    cell_names = {path: f"_cell{i}" for i, path in enumerate(paths)}
-    tag_names = {path: f"_tag{i}" for i, path in enumerate(paths)}
-
-    level = _Level(
-        known,
-        {path: F.col(name) for path, name in cell_names.items()},
-        {path: F.col(name) for path, name in tag_names.items()},
-    )
-    columns = level.build((), spec)
-    top_names = _names(level, spec)
-    check_names(docs, [*carried, REJECTS], top_names)
-
-    v = F.col(quote(doc))
-    rejects = [F.when(F.lit(False), F.struct(*[F.lit("").alias(n) for n in ("column", "expected", "actual", "raw_json")]))]
-    rejects = F.array_compact(F.array(*rejects, *level.rejects)).cast(_REJECT_TYPE)
-    stray = []
-    if given:
-        rejects = F.concat(rejects, F.col("_stray"))
-        stray = [_stray_keys(v, known).alias("_stray")]
+    check_names(docs, [*carried, REJECTS, *plan.columns])
 
     kept = [quote(c) for c in carried]
-    cells = docs.select(*kept, *[field(v, *path).alias(name) for path, name in cell_names.items()], *stray)
-    tagged = cells.select(
-        "*", *[_declared_tag(F.col(cell_names[path]), path, spec).alias(name) for path, name in tag_names.items()]
-    )
-    return tagged.select(*kept, *columns, rejects.alias(REJECTS)), level.clashes
+    v = quote(doc)
+    cells = [f"{field(v, *path)} AS {name}" for path, name in plan.cells.items()]
+    tags = [f"{_declared_tag(plan.cells[path], path, spec)} AS {name}" for path, name in plan.tags.items()]
+    rejects = f"cast(array_compact(array({', '.join(plan.rejects)})) AS {_REJECT_TYPE})" if plan.rejects else _NO_REJECTS
+    if strict:
+        cells.append(f"{_stray_keys(v, {path[0] for path in known} | ignore)} AS _stray")
+        rejects = f"concat({rejects}, _stray)"
+    columns = [f"{value} AS {quote(name)}" for name, value in plan.columns.items()]
+    rows = docs.selectExpr(*kept, *cells).selectExpr("*", *tags)
+    return rows.selectExpr(*kept, *columns, f"{rejects} AS {REJECTS}"), plan.clashes
 
 
-def _names(level: _Level, spec: Spec) -> list[str]:
-    names: list[str] = []
-    for key in level.keys((), spec):
-        column = spec.get(key)
-        names.append(key)
-        if column and column.strategy == "NewCol":
-            for dtype in sorted(level.known[(key,)] - {NONE, column.dtype}, key=suffix):
-                names.append(f"{key}_{suffix(dtype)}")
-    return list(dict.fromkeys(names))
+_NO_REJECTS = f"cast(array() AS {_REJECT_TYPE})"
 
 
-def _declared_tag(cell: Column, path: Path, spec: Spec) -> Column:
+def _declared_tag(cell: str, path: Path, spec: Spec) -> str:
     column = None
     for key in path:
         column = spec.get(key)
@@ -243,20 +208,13 @@ def _declared_tag(cell: Column, path: Path, spec: Spec) -> Column:
     return tag_as(cell, column.dtype if column else None)
 
 
-def _stray_keys(v: Column, known: Known) -> Column:
-    """Rejects for top-level keys that a given ``known`` does not list."""
-    top = F.array(*[F.lit(path[0]) for path in known if len(path) == 1]).cast("array<string>")
-    fields = F.map_filter(entries(v), lambda key, _: ~F.array_contains(top, key))
-    strays = F.transform(
-        F.map_entries(fields),
-        lambda e: F.struct(
-            e["key"].alias("column"),
-            F.lit("Unknown").alias("expected"),
-            tag(e["value"]).alias("actual"),
-            F.to_json(e["value"]).alias("raw_json"),
-        ),
-    )
-    return F.coalesce(F.filter(strays, lambda e: e["actual"] != NONE), F.array().cast(_REJECT_TYPE))
+def _stray_keys(v: str, listed: Iterable[str]) -> str:
+    """Rejects for top-level keys that are not listed."""
+    top = f"cast(array({', '.join(map(literal, sorted(listed)))}) AS array<string>)"
+    fields = f"map_entries(map_filter({entries(v)}, (k, x) -> NOT array_contains({top}, k)))"
+    with_kind = f"transform({fields}, e -> named_struct('key', e.key, 'v', e.value, 'kind', {kind('e.value')}))"
+    strays = f"transform({with_kind}, e -> {_reject('e.key', 'Unknown', tag_of('e.v', 'e.kind'), 'to_json(e.v)')})"
+    return f"coalesce(cast(filter({strays}, e -> e.actual <> '{NONE}') AS {_REJECT_TYPE}), {_NO_REJECTS})"
 
 
 def split_rejects(rows: DataFrame, row_id: Iterable[str]) -> DataFrame:
@@ -271,19 +229,27 @@ def conform(
     known: Known | None = None,
     doc: str = DOC,
     max_keys: int = MAX_KEYS,
+    ignore: Iterable[str] = (),
+    stable: bool = False,
 ) -> Conformed:
     """Conform ``docs`` to ``spec``.
 
     ``row_id`` names the carried column that identifies a row in the rejects;
-    without one the rejects carry a hash of the document as ``row_id``.
+    without one the rejects carry a hash of the document as ``row_id``. Keys in
+    ``ignore`` are left out. With ``stable`` the type of a column follows from
+    the spec alone: an ignored column is VARIANT even while it holds one type,
+    so that separate batches agree.
     """
-    rows, clashes = conform_with_rejects(docs, spec, known, doc, max_keys)
+    if known is None:
+        known = discover(docs, spec, doc, max_keys)
+        strict = False
+    else:
+        strict = True
+    options = {"doc": doc, "ignore": ignore, "stable": stable, "strict": strict}
+    rows, clashes = conform_with_rejects(docs, spec, known, **options)
     if row_id is None:
-        hashed = docs.withColumn("row_id", default_row_id(doc))
-        if known is None:
-            known = discover(docs, spec, doc, max_keys)
-        rejected, _ = conform_with_rejects(hashed, spec, known, doc, max_keys)
-        rejects = split_rejects(rejected, ["row_id"])
+        hashed = docs.withColumn("row_id", F.expr(default_row_id(doc)))
+        rejects = split_rejects(conform_with_rejects(hashed, spec, known, **options)[0], ["row_id"])
     else:
         rejects = split_rejects(rows, [row_id])
     return Conformed(rows.drop(REJECTS), rejects, clashes)

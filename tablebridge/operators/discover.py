@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tablebridge.functions.paths import entries, field
-from tablebridge.functions.tags import NONE, tag, tag_as
+from tablebridge.functions.paths import entries, field, get, literal, quote
+from tablebridge.functions.tags import NONE, kind, tag, tag_as
 from tablebridge.spec import Spec, parse_spec
 
 DOC = "doc"
 MAX_KEYS = 2000
 
+_LEVEL_TYPE = "array<struct<path:array<string>,value:variant>>"
+
 # Path of keys -> the tags seen there.
 Known = Mapping[tuple[str, ...], frozenset[str]]
 
@@ -22,6 +24,16 @@ class TooManyKeys(ValueError):
     """The documents use data as keys: turning keys into columns would not end well."""
 
 
+def _fields(docs: DataFrame, doc: str) -> DataFrame:
+    """One ``(key, value)`` row per top-level field."""
+    spark = docs.sparkSession
+    return (
+        docs.select(F.col(doc).alias("v"))
+        .lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        .select("key", "value")
+    )
+
+
 def profile(docs: DataFrame, doc: str = DOC) -> DataFrame:
     """``(key, tag, n)`` for every key and type tag, JSON null counted as tag ``None``.
 
@@ -30,47 +42,39 @@ def profile(docs: DataFrame, doc: str = DOC) -> DataFrame:
     """
     return (
         _fields(docs, doc)
-        .select("key", tag(F.col("value")).alias("tag"))
+        .selectExpr("key", f"{tag('value')} AS tag")
         .groupBy("key", "tag")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
-def _fields(docs: DataFrame, doc: str) -> DataFrame:
-    """One ``(key, value)`` row per top-level field."""
-    spark = docs.sparkSession
-    return (
-        docs.select(F.col(doc).alias("v"))
-        .lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        .select("key", "value")
-    )
+def _path(keys: Iterable[str]) -> str:
+    return f"cast(array({', '.join(map(literal, keys))}) AS array<string>)"
 
 
-def _level(v: Column, prefix: tuple[str, ...], spec: Spec) -> Column:
-    """Array of ``(path, tag)`` for the fields of one object; empty when ``v`` is no object."""
+def _levels(v: str, prefix: tuple[str, ...], spec: Spec) -> Iterator[str]:
+    """Arrays of ``(path, value)``: the fields of ``v``, then those of each object that has a ``sub_schema``."""
+    entry = f"named_struct('path', concat({_path(prefix)}, array(e.key)), 'value', e.value)"
+    yield f"coalesce(transform(map_entries({entries(v)}), e -> {entry}), cast(array() AS {_LEVEL_TYPE}))"
+    for name, column in spec.items():
+        if column.sub_schema:
+            yield from _levels(field(v, name), prefix + (name,), column.sub_schema)
 
-    def entry(e: Column) -> Column:
-        key, value = e["key"], e["value"]
-        found = tag(value)
-        for dtype in ("I64", "I16"):
-            names = [name for name, column in spec.items() if column.dtype == dtype]
-            if names:
-                found = F.when(key.isin(*names), tag_as(value, dtype)).otherwise(found)
-        path = F.concat(F.array(*[F.lit(k) for k in prefix]).cast("array<string>"), F.array(key))
-        return F.struct(path.alias("path"), found.alias("tag"))
 
-    here = F.transform(F.map_entries(entries(v)), entry)
-    if prefix:
-        here = F.when(tag(v) == "Object", here)
-    return F.coalesce(here, F.array().cast("array<struct<path:array<string>,tag:string>>"))
+def _declared(spec: Spec, dtype: str, prefix: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
+    for name, column in spec.items():
+        if column.dtype == dtype:
+            yield prefix + (name,)
+        yield from _declared(column.sub_schema, dtype, prefix + (name,))
 
 
-def _levels(v: Column, prefix: tuple[str, ...], spec: Spec) -> list[Column]:
-    found = [_level(v, prefix, spec)]
-    for name, column in spec.items():
-        if column.sub_schema:
-            found += _levels(field(v, name), prefix + (name,), column.sub_schema)
-    return found
+def _tag_by_path(spec: Spec) -> str:
+    branches = ""
+    for dtype in ("I64", "I16"):
+        paths = ", ".join(_path(keys) for keys in _declared(spec, dtype))
+        if paths:
+            branches += f" WHEN path IN ({paths}) THEN {tag_as('value', dtype)}"
+    return f"CASE {branches} ELSE {tag('value')} END" if branches else tag("value")
 
 
 def discover(docs: DataFrame, spec: object = None, doc: str = DOC, max_keys: int = MAX_KEYS) -> Known:
@@ -80,11 +84,15 @@ def discover(docs: DataFrame, spec: object = None, doc: str = DOC, max_keys: int
     paths is an error, never a cut.
     """
     spec = parse_spec(spec)
-    found = F.concat(*_levels(F.col(doc), (), spec))
+    levels = list(_levels(quote(doc), (), spec))
+    if len(levels) > 1:
+        values = docs.selectExpr(f"explode(concat({', '.join(levels)})) AS e").select("e.path", "e.value")
+    else:
+        values = _fields(docs, doc).selectExpr("array(key) AS path", "value")
     counted = (
-        docs.select(F.explode(found).alias("e"))
-        .groupBy("e.path")
-        .agg(F.sort_array(F.collect_set("e.tag")).alias("tags"))
+        values.selectExpr("path", f"{_tag_by_path(spec)} AS tag")
+        .groupBy("path")
+        .agg(F.collect_set("tag").alias("tags"))
         .limit(max_keys + 1)
     )
     known = {tuple(row.path): frozenset(row.tags) for row in counted.collect()}
@@ -95,22 +103,15 @@ def discover(docs: DataFrame, spec: object = None, doc: str = DOC, max_keys: int
 
 def discover_keys(docs: DataFrame, doc: str = DOC, max_keys: int = MAX_KEYS) -> list[str]:
     """Distinct top-level keys in alphabetical order. One job, bounded like :func:`discover`."""
-    rows = (
-        docs.select(F.explode(F.map_keys(entries(F.col(doc)))).alias("key")).distinct().limit(max_keys + 1).collect()
-    )
+    keys = docs.selectExpr(f"explode(map_keys({entries(quote(doc))})) AS key").distinct()
+    rows = keys.limit(max_keys + 1).collect()
     if len(rows) > max_keys:
         raise TooManyKeys(f"more than {max_keys} distinct keys; raise max_keys if they are wanted as columns")
     return sorted(row.key for row in rows)
 
 
-def keep_keys(known: Known, names: Iterable[str]) -> Known:
-    """The part of ``known`` under the given top-level keys."""
-    names = set(names)
-    return {path: tags for path, tags in known.items() if path[0] in names}
-
-
 def merge_known(*parts: Known) -> Known:
-    """Union of what several batches hold."""
+    """Union of what several collections hold."""
     merged: dict[tuple[str, ...], set[str]] = defaultdict(set)
     for part in parts:
         for path, tags in part.items():
@@ -122,39 +123,37 @@ def schema_report(docs: DataFrame, spec: object, doc: str = DOC) -> DataFrame:
     """One row per key: expected type and strategy, the tags seen, and how many values mismatch.
 
     Columns outside the spec are expected ``Unknown`` with strategy ``Ignore``.
-    The spec is a driver-side literal, looked up per group after counting.
+    The spec is a literal, looked up per group after counting.
     """
     spec = parse_spec(spec)
 
-    def declared(attribute: str, default: str) -> Column:
-        if not spec:
-            return F.lit(default)
-        literals = [F.lit(x) for name, column in spec.items() for x in (name, getattr(column, attribute))]
-        return F.coalesce(F.element_at(F.create_map(*literals), F.col("key")), F.lit(default))
-
-    expected = declared("dtype", "Unknown")
-    fits_wide = (expected == "I64") & (F.col("tag") == "I32") & F.col("plain")
-    fits_short = (expected == "I16") & F.col("short")
-    clash = (expected != "Unknown") & ~F.col("tag").isin(NONE) & (F.col("tag") != expected) & ~fits_wide & ~fits_short
-    v = F.col("value")
-    plain = F.coalesce(F.schema_of_variant(v) == "BIGINT", F.lit(False))
-    counted = (
+    def declared(attribute: str, default: str) -> str:
+        pairs = ", ".join(f"{literal(name)}, {literal(getattr(column, attribute))}" for name, column in spec.items())
+        return f"coalesce(map({pairs})[key], '{default}')" if pairs else f"'{default}'"
+
+    fits = "tag = expected_dtype OR (plain AND expected_dtype = 'I64') OR (short AND expected_dtype = 'I16')"
+    return (
         _fields(docs, doc)
-        .select(
+        .selectExpr(
             "key",
-            tag(v).alias("tag"),
-            plain.alias("plain"),
-            (plain & F.try_variant_get(v, "$", "smallint").isNotNull()).alias("short"),
+            f"{tag('value')} AS tag",
+            f"coalesce({kind('value')} = 'BIGINT', false) AS plain",
+            f"coalesce({kind('value')} = 'BIGINT', false) AND {get('value', '$', 'smallint')} IS NOT NULL AS short",
         )
         .groupBy("key", "tag", "plain", "short")
         .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return counted.groupBy("key").agg(
-        F.first(expected).alias("expected_dtype"),
-        F.first(declared("strategy", "Ignore")).alias("strategy"),
-        F.array_join(F.sort_array(F.collect_set(F.when(F.col("tag") != NONE, F.col("tag")))), ",").alias("dtypes"),
-        F.sum(F.when(F.col("tag") != NONE, F.col("n")).otherwise(0)).alias("n_values"),
-        F.sum(F.when(clash, F.col("n")).otherwise(0)).alias("n_mismatch"),
+        .selectExpr(
+            "*", f"{declared('dtype', 'Unknown')} AS expected_dtype", f"{declared('strategy', 'Ignore')} AS strategy"
+        )
+        .groupBy("key", "expected_dtype", "strategy")
+        .agg(
+            F.expr(f"array_join(sort_array(collect_set(tag) FILTER (WHERE tag <> '{NONE}')), ',') AS dtypes"),
+            F.expr(f"coalesce(sum(n) FILTER (WHERE tag <> '{NONE}'), 0) AS n_values"),
+            F.expr(
+                f"coalesce(sum(n) FILTER (WHERE tag <> '{NONE}' AND expected_dtype <> 'Unknown' AND NOT ({fits})), 0) "
+                "AS n_mismatch"
+            ),
+        )
     )
 
 
@@ -166,17 +165,17 @@ def with_spec(df: DataFrame, spec: object) -> DataFrame:
     return df
 
 
-def shape_keys(v: Column) -> Column:
+def shape_keys(v: str) -> str:
     """The sorted keys of a document. Variant objects store their fields sorted, so no sort is needed."""
-    return F.map_keys(entries(v))
+    return f"map_keys({entries(v)})"
 
 
 def shape_groups(docs: DataFrame, doc: str = DOC) -> DataFrame:
     """``(shape, n_keys, n)``: how many documents have each set of keys."""
     return (
-        docs.groupBy(shape_keys(F.col(doc)).alias("keys"))
+        docs.groupBy(F.expr(shape_keys(quote(doc))).alias("keys"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.array_join("keys", ",").alias("shape"), F.size("keys").alias("n_keys"), "n")
+        .selectExpr("array_join(keys, ',') AS shape", "size(keys) AS n_keys", "n")
     )
 
 
@@ -184,6 +183,4 @@ def batch_plan(docs: DataFrame, size: int, doc: str = DOC) -> DataFrame:
     """``(shape, n, n_batches)`` for homogenous batches of at most ``size`` rows."""
     if size < 1:
         raise ValueError("size must be at least 1")
-    return shape_groups(docs, doc).select(
-        "shape", "n", F.ceil(F.col("n") / F.lit(size)).cast("bigint").alias("n_batches")
-    )
+    return shape_groups(docs, doc).selectExpr("shape", "n", f"cast(ceil(n / {size}) AS bigint) AS n_batches")

@@ -20,12 +20,7 @@ def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.xxhash64(*parts)
 
 
-def differences(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``(keys..., row_hash, n_a, n_b)`` for rows that the two tables do not hold equally often.
-
-    One shuffle of keys and hashes. Equal rows are counted before it, so a row
-    copied many times costs one record per task.
-    """
+def _counted(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     columns = [name for name in a.columns if name in b.columns]
 
     def side(df: DataFrame, in_a: int) -> DataFrame:
@@ -41,26 +36,36 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
         .unionAll(side(b, 0))
         .groupBy(*[quote(k) for k in keys], "row_hash")
         .agg(F.sum("in_a").alias("n_a"), F.sum("in_b").alias("n_b"))
-        .where(F.col("n_a") != F.col("n_b"))
     )
 
 
+def differences(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(keys..., row_hash, n_a, n_b)`` for rows that the two tables do not hold equally often.
+
+    One shuffle of keys and hashes. Equal rows are counted before it, so a row
+    copied many times costs one record per task.
+    """
+    return _counted(a, b, keys).where(F.col("n_a") != F.col("n_b"))
+
+
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: ``n_a, n_b, missing`` (rows of a that b lacks), ``extra`` (rows of b that a lacks), ``matches``."""
-    apart = differences(a, b, keys).agg(
-        F.coalesce(F.sum(F.greatest(F.col("n_a") - F.col("n_b"), F.lit(0))), F.lit(0)).alias("missing"),
-        F.coalesce(F.sum(F.greatest(F.col("n_b") - F.col("n_a"), F.lit(0))), F.lit(0)).alias("extra"),
-    )
-    counts = a.agg(F.count(F.lit(1)).alias("n_a"))
-    others = b.agg(F.count(F.lit(1)).alias("n_b"))
-    one = F.lit(1).alias("one")
-    joined = (
-        counts.select(one, "n_a")
-        .join(others.select(one, "n_b"), "one")
-        .join(apart.select(one, "missing", "extra"), "one")
-        .drop("one")
+
+    def total(c: Column) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
+
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    none = F.lit(0).cast("bigint")
+    return (
+        _counted(a, b, keys)
+        .agg(
+            total(n_a).alias("n_a"),
+            total(n_b).alias("n_b"),
+            total(F.greatest(n_a - n_b, none)).alias("missing"),
+            total(F.greatest(n_b - n_a, none)).alias("extra"),
+        )
+        .withColumn("matches", (F.col("missing") == 0) & (F.col("extra") == 0))
     )
-    return joined.withColumn("matches", (F.col("missing") == 0) & (F.col("extra") == 0))
 
 
 COPIES_PER_ROW = 4096

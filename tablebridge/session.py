@@ -47,3 +47,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tablebridge-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system its scheme names."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(conf).exists(target)

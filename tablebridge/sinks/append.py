@@ -12,11 +12,11 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 
 from tablebridge.functions.paths import quote
 from tablebridge.functions.rows import encode_nested
 from tablebridge.operators.columns import missing_columns
+from tablebridge.session import path_exists
 from tablebridge.sources.tables import count_jdbc, read_parquet, read_table
 
 
@@ -38,12 +38,9 @@ class ParquetSink:
     evolve: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        try:
-            return read_parquet(spark, self.path, merge_schema=self.evolve)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return None
-            raise
+        if not path_exists(spark, self.path):
+            return None
+        return read_parquet(spark, self.path, merge_schema=self.evolve)
 
     def write(self, df: DataFrame) -> None:
         target = self.read(df.sparkSession)

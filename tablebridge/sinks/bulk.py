@@ -9,83 +9,28 @@ shapes, ids or copies are, and memory per task is bounded.
 
 from __future__ import annotations
 
-import json
-import urllib.error
-import urllib.request
-from collections import defaultdict
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource
 
-from tablebridge.functions.cells import http_cell
+from tablebridge.functions.cells import HTTP, normalise_elements
 from tablebridge.functions.paths import entries, quote
 from tablebridge.operators.discover import DOC
-
-PAYLOAD_SCHEMA = "shape string, stmt string, n_rows bigint, payload string"
-_ARROW = pa.schema([("shape", pa.string()), ("stmt", pa.string()), ("n_rows", pa.int64()), ("payload", pa.string())])
-
-# Shapes with an open batch may hold this many batches' worth of rows before the fullest is sent.
-OPEN_BATCHES = 16
-
-
-def insert_statement(schema: str, table: str, columns: list[str], ignore_conflicts: bool = False) -> str:
-    """The statement with one ``?`` per column.
-
-    ``ignore_conflicts`` lets a repeated payload skip rows whose primary key exists.
-    """
-    marks = ",".join("?" for _ in columns)
-    tail = " ON CONFLICT DO NOTHING" if ignore_conflicts else ""
-    return f"INSERT INTO {schema}.{table} ({','.join(columns)}) VALUES ({marks}){tail}"
+from tablebridge.sinks.bulk_tasks import PAYLOAD_SCHEMA, BulkDataSource, chunker
 
 
 def argument_rows(docs: DataFrame, doc: str = DOC) -> DataFrame:
     """``(..., keys, args)``: the sorted keys of each document and its values as one JSON array."""
-    fields = entries(F.col(quote(doc)))
-    args = F.transform(F.map_values(fields), lambda v: F.coalesce(F.to_json(http_cell(v)["value"]), F.lit("null")))
+    fields = entries(quote(doc))
+    cells = normalise_elements(f"map_values({fields})", HTTP)
+    args = f"transform({cells}, c -> coalesce(to_json(c.value), 'null'))"
     others = [quote(name) for name in docs.columns if name != doc]
-    return docs.select(
-        *others,
-        F.to_json(F.map_keys(fields)).alias("keys"),
-        F.concat(F.lit("["), F.array_join(args, ","), F.lit("]")).alias("args"),
+    return docs.selectExpr(
+        *others, f"to_json(map_keys({fields})) AS keys", f"concat('[', array_join({args}, ','), ']') AS args"
     )
 
 
-def _chunker(schema: str, table: str, size: int, ignore_conflicts: bool) -> Callable:
-    def payload(keys: str, rows: list[str]) -> tuple[str, str, int, str]:
-        columns = json.loads(keys)
-        stmt = insert_statement(schema, table, columns, ignore_conflicts)
-        body = f'{{"stmt":{json.dumps(stmt, ensure_ascii=False)},"bulk_args":[{",".join(rows)}]}}'
-        return ",".join(columns), stmt, len(rows), body
-
-    def batch_of(payloads: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(column, kind.type) for column, kind in zip(zip(*payloads), _ARROW)]
-        return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
-
-    def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: dict[str, list[str]] = defaultdict(list)
-        held = 0
-        for batch in batches:
-            ready = []
-            for keys, args in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = pending[keys]
-                rows.append(args)
-                held += 1
-                if len(rows) == size or held == OPEN_BATCHES * size:
-                    full = keys if len(rows) == size else max(pending, key=lambda k: len(pending[k]))
-                    rows = pending.pop(full)
-                    held -= len(rows)
-                    ready.append(payload(full, rows))
-            if ready:
-                yield batch_of(ready)
-        if pending:
-            yield batch_of([payload(keys, rows) for keys, rows in pending.items()])
-
-    return chunk
-
-
 def bulk_payloads(
     docs: DataFrame, schema: str, table: str, size: int = 1000, doc: str = DOC, ignore_conflicts: bool = False
 ) -> DataFrame:
@@ -93,64 +38,7 @@ def bulk_payloads(
     if size < 1:
         raise ValueError("size must be at least 1")
     rows = argument_rows(docs.select(quote(doc)), doc).select("keys", "args")
-    return rows.mapInArrow(_chunker(schema, table, size, ignore_conflicts), PAYLOAD_SCHEMA)
-
-
-class DeliveryError(RuntimeError):
-    """The endpoint refused a payload, or rows of it."""
-
-
-def post(url: str, payload: str, timeout: float) -> dict:
-    request = urllib.request.Request(
-        url, payload.encode("utf-8"), {"Content-Type": "application/json"}, method="POST"
-    )
-    try:
-        with urllib.request.urlopen(request, timeout=timeout) as response:
-            return json.loads(response.read() or b"{}")
-    except urllib.error.HTTPError as error:
-        raise DeliveryError(f"HTTP {error.code}: {error.read()[:500]!r}") from error
-    except urllib.error.URLError as error:
-        raise DeliveryError(str(error.reason)) from error
-
-
-@dataclass
-class Delivered(WriterCommitMessage):
-    payloads: int
-    rows: int
-
-
-class BulkWriter(DataSourceWriter):
-    """Posts every payload of a task. A refused payload or row fails the task, so Spark tries it again."""
-
-    def __init__(self, url: str, timeout: float, send: Callable[[str, str, float], dict] = post):
-        self.url = url
-        self.timeout = timeout
-        self.send = send
-
-    def write(self, iterator: Iterator) -> Delivered:
-        payloads = rows = 0
-        for row in iterator:
-            answer = self.send(self.url, row["payload"], self.timeout)
-            # The endpoint answers 200 and marks each failed row with a negative count.
-            failed = [i for i, result in enumerate(answer.get("results", [])) if result.get("rowcount", 1) < 0]
-            if failed:
-                raise DeliveryError(f"{len(failed)} of {row['n_rows']} rows refused, first at {failed[0]}")
-            payloads += 1
-            rows += row["n_rows"]
-        return Delivered(payloads, rows)
-
-
-class BulkDataSource(DataSource):
-    """``df.write.format("bulk_http").option("url", ...)`` for a frame of payloads."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "bulk_http"
-
-    def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        if "url" not in self.options:
-            raise ValueError("bulk_http needs the option url")
-        return BulkWriter(self.options["url"], float(self.options.get("timeout", "30")))
+    return rows.mapInArrow(chunker(schema, table, size, ignore_conflicts), PAYLOAD_SCHEMA)
 
 
 @dataclass(frozen=True)

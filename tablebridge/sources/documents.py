@@ -19,8 +19,18 @@ class Documents(NamedTuple):
     rejects: DataFrame
 
 
-def _is_document(v: Column) -> Column:
-    return F.schema_of_variant(v).startswith("OBJECT")
+def parse_column(df: DataFrame, text: str, doc: str = DOC) -> DataFrame:
+    """Add ``doc``, the parsed ``text``, NULL where it is not JSON.
+
+    The parse sits in a generator, through which the optimizer moves no filter:
+    a filter on ``doc`` would otherwise parse every text a second time.
+    """
+    return df.select("*", F.explode(F.array(F.try_parse_json(F.col(quote(text))))).alias(doc))
+
+
+def is_document(text: str, doc: str = DOC) -> Column:
+    """Whether a parsed row holds a JSON object; never NULL."""
+    return F.col(quote(doc)).isNotNull() & F.coalesce(F.col(quote(text)).rlike(r"^[ \t\r\n]*\{"), F.lit(False))
 
 
 def parse_documents(df: DataFrame, text: str = "value", doc: str = DOC) -> Documents:
@@ -30,9 +40,9 @@ def parse_documents(df: DataFrame, text: str = "value", doc: str = DOC) -> Docum
     ``malformed`` (also for a repeated key or no text at all) or ``not an object``.
     """
     others = [quote(name) for name in df.columns if name != text]
-    parsed = df.withColumn(doc, F.try_parse_json(F.col(quote(text))))
-    docs = parsed.where(_is_document(F.col(doc))).select(*others, doc)
-    rejects = parsed.where(~F.coalesce(_is_document(F.col(doc)), F.lit(False))).select(
+    parsed = parse_column(df, text, doc)
+    docs = parsed.where(is_document(text, doc)).select(*others, doc)
+    rejects = parsed.where(~is_document(text, doc)).select(
         *others,
         F.col(quote(text)).alias("raw"),
         F.when(F.col(doc).isNull(), "malformed").otherwise("not an object").alias("reason"),

@@ -55,8 +55,10 @@ def read_table(
 def split_by(
     spark: SparkSession, url: str, table: str, column: str, count: int, properties: Mapping[str, str] | None = None
 ) -> Partitioning | None:
-    """Ask the database for the bounds of ``column``; None for an empty table."""
-    query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    """Ask the database for the bounds of ``column`` (named as the reader shows it); None for an empty table."""
+    mark = "`" if url.startswith("jdbc:mysql") else '"'
+    quoted = mark + column.replace(mark, mark * 2) + mark
+    query = f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}"
     row = spark.read.format("jdbc").options(url=url, query=query, **(properties or {})).load().first()
     return None if row is None or row[0] is None else Partitioning(column, row[0], row[1], count)
 
