@@ -78,7 +78,7 @@ def typed(v: str, dtype: str) -> str:
     this only behind a test of the tag.
     """
     if dtype == "I32":
-        return f"coalesce({get(v, '$', 'int')}, try_cast({get(v, '$["$numberInt"]', 'string')} AS int))"
+        return f"try_cast(coalesce({get(v, '$', 'bigint')}, {get(v, '$["$numberInt"]', 'bigint')}) AS int)"
     if dtype == "I64":
         long = f"try_cast({get(v, '$["$numberLong"]', 'string')} AS bigint)"
         return f"coalesce({get(v, '$', 'bigint')}, {long}, {date_millis(v)})"

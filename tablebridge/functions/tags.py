@@ -24,6 +24,10 @@ WRAPPERS = {
     "Double64": ("OBJECT<`$numberDouble`: STRING>", "OBJECT<`$numberDecimal`: STRING>"),
 }
 
+# The bounds of the narrow integer types.
+I16_RANGE = "-32768 AND 32767"
+I32_RANGE = "-2147483648 AND 2147483647"
+
 # Wrappers of values that have no type of their own and go out as text.
 TEXT_WRAPPERS = r"^OBJECT<`\$(binary|code|dbPointer|maxKey|minKey|regularExpression|symbol|timestamp|undefined|uuid)`:"
 
@@ -47,9 +51,9 @@ def tag_of(v: str, k: str) -> str:
     return f"""CASE
         WHEN {k} IS NULL OR {k} = 'VOID' THEN '{NONE}'
         WHEN {k} = 'STRING' THEN 'String'
-        WHEN {k} = 'BIGINT' THEN CASE WHEN {get(v, '$', 'int')} IS NOT NULL THEN 'I32' ELSE 'I64' END
+        WHEN {k} = 'BIGINT' THEN CASE WHEN {get(v, '$', 'bigint')} BETWEEN {I32_RANGE} THEN 'I32' ELSE 'I64' END
         WHEN {k} = 'BOOLEAN' THEN 'Bool'
-        WHEN {k} RLIKE '^(DOUBLE|FLOAT|DECIMAL)' THEN 'Double64'
+        WHEN {k} IN ('DOUBLE', 'FLOAT') OR startswith({k}, 'DECIMAL') THEN 'Double64'
         WHEN startswith({k}, 'ARRAY') THEN
             CASE WHEN {k} = 'ARRAY<VOID>' AND {get(v, '$[0]', 'variant')} IS NULL THEN 'VecString' ELSE 'VecDyn' END
         WHEN startswith({k}, 'OBJECT<`$') THEN
@@ -77,6 +81,6 @@ def tag_as(v: str, expected: str | None) -> str:
     if expected == "I64":
         return f"CASE WHEN {kind(v)} = 'BIGINT' THEN 'I64' ELSE {tag(v)} END"
     if expected == "I16":
-        fits = f"{kind(v)} = 'BIGINT' AND {get(v, '$', 'smallint')} IS NOT NULL"
+        fits = f"{kind(v)} = 'BIGINT' AND {get(v, '$', 'bigint')} BETWEEN {I16_RANGE}"
         return f"CASE WHEN {fits} THEN 'I16' ELSE {tag(v)} END"
     return tag(v)

@@ -14,17 +14,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource
 
-from tablebridge.functions.cells import HTTP, normalise_elements
+from tablebridge.functions.cells import HTTP, normalise_elements, scalar_text
 from tablebridge.functions.paths import entries, quote
+from tablebridge.functions.tags import kind
 from tablebridge.operators.discover import DOC
 from tablebridge.sinks.bulk_tasks import PAYLOAD_SCHEMA, BulkDataSource, chunker
 
 
+def _argument(v: str, k: str) -> str:
+    """JSON text of one value. Plain scalars and objects go straight out, the rest through the ``HTTP`` steps."""
+    cell = normalise_elements(f"array({v})", HTTP)
+    return f"""CASE
+        WHEN {k} IS NULL OR {k} = 'VOID' THEN 'null'
+        WHEN {k} IN ('STRING', 'BIGINT') THEN to_json({v})
+        WHEN {k} = 'BOOLEAN' THEN concat('"', to_json({v}), '"')
+        WHEN {k} = 'DOUBLE' OR startswith({k}, 'DECIMAL') THEN concat('"', {scalar_text(v, 'Double64')}, '"')
+        WHEN startswith({k}, 'OBJECT') AND NOT contains(to_json({v}), '"$') THEN to_json(cast(to_json({v}) AS variant))
+        ELSE coalesce(to_json({cell}[0].value), 'null') END"""
+
+
 def argument_rows(docs: DataFrame, doc: str = DOC) -> DataFrame:
     """``(..., keys, args)``: the sorted keys of each document and its values as one JSON array."""
     fields = entries(quote(doc))
-    cells = normalise_elements(f"map_values({fields})", HTTP)
-    args = f"transform({cells}, c -> coalesce(to_json(c.value), 'null'))"
+    cells = f"transform(map_values({fields}), v -> named_struct('v', v, 'kind', {kind('v')}))"
+    args = f"transform({cells}, e -> {_argument('e.v', 'e.kind')})"
     others = [quote(name) for name in docs.columns if name != doc]
     return docs.selectExpr(
         *others, f"to_json(map_keys({fields})) AS keys", f"concat('[', array_join({args}, ','), ']') AS args"
