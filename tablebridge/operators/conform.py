@@ -218,8 +218,12 @@ def _stray_keys(v: str, listed: Iterable[str]) -> str:
 
 
 def split_rejects(rows: DataFrame, row_id: Iterable[str]) -> DataFrame:
-    """``(row_id..., column, expected, actual, raw_json)`` from the ``_rejects`` arrays."""
-    return rows.where(F.size(REJECTS) > 0).select(*[quote(c) for c in row_id], F.inline(REJECTS))
+    """``(row_id..., column, expected, actual, raw_json)`` from the ``_rejects`` arrays.
+
+    There is no filter on the array: the optimizer would move it below the
+    projections, to the source, and work out every cell and tag again there.
+    """
+    return rows.select(*[quote(c) for c in row_id], F.inline(F.array_compact(REJECTS)))
 
 
 def conform(

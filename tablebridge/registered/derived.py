@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tablebridge.sources.documents import parse_documents
+
 # One ragged document per event: ``name`` takes seven types in turn, ``sub_id`` is a number, a text or missing.
 DIRTY = """concat('{"id":', event_id, ',"name":',
   CASE event_id % 7
@@ -79,7 +81,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(df: DataFrame, text: str, carry: str) -> DataFrame:
     """``(carry, doc)``: the documents that ``text`` spells."""
-    return df.select(carry, F.parse_json(F.expr(text)).alias("doc"))
+    return parse_documents(df.select(carry, F.expr(text).alias("value"))).docs
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tablebridge.functions.paths import quote
@@ -40,7 +41,12 @@ class ParquetSink:
     def read(self, spark: SparkSession) -> DataFrame | None:
         if not path_exists(spark, self.path):
             return None
-        return read_parquet(spark, self.path, merge_schema=self.evolve)
+        try:
+            return read_parquet(spark, self.path, merge_schema=self.evolve)
+        except AnalysisException as error:
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # the folder holds no files yet
+                return None
+            raise
 
     def write(self, df: DataFrame) -> None:
         target = self.read(df.sparkSession)

@@ -158,9 +158,9 @@ def test_stable_types_do_not_depend_on_the_data(make_docs):
 
 
 def test_ignored_keys_and_odd_keys(make_docs):
-    docs = make_docs([{"a.b": 1, 'q"t': 2, "q\"'t": 3, "": 4, "back`tick": 5, "gone": 6}])
+    docs = make_docs([{"a.b": 1, 'q"t': 2, "q\"'t": 3, "": 4, "back`tick": 5, "gone": 6, "b\\s": 7, "é]": 8}])
     row = conform(docs, None, "r", ignore=["gone"]).rows.first().asDict()
-    assert row == {"r": 0, "": 4, "a.b": 1, "back`tick": 5, 'q"t': 2, "q\"'t": 3}
+    assert row == {"r": 0, "": 4, "a.b": 1, "back`tick": 5, 'q"t': 2, "q\"'t": 3, "b\\s": 7, "é]": 8}
 
 
 def test_keys_that_differ_in_case_only(make_docs):

@@ -107,6 +107,13 @@ def test_jdbc(spark, dirty):
         jdbc_names(spark, "jdbc:sqlite:x", "tables")
 
 
+def test_an_empty_folder_is_no_table(spark, tmp_path):
+    sink = ParquetSink(str(tmp_path))
+    assert sink.read(spark) is None
+    append(spark.range(2), sink)
+    assert sink.read(spark).count() == 2
+
+
 def test_appending_files(spark, tmp_path):
     sink, df = ParquetSink(str(tmp_path / "p")), spark.range(3).selectExpr("id", "id AS v")
     append(df, sink)
@@ -140,6 +147,17 @@ def test_replicate(spark, n):
         assert copies.agg(F.max("copy"), F.min("copy")).first()[:] == (n - 1, 0)
 
 
+def test_rejects_do_not_work_the_documents_out_twice(spark, tmp_path):
+    """A filter on the rejects array would be moved to the source, with a copy of every expression."""
+    from tablebridge.sources.documents import read_documents
+
+    (tmp_path / "a.json").write_text("\n".join(DIRTY))
+    docs = read_documents(spark, str(tmp_path)).docs
+    cast = {"name": {"dtype": "I32", "dtype_collision_strategy": "Cast"}}
+    plan = conform(docs, cast).rejects._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("schemaOfVariant") < 60
+
+
 def test_documents_through_files(spark, tmp_path):
     rows = spark.createDataFrame([(1, None, [1]), (2, 'q"\n', [])], "a int, b string, c array<int>")
     export_documents(rows, str(tmp_path / "out"))
