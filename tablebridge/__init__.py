@@ -10,7 +10,7 @@ from tablebridge.functions.cells import (
     safe_decode,
 )
 from tablebridge.functions.rows import encode_nested, normalise_sql
-from tablebridge.functions.tags import tag, tag_as, tag_of
+from tablebridge.functions.tags import with_tags
 from tablebridge.operators.align import align, normalise, split_mixed
 from tablebridge.operators.columns import ignore_columns, ignore_keys, missing_columns, select_existing
 from tablebridge.operators.conform import Conformed, conform, conform_with_rejects, split_rejects

@@ -15,13 +15,17 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from tablebridge.functions.paths import get, let, literal, quote
-from tablebridge.functions.tags import NONE, is_date_wrapper, kind, tag, tag_of
+from tablebridge.functions.tags import NONE, is_date_wrapper, kind, tag_of
 from tablebridge.spec import spark_type
 
 # The number texts a strict parser accepts.
 INTEGER_TEXT = r"^[+-]?[0-9]+\z"
 NUMBER_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
+# How the text of a JSON object and of a JSON array begins.
+OBJECT_TEXT = r"^[ \t\r\n]*\{"
+ARRAY_TEXT = r"^[ \t\r\n]*\["
+
 # Extended-JSON wrappers in compact JSON text, and what replaces them.
 WRAPPER_TEXT = (
     (r'\{"\$number(?:Int|Long)":"([+-]?[0-9]+)"\}', "$1"),
@@ -62,13 +66,12 @@ def plain_json(text: str) -> str:
 
 def json_text(v: str) -> str:
     """Compact JSON text without Extended-JSON wrappers."""
-    return plain_json(f"to_json({v})")
+    return let("j", f"to_json({v})", plain_json("j"))
 
 
 def nested(v: str) -> str:
     """An array or object variant with the Extended-JSON wrappers inside it replaced."""
-    text = f"to_json({v})"
-    return f"""CASE WHEN contains({text}, '"$') THEN try_parse_json({plain_json(text)}) ELSE {v} END"""
+    return f"""CASE WHEN contains(to_json({v}), '"$') THEN try_parse_json({json_text(v)}) ELSE {v} END"""
 
 
 def typed(v: str, dtype: str) -> str:
@@ -287,6 +290,6 @@ def safe_decode(text: str, dtype: str) -> str:
         return text
     parsed = f"try_parse_json({text})"
     if dtype == "Object":
-        return f"CASE WHEN {tag(parsed)} = 'Object' THEN {parsed} END"
+        return f"CASE WHEN {text} RLIKE {literal(OBJECT_TEXT)} THEN {parsed} END"
     value = parsed if dtype == "VecDyn" else get(parsed, "$", spark_type(dtype))
-    return f"CASE WHEN startswith({kind(parsed)}, 'ARRAY') THEN {value} END"
+    return f"CASE WHEN {text} RLIKE {literal(ARRAY_TEXT)} THEN {value} END"

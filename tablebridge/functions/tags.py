@@ -7,7 +7,11 @@ A tag is one of the type names in :data:`tablebridge.spec.DTYPES`, or
 
 from __future__ import annotations
 
-from tablebridge.functions.paths import get, literal
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+
+from tablebridge.functions.paths import get, literal, quote
 
 NONE = "None"
 
@@ -62,25 +66,28 @@ def tag_of(v: str, k: str) -> str:
         ELSE 'String' END"""
 
 
-def tag(v: str) -> str:
-    """Type tag of a variant.
-
-    Every condition reads the kind, so a projection computes it once per row.
-    Inside a lambda function nothing is shared: pass the kind to :func:`tag_of` there.
-    """
-    return tag_of(v, kind(v))
-
-
-def tag_as(v: str, expected: str | None) -> str:
-    """Tag of ``v`` in a column declared as ``expected``.
+def tag_as(v: str, k: str, expected: str | None) -> str:
+    """Tag of ``v``, of kind ``k``, in a column declared as ``expected``.
 
     A plain JSON integer carries no width, so one that fits the declared
     integer type has that type. Explicit ``$numberInt`` / ``$numberLong``
     wrappers keep the width they state.
     """
     if expected == "I64":
-        return f"CASE WHEN {kind(v)} = 'BIGINT' THEN 'I64' ELSE {tag(v)} END"
+        return f"CASE WHEN {k} = 'BIGINT' THEN 'I64' ELSE {tag_of(v, k)} END"
     if expected == "I16":
-        fits = f"{kind(v)} = 'BIGINT' AND {get(v, '$', 'bigint')} BETWEEN {I16_RANGE}"
-        return f"CASE WHEN {fits} THEN 'I16' ELSE {tag(v)} END"
-    return tag(v)
+        fits = f"{k} = 'BIGINT' AND {get(v, '$', 'bigint')} BETWEEN {I16_RANGE}"
+        return f"CASE WHEN {fits} THEN 'I16' ELSE {tag_of(v, k)} END"
+    return tag_of(v, k)
+
+
+def with_tags(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Add the tag of each variant column under the given name.
+
+    A tag reads the kind many times and Spark does not share it between the
+    branches of a CASE, so the kinds are columns of a projection of their own.
+    """
+    kinds = {column: f"_kind{i}" for i, column in enumerate(columns)}
+    staged = df.selectExpr("*", *[f"{kind(quote(column))} AS {name}" for column, name in kinds.items()])
+    tags = [f"{tag_of(quote(column), kinds[column])} AS {quote(name)}" for column, name in columns.items()]
+    return staged.selectExpr(*[quote(c) for c in df.columns], *tags)

@@ -64,6 +64,7 @@ class _Plan:
         self.known = {path: tags for path, tags in known.items() if all(path[:i] in known for i in range(1, len(path)))}
         self.stable = stable
         self.cells = {path: f"_cell{i}" for i, path in enumerate(sorted(self.known))}
+        self.kinds = {path: f"_kind{i}" for i, path in enumerate(sorted(self.known))}
         self.tags = {path: f"_tag{i}" for i, path in enumerate(sorted(self.known))}
         self.rejects: list[str] = []
         self.clashes: list[str] = []
@@ -138,7 +139,7 @@ class _Plan:
         failed = f"NOT {one_of(found, NONE, expected)}"
         if expected == "String":
             words = get(cell, "$", "array<string>")
-            only_words = f"{kind(cell)} = 'ARRAY<STRING>' AND size(array_compact({words})) = size({words})"
+            only_words = f"{self.kinds[path]} = 'ARRAY<STRING>' AND size(array_compact({words})) = size({words})"
             for dtype in ("I32", "I64", "Double64", "Bool", "Object"):
                 branches[dtype] = scalar_text(cell, dtype)
             branches["VecString"] = "''"
@@ -187,25 +188,27 @@ def conform_with_rejects(
     kept = [quote(c) for c in carried]
     v = quote(doc)
     cells = [f"{field(v, *path)} AS {name}" for path, name in plan.cells.items()]
-    tags = [f"{_declared_tag(plan.cells[path], path, spec)} AS {name}" for path, name in plan.tags.items()]
+    kinds = [f"{kind(plan.cells[path])} AS {name}" for path, name in plan.kinds.items()]
+    tags = [f"{tag_as(plan.cells[p], plan.kinds[p], _declared(p, spec))} AS {name}" for p, name in plan.tags.items()]
     rejects = f"cast(array_compact(array({', '.join(plan.rejects)})) AS {_REJECT_TYPE})" if plan.rejects else _NO_REJECTS
     if strict:
         cells.append(f"{_stray_keys(v, {path[0] for path in known} | ignore)} AS _stray")
         rejects = f"concat({rejects}, _stray)"
     columns = [f"{value} AS {quote(name)}" for name, value in plan.columns.items()]
-    rows = docs.selectExpr(*kept, *cells).selectExpr("*", *tags)
+    # The kinds have a projection of their own: see with_tags.
+    rows = docs.selectExpr(*kept, *cells).selectExpr("*", *kinds).selectExpr("*", *tags)
     return rows.selectExpr(*kept, *columns, f"{rejects} AS {REJECTS}"), plan.clashes
 
 
 _NO_REJECTS = f"cast(array() AS {_REJECT_TYPE})"
 
 
-def _declared_tag(cell: str, path: Path, spec: Spec) -> str:
+def _declared(path: Path, spec: Spec) -> str | None:
     column = None
     for key in path:
         column = spec.get(key)
         spec = column.sub_schema if column else {}
-    return tag_as(cell, column.dtype if column else None)
+    return column.dtype if column else None
 
 
 def _stray_keys(v: str, listed: Iterable[str]) -> str:

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator, Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from tablebridge.functions.paths import entries, field, get, literal, quote
-from tablebridge.functions.tags import NONE, kind, tag, tag_as
+from tablebridge.functions.tags import I16_RANGE, NONE, kind, tag_as, tag_of
 from tablebridge.spec import Spec, parse_spec
 
 DOC = "doc"
@@ -25,12 +25,12 @@ class TooManyKeys(ValueError):
 
 
 def _fields(docs: DataFrame, doc: str) -> DataFrame:
-    """One ``(key, value)`` row per top-level field."""
+    """One ``(key, value, kind)`` row per top-level field."""
     spark = docs.sparkSession
     return (
         docs.select(F.col(doc).alias("v"))
         .lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        .select("key", "value")
+        .selectExpr("key", "value", f"{kind('value')} AS kind")
     )
 
 
@@ -42,7 +42,7 @@ def profile(docs: DataFrame, doc: str = DOC) -> DataFrame:
     """
     return (
         _fields(docs, doc)
-        .selectExpr("key", f"{tag('value')} AS tag")
+        .selectExpr("key", f"{tag_of('value', 'kind')} AS tag")
         .groupBy("key", "tag")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -73,8 +73,9 @@ def _tag_by_path(spec: Spec) -> str:
     for dtype in ("I64", "I16"):
         paths = ", ".join(_path(keys) for keys in _declared(spec, dtype))
         if paths:
-            branches += f" WHEN path IN ({paths}) THEN {tag_as('value', dtype)}"
-    return f"CASE {branches} ELSE {tag('value')} END" if branches else tag("value")
+            branches += f" WHEN path IN ({paths}) THEN {tag_as('value', 'kind', dtype)}"
+    found = tag_of("value", "kind")
+    return f"CASE {branches} ELSE {found} END" if branches else found
 
 
 def discover(docs: DataFrame, spec: object = None, doc: str = DOC, max_keys: int = MAX_KEYS) -> Known:
@@ -86,9 +87,11 @@ def discover(docs: DataFrame, spec: object = None, doc: str = DOC, max_keys: int
     spec = parse_spec(spec)
     levels = list(_levels(quote(doc), (), spec))
     if len(levels) > 1:
-        values = docs.selectExpr(f"explode(concat({', '.join(levels)})) AS e").select("e.path", "e.value")
+        values = docs.selectExpr(f"explode(concat({', '.join(levels)})) AS e").selectExpr(
+            "e.path", "e.value", f"{kind('e.value')} AS kind"
+        )
     else:
-        values = _fields(docs, doc).selectExpr("array(key) AS path", "value")
+        values = _fields(docs, doc).selectExpr("array(key) AS path", "value", "kind")
     counted = (
         values.selectExpr("path", f"{_tag_by_path(spec)} AS tag")
         .groupBy("path")
@@ -136,9 +139,9 @@ def schema_report(docs: DataFrame, spec: object, doc: str = DOC) -> DataFrame:
         _fields(docs, doc)
         .selectExpr(
             "key",
-            f"{tag('value')} AS tag",
-            f"coalesce({kind('value')} = 'BIGINT', false) AS plain",
-            f"coalesce({kind('value')} = 'BIGINT', false) AND {get('value', '$', 'smallint')} IS NOT NULL AS short",
+            f"{tag_of('value', 'kind')} AS tag",
+            "kind = 'BIGINT' AS plain",
+            f"kind = 'BIGINT' AND {get('value', '$', 'bigint')} BETWEEN {I16_RANGE} AS short",
         )
         .groupBy("key", "tag", "plain", "short")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.cells import HOMOGENISE, normalise_columns, safe_decode, text_of
 from tablebridge.functions.paths import field
-from tablebridge.functions.tags import tag
+from tablebridge.functions.tags import with_tags
 from tablebridge.operators.align import align, normalise, split_mixed
 from tablebridge.operators.conform import conform
 from tablebridge.operators.discover import batch_plan, profile, schema_report, shape_groups
@@ -52,25 +52,23 @@ def spec(strategy: str, name: str = "String", sub_id: str = "I32") -> dict:
     }
 
 
-def text(column: str) -> str:
-    return text_of(column, tag(column))
+def name_and_sub_id(cells: DataFrame, *others: str) -> DataFrame:
+    """Tags and texts of the two ragged columns."""
+    tagged = with_tags(cells, {"name": "name_tag", "sub_id": "sub_id_tag"})
+    texts = [f"{text_of(c, f'{c}_tag')} AS {c}" for c in ("name", "sub_id")]
+    return tagged.selectExpr(*others, "name_tag", "sub_id_tag", *texts)
 
 
 def align_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align(dirty(spark, sf_dir))
-    return aligned.select(
-        "event_id",
-        F.try_variant_get("id", "$", "bigint").alias("id"),
-        F.expr(text("name")).alias("name"),
-        F.expr(text("sub_id")).alias("sub_id"),
-    )
+    return name_and_sub_id(aligned, "event_id", "try_variant_get(id, '$', 'bigint') AS id").drop("name_tag", "sub_id_tag")
 
 
 def type_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = dirty(spark, sf_dir).selectExpr(
         "event_id", f"{field('doc', 'name')} AS name", f"{field('doc', 'sub_id')} AS sub_id"
     )
-    return cells.selectExpr("event_id", f"{tag('name')} AS name_tag", f"{tag('sub_id')} AS sub_id_tag")
+    return with_tags(cells, {"name": "name_tag", "sub_id": "sub_id_tag"}).drop("name", "sub_id")
 
 
 def type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,14 +118,7 @@ def conform_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = conform(dirty(spark, sf_dir), spec("Ignore"), "event_id").rows
-    return rows.select(
-        "event_id",
-        F.expr(tag("name")).alias("name_tag"),
-        F.expr(text("name")).alias("name"),
-        F.expr(tag("sub_id")).alias("sub_id_tag"),
-        F.expr(text("sub_id")).alias("sub_id"),
-    )
+    return name_and_sub_id(conform(dirty(spark, sf_dir), spec("Ignore"), "event_id").rows, "event_id")
 
 
 def conform_remove(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from tablebridge.operators.conform import conform
 from tablebridge.operators.reconcile import reconcile
 from tablebridge.plans.migrate import export_documents, migrate_documents, migrate_table
 from tablebridge.registered.derived import DIRTY, dirty, table
-from tablebridge.registered.documents import CELLS_OF_D, NEWCOL, newcol_columns, spec, text
+from tablebridge.registered.documents import CELLS_OF_D, NEWCOL, name_and_sub_id, newcol_columns, spec
 from tablebridge.registered.tables import _TS_TEXT
 from tablebridge.session import scratch_path
 from tablebridge.sinks.append import ParquetSink, append
@@ -31,7 +31,7 @@ def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{field('doc', 'name')} AS name",
         f"{field('doc', 'sub_id')} AS sub_id",
     )
-    return cells.selectExpr("id", f"{text('name')} AS name", f"{text('sub_id')} AS sub_id")
+    return name_and_sub_id(cells, "id").drop("name_tag", "sub_id_tag")
 
 
 def migrate_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:

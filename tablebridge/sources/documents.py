@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tablebridge.functions.cells import OBJECT_TEXT
 from tablebridge.functions.paths import quote
 from tablebridge.operators.discover import DOC
 
@@ -30,7 +31,7 @@ def parse_column(df: DataFrame, text: str, doc: str = DOC) -> DataFrame:
 
 def is_document(text: str, doc: str = DOC) -> Column:
     """Whether a parsed row holds a JSON object; never NULL."""
-    return F.col(quote(doc)).isNotNull() & F.coalesce(F.col(quote(text)).rlike(r"^[ \t\r\n]*\{"), F.lit(False))
+    return F.col(quote(doc)).isNotNull() & F.coalesce(F.col(quote(text)).rlike(OBJECT_TEXT), F.lit(False))
 
 
 def parse_documents(df: DataFrame, text: str = "value", doc: str = DOC) -> Documents:

@@ -5,7 +5,7 @@ from conftest import DIRTY, column, values
 from pyspark.sql import functions as F
 
 from tablebridge.functions.cells import HOMOGENISE, normalise_columns, rfc3339, safe_decode
-from tablebridge.functions.tags import tag
+from tablebridge.functions.tags import with_tags
 from tablebridge.operators.align import align, normalise, split_mixed
 from tablebridge.operators.columns import ignore_keys
 from tablebridge.operators.discover import batch_plan, discover_keys, merge_known, profile, schema_report, shape_groups, with_spec
@@ -13,7 +13,7 @@ from tablebridge.sources.documents import parse_documents, read_documents, read_
 
 
 def tagged(spark, text):
-    return spark.createDataFrame([(text,)], "t string").select(F.parse_json("t").alias("v")).select(F.expr(tag("v"))).first()[0]
+    return with_tags(spark.createDataFrame([(text,)], "t string").select(F.parse_json("t").alias("v")), {"v": "tag"}).first().tag
 
 
 @pytest.mark.parametrize(
