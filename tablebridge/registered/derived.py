@@ -42,7 +42,7 @@ EXTENDED = """concat('{{"_id":{{"$oid":"', lpad(cast(event_id AS varchar(24)), 2
     WHEN 3 THEN concat('[', cast(value + 0.5 AS varchar(40)), ',', user_id, ']')
     ELSE concat('[true,{{"$numberInt":"', user_id, '"}}]') END,
   ',"obj":{{"d":{{"$date":{{"$numberLong":"', {millis}, '"}}}},"i":[{{"$oid":"', event_type, '"}}]}}}}')"""
-SPARK_MILLIS = "cast(unix_millis(cast(ts AS timestamp)) AS varchar(20))"
+SPARK_MILLIS = "cast(unix_millis(cast(concat(cast(ts AS string), 'Z') AS timestamp)) AS varchar(20))"
 ORACLE_MILLIS = "cast(epoch_us(ts) // 1000 AS varchar(20))"
 
 # One JSON value per event for homogenising.
