@@ -7,15 +7,86 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablebridge.llm.common import read
+from tablebridge.llm.fingerprints import edited, fingerprint, fingerprints, likeness, sketch, with_next
+from tablebridge.llm.mixing import mix, mixture_plan, n_words
 from tablebridge.llm.packing import pack
 
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    mixed = mix(docs, mixture_plan(docs))
+    size = n_words(F.col("text"))
+    return mixed.select(
+        "doc_id",
+        size.alias("size"),
+        F.col("mix_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        (size * F.col("mix_copies")).alias("taken"),
+    )
+
+
+OP2_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS hash
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth
+  FROM docs GROUP BY source),
+weighted AS (
+  SELECT source, source_size, CASE nth % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight
+  FROM sources),
+levels AS (
+  SELECT *, ((sum(source_size) OVER ())
+             - coalesce(sum(source_size) OVER (ORDER BY source_size / weight, source NULLS LAST
+                                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 3)::DOUBLE
+            / sum(weight) OVER (ORDER BY source_size / weight, source NULLS LAST
+                                ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+         row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS place
+  FROM weighted),
+level AS (SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= source_size * 3),
+targets AS (
+  SELECT source, source_size, coalesce(least((source_size * 3)::DOUBLE, level.level * weight), (source_size * 3)::DOUBLE) AS target
+  FROM weighted, level),
+plan AS (
+  SELECT *, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 3)::BIGINT ELSE 0 END AS copies FROM targets),
+groups AS (
+  SELECT source, hash, sum(size)::BIGINT AS group_size FROM docs GROUP BY source, hash),
+running AS (
+  SELECT *, sum(group_size) OVER (PARTITION BY source ORDER BY hash) AS up_to FROM groups)
+SELECT d.doc_id, d.size, p.source_size, p.target,
+       (d.size * (p.copies + CASE WHEN r.up_to <= p.target - p.copies * p.source_size THEN 1
+                                  WHEN r.up_to - r.group_size <= p.target - p.copies * p.source_size
+                                       AND (p.target - p.copies * p.source_size - r.up_to + r.group_size) * 2 >= r.group_size THEN 1
+                                  ELSE 0 END))::BIGINT AS taken
+FROM docs d
+JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+JOIN running r ON d.source IS NOT DISTINCT FROM r.source AND d.hash = r.hash
+"""
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    paired = with_next(fingerprints(docs).drop("fingerprint"), ["text", "sketch"])
+    changed = paired.withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    sketched = changed.withColumn("edited_sketch", sketch(F.col("edited")))
+    return sketched.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        fingerprint(F.col("sketch")).alias("fingerprint"),
+        fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
+        likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read(spark, sf_dir, "documents"), PACKING_TOKENIZER)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-QUERIES = {"op6_packing": op6_packing}
-ORACLES: dict[str, str] = {}
+QUERIES = {"op2_mixing": op2_mixing, "op3_fingerprints": op3_fingerprints, "op6_packing": op6_packing}
+ORACLES = {"op2_mixing": OP2_SQL}
