@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.llm.common import read
 from tablebridge.llm.fingerprints import edited, fingerprint, fingerprints, likeness, sketch, with_next
+from tablebridge.llm.licenses import scan
 from tablebridge.llm.mixing import mix, mixture_plan, n_words
 from tablebridge.llm.packing import pack
 
@@ -88,5 +89,27 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_fingerprints": op3_fingerprints, "op6_packing": op6_packing}
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = scan(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    starts = F.transform("base", lambda x: x["place"])
+    base = F.array_sort(F.array_distinct(F.transform("base", lambda x: x["label"])))
+    best = F.array_max(F.transform("found", lambda x: x["share"]))
+    return scanned.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        F.array_join(base, ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
+QUERIES = {
+    "op2_mixing": op2_mixing,
+    "op3_fingerprints": op3_fingerprints,
+    "op6_packing": op6_packing,
+    "op10_licenses": op10_licenses,
+}
 ORACLES = {"op2_mixing": OP2_SQL}
