@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import read
+from tablebridge.llm.common import held_out, read
 from tablebridge.llm.fingerprints import edited, fingerprint, fingerprints, likeness, sketch, with_next
+from tablebridge.llm.langid import fit_languages, identify
 from tablebridge.llm.licenses import scan
 from tablebridge.llm.mixing import mix, mixture_plan, n_words
 from tablebridge.llm.packing import pack
+from tablebridge.llm.quality import fit_quality, score_quality
+from tablebridge.llm.toxicity import fit_toxicity, score_toxicity
 
+LANGUAGE_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -84,11 +88,48 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0))
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 5, 0).alias("held_out"),
+        F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= 0.5).cast("int").alias("predicted"),
+        F.size("toxicity.passages").alias("n_passages"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read(spark, sf_dir, "documents"), PACKING_TOKENIZER)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0))
+    scored = score_quality(docs, fit_quality(docs, labels))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id", 5, 0).alias("held_out"),
+        F.col("quality.score").alias("score"),
+        (F.col("quality.score") >= 0.3).cast("int").alias("predicted"),
+        F.size("quality.lines").alias("n_lines"),
+    )
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = fit_languages(docs.filter(~held_out("doc_id", 4, 2)), LANGUAGE_PIECES)
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out("doc_id", 4, 2).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+    )
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = scan(read(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     starts = F.transform("base", lambda x: x["place"])
@@ -109,7 +150,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_fingerprints": op3_fingerprints,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
+    "op9_language": op9_language,
     "op10_licenses": op10_licenses,
 }
 ORACLES = {"op2_mixing": OP2_SQL}
