@@ -11,6 +11,7 @@ from tablebridge.llm.fingerprints import edited, fingerprint, fingerprints, like
 from tablebridge.llm.langid import fit_languages, identify
 from tablebridge.llm.licenses import scan
 from tablebridge.llm.mixing import mix, mixture_plan, n_words
+from tablebridge.llm.neardup import near_duplicates
 from tablebridge.llm.packing import pack
 from tablebridge.llm.quality import fit_quality, score_quality
 from tablebridge.llm.toxicity import fit_toxicity, score_toxicity
@@ -88,6 +89,37 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents"), words=4)
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+OP4_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                      ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+  FROM words),
+shingles AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION
+  SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l ON s.doc_id = l.x
+"""
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0))
@@ -150,10 +182,11 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_mixing": op2_mixing,
     "op3_fingerprints": op3_fingerprints,
+    "op4_minhash": op4_minhash,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
 }
-ORACLES = {"op2_mixing": OP2_SQL}
+ORACLES = {"op2_mixing": OP2_SQL, "op4_minhash": OP4_SQL}
