@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablebridge.llm.common import held_out, read
+from tablebridge.llm.embedding_dups import embedding_duplicates
 from tablebridge.llm.fingerprints import edited, fingerprint, fingerprints, likeness, sketch, with_next
 from tablebridge.llm.langid import fit_languages, identify
 from tablebridge.llm.licenses import scan
@@ -151,6 +152,32 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embedding_duplicates(read(spark, sf_dir, "embeddings")).drop("steps", "measured_recall")
+    return found.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
+
+
+OP8_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y
+  FROM vectors a JOIN vectors b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION
+  SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+counts AS (SELECT x, count(*) AS n FROM edges GROUP BY x)
+SELECT l.x AS vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, l.x = l.component_id AS kept
+FROM least l LEFT JOIN counts c ON l.x = c.x
+"""
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = fit_languages(docs.filter(~held_out("doc_id", 4, 2)), LANGUAGE_PIECES)
@@ -186,7 +213,8 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_quality": op7_quality,
+    "op8_embeddings": op8_embeddings,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
 }
-ORACLES = {"op2_mixing": OP2_SQL, "op4_minhash": OP4_SQL}
+ORACLES = {"op2_mixing": OP2_SQL, "op4_minhash": OP4_SQL, "op8_embeddings": OP8_SQL}
