@@ -162,7 +162,7 @@ def fit_index(
     threshold: float,
     recall: float,
     sample_rows: int = 20_000,
-    query_rows: int = 500,
+    query_rows: int = 1_000,
     most_steps: int = 64,
 ) -> tuple[Codebooks, int, float]:
     """(codebooks, cells to visit, measured recall). The driver sees at most ``sample_rows`` vectors, and at most 64 MB."""
@@ -266,7 +266,7 @@ def _compared(pairs: DataFrame, threshold: float, kind: str, within: bool) -> Da
 def embedding_duplicates(
     vectors: DataFrame,
     threshold: float = 0.95,
-    recall: float = 0.995,
+    recall: float = 0.9995,
     block_rows: int = 1_024,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
