@@ -16,11 +16,26 @@ from tablebridge.llm.neardup import near_duplicates
 from tablebridge.llm.packing import pack
 from tablebridge.llm.quality import fit_quality, score_quality
 from tablebridge.llm.toxicity import fit_toxicity, score_toxicity
+from tablebridge.llm.url_filters import filter_urls
 
 LANGUAGE_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+# Rules of the contract.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(read(spark, sf_dir, "pages"), URL_RULES).select("page_id", "url_filter.*")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     mixed = mix(docs, mixture_plan(docs))
@@ -207,6 +222,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_urls": op1_urls,
     "op2_mixing": op2_mixing,
     "op3_fingerprints": op3_fingerprints,
     "op4_minhash": op4_minhash,
