@@ -1,14 +1,48 @@
-"""The corpus pipeline: documents cleaned, freed of near-duplicates, mixed and packed."""
+"""The corpus pipeline: toxic and poor documents go, one of each near-duplicate group stays, the rest is mixed and packed."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tablebridge.llm import registered
-from tablebridge.llm.common import kept, read
+from tablebridge.llm.common import held_out, kept, read
+from tablebridge.llm.mixing import mix, mixture_plan
+from tablebridge.llm.neardup import deduplicated
 from tablebridge.llm.packing import pack
+from tablebridge.llm.quality import fit_quality, score_quality
+from tablebridge.llm.toxicity import fit_toxicity, score_toxicity
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels to learn from; a fifth of them is held out, as in the operators' own queries."""
+    return read(spark, sf_dir, "labels").filter(~held_out("doc_id", 5, 0))
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below 0.5."""
+    model = fit_toxicity(docs, _labels(spark, sf_dir))
+    return score_toxicity(docs, model, result="_toxicity").filter("_toxicity.score < 0.5").drop("_toxicity")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality score is 0.3 or more."""
+    model = fit_quality(docs, _labels(spark, sf_dir))
+    return score_quality(docs, model, result="_quality").filter("_quality.score >= 0.3").drop("_quality")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at a similarity of 0.8."""
+    return deduplicated(docs, words=5, percent=80)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture takes them, up to three times; those it does not take go."""
+    mixed = mix(docs, mixture_plan(docs))
+    often = F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))
+    return mixed.filter("mix_copies > 0").withColumn("_copy", F.explode(often)).select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,7 +50,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, registered.PACKING_TOKENIZER)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("packing", packing)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", toxicity),
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("mixing", mixing),
+    ("packing", packing),
+]
 # Learnt scores, hash sketches and a tokenizer have no SQL; the tests hold each stage against a brute-force version.
 ORACLE_SQL = None
 
