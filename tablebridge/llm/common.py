@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def held_out(column: str, parts: int, part: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once: a plain column inside a lambda is worked out for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other code point left alone."""
     return F.translate(text, UPPER, LOWER)

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import WORD
+from tablebridge.llm.common import WORD, bound
 
 LOWEST = -(1 << 63)
 
@@ -24,25 +24,24 @@ LOWEST = -(1 << 63)
 def shingle_hashes(text: Column, words: int) -> Column:
     """Hashes of the runs of ``words`` words, in order, repeats kept."""
     each = F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})")), lambda w: F.xxhash64(w))
-    # An array bound to a lambda variable is worked out once, not at every use.
     run = lambda h: F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(h) - words, F.lit(0))),
         lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(words)]),
     )
-    return F.get(F.transform(F.array(each), lambda h: F.when(F.size(h) > 0, run(h)).otherwise(F.array().cast("array<long>"))), F.lit(0))
+    return bound(each, lambda h: F.when(F.size(h) > 0, run(h)).otherwise(F.array().cast("array<long>")))
 
 
 def sketch(text: Column, fraction: float = 0.125, words: int = 5) -> Column:
     """Sorted distinct shingle hashes in the lowest ``fraction`` of the range, or else the smallest one."""
-    bound = LOWEST + int(fraction * (1 << 64))
+    limit = LOWEST + int(fraction * (1 << 64))
 
     def small(hashes: Column) -> Column:
-        below = F.filter(hashes, lambda h: h < F.lit(bound))
+        below = F.filter(hashes, lambda h: h < F.lit(limit))
         return F.when(F.size(below) > 0, F.array_sort(F.array_distinct(below))).otherwise(
             F.filter(F.array(F.array_min(hashes)), lambda h: h.isNotNull())
         )
 
-    return F.get(F.transform(F.array(shingle_hashes(text, words)), small), F.lit(0))
+    return bound(shingle_hashes(text, words), small)
 
 
 def merged(left: Column, right: Column) -> Column:

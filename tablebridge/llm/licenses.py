@@ -18,11 +18,13 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import ascii_lower
+from tablebridge.llm.common import ascii_lower, bound
 
 # The contract's words, before and after A-Z are lower-cased: the first also takes A-Z, so it finds the same runs.
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -174,13 +176,15 @@ def scan(
     phrases: dict[str, str] | None = None,
     rare_words: int = 12,
     hits: int = 3,
+    common: float = 0.05,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``base`` (place, label), ``found`` (label, place, share of the template's words) and ``labels``.
 
-    A document looks up its ``rare_words`` rarest template words; a template needs ``hits`` of them in line (fewer if it
-    has fewer distinct words), and all its key phrases.
+    Indexed are template words that at most the share ``common`` of all documents has, and the rarest few of every
+    template. A document looks up its ``rare_words`` rarest ones; a template needs ``hits`` of them in line (fewer if it
+    has fewer), and all its key phrases.
     """
     phrases = BASE_PHRASES if phrases is None else phrases
     words = [t.words for t in templates]
@@ -188,13 +192,16 @@ def scan(
     n, counts = document_counts(docs, vocabulary, text_column)
     idf = {w: math.log((n + 1) / (counts[w] + 1)) for w in vocabulary}
     # Rarest first, then by the alphabet: the same order in every document.
-    ranked = sorted(vocabulary, key=lambda w: (-idf[w], w))
+    by_idf = lambda w: (-idf[w], w)
+    rare = {w for w in vocabulary if counts[w] <= common * n} | {w for of in words for w in sorted(set(of), key=by_idf)[: 2 * hits]}
+    ranked = sorted(rare, key=by_idf)
     postings = {w: [(t, p) for t, of in enumerate(words) for p, x in enumerate(of) if x == w] for w in ranked}
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     # Every key phrase and every base phrase has one of these words, so a text without them needs no look-up.
-    telling = sorted({min(parts, key=lambda w: (-idf[w], w)) for t in templates for _, parts in t.key_places()[:1]})
+    telling = sorted({min(parts, key=lambda w: (-idf[w], -len(w))) for t in templates for _, parts in t.key_places()[:1]})
     telling += [max(phrase.split(), key=len) for phrase in phrases]
-    may_have = text.rlike("(?i)(?:" + "|".join(sorted(map(re.escape, set(telling)))) + ")")
+    lower = F.lower(text)
+    may_have = reduce(or_, [lower.contains(w) for w in sorted(set(telling))])
 
     posting = "array<struct<t:int,p:int>>"
     index = F.create_map(
@@ -207,11 +214,14 @@ def scan(
             )
         ]
     )
-    need = F.array(*[F.lit(min(hits, len(set(of)))) for of in words])
+    need = F.array(*[F.lit(min(hits, len(rare.intersection(of)))) for of in words])
 
     def candidates(of: Column) -> Column:
         """(t, d): templates with enough look-ups that put their start at word d."""
-        rare = F.slice(F.array_intersect(strings(ranked), of), 1, rare_words)
+        rarest = F.slice(F.array_intersect(strings(ranked), of), 1, rare_words)
+        return bound(rarest, lambda rare: in_line(of, rare))
+
+    def in_line(of: Column, rare: Column) -> Column:
         places = F.filter(
             F.transform(of, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(rare, x["w"])
         )
@@ -278,8 +288,8 @@ def scan(
     scanned = read.withColumns(
         {
             "n_words": F.regexp_count(text, F.lit(RAW_WORD)).cast("long"),
-            "base": F.coalesce(F.when(F.col("_words").isNotNull(), base_places(F.col("_words"), phrases)), none_base),
-            "found": F.coalesce(F.when(F.col("_words").isNotNull(), verified(F.col("_words"))), none_found),
+            "base": F.coalesce(F.when(F.col("_words").isNotNull(), bound(F.col("_words"), lambda of: base_places(of, phrases))), none_base),
+            "found": F.coalesce(F.when(F.col("_words").isNotNull(), bound(F.col("_words"), verified)), none_found),
         }
     ).drop("_words")
     every = F.concat(F.transform("base", lambda x: x["label"]), F.transform("found", lambda x: x["label"]))
