@@ -84,7 +84,7 @@ class Vocabulary:
             powers = [np.uint64(1)]
             for _ in range(self.longest):
                 powers.append(powers[-1] * self.BASE)
-            for end in range(1, codes.shape[1] + 1):
+            for end in range(1, int(length.max(initial=0)) + 1):
                 live = np.flatnonzero(length >= end)
                 for n in range(1, min(end, self.longest) + 1):
                     hashes = ends[live, end] - ends[live, end - n] * powers[n]
