@@ -15,7 +15,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 
 from tablebridge.functions.paths import get, let, literal, quote
-from tablebridge.functions.tags import NONE, is_date_wrapper, kind, tag_of
+from tablebridge.functions.tags import NONE, double_of, is_date_wrapper, kind, tag_of
 from tablebridge.spec import spark_type
 
 # The number texts a strict parser accepts.
@@ -34,6 +34,8 @@ WRAPPER_TEXT = (
     (r'\{"\$date":(-?[0-9]+)\}', "$1"),
 )
 DATE_TEXT = r'\{"\$date":"([^"\\]*)"\}'
+# Text without these has no wrapper in it, whatever its strings hold.
+WRAPPER_KEY = r'\{"\$(oid|date|number(Int|Long|Double|Decimal))":'
 
 
 def _millis(text: str) -> str:
@@ -61,7 +63,11 @@ def plain_json(text: str) -> str:
     dates = f"transform(regexp_extract_all(p, {literal(DATE_TEXT)}, 1), d -> {millis})"
     dated = f"array_join(zip_with({pieces}, {dates}, (piece, ms) -> concat(piece, coalesce(ms, ''))), '')"
     replaced = let("p", plain, f"""CASE WHEN contains(p, '{{"$date":"') THEN {dated} ELSE p END""")
-    return f"""CASE WHEN contains({text}, '"$') THEN {replaced} ELSE {text} END"""
+    return f"""CASE WHEN {has_wrapper(text)} THEN {replaced} ELSE {text} END"""
+
+
+def has_wrapper(text: str) -> str:
+    return f"""(contains({text}, '{{"$') AND {text} RLIKE {literal(WRAPPER_KEY)})"""
 
 
 def json_text(v: str) -> str:
@@ -71,7 +77,7 @@ def json_text(v: str) -> str:
 
 def nested(v: str) -> str:
     """An array or object variant with the Extended-JSON wrappers inside it replaced."""
-    return f"""CASE WHEN contains(to_json({v}), '"$') THEN try_parse_json({json_text(v)}) ELSE {v} END"""
+    return f"CASE WHEN {has_wrapper(f'to_json({v})')} THEN try_parse_json({json_text(v)}) ELSE {v} END"
 
 
 def typed(v: str, dtype: str) -> str:
@@ -86,8 +92,9 @@ def typed(v: str, dtype: str) -> str:
         long = f"try_cast({get(v, '$["$numberLong"]', 'string')} AS bigint)"
         return f"coalesce({get(v, '$', 'bigint')}, {long}, {date_millis(v)})"
     if dtype == "Double64":
-        paths = ("$", '$["$numberDouble"]', '$["$numberDecimal"]')
-        return f"coalesce({', '.join(get(v, path, 'double') for path in paths)})"
+        return double_of(v)
+    if dtype == "Double32":
+        return f"cast({double_of(v)} AS float)"
     if dtype == "String":
         return f"coalesce({get(v, '$["$oid"]', 'string')}, {get(v, '$', 'string')})"
     if dtype in ("VecDyn", "Object"):

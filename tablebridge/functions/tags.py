@@ -31,6 +31,10 @@ WRAPPERS = {
 # The bounds of the narrow integer types.
 I16_RANGE = "-32768 AND 32767"
 I32_RANGE = "-2147483648 AND 2147483647"
+LARGEST_FLOAT = "3.4028235e38D"
+
+# Types that a value gets only where they are declared.
+DECLARED_ONLY = ("I64", "I16", "Double32", "VecString", "VecI32", "VecI64", "VecF32", "VecF64")
 
 # Wrappers of values that have no type of their own and go out as text.
 TEXT_WRAPPERS = r"^OBJECT<`\$(binary|code|dbPointer|maxKey|minKey|regularExpression|symbol|timestamp|undefined|uuid)`:"
@@ -66,13 +70,44 @@ def tag_of(v: str, k: str) -> str:
         ELSE 'String' END"""
 
 
+def double_of(v: str) -> str:
+    """A number with a fraction, plain or in a wrapper."""
+    paths = ("$", '$["$numberDouble"]', '$["$numberDecimal"]')
+    return f"coalesce({', '.join(get(v, path, 'double') for path in paths)})"
+
+
+def _within(v: str, dtype: str, low: str, high: str) -> str:
+    """Whether the smallest and the largest element lie in a range; an array of nulls does."""
+    values = get(v, "$", f"array<{dtype}>")
+    return f"coalesce(array_min({values}) >= {low}, true) AND coalesce(array_max({values}) <= {high}, true)"
+
+
+_WHOLE = "{k} = 'ARRAY<BIGINT>'"
+_NUMBERS = "{k} RLIKE '^ARRAY<(BIGINT|DECIMAL[^>]*|DOUBLE|FLOAT)>$'"
+_ELEMENTS_FIT = {
+    "VecString": lambda v, k: f"{k} = 'ARRAY<STRING>'",
+    "VecI32": lambda v, k: f"{_WHOLE.format(k=k)} AND {_within(v, 'bigint', *I32_RANGE.split(' AND '))}",
+    "VecI64": lambda v, k: _WHOLE.format(k=k),
+    "VecF32": lambda v, k: f"{_NUMBERS.format(k=k)} AND {_within(v, 'double', '-' + LARGEST_FLOAT, LARGEST_FLOAT)}",
+    "VecF64": lambda v, k: _NUMBERS.format(k=k),
+}
+
+
 def tag_as(v: str, k: str, expected: str | None) -> str:
     """Tag of ``v``, of kind ``k``, in a column declared as ``expected``.
 
     A plain JSON integer carries no width, so one that fits the declared
     integer type has that type. Explicit ``$numberInt`` / ``$numberLong``
-    wrappers keep the width they state.
+    wrappers keep the width they state. An array has the declared array type
+    if all its elements fit, and an empty one fits any; a number with a
+    fraction is a ``Double32`` if it lies in that type's range.
     """
+    if expected == "Double32":
+        fits = f"({tag_of(v, k)}) = 'Double64' AND abs({double_of(v)}) <= {LARGEST_FLOAT}"
+        return f"CASE WHEN {fits} THEN 'Double32' ELSE {tag_of(v, k)} END"
+    if expected in _ELEMENTS_FIT:
+        empty = f"{k} = 'ARRAY<VOID>' AND {get(v, '$[0]', 'variant')} IS NULL"
+        return f"CASE WHEN {empty} OR ({_ELEMENTS_FIT[expected](v, k)}) THEN '{expected}' ELSE {tag_of(v, k)} END"
     if expected == "I64":
         return f"CASE WHEN {k} = 'BIGINT' THEN 'I64' ELSE {tag_of(v, k)} END"
     if expected == "I16":

@@ -32,7 +32,7 @@ def carried_columns(docs: DataFrame, doc: str) -> list[str]:
     return [name for name in docs.columns if name != doc]
 
 
-def align(docs: DataFrame, keys: Iterable[str] | None = None, doc: str = DOC, max_keys: int = MAX_KEYS) -> DataFrame:
+def align(docs: DataFrame, keys: Iterable[str] | None = None, doc: str = DOC, max_keys: int | None = MAX_KEYS) -> DataFrame:
     """One VARIANT column per key; a missing key and JSON null both give NULL.
 
     Columns besides ``doc`` are carried in front. Without ``keys`` one job finds
@@ -50,7 +50,7 @@ def align(docs: DataFrame, keys: Iterable[str] | None = None, doc: str = DOC, ma
 
 
 def normalise(
-    docs: DataFrame, mode: str, keys: Iterable[str] | None = None, doc: str = DOC, max_keys: int = MAX_KEYS
+    docs: DataFrame, mode: str, keys: Iterable[str] | None = None, doc: str = DOC, max_keys: int | None = MAX_KEYS
 ) -> DataFrame:
     """One ``struct<tag, value>`` column per key, normalised for a ``typed``, ``http`` or ``nested`` consumer."""
     steps = MODES[mode]

@@ -17,19 +17,23 @@ JSON text: no value is lost.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
 from tablebridge.functions.cells import json_text, scalar_text, strict_int, typed
 from tablebridge.functions.paths import entries, field, get, literal, quote
-from tablebridge.functions.tags import NONE, kind, one_of, tag_as, tag_of
+from tablebridge.functions.tags import NONE, WRAPPERS, kind, one_of, tag_as, tag_of
 from tablebridge.operators.align import carried_columns, check_names
 from tablebridge.operators.discover import DOC, MAX_KEYS, Known, discover
 from tablebridge.spec import ColumnSpec, Spec, parse_spec, spark_type, suffix
 
 REJECTS = "_rejects"
+ROW_ID = "row_id"
+
+# Types that Extended-JSON wrappers stand for.
+_WRAPPED = (*WRAPPERS, "Double32")
 _REJECT_TYPE = "array<struct<column:string,expected:string,actual:string,raw_json:string>>"
 
 Path = tuple[str, ...]
@@ -100,6 +104,12 @@ class _Plan:
         entry = _reject(literal(".".join(path)), expected, self.tags[path], f"to_json({self.cells[path]})")
         self.rejects.append(f"CASE WHEN {condition} THEN {entry} END")
 
+    def reject_malformed(self, out: _Output, column: ColumnSpec | None) -> None:
+        """A wrapper whose text is no value of its type has a tag but no value: it goes to the rejects."""
+        wrapped = f"startswith({self.kinds[out.source]}, 'OBJECT<`$')"
+        expected = column.dtype if column else out.kind
+        self.reject(f"{wrapped} AND {out.holds} AND ({out.value}) IS NULL", out.source, expected)
+
     def value(self, path: Path, dtype: str, column: ColumnSpec | None) -> str:
         """The typed value of a cell; objects with a ``sub_schema`` become structs."""
         if dtype == "Object" and column and column.sub_schema:
@@ -114,7 +124,10 @@ class _Plan:
 
         def output(dtype: str, as_name: str = name, spill: bool = False) -> _Output:
             value = f"CASE WHEN {found} = '{dtype}' THEN {self.value(path, dtype, column)} END"
-            return _Output(as_name, value, dtype, f"{found} = '{dtype}'", path, spill)
+            out = _Output(as_name, value, dtype, f"{found} = '{dtype}'", path, spill)
+            if dtype in _WRAPPED:
+                self.reject_malformed(out, column)
+            return out
 
         if column is None or column.strategy == "Ignore":
             if len(seen) == 1 and not self.stable:
@@ -152,7 +165,11 @@ class _Plan:
         if failed:
             self.reject(failed, path, expected)
         value = " ".join(f"WHEN '{dtype}' THEN {branch}" for dtype, branch in branches.items())
-        return _Output(path[-1], f"CASE {found} {value} END", expected, one_of(found, *branches), path)
+        # A text that is no number has been rejected above.
+        wrapped = one_of(found, *(dtype for dtype in branches if dtype in _WRAPPED and not (dtype == "String" != expected)))
+        out = _Output(path[-1], f"CASE {found} {value} END", expected, one_of(found, *branches), path)
+        self.reject_malformed(replace(out, holds=wrapped), column)
+        return out
 
 
 def default_row_id(doc: str = DOC) -> str:
@@ -160,30 +177,42 @@ def default_row_id(doc: str = DOC) -> str:
     return f"sha2(to_json({quote(doc)}), 256)"
 
 
+def identified(docs: DataFrame, row_id: str | None, doc: str = DOC) -> tuple[DataFrame, str]:
+    """The documents with a row id, and its name; a hash of the document where the caller names no column."""
+    if row_id is not None:
+        return docs, row_id
+    others = [quote(c) for c in docs.columns]
+    return docs.selectExpr(f"{default_row_id(doc)} AS {ROW_ID}", *others), ROW_ID
+
+
 def conform_with_rejects(
     docs: DataFrame,
     spec: object,
     known: Known | None = None,
     doc: str = DOC,
-    max_keys: int = MAX_KEYS,
+    max_keys: int | None = MAX_KEYS,
     ignore: Iterable[str] = (),
     stable: bool = False,
     strict: bool | None = None,
+    rest: str | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """The conformed columns plus ``_rejects``, an array that is empty for clean rows; and the name clashes.
 
     Writing this frame once serves rows and rejects in one pass over the source.
-    ``strict`` (the default when ``known`` is given) also rejects keys that ``known`` does not list.
+    ``strict`` (the default when ``known`` is given) also rejects keys that ``known`` does not list. With ``rest``
+    undeclared keys get no columns: they stay together in the column of that name, as JSON text.
     """
     spec = parse_spec(spec)
     strict = known is not None if strict is None else strict
     if known is None:
-        known = discover(docs, spec, doc, max_keys)
+        known = discover(docs, spec, doc, max_keys, declared_only=rest is not None)
     ignore = set(ignore)
     known = {path: tags for path, tags in known.items() if path[0] not in ignore}
+    if rest is not None:
+        known = {path: tags for path, tags in known.items() if path[0] in spec}
     plan = _Plan(spec, known, stable)
     carried = carried_columns(docs, doc)
-    check_names(docs, [*carried, REJECTS, *plan.columns])
+    check_names(docs, [*carried, REJECTS, *plan.columns, *([rest] if rest is not None else [])])
 
     kept = [quote(c) for c in carried]
     v = quote(doc)
@@ -191,10 +220,17 @@ def conform_with_rejects(
     kinds = [f"{kind(plan.cells[path])} AS {name}" for path, name in plan.kinds.items()]
     tags = [f"{tag_as(plan.cells[p], plan.kinds[p], _declared(p, spec))} AS {name}" for p, name in plan.tags.items()]
     rejects = f"cast(array_compact(array({', '.join(plan.rejects)})) AS {_REJECT_TYPE})" if plan.rejects else _NO_REJECTS
-    if strict:
+    if rest is not None:
+        # Whatever the plan has no cell for: undeclared keys, and declared ones that a given ``known`` lacks.
+        listed = f"cast(array({', '.join(map(literal, sorted({path[0] for path in known} | ignore)))}) AS array<string>)"
+        others = f"map_filter({entries(v)}, (k, x) -> NOT array_contains({listed}, k) AND NOT is_variant_null(x))"
+        cells.append(f"{others} AS _others")
+    elif strict:
         cells.append(f"{_stray_keys(v, {path[0] for path in known} | ignore)} AS _stray")
         rejects = f"concat({rejects}, _stray)"
     columns = [f"{value} AS {quote(name)}" for name, value in plan.columns.items()]
+    if rest is not None:
+        columns.append(f"CASE WHEN size(_others) > 0 THEN to_json(_others) END AS {quote(rest)}")
     # The kinds have a projection of their own: see with_tags.
     rows = docs.selectExpr(*kept, *cells).selectExpr("*", *kinds).selectExpr("*", *tags)
     return rows.selectExpr(*kept, *columns, f"{rejects} AS {REJECTS}"), plan.clashes
@@ -235,28 +271,24 @@ def conform(
     row_id: str | None = None,
     known: Known | None = None,
     doc: str = DOC,
-    max_keys: int = MAX_KEYS,
+    max_keys: int | None = MAX_KEYS,
     ignore: Iterable[str] = (),
     stable: bool = False,
+    rest: str | None = None,
 ) -> Conformed:
     """Conform ``docs`` to ``spec``.
 
     ``row_id`` names the carried column that identifies a row in the rejects;
-    without one the rejects carry a hash of the document as ``row_id``. Keys in
-    ``ignore`` are left out. With ``stable`` the type of a column follows from
+    without one rows and rejects alike carry a hash of the document as
+    ``row_id``. Keys in ``ignore`` are left out; with ``rest`` undeclared keys stay
+    together in that column, as JSON text, so no number of keys matters. With ``stable`` the type of a column follows from
     the spec alone: an ignored column is VARIANT even while it holds one type,
     so that separate batches agree.
     """
+    strict = known is not None
     if known is None:
-        known = discover(docs, spec, doc, max_keys)
-        strict = False
-    else:
-        strict = True
-    options = {"doc": doc, "ignore": ignore, "stable": stable, "strict": strict}
+        known = discover(docs, spec, doc, max_keys, declared_only=rest is not None)
+    options = {"doc": doc, "ignore": ignore, "stable": stable, "strict": strict, "rest": rest}
+    docs, row_id = identified(docs, row_id, doc)
     rows, clashes = conform_with_rejects(docs, spec, known, **options)
-    if row_id is None:
-        hashed = docs.withColumn("row_id", F.expr(default_row_id(doc)))
-        rejects = split_rejects(conform_with_rejects(hashed, spec, known, **options)[0], ["row_id"])
-    else:
-        rejects = split_rejects(rows, [row_id])
-    return Conformed(rows.drop(REJECTS), rejects, clashes)
+    return Conformed(rows.drop(REJECTS), split_rejects(rows, [row_id]), clashes)

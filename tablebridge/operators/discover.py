@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tablebridge.functions.paths import entries, field, get, literal, quote
-from tablebridge.functions.tags import I16_RANGE, NONE, kind, tag_as, tag_of
+from tablebridge.functions.paths import entries, field, literal, quote
+from tablebridge.functions.tags import DECLARED_ONLY, NONE, kind, tag_as, tag_of
 from tablebridge.spec import Spec, parse_spec
 
 DOC = "doc"
-MAX_KEYS = 2000
-
-_LEVEL_TYPE = "array<struct<path:array<string>,value:variant>>"
+MAX_KEYS = None  # no bound unless the caller sets one
 
 # Path of keys -> the tags seen there.
 Known = Mapping[tuple[str, ...], frozenset[str]]
@@ -52,13 +51,12 @@ def _path(keys: Iterable[str]) -> str:
     return f"cast(array({', '.join(map(literal, keys))}) AS array<string>)"
 
 
-def _levels(v: str, prefix: tuple[str, ...], spec: Spec) -> Iterator[str]:
-    """Arrays of ``(path, value)``: the fields of ``v``, then those of each object that has a ``sub_schema``."""
-    entry = f"named_struct('path', concat({_path(prefix)}, array(e.key)), 'value', e.value)"
-    yield f"coalesce(transform(map_entries({entries(v)}), e -> {entry}), cast(array() AS {_LEVEL_TYPE}))"
+def _objects(v: str, prefix: tuple[str, ...], spec: Spec) -> Iterator[tuple[tuple[str, ...], str]]:
+    """The document itself, then each object in it that has a ``sub_schema``, with its path."""
+    yield prefix, v
     for name, column in spec.items():
         if column.sub_schema:
-            yield from _levels(field(v, name), prefix + (name,), column.sub_schema)
+            yield from _objects(field(v, name), prefix + (name,), column.sub_schema)
 
 
 def _declared(spec: Spec, dtype: str, prefix: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
@@ -70,7 +68,7 @@ def _declared(spec: Spec, dtype: str, prefix: tuple[str, ...] = ()) -> Iterator[
 
 def _tag_by_path(spec: Spec) -> str:
     branches = ""
-    for dtype in ("I64", "I16"):
+    for dtype in DECLARED_ONLY:
         paths = ", ".join(_path(keys) for keys in _declared(spec, dtype))
         if paths:
             branches += f" WHEN path IN ({paths}) THEN {tag_as('value', 'kind', dtype)}"
@@ -78,39 +76,45 @@ def _tag_by_path(spec: Spec) -> str:
     return f"CASE {branches} ELSE {found} END" if branches else found
 
 
-def discover(docs: DataFrame, spec: object = None, doc: str = DOC, max_keys: int = MAX_KEYS) -> Known:
+def _bounded(found: DataFrame, max_keys: int | None) -> list:
+    """The rows, or an error (never a cut) if there are more than ``max_keys``."""
+    rows = (found if max_keys is None else found.limit(max_keys + 1)).collect()
+    if max_keys is not None and len(rows) > max_keys:
+        raise TooManyKeys(f"more than {max_keys} distinct keys; raise max_keys, or keep undeclared keys in one column")
+    return rows
+
+
+def discover(
+    docs: DataFrame,
+    spec: object = None,
+    doc: str = DOC,
+    max_keys: int | None = MAX_KEYS,
+    declared_only: bool = False,
+) -> Known:
     """Run one job that finds the keys and the tags under each, following ``sub_schema`` into objects.
 
-    Only this bounded result reaches the driver. More than ``max_keys`` distinct
-    paths is an error, never a cut.
+    One row per key wanted as a column reaches the driver: all keys, or with
+    ``declared_only`` those of the spec, however many others there are.
     """
     spec = parse_spec(spec)
-    levels = list(_levels(quote(doc), (), spec))
-    if len(levels) > 1:
-        values = docs.selectExpr(f"explode(concat({', '.join(levels)})) AS e").selectExpr(
-            "e.path", "e.value", f"{kind('e.value')} AS kind"
-        )
-    else:
-        values = _fields(docs, doc).selectExpr("array(key) AS path", "value", "kind")
+    parts = [_fields(docs.selectExpr(f"{at} AS _at"), "_at").selectExpr(f"concat({_path(prefix)}, array(key)) AS path", "value", "kind")
+             for prefix, at in _objects(quote(doc), (), spec)]
+    values = reduce(DataFrame.unionAll, parts)
+    if declared_only:
+        values = values.where(F.col("path")[0].isin(list(spec)))
     counted = (
-        values.selectExpr("path", f"{_tag_by_path(spec)} AS tag")
+        values.where("value IS NOT NULL")
+        .selectExpr("path", f"{_tag_by_path(spec)} AS tag")
         .groupBy("path")
         .agg(F.collect_set("tag").alias("tags"))
-        .limit(max_keys + 1)
     )
-    known = {tuple(row.path): frozenset(row.tags) for row in counted.collect()}
-    if len(known) > max_keys:
-        raise TooManyKeys(f"more than {max_keys} distinct keys; raise max_keys if they are wanted as columns")
-    return known
+    return {tuple(row.path): frozenset(row.tags) for row in _bounded(counted, max_keys)}
 
 
-def discover_keys(docs: DataFrame, doc: str = DOC, max_keys: int = MAX_KEYS) -> list[str]:
+def discover_keys(docs: DataFrame, doc: str = DOC, max_keys: int | None = MAX_KEYS) -> list[str]:
     """Distinct top-level keys in alphabetical order. One job, bounded like :func:`discover`."""
     keys = docs.selectExpr(f"explode(map_keys({entries(quote(doc))})) AS key").distinct()
-    rows = keys.limit(max_keys + 1).collect()
-    if len(rows) > max_keys:
-        raise TooManyKeys(f"more than {max_keys} distinct keys; raise max_keys if they are wanted as columns")
-    return sorted(row.key for row in rows)
+    return sorted(row.key for row in _bounded(keys, max_keys))
 
 
 def merge_known(*parts: Known) -> Known:
@@ -134,16 +138,20 @@ def schema_report(docs: DataFrame, spec: object, doc: str = DOC) -> DataFrame:
         pairs = ", ".join(f"{literal(name)}, {literal(getattr(column, attribute))}" for name, column in spec.items())
         return f"coalesce(map({pairs})[key], '{default}')" if pairs else f"'{default}'"
 
-    fits = "tag = expected_dtype OR (plain AND expected_dtype = 'I64') OR (short AND expected_dtype = 'I16')"
+    special = " ".join(
+        f"WHEN key = {literal(name)} THEN {tag_as('value', 'kind', column.dtype)}"
+        for name, column in spec.items()
+        if column.dtype in DECLARED_ONLY
+    )
+    found = tag_of("value", "kind")
     return (
         _fields(docs, doc)
         .selectExpr(
             "key",
-            f"{tag_of('value', 'kind')} AS tag",
-            "kind = 'BIGINT' AS plain",
-            f"kind = 'BIGINT' AND {get('value', '$', 'bigint')} BETWEEN {I16_RANGE} AS short",
+            f"{found} AS tag",
+            f"CASE {special} ELSE {found} END AS own" if special else f"{found} AS own",
         )
-        .groupBy("key", "tag", "plain", "short")
+        .groupBy("key", "tag", "own")
         .agg(F.count(F.lit(1)).alias("n"))
         .selectExpr(
             "*", f"{declared('dtype', 'Unknown')} AS expected_dtype", f"{declared('strategy', 'Ignore')} AS strategy"
@@ -153,7 +161,7 @@ def schema_report(docs: DataFrame, spec: object, doc: str = DOC) -> DataFrame:
             F.expr(f"array_join(sort_array(collect_set(tag) FILTER (WHERE tag <> '{NONE}')), ',') AS dtypes"),
             F.expr(f"coalesce(sum(n) FILTER (WHERE tag <> '{NONE}'), 0) AS n_values"),
             F.expr(
-                f"coalesce(sum(n) FILTER (WHERE tag <> '{NONE}' AND expected_dtype <> 'Unknown' AND NOT ({fits})), 0) "
+                f"coalesce(sum(n) FILTER (WHERE tag <> '{NONE}' AND expected_dtype <> 'Unknown' AND own <> expected_dtype), 0) "
                 "AS n_mismatch"
             ),
         )
@@ -174,16 +182,25 @@ def shape_keys(v: str) -> str:
 
 
 def shape_groups(docs: DataFrame, doc: str = DOC) -> DataFrame:
-    """``(shape, n_keys, n)``: how many documents have each set of keys."""
+    """``(shape, n_keys, n)``: how many documents have each set of keys; ``shape`` is their JSON text."""
     return (
         docs.groupBy(F.expr(shape_keys(quote(doc))).alias("keys"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .selectExpr("array_join(keys, ',') AS shape", "size(keys) AS n_keys", "n")
+        .selectExpr("to_json(keys) AS shape", "size(keys) AS n_keys", "n")
     )
 
 
 def batch_plan(docs: DataFrame, size: int, doc: str = DOC) -> DataFrame:
-    """``(shape, n, n_batches)`` for homogenous batches of at most ``size`` rows."""
+    """``(shape, n, n_batches)``: the batches that a bulk sink sends, each of one shape and at most ``size`` rows.
+
+    Batches are cut where the rows lie, so every task that holds a shape sends a last one that may be short.
+    """
     if size < 1:
         raise ValueError("size must be at least 1")
-    return shape_groups(docs, doc).selectExpr("shape", "n", f"cast(ceil(n / {size}) AS bigint) AS n_batches")
+    return (
+        docs.selectExpr(f"to_json({shape_keys(quote(doc))}) AS shape", "spark_partition_id() AS task")
+        .groupBy("shape", "task")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("shape")
+        .agg(F.sum("n").alias("n"), F.expr(f"sum(cast(ceil(n / {size}) AS bigint))").alias("n_batches"))
+    )

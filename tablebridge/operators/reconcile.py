@@ -9,15 +9,37 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tablebridge.functions.paths import quote
 
 
+# NULLs inside nested values must count, and JSON text keeps them where it is told to.
+_JSON_OPTIONS = "map('ignoreNullFields', 'false')"
+_NESTED = (T.VariantType, T.MapType, T.ArrayType, T.StructType)
+
+
+def _comparable(df: DataFrame, name: str) -> list[Column]:
+    """A column as values that a hash tells apart: whether it is NULL, then the value, nested ones as JSON text."""
+    kind, c = df.schema[name].dataType, F.col(quote(name))
+    if isinstance(kind, _NESTED):
+        if not isinstance(kind, T.VariantType) and _has_binary(kind):
+            raise TypeError(f"column {name} holds binary values inside {kind.simpleString()}; compare them as base64 text")
+        c = F.expr(f"to_json({quote(name)}, {_JSON_OPTIONS})")
+    return [F.col(quote(name)).isNull(), c]
+
+
+def _has_binary(kind: T.DataType) -> bool:
+    inner = [getattr(kind, x) for x in ("elementType", "keyType", "valueType") if hasattr(kind, x)]
+    inner += [f.dataType for f in getattr(kind, "fields", [])]
+    return any(isinstance(x, T.BinaryType) or _has_binary(x) for x in inner)
+
+
 def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
-    """64-bit hash of a row that tells NULL from a missing neighbour. Variants and maps are hashed as JSON text."""
-    parts = []
-    for name in columns:
-        c = F.col(quote(name))
-        if isinstance(df.schema[name].dataType, (T.VariantType, T.MapType)):
-            c = F.to_json(c)
-        parts += [c.isNull(), c]
-    return F.xxhash64(*parts)
+    """Two independent hashes of a row, as one text of 48 digits; NULLs count wherever they stand."""
+    parts = [part for name in columns for part in _comparable(df, name)]
+    first, second = F.xxhash64(*parts), F.hash(F.lit(1), *parts)
+    return F.concat(F.lpad(F.hex(first), 16, "0"), F.lpad(F.hex(second), 16, "0"), F.lpad(F.hex(F.xxhash64(F.lit(7), *parts)), 16, "0"))
+
+
+def unmatched_columns(a: DataFrame, b: DataFrame) -> tuple[list[str], list[str]]:
+    """Columns that only ``a`` has and columns that only ``b`` has."""
+    return [c for c in a.columns if c not in b.columns], [c for c in b.columns if c not in a.columns]
 
 
 def _counted(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,7 +71,12 @@ def differences(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: ``n_a, n_b, missing`` (rows of a that b lacks), ``extra`` (rows of b that a lacks), ``matches``."""
+    """One row: ``n_a, n_b, missing`` (rows of a that b lacks), ``extra`` (rows of b that a lacks), ``matches``.
+
+    Rows are compared on the columns that both have. ``missing_columns`` and ``extra_columns`` name the others, and where
+    there are any the tables do not match.
+    """
+    only_a, only_b = unmatched_columns(a, b)
 
     def total(c: Column) -> Column:
         return F.coalesce(F.sum(c), F.lit(0).cast("bigint"))
@@ -64,30 +91,35 @@ def reconcile(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
             total(F.greatest(n_a - n_b, none)).alias("missing"),
             total(F.greatest(n_b - n_a, none)).alias("extra"),
         )
-        .withColumn("matches", (F.col("missing") == 0) & (F.col("extra") == 0))
+        .withColumns(
+            {
+                "missing_columns": F.lit(",".join(only_a)),
+                "extra_columns": F.lit(",".join(only_b)),
+                "matches": (F.col("missing") == 0) & (F.col("extra") == 0) & F.lit(not only_a and not only_b),
+            }
+        )
     )
 
 
-COPIES_PER_ROW = 4096
+BLOCK = 4096
 
 
 def replicate(df: DataFrame, n: int, copy: str = "copy") -> DataFrame:
     """Every row ``n`` times, numbered 0 to n-1 in ``copy``.
 
-    Copies are made where the row lies. Many copies of few rows are first split
-    into blocks and spread, so that one row does not become one endless task.
+    Copies are made in blocks, so no row holds them all at once; where there are several blocks, they are spread by row
+    and block, so that neither one row nor one block number becomes one endless task.
     """
     if n < 0:
         raise ValueError("n must not be negative")
     if n == 0:
         return df.withColumn(copy, F.lit(0).cast("bigint")).where(F.lit(False))
-    if n <= COPIES_PER_ROW:
-        return df.withColumn(copy, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint"))))
-    blocks = F.sequence(F.lit(0).cast("bigint"), F.lit((n - 1) // COPIES_PER_ROW).cast("bigint"))
-    start = F.col("_block") * COPIES_PER_ROW
-    return (
-        df.withColumn("_block", F.explode(blocks))
-        .repartition(F.col("_block"))
-        .withColumn(copy, F.explode(F.sequence(start, F.least(start + COPIES_PER_ROW, F.lit(n)) - 1)))
-        .drop("_block")
-    )
+    last = (n - 1) // BLOCK
+    start = F.col("_block") * BLOCK
+    blocks = df.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(last).cast("bigint"))))
+    if last:
+        # A given number of partitions: a block is a short row before it is copied, and short rows would be merged.
+        many = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = blocks.withColumn("_row", row_hash(df, df.columns)).repartition(many, "_row", "_block").drop("_row")
+    copies = F.sequence(start, F.least(start + BLOCK, F.lit(n)) - 1)
+    return blocks.withColumn(copy, F.explode(copies)).drop("_block")

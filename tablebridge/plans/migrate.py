@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tablebridge.functions.rows import normalise_sql
 from tablebridge.operators.columns import ignore_columns, ignore_keys
-from tablebridge.operators.conform import REJECTS, conform_with_rejects, default_row_id, split_rejects
+from tablebridge.operators.align import normalise
+from tablebridge.operators.conform import REJECTS, conform_with_rejects, identified, split_rejects
+from tablebridge.operators.deliver import native_columns
 from tablebridge.operators.discover import DOC, MAX_KEYS, Known, discover
 from tablebridge.sinks.append import Sink, append
-from tablebridge.sinks.bulk import BulkSink
+from tablebridge.sinks.bulk import BulkSink, has_keys
 
 REPORT_SCHEMA = "step string, rows bigint, elapsed_ms bigint"
 
@@ -52,19 +54,48 @@ def migrate_table(
     json_columns: Iterable[str] = (),
     key: Sequence[str] = (),
 ) -> DataFrame:
-    """Append a SQL table to ``sink`` and return the report. ``key`` makes a repeated run skip rows already there."""
+    """Append a SQL table to ``sink`` and return the report. ``key`` makes a repeated run skip rows already there.
+
+    ``json_columns`` arrive as native values: arrays of numbers, arrays of text, or text (see :func:`native_columns`).
+    """
     report = Report()
-    counted = Observation()
+    json_columns = [c for c in json_columns if c in df.columns]
     rows = normalise_sql(ignore_columns(df, ignore), json_columns)
-    if key:
-        present = sink.read(df.sparkSession)
-        if present is not None:
-            rows = rows.join(present.select(*key), list(key), "left_anti")
-    append(rows.observe(counted, F.count(F.lit(1)).alias("n")), sink)
-    report.step("append", counted.get["n"])
+    if json_columns:
+        rows = native_columns(rows, [c for c in json_columns if c in rows.columns])
+        report.step("discover")
+    report.step("append", _append(rows, sink, key))
     return report.frame(df.sparkSession)
 
 
+def _append(rows: DataFrame, sink: Sink, key: Sequence[str] = ()) -> int:
+    """Append and count what went in."""
+    counted = Observation()
+    append(rows, sink, key, observe=lambda df: df.observe(counted, F.count(F.lit(1)).alias("n")))
+    return counted.get["n"]
+
+
+def migrate_typed(
+    docs: DataFrame,
+    sink: Sink,
+    keys: Iterable[str] | None = None,
+    ignore: Iterable[str] = (),
+    key: Sequence[str] = (),
+    doc: str = DOC,
+) -> DataFrame:
+    """Append documents to ``sink`` as typed columns and return the report.
+
+    Every value is normalised by the ``typed`` rules and arrives as a native value; a key whose values have several types
+    gets a column for each of them.
+    """
+    report = Report()
+    cells = normalise(ignore_keys(docs, ignore, doc), "typed", keys, doc)
+    rows = native_columns(cells, [c for c in cells.columns if c not in docs.columns or c == doc])
+    report.step("discover")
+    report.step("append", _append(rows, sink, key))
+    return report.frame(docs.sparkSession)
+
+
 def migrate_documents(
     docs: DataFrame,
     sink: Sink,
@@ -74,29 +105,27 @@ def migrate_documents(
     row_id: str | None = None,
     rejects: Sink | None = None,
     doc: str = DOC,
-    max_keys: int = MAX_KEYS,
+    max_keys: int | None = MAX_KEYS,
     stable: bool = False,
+    rest: str | None = None,
 ) -> DataFrame:
     """Conform documents to ``spec``, append them to ``sink`` and return the report.
 
-    Values that cannot be placed go to the ``rejects`` sink. They are read from
+    Without ``row_id`` rows and rejects carry a hash of the document under that name, so that they can be joined. With
+    ``rest`` undeclared keys stay together in that column, as JSON text. Values that cannot be placed go to the ``rejects`` sink. They are read from
     the source again, and only if the first pass saw any; without that sink
     such a migration is reported, then fails, since values would be missing.
     """
     spark = docs.sparkSession
     report = Report()
     if known is None:
-        known = discover(docs, spec, doc, max_keys)
+        known = discover(docs, spec, doc, max_keys, declared_only=rest is not None)
         report.step("discover")
         strict = False
     else:
         strict = True
-    if row_id is None:
-        row_id = "row_id"
-        docs_with_id = docs.withColumn(row_id, F.expr(default_row_id(doc)))
-    else:
-        docs_with_id = docs
-    options = {"doc": doc, "ignore": ignore, "stable": stable, "strict": strict}
+    docs, row_id = identified(docs, row_id, doc)
+    options = {"doc": doc, "ignore": ignore, "stable": stable, "strict": strict, "rest": rest}
     rows, _ = conform_with_rejects(docs, spec, known, **options)
     counted = Observation()
     rows = rows.observe(
@@ -110,7 +139,7 @@ def migrate_documents(
     if rejected:
         if rejects is None:
             raise RejectedValues(rejected, report.frame(spark))
-        again, _ = conform_with_rejects(docs_with_id, spec, known, **options)
+        again, _ = conform_with_rejects(docs, spec, known, **options)
         append(split_rejects(again, [row_id]), rejects)
         report.step("rejects", rejected)
     return report.frame(spark)
@@ -125,12 +154,19 @@ class RejectedValues(RuntimeError):
 
 
 def migrate_bulk(docs: DataFrame, sink: BulkSink, ignore: Iterable[str] = (), doc: str = DOC) -> DataFrame:
-    """Send documents as bulk-insert payloads and return the report."""
+    """Send documents as bulk-insert payloads and return the report.
+
+    A document without keys cannot be inserted; such documents are counted in a step ``rejects``.
+    """
     report = Report()
     counted = Observation()
     kept = ignore_keys(docs, ignore, doc).select(F.col(doc).alias(DOC))
-    sink.write(kept.observe(counted, F.count(F.lit(1)).alias("n")))
+    empty = F.expr(f"NOT {has_keys(DOC)}")
+    sent = (F.count(F.lit(1)) - F.count_if(empty)).alias("n")
+    sink.write(kept.observe(counted, sent, F.count_if(empty).alias("empty")))
     report.step("append", counted.get["n"])
+    if counted.get["empty"]:
+        report.step("rejects", counted.get["empty"])
     return report.frame(docs.sparkSession)
 
 

@@ -45,6 +45,33 @@ EXTENDED = """concat('{{"_id":{{"$oid":"', lpad(cast(event_id AS varchar(24)), 2
 SPARK_MILLIS = "cast(unix_millis(cast(concat(cast(ts AS string), 'Z') AS timestamp)) AS varchar(20))"
 ORACLE_MILLIS = "cast(epoch_us(ts) // 1000 AS varchar(20))"
 
+# One Extended-JSON value per event under a declared integer; the first half of them are no values of their type.
+MALFORMED = """concat('{"v":', CASE event_id % 8
+    WHEN 0 THEN '{"$date":"not a date"}'
+    WHEN 1 THEN concat('{"$numberInt":"', 3000000000 + event_id, '"}')
+    WHEN 2 THEN concat('{"$numberLong":"9999999999999999999', user_id, '"}')
+    WHEN 3 THEN concat('{"$numberDecimal":"', event_type, '"}')
+    WHEN 4 THEN concat('{"$numberInt":"', user_id, '"}')
+    WHEN 5 THEN concat('{"$numberLong":"', event_id, '"}')
+    WHEN 6 THEN concat('{"$oid":"', event_type, '"}')
+    ELSE cast(user_id AS varchar(20)) END, '}')"""
+
+# Arrays and numbers for declared types: whole numbers, text, nothing, numbers too wide, numbers with a fraction.
+DECLARED = """concat('{"list":', CASE event_id % 5
+    WHEN 0 THEN concat('[', user_id, ',2]')
+    WHEN 1 THEN concat('["', event_type, '"]')
+    WHEN 2 THEN '[]'
+    WHEN 3 THEN concat('[', user_id, ',3000000000]')
+    ELSE concat('"', event_type, '"') END,
+  ',"ratio":', CASE event_id % 3 WHEN 0 THEN '0.5' WHEN 1 THEN '1.25' ELSE concat('"', event_type, '"') END, '}')"""
+
+# One key of 2,500 in turn, beside an id.
+WIDE = """concat('{"id":', event_id, ',"k', event_id % 2500, '":', user_id, '}')"""
+
+# Every fifth line is an empty document, every seventh of the others is cut short.
+SPARSE = f"""CASE WHEN event_id % 5 = 0 THEN '{{}}'
+    WHEN event_id % 7 = 0 THEN substr({DIRTY}, 1, 12) ELSE {DIRTY} END"""
+
 # One JSON value per event for homogenising.
 ARRAYS = """CASE event_id % 7
     WHEN 0 THEN concat('[', user_id, ',', event_id, ',"', event_type, '",true]')

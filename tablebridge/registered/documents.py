@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.cells import HOMOGENISE, normalise_columns, safe_decode, text_of
@@ -12,6 +14,9 @@ from tablebridge.operators.conform import conform
 from tablebridge.operators.discover import batch_plan, profile, schema_report, shape_groups
 from tablebridge.registered.derived import (
     ARRAYS,
+    DECLARED,
+    MALFORMED,
+    WIDE,
     BROKEN,
     CELLS,
     DIRTY,
@@ -110,7 +115,7 @@ NEWCOL = f"""{CELLS_OF_D} SELECT event_id, event_id AS id,
 
 
 def conform_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(dirty(spark, sf_dir), spec("Cast"), "event_id").rows.select("event_id", "name", "sub_id")
+    return conform(dirty(spark, sf_dir), spec("Cast"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "sub_id")
 
 
 def conform_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,11 +123,56 @@ def conform_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return name_and_sub_id(conform(dirty(spark, sf_dir), spec("Ignore"), "event_id").rows, "event_id")
+    rows = conform(dirty(spark, sf_dir), spec("Ignore"), "event_id").rows
+    return name_and_sub_id(rows, "event_id", "cast(id AS bigint) AS id")
 
 
 def conform_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(dirty(spark, sf_dir), spec("Remove"), "event_id").rows.select("event_id", "name", "sub_id")
+    return conform(dirty(spark, sf_dir), spec("Remove"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "sub_id")
+
+
+def conform_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wrappers that hold no value of their type are rejected, whatever the strategy; the others are placed."""
+    docs = documents(table(spark, sf_dir, "events"), MALFORMED, "event_id")
+    done = {
+        strategy: conform(docs, {"v": {"dtype": "I32", "dtype_collision_strategy": strategy}}, "event_id")
+        for strategy in ("NewCol", "Cast", "Remove")
+    }
+    parts = [
+        found.rejects.select(F.lit(strategy).alias("strategy"), "event_id", "column", "expected", "actual", "raw_json")
+        for strategy, found in done.items()
+    ]
+    placed = done["NewCol"].rows.select(
+        F.lit("placed").alias("strategy"),
+        "event_id",
+        F.lit("v").alias("column"),
+        F.col("v").cast("string").alias("expected"),
+        F.col("v_i64").cast("string").alias("actual"),
+        F.col("v_str").alias("raw_json"),
+    )
+    return reduce(DataFrame.unionAll, parts, placed)
+
+
+def conform_declared_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(table(spark, sf_dir, "events"), DECLARED, "event_id")
+    declared = {
+        "list": {"dtype": "VecI32", "dtype_collision_strategy": "NewCol"},
+        "ratio": {"dtype": "Double32", "dtype_collision_strategy": "Remove"},
+    }
+    rows = conform(docs, declared, "event_id").rows
+    return rows.select(
+        "event_id",
+        F.to_json("list").alias("list"),
+        "list_str",
+        F.to_json("list_vecdyn").alias("list_vecdyn"),
+        F.col("ratio").cast("double").alias("ratio"),
+    )
+
+
+def conform_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of keys that nobody declared stay together in one column."""
+    docs = documents(table(spark, sf_dir, "events"), WIDE, "event_id")
+    return conform(docs, {"id": {"dtype": "I64", "dtype_collision_strategy": "Cast"}}, "event_id", rest="others").rows
 
 
 def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,6 +277,22 @@ def bulk_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bulk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches that were planned against those that are made, per shape."""
+    docs = dirty(spark, sf_dir)
+    made = bulk_payloads(docs, "doc", "events", size=100).groupBy("shape").agg(
+        F.sum("n_rows").alias("n_made"), F.count("*").alias("batches_made"), F.max("n_rows").alias("largest")
+    )
+    planned = batch_plan(docs, 100).withColumnRenamed("n", "n_planned")
+    return planned.join(made, "shape").select(
+        "shape",
+        F.col("n_planned").alias("n"),
+        (F.col("n_planned") == F.col("n_made")).alias("same_rows"),
+        (F.col("n_batches") == F.col("batches_made")).alias("same_batches"),
+        (F.col("largest") <= 100).alias("within_size"),
+    )
+
+
 def bulk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = bulk_payloads(dirty(spark, sf_dir), "doc", "events", size=1000)
     return payloads.groupBy("shape", "stmt").agg(
@@ -257,10 +323,14 @@ QUERIES = {
     "batch_plan": batch_plan_query,
     "bulk_payloads": bulk_rows,
     "bulk_batches": bulk_batches,
+    "bulk_plan": bulk_plan,
+    "conform_malformed": conform_malformed,
+    "conform_declared_arrays": conform_declared_arrays,
+    "conform_wide": conform_wide,
 }
 
 _SHAPES = f"""{D}, k AS (SELECT event_id, list_sort(json_keys(doc)) AS keys FROM d),
-  g AS (SELECT array_to_string(keys, ',') AS shape, len(keys) AS n_keys, count(*) AS n FROM k GROUP BY ALL)"""
+  g AS (SELECT CAST(to_json(keys) AS VARCHAR) AS shape, list_transform(keys, lambda k: concat('"', k, '"')) AS names, len(keys) AS n_keys, count(*) AS n FROM k GROUP BY ALL)"""
 
 _X = f"""WITH x AS (SELECT event_id, event_type, user_id, value, ts, {ORACLE_MILLIS} AS ms,
     lpad(cast(event_id AS varchar), 24, '0') AS oid FROM events)"""
@@ -301,16 +371,16 @@ ORACLES = {
             AS n_mismatch
         FROM e GROUP BY key, expected_dtype, strategy""",
     "conform_newcol": NEWCOL,
-    "conform_cast": f"""{CELLS_OF_D} SELECT event_id,
+    "conform_cast": f"""{CELLS_OF_D} SELECT event_id, event_id AS id,
         CASE WHEN ntag = 'VecDyn' THEN array_to_string(CAST(n AS VARCHAR[]), ' ') ELSE nt END AS name,
         CASE WHEN regexp_matches(st, '^[+-]?[0-9]+$') THEN TRY_CAST(st AS INTEGER) END AS sub_id FROM t""",
     "conform_cast_rejects": f"""{CELLS_OF_D} SELECT event_id, 'name' AS "column", 'I32' AS expected, ntag AS actual,
         CASE ntag WHEN 'Double64' THEN regexp_replace(CAST(n AS VARCHAR), '\\.0$', '')
           ELSE CAST(n AS VARCHAR) END AS raw_json FROM t
         WHERE ntag NOT IN ('None', 'I32') AND NOT (ntag = 'String' AND regexp_matches(nt, '^[+-]?[0-9]+$'))""",
-    "conform_ignore": f"""{CELLS_OF_D} SELECT event_id, ntag AS name_tag, nt AS name, stag AS sub_id_tag,
+    "conform_ignore": f"""{CELLS_OF_D} SELECT event_id, event_id AS id, ntag AS name_tag, nt AS name, stag AS sub_id_tag,
         st AS sub_id FROM t""",
-    "conform_remove": f"""{CELLS_OF_D} SELECT event_id, CASE WHEN ntag = 'String' THEN nt END AS name,
+    "conform_remove": f"""{CELLS_OF_D} SELECT event_id, event_id AS id, CASE WHEN ntag = 'String' THEN nt END AS name,
         CASE WHEN stag = 'I32' THEN CAST(st AS INTEGER) END AS sub_id FROM t""",
     "conform_nested": f"""WITH d AS (SELECT o_orderkey, {NESTED} AS doc FROM orders),
         c AS (SELECT o_orderkey, json_extract(doc, '$.customer') AS c FROM d),
@@ -389,10 +459,31 @@ ORACLES = {
     "bulk_payloads": f"""{CELLS_OF_D}, a AS (SELECT s IS NULL AS short, concat('[', event_id, ',', CASE ntag
         {' '.join(f"WHEN '{k}' THEN {v}" for k, v in _CELL_OF_STMT.items())} END,
         CASE WHEN s IS NULL THEN '' ELSE concat(',', CAST(s AS VARCHAR)) END, ']') AS args FROM t)
-        SELECT CASE WHEN short THEN 'id,name' ELSE 'id,name,sub_id' END AS shape,
-          CASE WHEN short THEN 'INSERT INTO doc.events (id,name) VALUES (?,?)'
-            ELSE 'INSERT INTO doc.events (id,name,sub_id) VALUES (?,?,?)' END AS stmt, args FROM a""",
+        SELECT CASE WHEN short THEN '["id","name"]' ELSE '["id","name","sub_id"]' END AS shape,
+          CASE WHEN short THEN 'INSERT INTO "doc"."events" ("id","name") VALUES (?,?)'
+            ELSE 'INSERT INTO "doc"."events" ("id","name","sub_id") VALUES (?,?,?)' END AS stmt, args FROM a""",
     "bulk_batches": f"""{_SHAPES} SELECT shape,
-        concat('INSERT INTO doc.events (', shape, ') VALUES (', CASE n_keys WHEN 2 THEN '?,?' ELSE '?,?,?' END, ')')
+        concat('INSERT INTO "doc"."events" (', array_to_string(names, ','), ') VALUES (', CASE n_keys WHEN 2 THEN '?,?' ELSE '?,?,?' END, ')')
           AS stmt, CAST(n AS BIGINT) AS n, true AS within_size FROM g""",
+    "bulk_plan": f"""{_SHAPES} SELECT shape, CAST(n AS BIGINT) AS n, true AS same_rows, true AS same_batches,
+        true AS within_size FROM g""",
+    "conform_malformed": f"""WITH d AS (SELECT event_id, event_type, user_id,
+          CAST(json_extract({MALFORMED}, '$.v') AS VARCHAR) AS raw FROM events),
+        t AS (SELECT *, CASE event_id % 8 WHEN 1 THEN 'I32' WHEN 4 THEN 'I32' WHEN 7 THEN 'I32' WHEN 3 THEN 'Double64'
+          WHEN 6 THEN 'String' ELSE 'I64' END AS tag FROM d)
+        SELECT 'placed' AS strategy, event_id, 'v' AS "column",
+          CASE WHEN event_id % 8 IN (4, 7) THEN CAST(user_id AS VARCHAR) END AS expected,
+          CASE WHEN event_id % 8 = 5 THEN CAST(event_id AS VARCHAR) END AS actual,
+          CASE WHEN event_id % 8 = 6 THEN event_type END AS raw_json FROM t
+        UNION ALL SELECT 'NewCol', event_id, 'v', 'I32', tag, raw FROM t WHERE event_id % 8 < 4
+        UNION ALL SELECT 'Cast', event_id, 'v', 'I32', tag, raw FROM t WHERE event_id % 8 NOT IN (4, 7)
+        UNION ALL SELECT 'Remove', event_id, 'v', 'I32', tag, raw FROM t WHERE event_id % 8 = 1""",
+    "conform_declared_arrays": """SELECT event_id,
+        CASE event_id % 5 WHEN 0 THEN concat('[', user_id, ',2]') WHEN 2 THEN '[]' END AS list,
+        CASE event_id % 5 WHEN 4 THEN event_type END AS list_str,
+        CASE event_id % 5 WHEN 1 THEN concat('["', event_type, '"]') WHEN 3 THEN concat('[', user_id, ',3000000000]') END
+          AS list_vecdyn,
+        CASE event_id % 3 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 1.25::DOUBLE END AS ratio FROM events""",
+    "conform_wide": """SELECT event_id, event_id AS id, concat('{"k', event_id % 2500, '":', user_id, '}') AS others
+        FROM events""",
 }

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablebridge.functions.paths import field
 from tablebridge.operators.conform import conform
 from tablebridge.operators.reconcile import reconcile
-from tablebridge.plans.migrate import export_documents, migrate_documents, migrate_table
-from tablebridge.registered.derived import DIRTY, dirty, table
+from tablebridge.plans.migrate import export_documents, migrate_documents, migrate_table, migrate_typed
+from tablebridge.registered.derived import ARRAYS, DIRTY, SPARSE, dirty, table
 from tablebridge.registered.documents import CELLS_OF_D, NEWCOL, name_and_sub_id, newcol_columns, spec
 from tablebridge.registered.tables import _TS_TEXT
 from tablebridge.session import scratch_path
@@ -18,9 +18,13 @@ from tablebridge.streaming.migrate import read_migrated, stream_migrate
 
 
 def write_lines(spark: SparkSession, sf_dir: str) -> str:
-    """The dirty documents as JSON-lines files."""
-    path = scratch_path(spark, "lines")
-    table(spark, sf_dir, "events").select(F.expr(DIRTY).alias("value")).write.text(path)
+    """The dirty documents as JSON-lines files, four at least."""
+    return write_text(table(spark, sf_dir, "events").select(F.expr(DIRTY).alias("value")))
+
+
+def write_text(lines: DataFrame) -> str:
+    path = scratch_path(lines.sparkSession, "lines")
+    lines.repartition(max(4, lines.sparkSession.sparkContext.defaultParallelism)).write.text(path)
     return path
 
 
@@ -94,7 +98,7 @@ def export_documents_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_migrate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "stream")
     query = stream_migrate(
-        spark, write_lines(spark, sf_dir), out, spec("NewCol"), scratch_path(spark, "checkpoint"), max_files_per_trigger=4
+        spark, write_lines(spark, sf_dir), out, spec("NewCol"), scratch_path(spark, "checkpoint"), max_files_per_trigger=2
     )
     query.awaitTermination()
     rows = read_migrated(spark, out)
@@ -102,6 +106,51 @@ def stream_migrate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newcol_columns(ids)
 
 
+def stream_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream in which lines are broken and documents empty: every line is a row, or malformed."""
+    lines = write_text(table(spark, sf_dir, "events").select(F.expr(SPARSE).alias("value")))
+    out = scratch_path(spark, "stream")
+    stream_migrate(
+        spark, lines, out, spec("NewCol"), scratch_path(spark, "checkpoint"), max_files_per_trigger=1
+    ).awaitTermination()
+    rows, malformed = read_migrated(spark, out), read_migrated(spark, out, "malformed")
+    counted = rows.select(F.when(F.col("id").isNull(), "empty").otherwise("document").alias("kind"))
+    return counted.unionAll(malformed.select(F.lit("malformed"))).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def migrate_typed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = ParquetSink(scratch_path(spark, "typed"))
+    migrate_typed(dirty(spark, sf_dir), sink)
+    return sink.read(spark).select(
+        "event_id",
+        F.col("id").cast("bigint").alias("id"),
+        "name_f64",
+        F.col("name_i32").cast("bigint").alias("name_i32"),
+        "name_str",
+        F.to_json("name_vecstring").alias("name_vecstring"),
+        F.col("sub_id_i32").cast("bigint").alias("sub_id_i32"),
+        "sub_id_str",
+    )
+
+
+def migrate_json_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sink = ParquetSink(scratch_path(spark, "json"))
+    migrate_table(table(spark, sf_dir, "events").select("event_id", F.expr(ARRAYS).alias("c")), sink, json_columns=["c"])
+    return sink.read(spark).select(
+        "event_id", F.to_json("c_vec_f64").alias("numbers"), F.to_json("c_vecstring").alias("texts"), F.col("c_str").alias("other")
+    )
+
+
+def append_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows with NULL in their key, repeated in a batch and from batch to batch, are there once."""
+    status = F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("status")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", status, "o_totalprice")
+    sink = ParquetSink(scratch_path(spark, "keyed"))
+    for _ in range(2):
+        append(orders.unionAll(orders), sink, ["o_orderkey", "status"])
+    return sink.read(spark)
+
+
 QUERIES = {
     "scan_documents": scan_documents,
     "migrate_table": migrate_table_query,
@@ -112,6 +161,10 @@ QUERIES = {
     "evolve_append": evolve_append,
     "export_documents": export_documents_query,
     "stream_migrate": stream_migrate_query,
+    "stream_sparse": stream_sparse,
+    "migrate_typed": migrate_typed_query,
+    "migrate_json_columns": migrate_json_columns,
+    "append_keyed": append_keyed,
 }
 
 ORACLES = {
@@ -124,9 +177,27 @@ ORACLES = {
     "migrate_rejects": f"""{CELLS_OF_D}, o AS (SELECT CASE WHEN ntag = 'I32' THEN 'placed' ELSE ntag END AS outcome
         FROM t WHERE ntag <> 'None') SELECT outcome, CAST(count(*) AS BIGINT) AS n FROM o GROUP BY outcome""",
     "migrate_reconciled": """SELECT CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b,
-        CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, true AS matches FROM lineitem""",
+        CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, '' AS missing_columns,
+        '' AS extra_columns, true AS matches FROM lineitem""",
     "evolve_append": NEWCOL,
     "export_documents": """SELECT CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'text': text})
         AS VARCHAR) AS value FROM conversations""",
     "stream_migrate": NEWCOL,
+    "stream_sparse": """SELECT CASE WHEN event_id % 5 = 0 THEN 'empty' WHEN event_id % 7 = 0 THEN 'malformed'
+        ELSE 'document' END AS kind, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL""",
+    "migrate_typed": f"""{CELLS_OF_D} SELECT event_id, event_id AS id,
+        CASE WHEN ntag = 'Double64' THEN CAST(nt AS DOUBLE) END AS name_f64,
+        CASE WHEN ntag = 'I32' THEN CAST(nt AS BIGINT) END AS name_i32,
+        CASE WHEN ntag IN ('String', 'Bool', 'Object') THEN nt END AS name_str,
+        CASE WHEN ntag = 'VecDyn' THEN nt END AS name_vecstring,
+        CASE WHEN stag = 'I32' THEN CAST(st AS BIGINT) END AS sub_id_i32,
+        CASE WHEN stag = 'String' THEN st END AS sub_id_str FROM t""",
+    "migrate_json_columns": """SELECT event_id,
+        CASE event_id % 7 WHEN 0 THEN to_json([CAST(user_id AS DOUBLE), CAST(event_id AS DOUBLE), NULL, NULL])
+          WHEN 6 THEN to_json([value + 0.25, CAST(user_id AS DOUBLE)]) END AS numbers,
+        CASE event_id % 7 WHEN 1 THEN concat('["', event_type, '","', user_id, '","null","[1,', user_id, ']"]') END AS texts,
+        CASE event_id % 7 WHEN 3 THEN concat('[true,', user_id, ']')
+          WHEN 4 THEN CAST(CAST(props AS JSON) -> '$' AS VARCHAR) END AS other FROM events""",
+    "append_keyed": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS status, o_totalprice
+        FROM orders""",
 }

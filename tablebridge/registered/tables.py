@@ -127,6 +127,20 @@ def reconcile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(items, kept.unionAll(items.where(F.col("l_linestatus") == "O")), ["l_orderkey", "l_linenumber"])
 
 
+def reconcile_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy whose nested values lost or moved a NULL in three rows of four, and that lacks a column."""
+    key, turn = ["l_orderkey", "l_linenumber"], F.col("l_orderkey") % 4
+    none = F.lit(None).cast("bigint")
+    items = table(spark, sf_dir, "lineitem").select(
+        *key, "l_tax", F.array("l_suppkey", none).alias("list"), F.struct(F.col("l_partkey").alias("x"), none.alias("y")).alias("pair")
+    )
+    first = F.col("list")[0]
+    moved = F.when(turn == 0, F.array(none, first)).when(turn == 1, F.array(first)).otherwise(F.col("list"))
+    swapped = F.struct(none.alias("x"), F.col("pair.x").alias("y"))
+    copy = items.select(*key, moved.alias("list"), F.when(turn == 2, swapped).otherwise(F.col("pair")).alias("pair"))
+    return reconcile(items, copy, key)
+
+
 def replicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replicate(table(spark, sf_dir, "customer"), 10)
 
@@ -143,6 +157,7 @@ QUERIES = {
     "normalise_lineitem": normalise_lineitem,
     "encode_nested": encode_nested_query,
     "reconcile": reconcile_query,
+    "reconcile_nested": reconcile_nested,
     "replicate_rows": replicate_rows,
 }
 
@@ -154,7 +169,8 @@ ORACLES = {
     "scan_parquet": "SELECT * FROM events",
     "scan_jdbc": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
     "jdbc_roundtrip": """SELECT CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b,
-        CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, true AS matches FROM orders""",
+        CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, '' AS missing_columns,
+        '' AS extra_columns, true AS matches FROM orders""",
     "count_table": "SELECT CAST(count(*) AS BIGINT) AS n FROM lineitem",
     "table_inventory": " UNION ALL ".join(
         f"SELECT '{name}' AS name, CAST(count(*) AS BIGINT) AS n FROM {name}" for name in TABLES
@@ -172,6 +188,9 @@ ORACLES = {
         SELECT CAST(sum(in_a) AS BIGINT) AS n_a, CAST(sum(in_b) AS BIGINT) AS n_b,
           CAST(sum(greatest(in_a - in_b, 0)) AS BIGINT) AS missing,
           CAST(sum(greatest(in_b - in_a, 0)) AS BIGINT) AS extra,
-          sum(abs(in_a - in_b)) = 0 AS matches FROM r""",
+          '' AS missing_columns, '' AS extra_columns, sum(abs(in_a - in_b)) = 0 AS matches FROM r""",
+    "reconcile_nested": """WITH r AS (SELECT CAST(l_orderkey % 4 < 3 AS INTEGER) AS differs FROM lineitem)
+        SELECT CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b, CAST(sum(differs) AS BIGINT) AS missing,
+          CAST(sum(differs) AS BIGINT) AS extra, 'l_tax' AS missing_columns, '' AS extra_columns, false AS matches FROM r""",
     "replicate_rows": "SELECT customer.*, CAST(range AS BIGINT) AS copy FROM customer CROSS JOIN range(10)",
 }

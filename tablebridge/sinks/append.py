@@ -7,18 +7,20 @@ repeated append skips the rows that are already there.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.paths import quote
 from tablebridge.functions.rows import encode_nested
 from tablebridge.operators.columns import missing_columns
 from tablebridge.session import path_exists
-from tablebridge.sources.tables import count_jdbc, read_parquet, read_table
+from tablebridge.sources.tables import Partitioning, count_jdbc, jdbc_table_exists, read_parquet, read_table
 
 
 class Sink(Protocol):
@@ -57,7 +59,10 @@ class ParquetSink:
 
 @dataclass(frozen=True)
 class JdbcSink:
-    """A SQL table over JDBC. Nested values go out as JSON text; arrays too, unless the database has them."""
+    """A SQL table over JDBC. Nested values go out as JSON text; arrays too, unless the database has them.
+
+    ``partition`` or ``predicates`` split what a keyed append reads back over several connections.
+    """
 
     url: str
     table: str
@@ -65,14 +70,25 @@ class JdbcSink:
     native_arrays: bool = False
     max_connections: int | None = None
     properties: Mapping[str, str] = field(default_factory=dict)
+    partition: Partitioning | None = None
+    predicates: Sequence[str] = ()
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        return read_table(spark, self.url, self.table, properties=self.properties)
+        if not jdbc_table_exists(spark, self.url, self.table, self.properties):
+            return None
+        predicates = list(self.predicates) or None
+        return read_table(spark, self.url, self.table, self.partition, predicates, properties=self.properties)
 
     def write(self, df: DataFrame) -> None:
         options = {"batchsize": str(self.batch_size), **self.properties}
         if self.max_connections:
             options["numPartitions"] = str(self.max_connections)
+        target = self.read(df.sparkSession)
+        if target is not None:
+            have = {name.lower() for name in target.columns}
+            new = [name for name in df.columns if name.lower() not in have]
+            if new:
+                raise SchemaChange(f"the table {self.table} has no columns {', '.join(new)}; add them before the append")
         encode_nested(df, arrays=not self.native_arrays).write.jdbc(
             self.url, self.table, mode="append", properties=options
         )
@@ -96,13 +112,26 @@ def check_fits(df: DataFrame, target: DataFrame, evolve: bool) -> None:
         raise SchemaChange(f"the sink has no columns {', '.join(new)}; append with evolve to add them")
 
 
-def append(df: DataFrame, sink: Sink, key: Sequence[str] = ()) -> None:
-    """Append ``df``. With ``key``, rows whose key the sink already holds are left out."""
+def unseen(df: DataFrame, present: DataFrame | None, key: Sequence[str]) -> DataFrame:
+    """One row of ``df`` for each key that ``present`` lacks. NULL is a key like any other.
+
+    Of rows with one key in ``df`` itself only one is kept, so that appending twice and appending once agree.
+    """
+    df = df.dropDuplicates(list(key))
+    if present is None:
+        return df
+    there = present.select(*[F.col(quote(k)).alias(f"_present{i}") for i, k in enumerate(key)]).distinct()
+    same = [df[quote(k)].eqNullSafe(F.col(f"_present{i}")) for i, k in enumerate(key)]
+    return df.join(there, reduce(and_, same), "left_anti")
+
+
+def append(
+    df: DataFrame, sink: Sink, key: Sequence[str] = (), observe: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> None:
+    """Append ``df``. With ``key``, only rows whose key the sink does not hold, one for each key (see :func:`unseen`)."""
     if key:
-        present = sink.read(df.sparkSession)
-        if present is not None:
-            df = df.join(present.select(*[quote(k) for k in key]), list(key), "left_anti")
-    sink.write(df)
+        df = unseen(df, sink.read(df.sparkSession), key)
+    sink.write(observe(df))
 
 
 def evolve(parts: Sequence[DataFrame]) -> DataFrame:

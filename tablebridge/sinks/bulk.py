@@ -2,9 +2,10 @@
 
 A payload is ``{"stmt": "INSERT INTO s.t (c, ...) VALUES (?, ...)", "bulk_args": [[...], ...]}``;
 its rows all have the same columns. Documents are turned into argument lists by
-Spark expressions and cut into payloads where they lie: each task chunks its own
-rows, so there is no shuffle, no payload exceeds the batch size however skewed
-shapes, ids or copies are, and memory per task is bounded.
+Spark expressions and cut into payloads where they lie: each task sorts its own
+rows by shape (Spark spills such a sort) and chunks them one after the other. So
+there is no shuffle, a task holds one payload at a time, and no payload exceeds
+the batch size or the byte limit however skewed shapes, ids or copies are.
 """
 
 from __future__ import annotations
@@ -44,14 +45,30 @@ def argument_rows(docs: DataFrame, doc: str = DOC) -> DataFrame:
     )
 
 
+def has_keys(doc: str = DOC) -> str:
+    """Whether a document has any key; one without cannot be inserted."""
+    return f"coalesce(size(map_keys({entries(quote(doc))})), 0) > 0"
+
+
 def bulk_payloads(
-    docs: DataFrame, schema: str, table: str, size: int = 1000, doc: str = DOC, ignore_conflicts: bool = False
+    docs: DataFrame,
+    schema: str,
+    table: str,
+    size: int = 1000,
+    doc: str = DOC,
+    ignore_conflicts: bool = False,
+    max_bytes: int = 16_000_000,
 ) -> DataFrame:
-    """``(shape, stmt, n_rows, payload)``: one row per homogenous batch of at most ``size`` documents."""
+    """``(shape, stmt, n_rows, payload)``: one row per homogenous batch of at most ``size`` documents.
+
+    A batch is closed early when its argument lists reach ``max_bytes``; a single longer document goes alone. Documents
+    without keys have no statement and are left out: ``docs.where(~expr(has_keys()))`` are these.
+    """
     if size < 1:
         raise ValueError("size must be at least 1")
-    rows = argument_rows(docs.select(quote(doc)), doc).select("keys", "args")
-    return rows.mapInArrow(chunker(schema, table, size, ignore_conflicts), PAYLOAD_SCHEMA)
+    rows = argument_rows(docs.select(quote(doc)).where(has_keys(doc)), doc).select("keys", "args")
+    sorted_rows = rows.sortWithinPartitions("keys")
+    return sorted_rows.mapInArrow(chunker(schema, table, size, ignore_conflicts, max_bytes), PAYLOAD_SCHEMA)
 
 
 @dataclass(frozen=True)
@@ -64,11 +81,14 @@ class BulkSink:
     size: int = 1000
     ignore_conflicts: bool = False
     source: type[DataSource] = BulkDataSource
+    max_bytes: int = 16_000_000
 
     def read(self, spark: SparkSession) -> None:
         return None
 
     def write(self, df: DataFrame) -> None:
         df.sparkSession.dataSource.register(self.source)
-        payloads = bulk_payloads(df, self.schema, self.table, self.size, ignore_conflicts=self.ignore_conflicts)
+        payloads = bulk_payloads(
+            df, self.schema, self.table, self.size, ignore_conflicts=self.ignore_conflicts, max_bytes=self.max_bytes
+        )
         payloads.write.format(self.source.name()).option("url", self.url).mode("append").save()

@@ -6,31 +6,25 @@ The module is pickled by value, so executors need no copy of the package.
 from __future__ import annotations
 
 import json
-import re
 import sys
 import urllib.error
 import urllib.request
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 PAYLOAD_SCHEMA = "shape string, stmt string, n_rows bigint, payload string"
 _ARROW = pa.schema([("shape", pa.string()), ("stmt", pa.string()), ("n_rows", pa.int64()), ("payload", pa.string())])
 
-# Shapes with an open batch may hold this many batches' worth of rows before the fullest is sent.
-OPEN_BATCHES = 16
-
-# A column name that needs no quotes.
-PLAIN_NAME = re.compile(r"[a-z_][a-z0-9_]*")
-
 
 def identifier(name: str) -> str:
-    """A column name for a statement. Keys come from the data, so anything unusual is quoted."""
-    return name if PLAIN_NAME.fullmatch(name) else '"' + name.replace('"', '""') + '"'
+    """A name for a statement, always in quotes: keys come from the data and may be reserved words."""
+    return '"' + name.replace('"', '""') + '"'
 
 
 def insert_statement(schema: str, table: str, columns: list[str], ignore_conflicts: bool = False) -> str:
@@ -40,38 +34,45 @@ def insert_statement(schema: str, table: str, columns: list[str], ignore_conflic
     """
     marks = ",".join("?" for _ in columns)
     tail = " ON CONFLICT DO NOTHING" if ignore_conflicts else ""
-    return f"INSERT INTO {schema}.{table} ({','.join(map(identifier, columns))}) VALUES ({marks}){tail}"
+    return f"INSERT INTO {identifier(schema)}.{identifier(table)} ({','.join(map(identifier, columns))}) VALUES ({marks}){tail}"
 
 
-def chunker(schema: str, table: str, size: int, ignore_conflicts: bool) -> Callable:
-    def payload(keys: str, rows: list[str]) -> tuple[str, str, int, str]:
-        columns = json.loads(keys)
-        stmt = insert_statement(schema, table, columns, ignore_conflicts)
-        body = f'{{"stmt":{json.dumps(stmt, ensure_ascii=False)},"bulk_args":[{",".join(rows)}]}}'
-        return ",".join(columns), stmt, len(rows), body
+def chunker(schema: str, table: str, size: int, ignore_conflicts: bool, max_bytes: int) -> Callable:
+    """Cuts ``(keys, args)`` rows that come sorted by keys into payloads; one is open at a time."""
 
-    def batch_of(payloads: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(column, kind.type) for column, kind in zip(zip(*payloads), _ARROW)]
+    def payload(keys: str, rows: list[str]) -> pa.RecordBatch:
+        stmt = insert_statement(schema, table, json.loads(keys), ignore_conflicts)
+        body = f'{{"stmt":{json.dumps(stmt, ensure_ascii=False)},"bulk_args":[{",".join(rows)}]}}'
+        columns = [pa.array([value], kind.type) for value, kind in zip((keys, stmt, len(rows), body), _ARROW)]
         return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pending: dict[str, list[str]] = defaultdict(list)
-        held = 0
+        open_keys, rows, held = None, [], 0
         for batch in batches:
-            ready = []
-            for keys, args in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = pending[keys]
-                rows.append(args)
-                held += 1
-                if len(rows) == size or held == OPEN_BATCHES * size:
-                    full = keys if len(rows) == size else max(pending, key=lambda k: len(pending[k]))
-                    rows = pending.pop(full)
-                    held -= len(rows)
-                    ready.append(payload(full, rows))
-            if ready:
-                yield batch_of(ready)
-        if pending:
-            yield batch_of([payload(keys, rows) for keys, rows in pending.items()])
+            keys, args = batch.column(0), batch.column(1)
+            sizes = np.cumsum(pc.binary_length(args).to_numpy(zero_copy_only=False).astype(np.int64))
+            runs = pc.run_end_encode(keys)
+            at = 0
+            for end, value in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+                if rows and value != open_keys:
+                    yield payload(open_keys, rows)
+                    rows, held = [], 0
+                open_keys = value
+                while at < end:
+                    before = sizes[at - 1] if at else 0
+                    fits = int(np.searchsorted(sizes[at:end], before + max_bytes - held, side="right"))
+                    take = min(size - len(rows), fits)
+                    if not take and not rows:
+                        take = 1  # a document longer than a payload goes alone
+                    if take:
+                        rows += args.slice(at, take).to_pylist()
+                        held += int(sizes[at + take - 1] - before)
+                        at += take
+                    if len(rows) == size or at < end:
+                        yield payload(open_keys, rows)
+                        rows, held = [], 0
+        if rows:
+            yield payload(open_keys, rows)
 
     return chunk
 
@@ -88,7 +89,7 @@ def post(url: str, payload: str, timeout: float) -> dict:
         with urllib.request.urlopen(request, timeout=timeout) as response:
             return json.loads(response.read() or b"{}")
     except urllib.error.HTTPError as error:
-        raise DeliveryError(f"HTTP {error.code}: {error.read()[:500]!r}") from error
+        raise DeliveryError(f"HTTP {error.code}: {error.read()!r}") from error
     except urllib.error.URLError as error:
         raise DeliveryError(str(error.reason)) from error
 

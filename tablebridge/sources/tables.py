@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import NamedTuple
 
+from py4j.protocol import Py4JError, Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.paths import quote
@@ -56,7 +58,7 @@ def split_by(
     spark: SparkSession, url: str, table: str, column: str, count: int, properties: Mapping[str, str] | None = None
 ) -> Partitioning | None:
     """Ask the database for the bounds of ``column`` (named as the reader shows it); None for an empty table."""
-    mark = "`" if url.startswith("jdbc:mysql") else '"'
+    mark = "`" if url.startswith(("jdbc:mysql", "jdbc:mariadb")) else '"'
     quoted = mark + column.replace(mark, mark * 2) + mark
     query = f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}"
     row = spark.read.format("jdbc").options(url=url, query=query, **(properties or {})).load().first()
@@ -82,8 +84,35 @@ def count_table(spark: SparkSession, table: str | DataFrame) -> DataFrame:
     return table.agg(F.count(F.lit(1)).alias("n"))
 
 
+# The SQL states that say a table does not exist (standard, PostgreSQL, Derby).
+NO_SUCH_TABLE = ("42S02", "42P01", "42X05")
+
+
+def jdbc_table_exists(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None) -> bool:
+    """Whether the database knows the table; errors other than its absence are raised."""
+    try:
+        spark.read.format("jdbc").options(url=url, dbtable=table, **(properties or {})).load()
+    except (PySparkException, Py4JJavaError) as error:
+        cause = error.java_exception if isinstance(error, Py4JJavaError) else getattr(error, "_origin", None)
+        while cause is not None:
+            if _sql_state(cause) in NO_SUCH_TABLE:
+                return False
+            cause = cause.getCause()
+        raise
+    return True
+
+
+def _sql_state(cause) -> str | None:
+    try:
+        return cause.getSQLState()
+    except Py4JError:  # not an exception of the database
+        return None
+
+
 def count_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None) -> int:
-    """Count a SQL table in the database itself; only the number travels."""
+    """Count a SQL table in the database itself; only the number travels. A table that does not exist counts 0."""
+    if not jdbc_table_exists(spark, url, table, properties):
+        return 0
     reader = spark.read.format("jdbc").options(
         url=url, query=f"SELECT COUNT(*) AS n FROM {table}", **(properties or {})
     )
@@ -121,6 +150,10 @@ CATALOG_QUERIES = {
         "databases": "SELECT schema_name AS name FROM information_schema.schemata",
         "tables": "SELECT table_name AS name FROM information_schema.tables WHERE table_schema = '{schema}'",
     },
+    "mariadb": {
+        "databases": "SELECT schema_name AS name FROM information_schema.schemata",
+        "tables": "SELECT table_name AS name FROM information_schema.tables WHERE table_schema = '{schema}'",
+    },
     "derby": {
         "tables": "SELECT t.tablename AS name FROM sys.systables t JOIN sys.sysschemas s ON t.schemaid = s.schemaid "
         "WHERE s.schemaname = '{schema}'",

@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablebridge.operators.conform import REJECTS, conform_with_rejects, default_row_id, split_rejects
+from tablebridge.operators.conform import REJECTS, ROW_ID, conform_with_rejects, identified, split_rejects
 from tablebridge.operators.discover import DOC, MAX_KEYS, Known, discover
 from tablebridge.sinks.append import ParquetSink
 from tablebridge.sources.documents import is_document, parse_column, stream_documents
@@ -31,15 +31,16 @@ def stream_migrate(
     known: Known | None = None,
     ignore: Iterable[str] = (),
     max_files_per_trigger: int | None = None,
-    max_keys: int = MAX_KEYS,
+    max_keys: int | None = MAX_KEYS,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the migration and return the running query.
 
     By default it takes what is there and stops (``availableNow``). With
     ``known`` each batch is read once; without, twice: once to find its keys and
-    tags. Values that cannot be placed and lines that are no documents are
-    written beside the rows, when there are any.
+    tags. Rows carry ``row_id``, a hash of their document, so a document without
+    keys is a row too. Values that cannot be placed, under the same id, and
+    lines that are no documents are written beside the rows, when there are any.
     """
     ignore = list(ignore)
 
@@ -52,19 +53,16 @@ def stream_migrate(
         good = is_document("value")
         docs = parsed.where(good).select(DOC)
         found = known if known is not None else discover(docs, spec, max_keys=max_keys)
-        if not found:
-            parsed.where(~good).select(F.col("value").alias("raw")).write.mode("overwrite").parquet(target(MALFORMED))
-            return
         options = {"ignore": ignore, "stable": True, "strict": known is not None}
         counted = parsed.observe(seen, F.coalesce(F.sum((~good).cast("bigint")), F.lit(0)).alias("malformed"))
-        rows, _ = conform_with_rejects(counted.where(good).select(DOC), spec, found, **options)
+        rows, _ = conform_with_rejects(identified(counted.where(good).select(DOC), None)[0], spec, found, **options)
         rows = rows.observe(placed, F.coalesce(F.sum(F.size(REJECTS)), F.lit(0)).alias("rejected"))
         rows.drop(REJECTS).write.mode("overwrite").parquet(target(ROWS))
         if seen.get["malformed"]:
             parsed.where(~good).select(F.col("value").alias("raw")).write.mode("overwrite").parquet(target(MALFORMED))
         if placed.get["rejected"]:
-            keyed, _ = conform_with_rejects(docs.withColumn("row_id", F.expr(default_row_id())), spec, found, **options)
-            split_rejects(keyed, ["row_id"]).write.mode("overwrite").parquet(target(REJECTED))
+            keyed, _ = conform_with_rejects(identified(docs, None)[0], spec, found, **options)
+            split_rejects(keyed, [ROW_ID]).write.mode("overwrite").parquet(target(REJECTED))
 
     return (
         stream_documents(spark, in_dir, max_files_per_trigger)

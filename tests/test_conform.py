@@ -10,10 +10,10 @@ from tablebridge.operators.discover import TooManyKeys, discover
 from tablebridge.spec import SpecError, parse_spec
 
 
-def spec(strategy, name="String", sub_id="I32"):
+def spec(strategy, title="String", qty="I32"):
     return {
-        "name": {"dtype": name, "dtype_collision_strategy": strategy},
-        "sub_id": {"dtype": sub_id, "dtype_collision_strategy": strategy},
+        "title": {"dtype": title, "dtype_collision_strategy": strategy},
+        "qty": {"dtype": qty, "dtype_collision_strategy": strategy},
     }
 
 
@@ -21,53 +21,108 @@ def one(dtype, strategy, **more):
     return {"v": {"dtype": dtype, "dtype_collision_strategy": strategy, **more}}
 
 
-def test_newcol_golden(dirty):
+def filled(rows, name):
+    return {r["id"]: r[name] for r in rows if r[name] is not None}
+
+
+def test_newcol(dirty):
     done = conform(dirty, {**spec("NewCol"), "absent": {"dtype": "Object", "dtype_collision_strategy": "Cast"}}, "r")
     assert done.rows.columns == [
-        "r", "name", "name_i32", "name_object", "name_vecdyn", "sub_id", "sub_id_str", "another", "id", "surname",
+        "r", "title", "title_i32", "title_object", "title_vecdyn", "qty", "qty_str", "id", "note", "stock",
     ]
     rows = values(done.rows)
-    assert [r["name"] for r in rows] == ["one", "two", "three"] + [None] * 8
-    assert {r["id"]: r["name_i32"] for r in rows if r["name_i32"] is not None} == {7: 3}
-    assert {r["id"]: r["name_object"] for r in rows if r["name_object"]} == {
-        6: '{"key":"six","key2":[1,2,3,4]}',
-        10: '{"key":[1,2,3,4]}',
-    }
-    assert {r["id"]: r["name_vecdyn"] for r in rows if r["name_vecdyn"]} == {
-        4: '["four"]',
-        8: '["eight"]',
-        11: '[1,2,3,"4",[1,2,3,true]]',
-    }
-    assert [r["sub_id"] for r in rows] == [1, 2, 3, 4, None, None, 7, None, 9, None, None]
-    assert {r["id"]: r["sub_id_str"] for r in rows if r["sub_id_str"]} == {5: "5", 6: "6", 8: "8"}
-    assert column(done.rows, "another") == [None] * 4 + [1] + [None] * 6
+    assert filled(rows, "title") == {1: "plum", 8: "pear", 10: "lime"}
+    assert filled(rows, "title_i32") == {2: 41}
+    assert filled(rows, "title_object") == {5: '{"a":[1,{"b":null}],"c":2.5}', 9: '{"c":"d"}'}
+    assert filled(rows, "title_vecdyn") == {3: '["fig","kiwi"]', 7: '[true,7,"x",[8]]'}
+    assert filled(rows, "qty") == {1: 10, 3: 12, 6: 14, 7: 15, 9: 17, 10: 18}
+    assert filled(rows, "qty_str") == {2: "11", 4: "+13", 8: "16"}
+    assert filled(rows, "stock") == {9: 3} and filled(rows, "note") == {3: "ripe"}
     assert done.rejects.count() == 0 and done.clashes == []
 
 
-def test_cast_golden(dirty):
+def test_cast(dirty):
     done = conform(dirty, spec("Cast"), "r")
-    assert column(done.rows, "sub_id") == [1, 2, 3, 4, 5, 6, 7, 8, 9, None, None]
-    assert column(done.rows, "name") == [
-        "one", "two", "three", "four", None, '{"key":"six","key2":[1,2,3,4]}', "3", "eight", None,
-        '{"key":[1,2,3,4]}', '[1,2,3,"4",[1,2,3,true]]',
+    assert column(done.rows, "qty") == [10, 11, 12, 13, None, 14, 15, 16, 17, 18]
+    assert column(done.rows, "title") == [
+        "plum", "41", "fig kiwi", None, '{"a":[1,{"b":null}],"c":2.5}', None, '[true,7,"x",[8]]', "pear", '{"c":"d"}', "lime",
     ]
     assert done.rejects.count() == 0
 
 
-def test_remove_golden(dirty):
-    rows = conform(dirty, spec("Remove"), "r").rows
-    assert rows.columns == ["r", "name", "sub_id", "another", "id", "surname"]
-    assert [i + 1 for i, v in enumerate(column(rows, "name")) if v] == [1, 2, 3]
-    assert [i + 1 for i, v in enumerate(column(rows, "sub_id")) if v] == [1, 2, 3, 4, 7, 9]
+def test_remove(dirty):
+    rows = values(conform(dirty, spec("Remove"), "r").rows)
+    assert list(rows[0]) == ["r", "title", "qty", "id", "note", "stock"]
+    assert set(filled(rows, "title")) == {1, 8, 10} and set(filled(rows, "qty")) == {1, 3, 6, 7, 9, 10}
 
 
-def test_ignore_golden(dirty):
+def test_ignore(dirty):
     rows = conform(dirty, spec("Ignore"), "r").rows
-    assert dict(rows.dtypes)["name"] == dict(rows.dtypes)["sub_id"] == "variant"
-    assert column(rows, "name")[3] == '["four"]' and column(rows, "sub_id")[4] == '"5"'
+    assert dict(rows.dtypes)["title"] == dict(rows.dtypes)["qty"] == "variant"
+    assert column(rows, "title")[2] == '["fig","kiwi"]' and column(rows, "qty")[1] == '"11"'
     assert dict(rows.dtypes)["id"] == "int"
 
 
+BROKEN = [{"$date": "not a date"}, {"$numberInt": "3000000000"}, {"$numberLong": "9" * 20}, {"$numberDecimal": "abc"}]
+
+
+@pytest.mark.parametrize(
+    "dtype, strategy, lost",
+    [
+        ("I32", "NewCol", 4), ("I64", "NewCol", 4), ("Double64", "NewCol", 4), ("String", "NewCol", 4), ("String", "Cast", 4),
+        ("I32", "Cast", 4), ("I64", "Cast", 4), ("I32", "Remove", 1), ("I64", "Remove", 2), ("Double64", "Remove", 1),
+    ],
+)
+def test_malformed_wrappers_are_rejected(make_docs, dtype, strategy, lost):
+    done = conform(make_docs([{"v": x} for x in BROKEN]), one(dtype, strategy), "r")
+    assert done.rejects.count() == lost
+    assert all(r.column == "v" and r.expected == dtype for r in done.rejects.collect())
+
+
+def test_malformed_wrappers_under_ignore_and_inside_objects(make_docs):
+    single = conform(make_docs([{"v": BROKEN[0]}, {"v": {"$date": 5}}]), one("I32", "Ignore"), "r")
+    assert column(single.rows, "v", by="r") == [None, 5] and single.rejects.count() == 1
+    nested = one("Object", "NewCol", sub_schema={"k": {"dtype": "I32", "dtype_collision_strategy": "new_col"}})
+    inner = conform(make_docs([{"v": {"k": x}} for x in BROKEN]), nested, "r")
+    assert sorted((r.r, r.column) for r in inner.rejects.collect()) == [(i, "v.k") for i in range(4)]
+
+
+@pytest.mark.parametrize(
+    "dtype, fits, others",
+    [
+        ("VecString", [["a", "b"], ["a", None], []], [[1], "a", ["a", 1]]),
+        ("VecI32", [[1, -2], []], [[2**31], [1.5], ["1"]]),
+        ("VecI64", [[1, 2**40], []], [[1.5], [True]]),
+        ("VecF64", [[1.5, 2], [1], []], [["1.5"], [None]]),
+        ("VecF32", [[1.5], []], [[1e300], "x"]),
+        ("Double32", [1.5, {"$numberDouble": "2.5"}], [1e300, 1, "1.5"]),
+    ],
+)
+def test_declared_types_that_only_a_declaration_gives(make_docs, dtype, fits, others):
+    done = conform(make_docs([{"v": x} for x in [*fits, *others]]), one(dtype, "NewCol"), "r")
+    got = column(done.rows, "v", by="r")
+    plain = [2.5 if isinstance(x, dict) else x for x in fits]
+    assert got == plain + [None] * len(others)
+    spilled = sum(done.rows.where(F.col(c).isNotNull()).count() for c in done.rows.columns if c not in ("r", "v"))
+    assert spilled == len(others) and done.rejects.count() == 0
+
+
+def test_undeclared_keys_in_one_column(make_docs):
+    docs = make_docs([{"v": 1, "a": 2, "b": None}, {"v": "x"}, {f"k{i}": i for i in range(2100)}, {}])
+    done = conform(docs, one("I32", "NewCol"), "r", rest="others")
+    assert done.rows.columns == ["r", "v", "v_str", "others"]
+    others = column(done.rows, "others", by="r")
+    assert others[0] == '{"a":2}' and others[1] is None and len(json.loads(others[2])) == 2100 and others[3] is None
+    assert conform(docs, one("I32", "Cast"), "r", known={}, rest="others").rows.columns == ["r", "others"]
+
+
+def test_rows_and_rejects_share_an_id(make_docs):
+    docs = make_docs([{"v": "a"}, {"v": 1}]).select("doc")
+    done = conform(docs, one("I32", "Cast"))
+    joined = done.rejects.join(done.rows, "row_id")
+    assert [(r.raw_json, r.v) for r in joined.collect()] == [('"a"', None)]
+
+
 @pytest.mark.parametrize(
     "text, expected",
     [("+7", 7), (" 7 ", None), ("7.5", None), ("3000000000", None), ("", None), ("x", None), ("5\n", None), ("-0", 0)],
@@ -205,18 +260,20 @@ scalar = st.one_of(
     st.none(), st.booleans(), st.integers(-(2**40), 2**40), st.floats(-1e6, 1e6).map(lambda x: round(x, 3)), st.text("ab1 ", max_size=3)
 )
 value = st.one_of(scalar, st.lists(scalar, max_size=3), st.dictionaries(st.sampled_from("kl"), scalar, max_size=2))
-document = st.dictionaries(st.sampled_from(["name", "sub_id", "other"]), value, max_size=3)
+wrapper = st.sampled_from([*BROKEN, {"$date": 7}, {"$numberInt": "5"}, {"$numberLong": "6"}, {"$numberDecimal": "1.5"}, {"$oid": "x"}])
+document = st.dictionaries(st.sampled_from(["title", "qty", "other"]), st.one_of(value, wrapper), max_size=3)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(document, min_size=1, max_size=12))
-def test_newcol_loses_no_value_and_rejects_partition_casts(make_docs, documents):
+def test_no_value_is_lost(make_docs, documents):
     docs = make_docs(documents)
-    filled = sum(1 for d in documents for v in d.values() if v is not None)
-    rows = conform(docs, spec("NewCol"), "r").rows
-    counted = rows.select(*[F.count(F.col(c)).alias(c) for c in rows.columns if c != "r"]).first() or ()
-    assert sum(counted) == filled
-
-    cast, _ = conform_with_rejects(docs, spec("Cast", name="I32"))
-    placed = cast.select(*[F.count(F.col(c)).alias(c) for c in cast.columns if c not in ("r", REJECTS)]).first()
-    assert sum(placed or ()) + cast.agg(F.sum(F.size(REJECTS))).first()[0] == filled
+    whole = sum(1 for d in documents for v in d.values() if v is not None)
+
+    def accounted(strategy, **types):
+        """Values in columns of any type, and rejects."""
+        rows, _ = conform_with_rejects(docs, spec(strategy, **types))
+        placed = rows.select(*[F.count(F.col(c)).alias(c) for c in rows.columns if c not in ("r", REJECTS)]).first()
+        return sum(placed or ()) + rows.agg(F.sum(F.size(REJECTS))).first()[0]
+
+    assert accounted("NewCol") == accounted("Cast", title="I32") == accounted("Cast") == whole
