@@ -64,9 +64,9 @@ def test_toxicity(spark, labelled, corpus, nothing):
     found = {r.doc_id: r for r in score_toxicity(docs, model).collect()}
     held = [i for i in found if i % 3 == 0]
     assert sum((found[i].toxicity.score >= 0.5) == bool(truth[i][2]) for i in held) >= 0.95 * len(held)
-    passages = [(r.text[p.start : p.start + p.length].lower(), p) for r in found.values() for p in r.toxicity.passages]
+    passages = [(found[i].text[p.start : p.start + p.length].lower(), p) for i in held for p in found[i].toxicity.passages]
     assert all(p.expected < 0.01 and p.score > 0 and p.length > 0 for _, p in passages)
-    assert sum(any(x in text for x in INSULTS) for text, _ in passages) >= 0.9 * len(passages) >= 40
+    assert sum(any(x in text for x in INSULTS) for text, _ in passages) >= 0.9 * len(passages) >= 18
     odd = score_toxicity(corpus, model).collect()
     assert len(odd) == corpus.count() and all(0 <= r.toxicity.score <= 1 for r in odd)
     assert score_toxicity(nothing, model).count() == 0
