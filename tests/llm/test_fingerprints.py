@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import corpus, nothing, rows_of  # noqa: F401
+
 from tablebridge.llm.fingerprints import containment, edited, fingerprint, fingerprints, hashes_of, likeness, merged, resemblance, shingle_hashes, sketch, with_next
 
 

@@ -2,6 +2,8 @@ import re
 
 import pytest
 
+from llm_fixtures import nothing  # noqa: F401
+
 from tablebridge.llm.licenses import BASE_PHRASES, TEMPLATES, scan
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

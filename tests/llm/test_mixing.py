@@ -3,6 +3,8 @@ import re
 
 import pytest
 
+from llm_fixtures import corpus, nothing, rows_of  # noqa: F401
+
 from tablebridge.llm.mixing import mix, mixture_plan
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")

@@ -2,7 +2,7 @@ import random
 import re
 
 import pytest
-from conftest import near, prose
+from llm_fixtures import corpus, near, nothing, prose, rows_of  # noqa: F401
 
 from tablebridge.llm.components import components
 from tablebridge.llm.neardup import deduplicated, near_duplicates

@@ -5,6 +5,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from llm_fixtures import corpus, nothing, rows_of  # noqa: F401
+
 from tablebridge.llm.packing import WordIds, pack, places
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
