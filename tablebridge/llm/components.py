@@ -22,7 +22,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
     edges = kept(edges, "components")
-    before = None
+    before = (0, 0)
     while (now := _fingerprint(edges)) != before:
         before = now
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -10,9 +10,10 @@ less than once in ten thousand cases. That bound prunes twice before any pair is
   least one. Only these are posted, so lines and passages that many documents share, being frequent, seldom are.
 
 Postings of one value are not paired with each other. In every round a value has one centre, and each class is compared with
-the centre it agrees with most; those found alike join its component. What stays apart is paired exactly, between
-components only, and confirmed by the sizes of the full sets. So a family of n near copies costs about n comparisons, and no
-link between components is lost to the rounds.
+the centre it meets under most values; those found alike join its component. What stays apart is paired exactly, between
+components only and between sets of sizes that allow it, with collisions counted over all coordinates, and confirmed on the
+full sets. So a family of
+n near copies costs about n comparisons, and no link between components is lost to the rounds.
 
 Defined cases: null, empty and wordless texts have an empty set and link with nothing; a text with fewer words than a
 shingle has one shingle; rows of one id are one document, which links whatever any of its texts links; rows without an
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -153,19 +155,19 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
 
 
 def _buckets(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """(key, node): the postings that are left after skip and prefix."""
-    postings = classes.select("node", F.posexplode("signature").alias("k", "value")).select(
-        (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value")).alias("key"), "node"
+    """(key, node, n): the postings that are left after skip and prefix; n is the size of the set."""
+    postings = classes.select("node", "n", F.posexplode("signature").alias("k", "value")).select(
+        (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value")).alias("key"), "node", "n"
     )
     shared = kept(postings.groupBy("key").count().filter("count > 1"), "neardup-shared")
     by_class = (
         postings.join(shared, "key")
-        .groupBy("node")
+        .groupBy("node", "n")
         .agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("own"))  # at most ``coordinates`` entries
         .filter(F.size("own") >= matches)
     )
     prefix = F.slice("own", F.lit(1), F.size("own") - matches + 1)
-    return kept(by_class.select("node", F.explode(F.transform(prefix, lambda x: x["key"])).alias("key")), "neardup-buckets")
+    return kept(by_class.select("node", "n", F.explode(F.transform(prefix, lambda x: x["key"])).alias("key")), "neardup-buckets")
 
 
 def _agreeing(left: str, right: str):
@@ -173,13 +175,32 @@ def _agreeing(left: str, right: str):
     return F.aggregate(same, F.lit(0), lambda total, x: total + x)
 
 
+def _merged(labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
+    """``labels`` after the links of a turn: each component goes to the one of least priority that it was linked to.
+
+    A centre's component comes before those of its links, so the steps form trees; two jumps along them merge nearly all,
+    and what stays apart is only a component too many, which costs comparisons and no links.
+    """
+    step = links.groupBy(F.col("label").alias("a")).agg(F.min_by("c_label", _priority("c_label", turn)).alias("b"))
+    step = kept(step, "neardup-steps")
+    for _ in range(2):
+        on = step.select(F.col("a").alias("b"), F.col("b").alias("further"))
+        step = kept(step.join(on, "b", "left").select("a", F.coalesce("further", "b").alias("b")), "neardup-steps")
+    after = labels.join(step, F.col("label") == F.col("a"), "left")
+    return kept(after.select("node", F.coalesce("b", "label").alias("label")), "neardup-labels")
+
+
+def _priority(label: str, turn: int):
+    return F.struct(F.xxhash64(label, F.lit(turn)), F.col(label))
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
     percent: int = 80,
-    coordinates: int = 32,
-    matches: int = 16,
-    rounds: int = 6,
+    coordinates: int = 48,
+    matches: int = 28,
+    rounds: int = 3,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
@@ -192,7 +213,10 @@ def near_duplicates(
     rows = kept(_described(texts, words, coordinates), "neardup-rows")
     named = rows.filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     classes = kept(
-        named.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.max("signature").alias("signature")), "neardup-classes"
+        named.groupBy("node").agg(
+            F.min("doc_id").alias("first_id"), F.max("n_shingles").alias("n"), F.max("signature").alias("signature")
+        ),
+        "neardup-classes",
     )
     buckets = _buckets(classes, coordinates, matches)
     members = buckets.select("node").distinct()
@@ -202,73 +226,70 @@ def near_duplicates(
     sets = kept(_sets(chosen.filter(F.col("text").isNotNull()), words), "neardup-sets")
     if sets.count() > wanted.count():
         sets = kept(sets.dropDuplicates(["node"]), "neardup-sets")
-    labels = wanted.select("node", F.col("node").alias("label"))
-    signed = wanted.select("node", "signature")
-    tested = None
-    links = None
+
+    def fits(n: str, m: str):
+        """Sets of too unequal sizes cannot be alike enough."""
+        return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """(u, v) of the pairs whose full sets are alike enough."""
+        """The pairs (u, v) whose full sets are alike enough."""
         left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("s"))
         right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("t"))
         common = F.size(F.array_intersect("s", "t")).cast("long")
         both = pairs.join(left, "u").join(right, "v").withColumn("common", common)
         alike = F.col("common") * 100 >= (F.size("s") + F.size("t") - F.col("common")) * percent
-        return both.filter(alike).select("u", "v")
-
-    def relabelled(links: DataFrame) -> DataFrame:
-        roots = kept(components(links).select("node", F.col("root").alias("label")), "neardup-labels")
-        return wanted.select("node").join(roots, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
-
-    def open_buckets() -> DataFrame:
-        """(key, node, label, signature) of the keys under which there is more than one component."""
-        marked = buckets.join(labels, "node")
-        split = marked.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).filter("a <> b")
-        return kept(marked.join(kept(split.select("key"), "neardup-open"), "key").join(signed, "node"), "neardup-open-buckets")
+        return kept(both.filter(alike).select(*pairs.columns), "neardup-links")
 
+    labels = wanted.select("node", F.col("node").alias("label"))
+    links: list[DataFrame] = []
     for turn in range(rounds):
-        live = open_buckets()
-        centre = live.groupBy("key").agg(
-            F.min_by(F.struct("node", "label", "signature"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("c")
+        live = kept(buckets.join(labels, "node"), "neardup-live") if turn else buckets.withColumn("label", F.col("node"))
+        centre = F.min_by(F.struct("node", "label", "n"), F.struct(_priority("label", turn), F.col("node")))
+        centres = live.groupBy("key").agg(centre.alias("c"), F.min("label").alias("least"), F.max("label").alias("most"))
+        centres = kept(
+            centres.filter("least <> most").select(
+                "key", F.col("c.node").alias("v"), F.col("c.label").alias("c_label"), F.col("c.n").alias("c_n")
+            ),
+            "neardup-centres",
         )
-        met = live.join(kept(centre, "neardup-centres"), "key").filter(F.col("label") != F.col("c.label"))
-        agree = _agreeing("signature", "c.signature")
-        pairs = met.select("node", F.col("c.node").alias("centre"), agree.alias("agree")).filter(F.col("agree") >= matches)
-        best = pairs.groupBy("node").agg(F.max(F.struct("agree", "centre")).alias("best"))
-        pairs = best.select(
-            F.greatest("node", "best.centre").alias("u"), F.least("node", "best.centre").alias("v")
-        ).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = kept(pairs, "neardup-pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = kept(confirmed(pairs), "neardup-links")
-        links = found if links is None else links.unionByName(found)
+        met = live.join(centres, "key").filter(fits("n", "c_n")).filter("label <> c_label").groupBy(F.col("node").alias("u"), "v", "label", "c_label")
+        best = F.max(F.struct("count", "v", "c_label")).alias("best")
+        pairs = met.count().groupBy("u", "label").agg(best).select("u", "label", "best.v", "best.c_label")
+        found = confirmed(kept(pairs, "neardup-pairs"))
         if found.isEmpty():
             break
-        labels = relabelled(links)
+        links.append(found.select("u", "v"))
+        labels = _merged(labels, found, turn)
     # All pairs that are left: between components only, and those of a key only where its components differ.
-    live = open_buckets()
-    sides = live.select("key", "label").distinct()
-    apart = (
-        sides.withColumnRenamed("label", "a")
-        .join(sides.withColumnRenamed("label", "b"), "key")
-        .filter("a < b")
-    )
-    left = live.select("key", F.col("label").alias("a"), F.col("node").alias("x"), F.col("signature").alias("xs"))
-    right = live.select("key", F.col("label").alias("b"), F.col("node").alias("y"), F.col("signature").alias("ys"))
-    rest = apart.join(left, ["key", "a"]).join(right, ["key", "b"]).filter(_agreeing("xs", "ys") >= matches)
-    rest = rest.select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
-    if tested is not None:
-        rest = rest.join(tested, ["u", "v"], "left_anti")
-    found = kept(confirmed(kept(rest, "neardup-pairs")), "neardup-links")
-    links = found if links is None else links.unionByName(found)
+    live = buckets.join(labels, "node")
+    mixed = live.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    live = kept(live.join(kept(mixed.select("key"), "neardup-mixed"), "key"), "neardup-live")
+    if not live.isEmpty():
+        live = live.join(wanted.select("node", "signature"), "node")
+        sides = live.select("key", "label").distinct()
+        apart = sides.withColumnRenamed("label", "a").join(sides.withColumnRenamed("label", "b"), "key").filter("a < b")
+        left = live.select("key", F.col("label").alias("a"), F.col("node").alias("x"), "n", F.col("signature").alias("xs"))
+        right = live.select("key", F.col("label").alias("b"), F.col("node").alias("y"), F.col("n").alias("m"), F.col("signature").alias("ys"))
+        both = apart.join(left, ["key", "a"]).join(right, ["key", "b"])
+        rest = both.filter(fits("n", "m")).filter(_agreeing("xs", "ys") >= matches)
+        links.append(confirmed(kept(rest.select(F.col("x").alias("u"), F.col("y").alias("v")).distinct(), "neardup-pairs")))
     # An id with several sets ties them together.
-    ties = named.groupBy("doc_id").agg(F.min("node").alias("m"), F.max("node").alias("x")).filter("m <> x")
-    tied = named.select("doc_id", F.col("node").alias("u")).join(ties.select("doc_id", F.col("m").alias("v")), "doc_id")
-    roots = kept(components(links.unionByName(tied.filter("u <> v").select("u", "v"))), "neardup-roots")
-    grouped = classes.select("node", "first_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    grouped = kept(grouped, "neardup-grouped")
+    ties = named.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("most")).filter("v <> most")
+    ties = kept(ties.select("doc_id", "v"), "neardup-ties")
+    tied = named.select("doc_id", F.col("node").alias("u")).join(ties, "doc_id").filter("u <> v").select("u", "v")
+    # Components of the components: most links lie within one of those the rounds have found.
+    of = classes.select("node").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
+    of = kept(of, "neardup-labels")
+    links = reduce(DataFrame.unionByName, links, tied if not ties.isEmpty() else tied.limit(0))
+    across = (
+        links.join(of.select(F.col("node").alias("u"), F.col("label").alias("a")), "u")
+        .join(of.select(F.col("node").alias("v"), F.col("label").alias("b")), "v")
+        .filter("a <> b")
+        .select(F.col("a").alias("u"), F.col("b").alias("v"))
+    )
+    roots = components(across).select(F.col("node").alias("label"), "root")
+    grouped = classes.select("node", "first_id").join(of, "node").join(roots, "label", "left")
+    grouped = kept(grouped.select("node", "first_id", F.coalesce("root", "label").alias("root")), "neardup-grouped")
     least = kept(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")), "neardup-least")
     ids = kept(grouped.join(least, "root").select("node", "component_id"), "neardup-components")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
