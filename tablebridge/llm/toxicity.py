@@ -149,10 +149,18 @@ def _log_odds(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dic
     return shares
 
 
+def word_values(words: list[str], scores: Scores) -> np.ndarray:
+    """Scores of the words in order; a word right after itself is no further evidence."""
+    values = np.fromiter(map(scores.__getitem__, words), float, len(words))
+    again = np.zeros(len(values), bool)
+    again[1:] = (values[1:] == values[:-1]) & (values[1:] > 0)
+    values[again] = 0.0
+    return values
+
+
 def segments_of(text: str, scores: Scores) -> tuple[list[tuple[float, int, int]], int]:
     words = WORDS.findall(text)
-    values = np.fromiter(map(scores.__getitem__, words), float, len(words))
-    return maximal_segments(values), len(words)
+    return maximal_segments(word_values(words, scores)), len(words)
 
 
 def summary(segments: list[tuple[float, int, int]], n: int, model: ToxicModel) -> tuple[float, float]:
@@ -186,7 +194,7 @@ def fit_toxicity(
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = WORDS.findall(text)
-                values = np.fromiter(map(scores.__getitem__, words), float, len(words))
+                values = word_values(words, scores)
                 found = [s for s, _, _ in maximal_segments(values)]
                 bins, many = np.unique(np.round(values, 1), return_counts=True) if label == 0 else ([], [])
                 yield pa.RecordBatch.from_arrays(
