@@ -154,20 +154,39 @@ def _sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "node binary, shingles array<long>")
 
 
-def _buckets(classes: DataFrame, coordinates: int, matches: int) -> DataFrame:
-    """(key, node, n): the postings that are left after skip and prefix; n is the size of the set."""
+def _shared_values(classes: DataFrame) -> DataFrame:
+    """(node, n, count, key): the postings whose value more than one class has; n is the size of the set."""
     postings = classes.select("node", "n", F.posexplode("signature").alias("k", "value")).select(
         (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value")).alias("key"), "node", "n"
     )
-    shared = kept(postings.groupBy("key").count().filter("count > 1"), "neardup-shared")
-    by_class = (
-        postings.join(shared, "key")
-        .groupBy("node", "n")
-        .agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("own"))  # at most ``coordinates`` entries
-        .filter(F.size("own") >= matches)
-    )
-    prefix = F.slice("own", F.lit(1), F.size("own") - matches + 1)
-    return kept(by_class.select("node", "n", F.explode(F.transform(prefix, lambda x: x["key"])).alias("key")), "neardup-buckets")
+    return postings.join(kept(postings.groupBy("key").count().filter("count > 1"), "neardup-shared"), "key")
+
+
+def _enough(postings: DataFrame, by: list[str], matches: int) -> DataFrame:
+    """(by..., own): the sorted (count, key) of each node, at most one per coordinate, where there are enough to match."""
+    own = F.sort_array(F.collect_list(F.struct("count", "key"))).alias("own")
+    return postings.groupBy(*by).agg(own).filter(F.size("own") >= matches)
+
+
+def _prefix(rows: DataFrame, by: list[str], matches: int) -> DataFrame:
+    """(key, by...): the rarest postings, one of which any two nodes with enough matches share."""
+    rarest = F.slice("own", F.lit(1), F.size("own") - matches + 1)
+    return rows.select(*by, F.explode(F.transform(rarest, lambda x: x["key"])).alias("key"))
+
+
+def _apart(values: DataFrame, labels: DataFrame, matches: int) -> DataFrame:
+    """(key, node, n, label): skip and prefix once more, for pairs from different components alone.
+
+    Such a pair matches only in values that more than one component has. A node with too few of these drops out, which
+    leaves others with too few; two turns take out nearly all that share no more than a passage.
+    """
+    by = ["node", "n", "label"]
+    rows = values.join(labels, "node").select(*by, "own")
+    for _ in range(2):
+        postings = rows.select(*by, F.inline("own"))
+        mixed = postings.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+        rows = kept(_enough(postings.join(kept(mixed.select("key"), "neardup-mixed"), "key"), by, matches), "neardup-apart")
+    return kept(_prefix(rows, by, matches), "neardup-live")
 
 
 def _agreeing(left: str, right: str):
@@ -218,9 +237,9 @@ def near_duplicates(
         ),
         "neardup-classes",
     )
-    buckets = _buckets(classes, coordinates, matches)
-    members = buckets.select("node").distinct()
-    wanted = kept(classes.join(members, "node").select("node", "first_id", "signature"), "neardup-members")
+    values = kept(_enough(_shared_values(classes), ["node", "n"], matches), "neardup-values")
+    buckets = kept(_prefix(values, ["node", "n"], matches), "neardup-buckets")
+    wanted = kept(classes.join(values.select("node"), "node").select("node", "first_id", "signature"), "neardup-members")
     # By id and then by the set itself, as an id may have several texts, and one text in several rows.
     chosen = texts.join(wanted.select(F.col("first_id").alias("doc_id"), "node"), "doc_id").select("node", "text")
     sets = kept(_sets(chosen.filter(F.col("text").isNotNull()), words), "neardup-sets")
@@ -260,10 +279,8 @@ def near_duplicates(
             break
         links.append(found.select("u", "v"))
         labels = _merged(labels, found, turn)
-    # All pairs that are left: between components only, and those of a key only where its components differ.
-    live = buckets.join(labels, "node")
-    mixed = live.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
-    live = kept(live.join(kept(mixed.select("key"), "neardup-mixed"), "key"), "neardup-live")
+    # All pairs that are left, between components only.
+    live = _apart(values, labels, matches)
     if not live.isEmpty():
         live = live.join(wanted.select("node", "signature"), "node")
         sides = live.select("key", "label").distinct()
