@@ -200,7 +200,8 @@ def _merged(labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     A centre's component comes before those of its links, so the steps form trees; two jumps along them merge nearly all,
     and what stays apart is only a component too many, which costs comparisons and no links.
     """
-    step = links.groupBy(F.col("label").alias("a")).agg(F.min_by("c_label", _priority("c_label", turn)).alias("b"))
+    first = F.min_by("c_label", _priority("c_label", "c_size", turn))
+    step = links.groupBy(F.col("label").alias("a")).agg(first.alias("b"))
     step = kept(step, "neardup-steps")
     for _ in range(2):
         on = step.select(F.col("a").alias("b"), F.col("b").alias("further"))
@@ -209,8 +210,9 @@ def _merged(labels: DataFrame, links: DataFrame, turn: int) -> DataFrame:
     return kept(after.select("node", F.coalesce("b", "label").alias("label")), "neardup-labels")
 
 
-def _priority(label: str, turn: int):
-    return F.struct(F.xxhash64(label, F.lit(turn)), F.col(label))
+def _priority(label: str, size: str, turn: int):
+    """Large components first, so that what is still apart is compared with them; then by a hash that changes by turn."""
+    return F.struct(-F.col(size), F.xxhash64(label, F.lit(turn)), F.col(label))
 
 
 def near_duplicates(
@@ -262,18 +264,23 @@ def near_duplicates(
     labels = wanted.select("node", F.col("node").alias("label"))
     links: list[DataFrame] = []
     for turn in range(rounds):
-        live = kept(buckets.join(labels, "node"), "neardup-live") if turn else buckets.withColumn("label", F.col("node"))
-        centre = F.min_by(F.struct("node", "label", "n"), F.struct(_priority("label", turn), F.col("node")))
+        if turn:
+            sizes = kept(labels.groupBy("label").agg(F.count("*").alias("size")), "neardup-sizes")
+            live = kept(buckets.join(labels.join(sizes, "label"), "node"), "neardup-live")
+        else:
+            live = buckets.withColumns({"label": F.col("node"), "size": F.lit(1).cast("long")})
+        order = F.struct(_priority("label", "size", turn), F.xxhash64("node", F.lit(turn)), F.col("node"))
+        centre = F.min_by(F.struct("node", "label", "n", "size"), order)
         centres = live.groupBy("key").agg(centre.alias("c"), F.min("label").alias("least"), F.max("label").alias("most"))
         centres = kept(
             centres.filter("least <> most").select(
-                "key", F.col("c.node").alias("v"), F.col("c.label").alias("c_label"), F.col("c.n").alias("c_n")
+                "key", F.col("c.node").alias("v"), F.col("c.label").alias("c_label"), F.col("c.n").alias("c_n"), F.col("c.size").alias("c_size")
             ),
             "neardup-centres",
         )
-        met = live.join(centres, "key").filter(fits("n", "c_n")).filter("label <> c_label").groupBy(F.col("node").alias("u"), "v", "label", "c_label")
-        best = F.max(F.struct("count", "v", "c_label")).alias("best")
-        pairs = met.count().groupBy("u", "label").agg(best).select("u", "label", "best.v", "best.c_label")
+        met = live.join(centres, "key").filter(fits("n", "c_n")).filter("label <> c_label").groupBy(F.col("node").alias("u"), "v", "label", "c_label", "c_size")
+        best = F.max(F.struct("count", "v", "c_label", "c_size")).alias("best")
+        pairs = met.count().groupBy("u", "label").agg(best).select("u", "label", "best.v", "best.c_label", "best.c_size")
         found = confirmed(kept(pairs, "neardup-pairs"))
         if found.isEmpty():
             break
