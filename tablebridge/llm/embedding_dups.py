@@ -127,7 +127,7 @@ def _placed(classes: DataFrame, books: Codebooks, steps: int, kind: str) -> Data
 
 
 def _ranks(classes: DataFrame, books: Codebooks, queries: dict[int, np.ndarray], threshold: float, most: int, kind: str):
-    """Counts of true neighbours of the queries by how many cells are visited before theirs; ``most``: not within ``most``."""
+    """For the queries of each size, true neighbours (columns) by how many cells are visited before theirs; ``most``: not within ``most``."""
     prepared = {}
     for size, x in queries.items():
         cells, _ = traversal(x, books[size], most)
@@ -137,7 +137,7 @@ def _ranks(classes: DataFrame, books: Codebooks, queries: dict[int, np.ndarray],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books, prepared = shared.value
-        counts = np.zeros(most + 1, np.int64)
+        counts = {size: np.zeros((len(x), most + 1), np.int64) for size, (x, _) in prepared.items()}
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 raw = whole.column(0).slice(at, 1000).to_pylist()
@@ -149,11 +149,24 @@ def _ranks(classes: DataFrame, books: Codebooks, queries: dict[int, np.ndarray],
                     q, r = q[far], r[far]
                     cells = traversal(own[r], books[size], 1)[0][:, 0] if len(r) else []
                     for a, cell in zip(q, cells):
-                        counts[ranks[a].get(int(cell), most)] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(most + 1)), pa.array(counts)], names=["rank", "n"])
+                        counts[size][a, ranks[a].get(int(cell), most)] += 1
+        for size, of in counts.items():
+            q, rank = np.nonzero(of)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(q), size)), pa.array(q), pa.array(rank), pa.array(of[q, rank])], names=["size", "q", "rank", "n"]
+            )
+
+    counts = {size: np.zeros((len(x), most + 1), np.int64) for size, x in queries.items()}
+    rows = classes.select("vector").mapInArrow(run, "size long, q long, rank long, n long")
+    for row in rows.groupBy("size", "q", "rank").agg(F.sum("n").alias("n")).collect():
+        counts[row["size"]][row.q, row["rank"]] = row.n
+    return counts
+
 
-    rows = classes.select("vector").mapInArrow(run, "rank long, n long").groupBy("rank").agg(F.sum("n").alias("n")).collect()
-    return np.array([n for _, n in sorted((row.rank, row.n) for row in rows)] or [0] * (most + 1))
+def _covered(counts: np.ndarray) -> np.ndarray:
+    """The share of a query's neighbours within 1, 2, ... cells, as the mean over queries that have any: a crowd counts as one."""
+    some = counts[counts.sum(axis=1) > 0]
+    return (np.cumsum(some, axis=1) / some.sum(axis=1, keepdims=True)).mean(axis=0)
 
 
 def fit_index(
@@ -183,10 +196,10 @@ def fit_index(
         queries[size] = x[: max(1, query_rows * len(x) // len(picked))]
     if not books:
         return {}, 1, 1.0
-    counts = _ranks(classes, books, queries, threshold, most_steps, kind)
-    covered = np.cumsum(counts) / max(1, counts.sum())
+    counts = np.concatenate(list(_ranks(classes, books, queries, threshold, most_steps, kind).values()))
     if not counts.sum():
         return books, 8, 1.0
+    covered = _covered(counts)
     steps = int(np.searchsorted(covered[:-1], recall)) + 1
     return books, min(steps, most_steps), float(covered[min(steps, most_steps) - 1])
 

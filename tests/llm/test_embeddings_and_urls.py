@@ -64,6 +64,35 @@ def test_no_vectors(spark):
     assert {(r.vec_id, r.n_links, r.component_id) for r in embedding_duplicates(only_bad).collect()} == {(1, 0, 1), (2, 0, 2)}
 
 
+def with_pairs(rng, tight, alone, pairs, d=16):
+    """A tight group, vectors with no link, and pairs at a cosine of 0.95 to 0.96."""
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    group = unit(unit(rng.normal(size=d)) + rng.normal(size=(tight, d)) * 0.001)
+    first, other = unit(rng.normal(size=(pairs, d))), rng.normal(size=(pairs, d))
+    other = unit(other - (other * first).sum(1)[:, None] * first)
+    cos = rng.uniform(0.9505, 0.96, size=(pairs, 1))
+    x = np.concatenate([group, unit(rng.normal(size=(alone, d))), first, cos * first + np.sqrt(1 - cos * cos) * other])
+    return [(i, v) for i, v in enumerate(x.tolist())]
+
+
+def lost_links(spark, rows, **options):
+    """Links of brute force, those of them that were not found, and the result's first row."""
+    x = np.array([v for _, v in rows])
+    want = (x @ x.T >= 0.95).sum(axis=1) - 1
+    found = embedding_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), **options).collect()
+    got = {r.vec_id: r.n_links for r in found}
+    assert all(got[i] <= n for i, n in enumerate(want))
+    return want, np.array([n - got[i] for i, n in enumerate(want)]), found[0]
+
+
+def test_a_tight_group_does_not_hide_lost_pairs(spark):
+    want, lost, row = lost_links(spark, with_pairs(np.random.default_rng(12), 1000, 0, 1000))
+    pairs = want[1000:].sum()
+    assert lost[1000:].sum() <= 0.003 * pairs and not lost[:1000].any() and row.measured_recall >= 0.9995
+
+
 def test_traversal_is_the_order_of_all_cells():
     rng = np.random.default_rng(3)
     x, books = rng.normal(size=(20, 6)), (rng.normal(size=(7, 3)), rng.normal(size=(5, 3)))
