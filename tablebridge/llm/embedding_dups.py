@@ -2,8 +2,9 @@
 
 Each half of a vector has a codebook of its own, so k + k centroids make a grid of k * k cells. A vector lies in one cell and
 visits the cells nearest to it, in the order of the multi-sequence traversal (the sum of its distances to the two
-centroids), until the target recall. How many cells that takes is measured: the true neighbours of a bounded set of
-vectors are found by brute force over all vectors, and the visits cover the wanted share of their cells. A pair is
+centroids), until the target recall. How many cells that takes is measured: the true neighbours of query vectors, drawn until enough of them
+have any, are found by brute force over all vectors, and the visits cover the wanted share of their cells, as the mean over
+these queries. A pair is
 compared if either vector visits the cell of the other, and linked if its cosine in double precision reaches the
 threshold, so links are never wrong and seldom missing.
 
@@ -176,32 +177,66 @@ def fit_index(
     recall: float,
     sample_rows: int = 20_000,
     query_rows: int = 1_000,
+    linked_queries: int = 200,
     most_steps: int = 64,
 ) -> tuple[Codebooks, int, float]:
-    """(codebooks, cells to visit, measured recall). The driver sees at most ``sample_rows`` vectors, and at most 64 MB."""
+    """(codebooks, cells to visit, measured recall). The driver sees at most ``sample_rows`` vectors, and at most 64 MB.
+
+    Blocks of queries are drawn until ``linked_queries`` of them have neighbours or every vector was one; those of the
+    codebook sample come last. If ``most_steps`` cells don't reach the recall, the codebooks are halved, down to a grid of
+    ``most_steps`` cells, which reaches any.
+    """
     n = classes.count()
+    width = np.dtype(kind).itemsize
     longest = classes.agg(F.max(F.length("vector"))).first()[0] or 1
-    rows = max(1, min(sample_rows, 64_000_000 // longest))
-    picked = classes.select("node", "vector").orderBy(F.xxhash64("node")).limit(rows).collect()
-    by_size: dict[int, list[bytes]] = {}
-    for row in picked:
-        by_size.setdefault(len(row.vector) // np.dtype(kind).itemsize, []).append(bytes(row.vector))
+    rows = max(1, min(sample_rows, n // 2, 64_000_000 // longest))
+    drawn = kept(classes.select("node", "vector", F.xxhash64("node").alias("h")), "embedding-drawn")
+    picked = drawn.orderBy("h", "node").limit(rows).collect()
     k = 2 ** int(np.clip(np.round(np.log2(max(1.0, np.sqrt(n)) / 4)), 1, 10))
-    books, queries = {}, {}
-    for size, values in by_size.items():
-        x = _unit(values, kind)
-        half = size // 2
-        each = max(1, min(k, len(x) // 16))
-        books[size] = (codebook(x[:, :half], each), codebook(x[:, half:], each))
-        queries[size] = x[: max(1, query_rows * len(x) // len(picked))]
-    if not books:
-        return {}, 1, 1.0
-    counts = np.concatenate(list(_ranks(classes, books, queries, threshold, most_steps, kind).values()))
-    if not counts.sum():
-        return books, 8, 1.0
-    covered = _covered(counts)
-    steps = int(np.searchsorted(covered[:-1], recall)) + 1
-    return books, min(steps, most_steps), float(covered[min(steps, most_steps) - 1])
+    by_size = {size: _unit(values, kind) for size, values in _by_size(picked, width).items()}
+
+    def fitted(k: int) -> Codebooks:
+        each = {size: max(1, min(k, len(x) // 16)) for size, x in by_size.items()}
+        return {
+            size: (codebook(x[:, : size // 2], each[size]), codebook(x[:, size // 2 :], each[size])) for size, x in by_size.items()
+        }
+
+    books = fitted(k)
+    linked: dict[int, list[np.ndarray]] = {}
+    counts: list[np.ndarray] = []
+    left, asked, found = drawn, 0, 0
+    while asked < n and found < linked_queries:
+        block = left.orderBy(F.desc("h"), F.desc("node")).limit(max(1, min(max(query_rows, asked), 8 * query_rows, 64_000_000 // longest))).collect()
+        last = block[-1]
+        left = drawn.filter((F.col("h") < last.h) | (F.col("h") == last.h) & (F.col("node") < F.lit(bytes(last.node))))
+        asked += len(block)
+        # Vectors of a length without codebooks are all compared with each other.
+        queries = {size: _unit(values, kind) for size, values in _by_size(block, width).items() if size in books}
+        for size, of in _ranks(classes, books, queries, threshold, most_steps, kind).items():
+            some = of.sum(axis=1) > 0
+            linked.setdefault(size, []).append(queries[size][some])
+            counts.append(of[some])
+            found += int(some.sum())
+    if not found:
+        return books, 1, 1.0  # every vector was asked, and none has a neighbour
+    covered = _covered(np.concatenate(counts))
+    # Within rounding, as the whole grid must count as all.
+    while covered[-2] < recall - 1e-9:
+        if k * k <= most_steps:
+            raise ValueError(f"recall {covered[-2]} instead of {recall} in {most_steps} cells")
+        k //= 2
+        books = fitted(k)
+        again = {size: np.concatenate(x) for size, x in linked.items()}
+        covered = _covered(np.concatenate(list(_ranks(classes, books, again, threshold, most_steps, kind).values())))
+    steps = int(np.argmax(covered[:-1] >= recall - 1e-9)) + 1
+    return books, steps, float(covered[steps - 1])
+
+
+def _by_size(rows: list, width: int) -> dict[int, list[bytes]]:
+    found: dict[int, list[bytes]] = {}
+    for row in rows:
+        found.setdefault(len(row.vector) // width, []).append(bytes(row.vector))
+    return found
 
 
 def _linked(left: dict, right: dict, threshold: float, kind: str, within: bool):

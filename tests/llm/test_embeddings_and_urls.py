@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tablebridge.llm.embedding_dups import embedding_duplicates, traversal
+from tablebridge.llm.embedding_dups import _classes, embedding_duplicates, fit_index, traversal
 from tablebridge.llm.url_filters import filter_urls, host_edges, host_of, path_of, personalised_rank
 from pyspark.sql import functions as F
 
@@ -93,6 +93,19 @@ def test_a_tight_group_does_not_hide_lost_pairs(spark):
     assert lost[1000:].sum() <= 0.003 * pairs and not lost[:1000].any() and row.measured_recall >= 0.9995
 
 
+def test_rare_pairs_are_found(spark):
+    want, lost, row = lost_links(spark, with_pairs(np.random.default_rng(5), 1, 6000, 40))
+    assert 60 <= want.sum() <= 120 and not lost.any() and row.measured_recall >= 0.9995
+
+
+def test_codebooks_are_halved_until_the_recall_is_reached(spark):
+    rows = with_pairs(np.random.default_rng(7), 1, 0, 400)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    classes = _classes(frame, "<f8").withColumn("copies", F.lit(1).cast("long"))
+    books, steps, measured = fit_index(classes, "<f8", 0.95, 0.9995, most_steps=2)
+    assert measured >= 0.9995 and steps <= 2 and len(books[16][0]) == 1
+
+
 def test_traversal_is_the_order_of_all_cells():
     rng = np.random.default_rng(3)
     x, books = rng.normal(size=(20, 6)), (rng.normal(size=(7, 3)), rng.normal(size=(5, 3)))
