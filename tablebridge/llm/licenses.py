@@ -1,8 +1,8 @@
 """License scans (10): a positional index of rare notice words, in DataFrame functions only.
 
 A template is a notice as it stands in files, with the key phrases that it must have. The scan counts in how many
-documents each template word occurs; a document then looks up only the rarest template words that it has. A look-up gives
-the templates that hold the word and where; template positions intersect where they put the template's start at the same
+documents each template word occurs; of these the rare ones are indexed, and a document looks up every one of them that it
+has, wherever it stands, so that no length or mixture of notices hides one. A look-up gives the templates that hold the word and where; template positions intersect where they put the template's start at the same
 word of the document. Starts with enough hits are candidates, and a candidate counts when every key phrase stands at its
 place. Besides, short base phrases are searched word by word.
 
@@ -174,7 +174,6 @@ def scan(
     docs: DataFrame,
     templates: tuple[Template, ...] = TEMPLATES,
     phrases: dict[str, str] | None = None,
-    rare_words: int = 12,
     hits: int = 3,
     common: float = 0.05,
     id_column: str = "doc_id",
@@ -183,7 +182,7 @@ def scan(
     """``docs`` with ``n_words``, ``base`` (place, label), ``found`` (label, place, share of the template's words) and ``labels``.
 
     Indexed are template words that at most the share ``common`` of all documents has, and the rarest few of every
-    template. A document looks up its ``rare_words`` rarest ones; a template needs ``hits`` of them in line (fewer if it
+    template. A document looks up all of them that it has; a template needs ``hits`` of them in line (fewer if it
     has fewer), and all its key phrases.
     """
     phrases = BASE_PHRASES if phrases is None else phrases
@@ -218,13 +217,7 @@ def scan(
 
     def candidates(of: Column) -> Column:
         """(t, d): templates with enough look-ups that put their start at word d."""
-        rarest = F.slice(F.array_intersect(strings(ranked), of), 1, rare_words)
-        return bound(rarest, lambda rare: in_line(of, rare))
-
-    def in_line(of: Column, rare: Column) -> Column:
-        places = F.filter(
-            F.transform(of, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: F.array_contains(rare, x["w"])
-        )
+        places = F.filter(F.transform(of, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda x: x["w"].isin(ranked))
         starts = F.flatten(
             F.transform(
                 places,
@@ -251,7 +244,7 @@ def scan(
                 F.when(reached, F.concat(acc["enough"], F.array(x))).otherwise(acc["enough"]).alias("enough"),
             )
 
-        return F.aggregate(F.array_sort(starts), empty, step, lambda acc: acc["enough"])
+        return F.aggregate(F.sort_array(starts), empty, step, lambda acc: acc["enough"])
 
     keys = F.array(
         *[

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -50,5 +51,18 @@ def test_every_template_finds_itself(files):
     assert "mit-released" in found[n + 7].labels and "mit-text" not in found[n + 8].labels
 
 
+def test_long_files_keep_their_notices(spark):
+    rng = random.Random(1)
+    words = sorted({w for t in TEMPLATES for w in t.words})
+    around = lambda n: " ".join(rng.choices(words, k=n))
+    texts = [" ".join(t.text for t in TEMPLATES), *(f"{around(10_000)} {t.text} {around(10_000)}" for t in TEMPLATES)]
+    # A corpus in which some template words are rarer than others.
+    texts += [" ".join(rng.choices(words[: 1 + i], k=40)) for i in range(len(words))]
+    found = {r.doc_id: r for r in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert {t.label for t in TEMPLATES} <= set(found[0].labels)
+    for i, t in enumerate(TEMPLATES, 1):
+        assert (t.label, 10_000, 1.0) in [(f.label, f.place, f.share) for f in found[i].found]
+
+
 def test_nothing(nothing):
     assert scan(nothing).count() == 0
