@@ -321,7 +321,19 @@ def near_duplicates(
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component: that of the smallest id, once. Rows without an id all stay."""
-    found = near_duplicates(docs, id_column=id_column, text_column=text_column, **options)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_column).cast("long") == F.col("_gone"), "left_anti")
+    """``docs`` with one row of each component: that of the smallest id, once. Rows without an id all stay.
+
+    Of several rows with that id the one whose text has the least hash stays, then the least text and other columns.
+    """
+    found = near_duplicates(docs, id_column=id_column, text_column=text_column, **options).filter("doc_id IS NOT NULL")
+    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
+    marked = kept(ids.filter("_id <> least OR n > 1").select("_id", (F.col("_id") != F.col("least")).alias("gone")), "neardup-marked")
+    key = F.col(id_column).cast("long")
+    alone = docs.join(marked.select("_id"), key == F.col("_id"), "left_anti")
+    # Written first, so that rows of one id are read by many tasks and combined there.
+    several = kept(docs.join(marked.filter("NOT gone").select("_id"), key == F.col("_id"), "left_semi"), "neardup-repeated")
+    text = F.col(text_column).cast("string")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_column, text_column)]
+    order = F.struct(F.xxhash64(text), text, F.to_json(F.struct(*others)) if others else F.lit(""))
+    one = several.groupBy(key.alias("_id")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("_row"))
+    return alone.unionByName(one.select("_row.*"))

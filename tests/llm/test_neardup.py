@@ -64,6 +64,19 @@ def test_one_of_each_group_stays(corpus, rows_of, nothing):
     assert near_duplicates(nothing).count() == 0 and deduplicated(nothing).count() == 0
 
 
+def test_each_kept_id_has_one_row(spark):
+    rng = random.Random(9)
+    a, b, c = (prose(rng, "en", 60) for _ in range(3))
+    rows = [(5, a, {"k": 1})] * 200 + [(5, b, {"k": 2}), (5, near(rng, a, 1), {"k": 3}), (7, a, {"k": 4}), (8, c, {"k": 5}), (8, c, {"k": 5})]
+    rows += [(9, None, None), (9, None, None), (9, "", {"k": 6}), (None, a, None), (None, a, None), (10, prose(rng, "de", 60), {})]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, more map<string,int>")
+    found = deduplicated(frame).collect()
+    assert sorted((r.doc_id for r in found), key=str) == [10, 5, 8, 9, None, None]
+    assert all((r.doc_id, r.text, r.more) in rows for r in found) and found[0].asDict().keys() == {"doc_id", "text", "more"}
+    again = deduplicated(frame.repartition(7, "text")).collect()
+    assert sorted(map(str, found)) == sorted(map(str, again))
+
+
 def test_one_id_with_two_texts(spark):
     rng = random.Random(3)
     a, b = prose(rng, "en", 60), prose(rng, "de", 60)
