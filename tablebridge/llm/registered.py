@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.llm.common import held_out, read
 from tablebridge.llm.embedding_dups import embedding_duplicates
+from tablebridge.llm.filter_audit import audit, text_filters
 from tablebridge.llm.fingerprints import edited, fingerprint, fingerprints, likeness, sketch, with_next
 from tablebridge.llm.langid import fit_languages, identify
 from tablebridge.llm.licenses import scan
@@ -15,8 +16,10 @@ from tablebridge.llm.mixing import mix, mixture_plan, n_words
 from tablebridge.llm.neardup import near_duplicates
 from tablebridge.llm.packing import pack
 from tablebridge.llm.quality import fit_quality, score_quality
+from tablebridge.llm.top_inner import top_inner_products
 from tablebridge.llm.toxicity import fit_toxicity, score_toxicity
 from tablebridge.llm.url_filters import filter_urls
+from tablebridge.llm.whitening import Whitening, whiten
 
 LANGUAGE_PIECES = public_tokenizers.path("piece_bpe_32k.model")
 PACKING_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -221,6 +224,94 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang")
+    return audit(docs, text_filters(F.col("text")), read(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS again
+  FROM documents),
+marks AS (
+  SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, (len(w) < 100)::INT + (100 * len(list_distinct(w)) < 80 * len(w))::INT * 2
+               + (100 * (length(text) - length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))) > 10 * length(text))::INT * 4
+               + regexp_matches(text, '[#$%&*|]')::INT * 8 + again::INT * 16 AS mask,
+         count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM docs LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+states AS (
+  SELECT part, active, sum(CASE WHEN mask & active = 0 THEN n ELSE 0 END) AS n,
+         sum(CASE WHEN mask & active = 0 THEN good ELSE 0 END) AS good, sum(CASE WHEN mask & active = 0 THEN toxic ELSE 0 END) AS toxic
+  FROM cells, range(32) AS t(active) GROUP BY part, active),
+letters AS (SELECT i::INT AS i, substr('ABCDE', i::INT + 1, 1) AS name FROM range(5) AS t(i)),
+orders AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS way
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE (1 << a.i) + (1 << b.i) + (1 << c.i) + (1 << d.i) + (1 << e.i) = 31
+    AND len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (
+  SELECT filter_order, k::INT AS step, way[k] AS i, coalesce(list_sum(list_transform(way[1:k - 1], lambda x: 1 << x)), 0)::BIGINT AS earlier
+  FROM orders, range(1, 6) AS t(k)),
+walked AS (
+  SELECT x.part, s.filter_order, s.step, s.i, y.n AS kept, x.n - y.n AS removed, x.good - y.good AS good_lost, x.toxic - y.toxic AS toxic_lost
+  FROM steps s JOIN states x ON x.active = s.earlier JOIN states y ON y.active = s.earlier + (1 << s.i) AND y.part = x.part),
+single AS (
+  SELECT z.part, l.i, z.n - a.n AS fails, b.n - f.n AS alone
+  FROM letters l, states z JOIN states a ON a.part = z.part JOIN states b ON b.part = z.part JOIN states f ON f.part = z.part
+  WHERE z.active = 0 AND a.active = 1 << l.i AND b.active = 31 - (1 << l.i) AND f.active = 31)
+SELECT w.part, w.filter_order, w.step, w.kept::BIGINT AS kept, w.removed::BIGINT AS removed,
+       (s.fails - w.removed)::BIGINT AS redundant, s.alone::BIGINT AS unique_fails,
+       w.good_lost::BIGINT AS good_lost, w.toxic_lost::BIGINT AS toxic_lost,
+       (sum(w.removed) OVER (PARTITION BY w.part, w.i))::BIGINT AS shapley
+FROM walked w JOIN single s ON s.part = w.part AND s.i = w.i
+"""
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, models = whiten(read(spark, sf_dir, "embeddings"))
+    # A few numbers for each length of vector, looked up in the plan itself.
+    explained, error = ({size: f(m) for size, m in models.items()} for f in (_shares, lambda m: m.identity_error))
+    size = F.col("size")
+    shares = F.coalesce(*[F.when(size == s, F.array(*map(F.lit, values))) for s, values in explained.items()], F.lit(None).cast("array<double>"))
+    errors = F.coalesce(*[F.when(size == s, F.lit(value)) for s, value in error.items()], F.lit(None).cast("double"))
+    each = rows.select("vec_id", "n", "deviation", shares.alias("shares"), errors.alias("identity_error"), F.posexplode("whitened").alias("at", "whitened"))
+    return each.select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        "n",
+        "deviation",
+        "whitened",
+        F.get("shares", "at").alias("explained"),
+        "identity_error",
+    )
+
+
+def _shares(model: Whitening) -> list[float]:
+    total = float(model.values.sum())
+    return [float(e) / total if total else 0.0 for e in model.values[: model.directions.shape[1]]]
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(read(spark, sf_dir, "embeddings"))
+
+
+OP13_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
 QUERIES = {
     "op1_urls": op1_urls,
     "op2_mixing": op2_mixing,
@@ -232,5 +323,8 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_language": op9_language,
     "op10_licenses": op10_licenses,
+    "op11_audit": op11_audit,
+    "op12_whitening": op12_whitening,
+    "op13_search": op13_search,
 }
-ORACLES = {"op2_mixing": OP2_SQL, "op4_minhash": OP4_SQL, "op8_embeddings": OP8_SQL}
+ORACLES = {"op2_mixing": OP2_SQL, "op4_minhash": OP4_SQL, "op8_embeddings": OP8_SQL, "op11_audit": OP11_SQL, "op13_search": OP13_SQL}
