@@ -33,21 +33,23 @@ from tablebridge.llm.grams import finite, gram, steps_of
 FARTHEST = (1 << 31) - 1
 STRIPES = 4096  # so many at most, while they fit in memory
 LEAST_ROWS, MOST_ROWS = 1024, 1 << 18  # of a stripe
-PORTION = 1024  # vectors of a stripe, and queries, that meet at once
+PORTION, ASKED = 1024, 256  # vectors of a stripe and queries that meet at once
+PAIRS = 1 << 14  # scored at once
 COORDINATES = 16  # of a partial sum
 NO_FLOOR = -float("inf")
 FOUND = "query long, query_id long, vec_id long, score long"
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner products of the rows of ``a`` with those of ``b``, exact: the numbers decide in what arithmetic."""
+def products(a: np.ndarray, b: np.ndarray, q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of the rows ``q`` of ``a`` with the rows ``v`` of ``b``, exact: the numbers decide in what arithmetic."""
     most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * a.shape[1]
-    if most < 1 << 53:
-        return np.einsum("ij,ij->i", a.astype(np.float64), b.astype(np.float64)).astype(np.int64)
-    if most < 1 << 63:
-        return np.einsum("ij,ij->i", a, b)
-    exact = (a.astype(object) * b.astype(object)).sum(axis=1)
-    return np.clip(exact, -(1 << 63), (1 << 63) - 1).astype(np.int64)
+    kind = np.float64 if most < 1 << 53 else np.int64 if most < 1 << 63 else object
+    a, b = a.astype(kind), b.astype(kind)
+    if len(q) * 8 >= len(a) * len(b):
+        found = (a @ b.T)[q, v]
+    else:
+        found = np.concatenate([(a[q[i : i + PAIRS]] * b[v[i : i + PAIRS]]).sum(axis=1) for i in range(0, max(1, len(q)), PAIRS)])
+    return (np.clip(found, -(1 << 63), (1 << 63) - 1) if kind is object else found).astype(np.int64)
 
 
 class Side:
@@ -128,7 +130,7 @@ class Stripe:
             q, v = q[other], v[other]
             if not len(q):
                 continue
-            now = (q, v, products(queries.x[q], side.x[v]))
+            now = (q, v, products(queries.x, side.x[at : at + PORTION], q, v - at))
             q, v, score = (np.concatenate(pair) for pair in zip(found, now))
             best = best_of(q, score, numbers[v], unknown[v], k)
             found = q, v, score = q[best], v[best], score[best]
@@ -164,8 +166,8 @@ def _searched(rows: DataFrame, k: int, rotations: dict[int, np.ndarray]) -> Data
                     by_size.setdefault(int(ends[i] - begins[i]), []).append(i)
                 found: list[tuple] = []
                 for size, places in by_size.items():
-                    for at in range(0, len(places), PORTION):
-                        some = places[at : at + PORTION]
+                    for at in range(0, len(places), ASKED):
+                        some = places[at : at + ASKED]
                         x = np.stack([flat[begins[i] : ends[i]] for i in some])
                         numbers, names = (np.array([a[i] for i in some], np.int64) for a in (number, own))
                         found += stripe.best(numbers, names, x, np.array([floor[i] for i in some], np.float64), k)
