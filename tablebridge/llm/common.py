@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,18 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def portions(batch: pa.RecordBatch, column: int, rows: int = 1000, volume: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of at most ``rows`` rows and ``volume`` bytes of a text or binary column; a longer value is alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        to = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + volume, side="right"))), batch.num_rows)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def held_out(column: str, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text falls into ``part`` of ``parts``."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts == part

@@ -23,16 +23,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import kept
+from tablebridge.llm.common import kept, portions
 
 LETTER = "a-zA-ZªµºÀ-ÖØ-öø-įı-ſ"
 # Words made of these alone are cut into the tokenizer's own pre-tokens here; all others go to it as they are.
 PLAIN = re.compile(rf"[{LETTER}0-9!-&(-/:;=?@\[-`{{}}~]+").fullmatch
 PARTS = re.compile(rf"[{LETTER}]+|[0-9]|[^{LETTER}0-9]+").findall
+# Most words are letters and, at most, signs behind them: two parts.
+USUAL = re.compile(rf"([{LETTER}]+)([!-&(-/:;=?@\[-`{{}}~]*)").fullmatch
 CACHED = 800_000  # entries of each cache of a Python worker; a full cache starts afresh
 # Byte-level vocabularies print a byte as this character: printable ones as themselves, the rest from U+0100 on.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -48,7 +51,9 @@ class Parts(dict):
 
     def __missing__(self, part: str) -> bytes:
         lower = part.lower()
-        shown = lower if lower.isascii() else "".join([SHOWN[byte] for byte in lower.encode()])
+        if lower != part:
+            return self[lower]
+        shown = part if part.isascii() else "".join([SHOWN[byte] for byte in part.encode()])
         self[part] = ids = array("H", [token.id for token in self.tokenize(shown)]).tobytes()
         return ids
 
@@ -62,7 +67,10 @@ class Words(dict):
 
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode()
-        if PLAIN(text):
+        if usual := USUAL(text):
+            head, tail = usual.groups()
+            ids = self.parts[head] + self.parts[tail] if tail else self.parts[head]
+        elif PLAIN(text):
             ids = b"".join(map(self.parts.__getitem__, PARTS(text)))
         else:
             ids = array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -81,20 +89,47 @@ class WordIds:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.words = Words(Tokenizer.from_file(path))
-        self.end = array("H", [end_id]).tobytes()
+        self.end = end_id
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as 16-bit numbers, the end id last."""
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, ids of each text), 16 bits an id, the end id last in each text.
+
+        The distinct words of the column are looked up; where each occurs, its ids are copied by their offsets.
+        """
         for known in (self.words, self.words.parts):
             if len(known) > CACHED:
                 known.clear()
-        of = self.words.__getitem__
-        return [b"".join(map(of, (text or "").encode("utf-8", "replace").split())) + self.end for text in texts]
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = split.flatten().dictionary_encode()
+        found = list(map(self.words.__getitem__, words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        known = np.frombuffer(b"".join(found), np.uint16)
+        word = words.indices.to_numpy(zero_copy_only=False)
+        many = sizes[word]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        at = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[word] - ends[:-1], many)
+        # Texts begin at these words; each id moves up by one place for every text before its own.
+        bounds = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))])
+        counts = np.diff(ends[bounds])
+        ids = np.full(ends[-1] + len(texts), self.end, np.uint16)
+        ids[np.arange(ends[-1]) + np.repeat(np.arange(len(texts)), counts)] = known[at]
+        return ids, counts + 1
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as 16-bit numbers, the end id last."""
+        ids, counts = self.encode_column(pa.array([(text or "").encode("utf-8", "replace").decode() for text in texts], pa.string()))
+        return [part.tobytes() for part in np.split(ids, np.cumsum(counts)[:-1])] if texts else []
 
 
 _ENCODERS: dict[tuple[str, int], WordIds] = {}
 
 
+def binaries(numbers: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Consecutive runs of ``numbers`` as binary values, without a copy of them."""
+    ends = np.concatenate([[0], np.cumsum(counts) * numbers.itemsize]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(numbers))])
+
+
 def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, text_column: str, source_column: str) -> DataFrame:
     """(part, queue, doc_id, source, start, n, ids): each document's ids and its start among those of its part and queue."""
     rows = docs.select(
@@ -110,25 +145,23 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, text_
         part = TaskContext.get().partitionId()
         so_far: dict[str, int] = {}
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                ids = encoder.encode(batch.column(2).to_pylist())
+            for batch in portions(whole, 2, rows=4000):
+                ids, counts = encoder.encode_column(batch.column(2))
                 sources = batch.column(1).to_pylist()
                 queues = ["" if source is None else f"={source}" for source in sources]
-                counts = [len(x) // 2 for x in ids]
                 starts = []
-                for queue, n in zip(queues, counts):
+                for queue, n in zip(queues, counts.tolist()):
                     starts.append(so_far.get(queue, 0))
                     so_far[queue] = starts[-1] + n
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([part] * len(ids), pa.int32()),
+                        pa.array(np.full(len(queues), part), pa.int32()),
                         pa.array(queues, pa.string()),
                         batch.column(0),
                         pa.array(sources, pa.string()),
                         pa.array(starts, pa.int64()),
                         pa.array(counts, pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        binaries(ids, counts),
                     ],
                     names=["part", "queue", "doc_id", "source", "start", "n", "ids"],
                 )
@@ -212,14 +245,13 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, totals, scaled = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
+            for batch in portions(whole, 5):
                 doc_id, source, queue, start, n, ids = (batch.column(i) for i in range(6))
                 start, n = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (start, n))
                 queue = np.array([index[x] for x in queue.to_pylist()], np.int64)
                 doc, begin, length, place = cut(start, n, queue, totals, scaled, quantum, window)
-                wide = [np.frombuffer(x, np.uint16).astype("<u4").tobytes() for x in ids.to_pylist()]
-                taken = [wide[d][4 * b : 4 * (b + m)] for d, b, m in zip(doc.tolist(), begin.tolist(), length.tolist())]
+                # The pieces of a document follow each other, so their ids are those of the batch in order.
+                taken = np.frombuffer(b"".join(ids.to_pylist()), np.uint16).astype("<u4")
                 rows = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -230,7 +262,7 @@ def pack(
                         pa.array(n[doc]),
                         pa.array(place // window),
                         pa.array(place % window),
-                        pa.array(taken, pa.binary()),
+                        binaries(taken, length),
                     ],
                     names=names,
                 )
