@@ -25,7 +25,18 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     """The rows written to the shared scratch folder and read back: lineage ends here, and lost executors lose nothing."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.kept_at = path
+    return written
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``kept`` wrote, once all that is read from them has been written itself."""
+    for table in tables:
+        if path := getattr(table, "kept_at", None):
+            jvm, conf = table.sparkSession.sparkContext._jvm, table.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def portions(batch: pa.RecordBatch, column: int, rows: int = 1000, volume: int = 1 << 23) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import kept
+from tablebridge.llm.common import discard, kept
 
 
 def _fingerprint(edges: DataFrame) -> tuple[int, int]:
@@ -24,13 +24,15 @@ def components(edges: DataFrame) -> DataFrame:
     edges = kept(edges, "components")
     before = (0, 0)
     while (now := _fingerprint(edges)) != before:
-        before = now
+        before, old = now, edges
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = kept(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "components-least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         large = kept(large.distinct(), "components-large")
+        discard(least)
         least = kept(large.groupBy("u").agg(F.min("v").alias("m")), "components-least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         edges = kept(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "components")
+        discard(old, large, least)
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

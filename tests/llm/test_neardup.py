@@ -2,10 +2,10 @@ import random
 import re
 
 import pytest
-from llm_fixtures import corpus, near, nothing, prose, rows_of  # noqa: F401
+from llm_fixtures import corpus, near, nothing, prose, rows_of, words  # noqa: F401
 
 from tablebridge.llm.components import components
-from tablebridge.llm.neardup import deduplicated, near_duplicates
+from tablebridge.llm.neardup import _Comparison, deduplicated, near_duplicates
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -89,3 +89,47 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 200)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5)]
     found = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(found[i] == 1 for i in range(1, 201)) and all(found[1000 + i] == 1000 for i in range(300))
+
+
+def family(rng, n, fewest, most, size=400):
+    """Texts that each replace some words of one base."""
+    base = words(rng, "en", size)
+    out = []
+    for i in range(n):
+        own = list(base)
+        for at in rng.sample(range(size), rng.randint(fewest, most)):
+            own[at] = words(rng, "de", 1)[0] + str(rng.randrange(30))
+        out.append((i, " ".join(own)))
+    return out
+
+
+def compared(monkeypatch, spark, rows):
+    """Components, and how many pairs were compared in full."""
+    counts = []
+    joined = _Comparison.joined
+    monkeypatch.setattr(_Comparison, "joined", lambda self, pairs: counts.append(pairs.count()) or joined(self, pairs))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((tuple(r) for r in near_duplicates(docs).collect()), key=str)
+    monkeypatch.undo()
+    return found, sum(counts)
+
+
+def test_half_alike_families_cost_about_their_size(spark, monkeypatch):
+    """No two of these are alike at 0.8: pairs within the family would be 5,000, 20,000 and 80,000."""
+    counts = []
+    for n in (100, 200, 400):
+        found, pairs = compared(monkeypatch, spark, family(random.Random(n), n, 14, 14))
+        assert all(doc == component for doc, _, component in found)
+        counts.append(pairs)
+    print(counts)
+    assert counts[2] <= 3 * counts[1] <= 9 * counts[0] and counts[2] <= 400 * 10
+
+
+def test_graded_family_equals_brute_force(spark, monkeypatch):
+    """Changes of 0 to 20 % of the words: some are alike the base, some each other, many nothing."""
+    rng = random.Random(12)
+    rows = family(rng, 150, 0, 12, 120)
+    rows += [(500 + i, near(rng, rows[i][1], 3)) for i in range(0, 150, 5)]  # partners of those at the edge
+    found, _ = compared(monkeypatch, spark, rows)
+    assert found == brute(rows, 5)
+    assert 2 < len({c for _, _, c in found}) < len(rows)
