@@ -23,6 +23,7 @@ from tablebridge.operators.discover import (
     shape_groups,
     with_spec,
 )
+from tablebridge.operators.locate import differing_ranges, locate_differences
 from tablebridge.operators.reconcile import differences, reconcile, replicate
 from tablebridge.plans.migrate import (
     export_documents,

@@ -54,3 +54,17 @@ def field(v: str, *keys: str) -> str:
 def entries(v: str) -> str:
     """Fields of an object variant as ``map<string,variant>``; NULL for anything else."""
     return get(v, "$", "map<string,variant>")
+
+
+# JSON text keeps NULL fields and all six digits of a timestamp's fraction.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
+def whole_json(value: str) -> str:
+    """JSON text of a nested value that loses neither NULL fields nor microseconds."""
+    options = ", ".join(literal(text) for pair in JSON_OPTIONS.items() for text in pair)
+    return f"to_json({value}, map({options}))"

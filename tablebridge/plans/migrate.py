@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from tablebridge.functions.paths import JSON_OPTIONS
 from tablebridge.functions.rows import normalise_sql
 from tablebridge.operators.columns import ignore_columns, ignore_keys
 from tablebridge.operators.align import normalise
@@ -171,8 +172,8 @@ def migrate_bulk(docs: DataFrame, sink: BulkSink, ignore: Iterable[str] = (), do
 
 
 def export_documents(df: DataFrame, path: str) -> None:
-    """Append each row as one JSON document to text files under ``path``; NULL fields are written as null."""
-    df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(path)
+    """Append each row as one JSON document to text files under ``path``; NULL fields are null, timestamps keep microseconds."""
+    df.select(F.to_json(F.struct("*"), JSON_OPTIONS).alias("value")).write.mode("append").text(path)
 
 
 def load_collection(df: DataFrame, uri: str, database: str, collection: str) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.rows import encode_nested, normalise_sql
 from tablebridge.operators.columns import ignore_columns, select_existing
+from tablebridge.operators.locate import locate_differences
 from tablebridge.operators.reconcile import reconcile, replicate
 from tablebridge.registered.derived import table
 from tablebridge.session import is_local
@@ -64,8 +65,7 @@ def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scan_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     url, name, properties = load_orders(spark, sf_dir)
     parts = split_by(spark, url, name, "o_orderkey", 8, properties)
-    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
-    return read_table(spark, url, name, parts, columns=columns, properties=properties)
+    return read_table(spark, url, name, parts, properties=properties)
 
 
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,6 +116,8 @@ def encode_nested_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct("vec_id", F.col("label").alias("label")).alias("s"),
         F.array("label", F.col("label") + 1, F.lit(None).cast("int")).alias("a"),
         F.create_map(F.lit("dims"), F.size("embedding")).alias("m"),
+        # Whole numbers, as engines print floating ones differently.
+        F.struct(F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000000)).alias("e"), F.lit(None).cast("int").alias("z")).alias("v"),
     )
     return encode_nested(nested)
 
@@ -141,6 +143,34 @@ def reconcile_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(items, copy, key)
 
 
+def reconcile_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose times lie in nested values; a copy has them a microsecond later, or its maps in another order."""
+    ts, at = F.col("ts"), F.col("event_id") % 3
+    later = ts + F.expr("INTERVAL '0.000001' SECOND")
+
+    def shaped(t, first, second) -> DataFrame:
+        pairs = {"u": F.col("user_id"), "e": F.col("event_id")}
+        ordered = F.create_map(*[x for k in (first, second) for x in (F.lit(k), pairs[k])])
+        return table(spark, sf_dir, "events").select("event_id", F.array(F.struct(t.alias("t"), F.lit(None).cast("int").alias("n"))).alias("l"), ordered.alias("m"))
+
+    return reconcile(shaped(ts, "u", "e"), shaped(F.when(at == 0, later).otherwise(ts), "e", "u"), ["event_id"])
+
+
+def locate_differences_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items against a copy in which a quantity and flags changed, and one key is gone."""
+    items = table(spark, sf_dir, "lineitem")
+    low, high = items.agg(F.min("l_orderkey"), F.max("l_orderkey")).first()
+    key, one = F.col("l_orderkey"), F.col("l_linenumber") == 1
+    copy = items.where(~((key == high) & one)).withColumns(
+        {
+            "l_quantity": F.when((key == low) & one, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")),
+            "l_returnflag": F.when((key == low) & ~one, "changed").otherwise(F.col("l_returnflag")),
+        }
+    )
+    found = locate_differences(items, copy, ["l_orderkey", "l_linenumber"])
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
 def replicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replicate(table(spark, sf_dir, "customer"), 10)
 
@@ -158,6 +188,8 @@ QUERIES = {
     "encode_nested": encode_nested_query,
     "reconcile": reconcile_query,
     "reconcile_nested": reconcile_nested,
+    "reconcile_times": reconcile_times,
+    "locate_differences": locate_differences_query,
     "replicate_rows": replicate_rows,
 }
 
@@ -167,7 +199,7 @@ _TS_TEXT = """CASE WHEN date_part('microseconds', {0}) % 1000000 = 0 THEN strfti
 
 ORACLES = {
     "scan_parquet": "SELECT * FROM events",
-    "scan_jdbc": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
+    "scan_jdbc": "SELECT * FROM orders",
     "jdbc_roundtrip": """SELECT CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b,
         CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, '' AS missing_columns,
         '' AS extra_columns, true AS matches FROM orders""",
@@ -181,8 +213,9 @@ ORACLES = {
         'String' AS props_tag, to_json(CAST(CAST(props AS JSON) -> '$' AS VARCHAR)) AS props_json FROM events""",
     "normalise_lineitem": f"SELECT * REPLACE ({_TS_TEXT.format('l_shipdate')} AS l_shipdate) FROM lineitem",
     "encode_nested": """SELECT vec_id, concat('{"vec_id":', vec_id, ',"label":', label, '}') AS s,
-        concat('[', label, ',', label + 1, ',null]') AS a, concat('{"dims":', len(embedding), '}') AS m
-        FROM embeddings""",
+        concat('[', label, ',', label + 1, ',null]') AS a, concat('{"dims":', len(embedding), '}') AS m,
+        concat('{"e":[', array_to_string(list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ','),
+          '],"z":null}') AS v FROM embeddings""",
     "reconcile": """WITH r AS (SELECT l_orderkey, l_linenumber,
           1 AS in_a, CAST(l_returnflag <> 'R' AS INTEGER) + CAST(l_linestatus = 'O' AS INTEGER) AS in_b FROM lineitem)
         SELECT CAST(sum(in_a) AS BIGINT) AS n_a, CAST(sum(in_b) AS BIGINT) AS n_b,
@@ -192,5 +225,14 @@ ORACLES = {
     "reconcile_nested": """WITH r AS (SELECT CAST(l_orderkey % 4 < 3 AS INTEGER) AS differs FROM lineitem)
         SELECT CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b, CAST(sum(differs) AS BIGINT) AS missing,
           CAST(sum(differs) AS BIGINT) AS extra, 'l_tax' AS missing_columns, '' AS extra_columns, false AS matches FROM r""",
+    "reconcile_times": """WITH r AS (SELECT CAST(event_id % 3 = 0 AS INTEGER) AS differs FROM events)
+        SELECT CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b, CAST(sum(differs) AS BIGINT) AS missing,
+          CAST(sum(differs) AS BIGINT) AS extra, '' AS missing_columns, '' AS extra_columns, sum(differs) = 0 AS matches FROM r""",
+    "locate_differences": """WITH ends AS (SELECT min(l_orderkey) AS low, max(l_orderkey) AS high FROM lineitem),
+        changed AS (SELECT l_orderkey, l_linenumber, count(*) AS n,
+            CASE WHEN l_orderkey = high AND l_linenumber = 1 THEN 'gone' WHEN l_linenumber = 1 THEN 'l_quantity' ELSE 'l_returnflag' END AS what
+          FROM lineitem, ends WHERE l_orderkey = low OR (l_orderkey = high AND l_linenumber = 1) GROUP BY ALL)
+        SELECT l_orderkey, l_linenumber, CAST(n AS BIGINT) AS n_a, CAST(CASE WHEN what = 'gone' THEN 0 ELSE n END AS BIGINT) AS n_b,
+          CASE WHEN what = 'gone' THEN '' ELSE what END AS columns FROM changed""",
     "replicate_rows": "SELECT customer.*, CAST(range AS BIGINT) AS copy FROM customer CROSS JOIN range(10)",
 }

@@ -12,6 +12,7 @@ from tablebridge.functions.rows import encode_nested, normalise_sql
 from tablebridge.operators.columns import ignore_columns, missing_columns, select_existing
 from tablebridge.operators.conform import conform
 from tablebridge.operators.discover import batch_plan
+from tablebridge.operators.locate import differing_ranges, locate_differences
 from tablebridge.operators.reconcile import differences, reconcile, replicate
 from tablebridge.plans.migrate import RejectedValues, export_documents, migrate_bulk, migrate_documents, migrate_table, migrate_typed
 from tablebridge.registered.tables import jdbc_target
@@ -48,7 +49,7 @@ def test_migrating_the_wide_table(spark, wide, tmp_path):
     assert before is None and back.count() == 6
     assert set(back.columns) == set(wide.columns) - {"moment", "lists", "json"} | {"json_vec_f64", "json_vecstring", "json_str"}
     row = back.orderBy("number").first()
-    assert row.at == "2021-02-03 04:05:06.500" and row.day == "2021-02-03" and row.none == [] and row.pair == '{"k":0}'
+    assert row.at == "2021-02-03 04:05:06.500" and row.day == "2021-02-03" and row.none == [] and row.pair == '{"k":0,"n":null}'
     assert row.json_vec_f64 == [1.0, 2.5] and row.json_vecstring is None and row.only_numbers == [7.0]
     assert column(back, "json_vecstring", by="number")[1] == ["s", "4"] and column(back, "json_str", by="number")[2] == '{"o":[5]}'
     steps = {r.step: r for r in report.collect()}
@@ -74,7 +75,7 @@ def test_normalise_sql_types(spark):
     )
     assert normalise_sql(df).first().asDict() == {
         "a": "2024-01-01 00:00:00", "b": "2024-01-01 00:00:00.500", "c": "2024-01-02", "d": df.first().d,
-        "e": '{"x":1}', "f": "A", "g": 5,
+        "e": '{"x":1,"y":null}', "f": "A", "g": 5,
     }
     assert encode_nested(df.select("e", F.array("g").alias("l")), arrays=False).dtypes == [("e", "string"), ("l", "array<bigint>")]
 
@@ -169,6 +170,77 @@ def test_reconcile_sees_nulls_in_nested_values(spark, one, other):
     assert not reconcile(a, b, ["k"]).first().matches and reconcile(a, a, ["k"]).first().matches
 
 
+MICROS = "timestamp_ntz'2024-05-06 07:08:09.00000{0}'"
+
+
+@pytest.mark.parametrize("kind", ["{0}", "array({0})", "named_struct('t', {0}, 'y', NULL)", "map('k', array(named_struct('t', {0})))", "array(array({0}))"])
+@pytest.mark.parametrize("value", [MICROS, MICROS.replace("_ntz", ""), "cast({0} AS float) / 8", "X'0{0}'", "date'2024-05-0{0}'", "1.2{0}BD", "cast({0} AS tinyint)"])
+def test_reconcile_tells_nested_values_apart(spark, kind, value):
+    one, same, other = (spark.sql(f"SELECT 1 AS k, {kind.format(value.format(i))} AS v") for i in (1, 1, 2))
+    assert reconcile(one, same, ["k"]).first().matches and not reconcile(one, other, ["k"]).first().matches
+
+
+@pytest.mark.parametrize(
+    "one, other, equal",
+    [
+        ("map('a', 1, 'b', 2)", "map('b', 2, 'a', 1)", True), ("map('a', 1, 'b', 2)", "map('a', 2, 'b', 1)", False), ("1", "1L", True),
+        ("array(1S)", "array(1L)", True), ("1.5F", "1.5D", True), ("1.50BD", "1.5BD", True), ("100BD", "1BD", False), ("'1'", "1", False),
+        ("array(array(1), array(2))", "array(array(1, 2))", False), ("array(array(1), array())", "array(array(), array(1))", False),
+        ("named_struct('x', 1)", "named_struct('y', 1)", False), ("parse_json('[1,2]')", "parse_json('[1, 2]')", True), ("parse_json('1')", "parse_json('2')", False),
+        ("cast(NULL AS int)", "0", False), ("date'2024-01-01'", "timestamp_ntz'2024-01-01 00:00:00'", False),
+    ],
+)
+def test_reconcile_compares_by_value_within_a_family(spark, one, other, equal):
+    a, b = spark.sql(f"SELECT 1 AS k, {one} AS v"), spark.sql(f"SELECT 1 AS k, {other} AS v")
+    assert reconcile(a, b, ["k"]).first().matches == equal
+
+
+@pytest.mark.parametrize("kind", ["array({0})", "named_struct('t', {0}, 'y', NULL)", "map('k', {0})"])
+def test_json_text_keeps_microseconds_and_nulls(spark, kind, tmp_path):
+    df = spark.sql(f"SELECT {kind.format(MICROS.format(3))} AS v, {MICROS.format(4)} AS t")
+    export_documents(df, str(tmp_path / "out"))
+    line = spark.read.text(str(tmp_path / "out")).first().value
+    for text in (encode_nested(df).first().v, normalise_sql(df).first().v if "array" not in kind else json.dumps(json.loads(line)["v"]), line):
+        assert "2024-05-06T07:08:09.000003" in text and ("y" not in kind or '"y":null' in text.replace(" ", "") or "array" in kind or "map" in kind)
+    assert "09.000004" in line and normalise_sql(df).first().t == "2024-05-06 07:08:09.000004"
+
+
+def rows_of_two(spark, n=20000):
+    a = spark.range(n).selectExpr("id * 3 AS k", "id % 7 AS l", "concat('v', id) AS v", "array(id, NULL) AS w")
+    changed = a.selectExpr("k", "l", "CASE WHEN k = 30000 THEN 'x' ELSE v END AS v", "CASE WHEN k = 45 THEN array(id_, 1L) ELSE w END AS w".replace("id_", "l"))
+    b = changed.where("k <> 59997").unionByName(spark.sql("SELECT 7L AS k, 0L AS l, 'new' AS v, cast(NULL AS array<bigint>) AS w"))
+    return a, b
+
+
+def test_differences_are_located_by_ranges(spark, tmp_path):
+    a, b = rows_of_two(spark)
+    for name, df in (("a", a), ("b", b)):
+        df.repartitionByRange(40, "k").write.parquet(str(tmp_path / name))
+    a, b = (spark.read.parquet(str(tmp_path / name)) for name in "ab")
+    found = {tuple(r[:-1]): r.columns for r in locate_differences(a, b, ["k", "l"], fanout=8, short=50).collect()}
+    assert found == {(30000, 10000 % 7, 1, 1): ["v"], (45, 1, 1, 1): ["w"], (59997, 19999 % 7, 1, 0): [], (7, 0, 0, 1): []}
+    ranges = differing_ranges(a, b, ["k", "l"], fanout=8, short=50)
+    read = a.where(" OR ".join(f"(k >= {r.low or 0} AND k < {r.high or 10**9})" for r in ranges)).count()
+    assert len(ranges) <= 4 and read <= 200  # of 20,000 rows
+    plan = locate_differences(a, b, ["k", "l"], fanout=8, short=50)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ThanOrEqual(k,") >= 2 and "PushedFilters: []" not in plan
+    assert locate_differences(a, a, ["k"]).count() == 0 and differing_ranges(a, a, ["k"]) == []
+
+
+def test_differences_of_odd_keys(spark):
+    rows = [(None, "a", 1), (None, "a", 2), ("x", "a", 1), ("x", "b", 2), ("y", "c", None), ("z", "d", 4)]
+    a = spark.createDataFrame(rows * 50, "k string, v string, n int")
+    b = spark.createDataFrame((rows * 50)[1:-1] + [("x", "b", 1), ("y", "c", 0), (None, None, None)], "k string, v string, n int")
+    found = {r.k: (r.n_a, r.n_b, r.columns) for r in locate_differences(a, b, ["k"], fanout=4, short=10).collect()}
+    assert found == {None: (100, 100, ["v", "n"]), "x": (100, 101, ["v", "n"]), "y": (50, 51, ["v", "n"]), "z": (50, 49, ["v", "n"])}
+    # Columns that agree one by one, but not together.
+    a, b = (spark.createDataFrame(r, "k int, v int, w int") for r in ([(1, 1, 2), (1, 3, 4)], [(1, 1, 4), (1, 3, 2)]))
+    assert [tuple(r) for r in locate_differences(a, b, ["k"]).collect()] == [(1, 2, 2, ["v", "w"])]
+    one = spark.range(3).selectExpr("cast(id AS int) AS k", "id AS v")
+    assert locate_differences(one, one.selectExpr("cast(k AS bigint) AS k", "v"), ["k"]).count() == 0
+    assert [r.k for r in locate_differences(one, one.limit(0), ["k"]).orderBy("k").collect()] == [0, 1, 2]
+
+
 def test_reconcile_names_columns_of_one_side(spark):
     a, b = spark.sql("SELECT 1 AS k, 2 AS v, 3 AS w"), spark.sql("SELECT 1 AS k, 4 AS x")
     found = reconcile(a, b, ["k"]).first()
