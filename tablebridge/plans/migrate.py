@@ -57,6 +57,8 @@ def migrate_table(
 ) -> DataFrame:
     """Append a SQL table to ``sink`` and return the report. ``key`` makes a repeated run skip rows already there.
 
+    Of rows that share a key one goes in, always the same; a step ``repeated`` counts the others that are unlike it.
+
     ``json_columns`` arrive as native values: arrays of numbers, arrays of text, or text (see :func:`native_columns`).
     """
     report = Report()
@@ -65,15 +67,17 @@ def migrate_table(
     if json_columns:
         rows = native_columns(rows, [c for c in json_columns if c in rows.columns])
         report.step("discover")
-    report.step("append", _append(rows, sink, key))
+    _append(report, rows, sink, key)
     return report.frame(df.sparkSession)
 
 
-def _append(rows: DataFrame, sink: Sink, key: Sequence[str] = ()) -> int:
-    """Append and count what went in."""
-    counted = Observation()
-    append(rows, sink, key, observe=lambda df: df.observe(counted, F.count(F.lit(1)).alias("n")))
-    return counted.get["n"]
+def _append(report: Report, rows: DataFrame, sink: Sink, key: Sequence[str] = ()) -> None:
+    """Append, and report what went in and, as ``repeated``, rows left out because another row has their key."""
+    counted, repeated = Observation(), Observation() if key else None
+    append(rows, sink, key, lambda df: df.observe(counted, F.count(F.lit(1)).alias("n")), repeated)
+    report.step("append", counted.get["n"])
+    if repeated is not None and repeated.get["left_out"]:
+        report.step("repeated", repeated.get["left_out"])
 
 
 def migrate_typed(
@@ -93,7 +97,7 @@ def migrate_typed(
     cells = normalise(ignore_keys(docs, ignore, doc), "typed", keys, doc)
     rows = native_columns(cells, [c for c in cells.columns if c not in docs.columns or c == doc])
     report.step("discover")
-    report.step("append", _append(rows, sink, key))
+    _append(report, rows, sink, key)
     return report.frame(docs.sparkSession)
 
 

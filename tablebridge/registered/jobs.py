@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.paths import field
@@ -10,9 +12,10 @@ from tablebridge.operators.reconcile import reconcile
 from tablebridge.plans.migrate import export_documents, migrate_documents, migrate_table, migrate_typed
 from tablebridge.registered.derived import ARRAYS, DIRTY, SPARSE, dirty, table
 from tablebridge.registered.documents import CELLS_OF_D, NEWCOL, name_and_sub_id, newcol_columns, spec
-from tablebridge.registered.tables import _TS_TEXT
+from tablebridge.registered.tables import _TS_TEXT, jdbc_target
 from tablebridge.session import scratch_path
-from tablebridge.sinks.append import ParquetSink, append
+from tablebridge.sinks.append import JdbcSink, ParquetSink, append
+from tablebridge.sinks.once import append_once, merge, stage
 from tablebridge.sources.documents import read_documents
 from tablebridge.streaming.migrate import read_migrated, stream_migrate
 
@@ -151,6 +154,28 @@ def append_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
+def append_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under a key that many of them share: one row for each key, the others in the report."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus")
+    sink = ParquetSink(scratch_path(spark, "repeated"))
+    report = migrate_table(orders, sink, key=["o_custkey"])
+    return report.where("step <> 'total'").select("step", "rows")
+
+
+def append_once_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose parts were each written twice and a half, merged twice: they are there once."""
+    url, properties = jdbc_target(spark)
+    sink = JdbcSink(url, f"once_{uuid.uuid4().hex}", properties=properties)
+    orders, run = table(spark, sf_dir, "orders"), uuid.uuid4().hex
+    append_once(orders.limit(0), sink)
+    for part in (orders, orders, orders.where("o_orderkey % 2 = 0")):
+        stage(part, sink, run)
+    for _ in range(2):
+        merge(spark, sink, run, orders.columns)
+        append_once(orders, sink, run)
+    return sink.read(spark)
+
+
 QUERIES = {
     "scan_documents": scan_documents,
     "migrate_table": migrate_table_query,
@@ -165,6 +190,8 @@ QUERIES = {
     "migrate_typed": migrate_typed_query,
     "migrate_json_columns": migrate_json_columns,
     "append_keyed": append_keyed,
+    "append_repeated": append_repeated,
+    "append_once": append_once_query,
 }
 
 ORACLES = {
@@ -200,4 +227,8 @@ ORACLES = {
           WHEN 4 THEN CAST(CAST(props AS JSON) -> '$' AS VARCHAR) END AS other FROM events""",
     "append_keyed": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS status, o_totalprice
         FROM orders""",
+    "append_repeated": """WITH k AS (SELECT o_custkey, count(*) AS n, count(DISTINCT coalesce(o_orderstatus, '')) AS kinds FROM orders GROUP BY 1)
+        SELECT 'append' AS step, CAST(count(*) AS BIGINT) AS rows FROM k
+        UNION ALL SELECT 'repeated', CAST(sum(CASE WHEN kinds > 1 THEN n - 1 ELSE 0 END) AS BIGINT) FROM k HAVING max(kinds) > 1""",
+    "append_once": "SELECT * FROM orders",
 }

@@ -2,7 +2,8 @@
 
 File appends commit whole or not at all per job. JDBC appends commit per
 partition, so a job that fails half way leaves rows behind: give ``key`` and a
-repeated append skips the rows that are already there.
+repeated append skips the rows that are already there; or use
+:func:`tablebridge.sinks.once.append_once`.
 """
 
 from __future__ import annotations
@@ -14,11 +15,12 @@ from operator import and_
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tablebridge.functions.paths import quote
 from tablebridge.functions.rows import encode_nested
 from tablebridge.operators.columns import missing_columns
+from tablebridge.operators.reconcile import row_hashes
 from tablebridge.session import path_exists
 from tablebridge.sources.tables import Partitioning, count_jdbc, jdbc_table_exists, read_parquet, read_table
 
@@ -112,12 +114,26 @@ def check_fits(df: DataFrame, target: DataFrame, evolve: bool) -> None:
         raise SchemaChange(f"the sink has no columns {', '.join(new)}; append with evolve to add them")
 
 
-def unseen(df: DataFrame, present: DataFrame | None, key: Sequence[str]) -> DataFrame:
-    """One row of ``df`` for each key that ``present`` lacks. NULL is a key like any other.
+def single_rows(df: DataFrame, key: Sequence[str], repeated: Observation | None = None) -> DataFrame:
+    """One row for each key: of several, that whose hash is least, so that no partitioning changes which.
 
-    Of rows with one key in ``df`` itself only one is kept, so that appending twice and appending once agree.
+    ``repeated`` is told, under ``left_out``, how many rows with a key of another row, and unlike it, are not among them.
     """
-    df = df.dropDuplicates(list(key))
+    columns = [F.col(quote(c)) for c in df.columns]
+    first, second = row_hashes(df, df.columns)
+    hashed = df.select(*[F.col(quote(k)).alias(f"_key{i}") for i, k in enumerate(key)], F.struct(first, second).alias("_hash"), F.struct(*columns).alias("_row"))
+    groups = hashed.groupBy(*[f"_key{i}" for i in range(len(key))]).agg(
+        F.min_by("_row", "_hash").alias("_row"), F.count("*").alias("_n"), F.min("_hash").alias("_least"), F.max("_hash").alias("_most")
+    )
+    if repeated is not None:
+        unlike = F.when(F.col("_least") != F.col("_most"), F.col("_n") - 1).otherwise(0)
+        groups = groups.observe(repeated, F.coalesce(F.sum(unlike), F.lit(0)).alias("left_out"))
+    return groups.select("_row.*")
+
+
+def unseen(df: DataFrame, present: DataFrame | None, key: Sequence[str], repeated: Observation | None = None) -> DataFrame:
+    """One row of ``df`` (see :func:`single_rows`) for each key that ``present`` lacks. NULL is a key like any other."""
+    df = single_rows(df, key, repeated)
     if present is None:
         return df
     there = present.select(*[F.col(quote(k)).alias(f"_present{i}") for i, k in enumerate(key)]).distinct()
@@ -126,11 +142,15 @@ def unseen(df: DataFrame, present: DataFrame | None, key: Sequence[str]) -> Data
 
 
 def append(
-    df: DataFrame, sink: Sink, key: Sequence[str] = (), observe: Callable[[DataFrame], DataFrame] = lambda df: df
+    df: DataFrame,
+    sink: Sink,
+    key: Sequence[str] = (),
+    observe: Callable[[DataFrame], DataFrame] = lambda df: df,
+    repeated: Observation | None = None,
 ) -> None:
     """Append ``df``. With ``key``, only rows whose key the sink does not hold, one for each key (see :func:`unseen`)."""
     if key:
-        df = unseen(df, sink.read(df.sparkSession), key)
+        df = unseen(df, sink.read(df.sparkSession), key, repeated)
     sink.write(observe(df))
 
 

@@ -54,11 +54,16 @@ def read_table(
     return df.select(*[quote(c) for c in columns]) if columns is not None else df
 
 
+def identifier_mark(url: str) -> str:
+    """What names are quoted with in the database's own SQL."""
+    return "`" if url.startswith(("jdbc:mysql", "jdbc:mariadb")) else '"'
+
+
 def split_by(
     spark: SparkSession, url: str, table: str, column: str, count: int, properties: Mapping[str, str] | None = None
 ) -> Partitioning | None:
     """Ask the database for the bounds of ``column`` (named as the reader shows it); None for an empty table."""
-    mark = "`" if url.startswith(("jdbc:mysql", "jdbc:mariadb")) else '"'
+    mark = identifier_mark(url)
     quoted = mark + column.replace(mark, mark * 2) + mark
     query = f"SELECT MIN({quoted}) AS lo, MAX({quoted}) AS hi FROM {table}"
     row = spark.read.format("jdbc").options(url=url, query=query, **(properties or {})).load().first()

@@ -17,6 +17,7 @@ from tablebridge.operators.reconcile import differences, reconcile, replicate
 from tablebridge.plans.migrate import RejectedValues, export_documents, migrate_bulk, migrate_documents, migrate_table, migrate_typed
 from tablebridge.registered.tables import jdbc_target
 from tablebridge.sinks.append import JdbcSink, ParquetSink, SchemaChange, append, evolve
+from tablebridge.sinks.once import append_once, merge, stage
 from tablebridge.sinks.bulk import BulkSink, argument_rows, bulk_payloads
 from tablebridge.sinks.bulk_tasks import BulkDataSource, BulkWriter, DeliveryError, chunker, insert_statement
 from tablebridge.sources.tables import count_jdbc, count_table, jdbc_names, list_databases, list_tables, read_table, split_by, table_inventory
@@ -261,6 +262,49 @@ def test_keyed_append_with_nulls_and_repeats(spark, tmp_path):
     assert sorted(r.v for r in sink.read(spark).collect()) == ["a", "b", "c"]
 
 
+def test_keyed_append_keeps_the_same_row_and_reports_the_others(spark, tmp_path):
+    rows = [(i % 5, f"v{i % 15}", [i % 15], None) for i in range(60)] + [(9, "only", [], 1), (9, "only", [], 1)]
+    df = spark.createDataFrame(rows, "k int, v string, l array<int>, n int")
+    kept = []
+    for i, parts in enumerate((1, 3, 7)):
+        sink = ParquetSink(str(tmp_path / str(i)))
+        report = {r.step: r.rows for r in migrate_table(df.repartition(parts), sink, key=["k"]).collect()}
+        assert report == {"append": 6, "repeated": 55, "total": 6}
+        kept.append(sorted((r.k, r.v, tuple(r.l)) for r in sink.read(spark).collect()))
+    assert kept[0] == kept[1] == kept[2] and len(kept[0]) == 6
+
+
+def test_append_once_survives_a_part_that_fails_half_way(spark):
+    url, properties = jdbc_target(spark)
+    sink, run = JdbcSink(url, f"T{uuid.uuid4().hex}".upper(), properties=properties, batch_size=10), uuid.uuid4().hex
+    rows = spark.range(0, 400, 1, 4).selectExpr("id", "concat('v', id) AS v", "array(id) AS l")
+    append_once(rows.where("id < 0"), sink)
+    broken = rows.withColumn("v", F.expr("CASE WHEN id = 250 THEN raise_error('half way') ELSE v END"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        append_once(broken, sink, run)
+    assert sink.count(spark) == 0  # whatever the other parts had staged
+    assert append_once(rows, sink, run) == 400 and append_once(rows, sink, run) == 0
+    assert sorted(r.id for r in sink.read(spark).select("id").collect()) == list(range(400))
+    assert append_once(rows.selectExpr("id + 400 AS id", "v", "l"), sink) == 400 and sink.count(spark) == 800
+    with pytest.raises(SchemaChange):
+        append_once(rows.withColumn("w", F.lit(1)), sink)
+    with pytest.raises(ValueError):
+        append_once(rows, sink, "x; drop")
+    left = {r.name for r in jdbc_names(spark, url, "tables", "APP", properties).collect() if r.name.startswith(sink.table)}
+    assert left == {sink.table, f"{sink.table}_RUNS"}
+
+
+def test_of_several_attempts_at_a_part_one_counts(spark):
+    url, properties = jdbc_target(spark)
+    sink, run = JdbcSink(url, f"T{uuid.uuid4().hex}".upper(), properties=properties), uuid.uuid4().hex
+    rows = spark.range(0, 90, 1, 3).selectExpr("id", "id % 2 AS `odd \"name\"`")
+    append_once(rows.limit(0), sink)
+    for tried in (rows.where("id % 4 = 0"), rows, rows):  # cut short, whole, and whole again
+        stage(tried, sink, run)
+    assert merge(spark, sink, run, rows.columns) == 90 and merge(spark, sink, run, rows.columns) == 0
+    assert sorted(r.id for r in sink.read(spark).collect()) == list(range(90))
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 4096, 4097, 10000])
 def test_replicate(spark, n):
     copies = replicate(spark.range(2), n)
