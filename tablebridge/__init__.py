@@ -49,6 +49,6 @@ from tablebridge.sources.tables import (
     table_inventory,
 )
 from tablebridge.spec import ColumnSpec, parse_spec
-from tablebridge.streaming.migrate import read_migrated, stream_migrate
+from tablebridge.streaming.migrate import read_migrated, stream_migrate, stream_report
 
 __all__ = [name for name in dir() if not name.startswith("_")]

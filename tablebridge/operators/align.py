@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from tablebridge.functions.cells import HTTP, NESTED, TYPED, elements, normalise_columns, typed
-from tablebridge.functions.paths import field, quote
+from tablebridge.functions.paths import entries, field, let, literal, quote
 from tablebridge.functions.tags import kind, tag_of
 from tablebridge.operators.discover import DOC, MAX_KEYS, discover_keys
 from tablebridge.spec import spark_type, suffix
@@ -32,30 +32,56 @@ def carried_columns(docs: DataFrame, doc: str) -> list[str]:
     return [name for name in docs.columns if name != doc]
 
 
-def align(docs: DataFrame, keys: Iterable[str] | None = None, doc: str = DOC, max_keys: int | None = MAX_KEYS) -> DataFrame:
+def others_text(v: str, keys: Iterable[str]) -> str:
+    """The fields of ``v`` beside ``keys`` as JSON text, without JSON nulls; NULL where there are none."""
+    listed = f"cast(array({', '.join(map(literal, sorted(keys)))}) AS array<string>)"
+    others = f"map_filter({entries(v)}, (k, x) -> NOT array_contains({listed}, k) AND NOT is_variant_null(x))"
+    return let("o", others, "CASE WHEN size(o) > 0 THEN to_json(o) END")
+
+
+def align(
+    docs: DataFrame,
+    keys: Iterable[str] | None = None,
+    doc: str = DOC,
+    max_keys: int | None = MAX_KEYS,
+    rest: str | None = None,
+) -> DataFrame:
     """One VARIANT column per key; a missing key and JSON null both give NULL.
 
     Columns besides ``doc`` are carried in front. Without ``keys`` one job finds
-    them, and they come in alphabetical order.
+    them, and they come in alphabetical order. With ``rest`` the keys that are not in ``keys`` stay together in the column of
+    that name, as JSON text, and no job looks for any.
     """
+    if keys is None and rest is not None:
+        raise ValueError("rest takes what is not in keys; name the keys that get columns")
     keys = discover_keys(docs, doc, max_keys) if keys is None else list(keys)
     carried = carried_columns(docs, doc)
-    check_names(docs, [*carried, *keys])
+    check_names(docs, [*carried, *keys, *([rest] if rest is not None else [])])
 
     def cell(key: str) -> str:
         v = field(quote(doc), key)
         return f"CASE WHEN NOT is_variant_null({v}) THEN {v} END AS {quote(key)}"
 
-    return docs.selectExpr(*[quote(c) for c in carried], *[cell(key) for key in keys])
+    left = [f"{others_text(quote(doc), keys)} AS {quote(rest)}"] if rest is not None else []
+    return docs.selectExpr(*[quote(c) for c in carried], *[cell(key) for key in keys], *left)
 
 
 def normalise(
-    docs: DataFrame, mode: str, keys: Iterable[str] | None = None, doc: str = DOC, max_keys: int | None = MAX_KEYS
+    docs: DataFrame,
+    mode: str,
+    keys: Iterable[str] | None = None,
+    doc: str = DOC,
+    max_keys: int | None = MAX_KEYS,
+    rest: str | None = None,
 ) -> DataFrame:
-    """One ``struct<tag, value>`` column per key, normalised for a ``typed``, ``http`` or ``nested`` consumer."""
+    """One ``struct<tag, value>`` column per key, normalised for a ``typed``, ``http`` or ``nested`` consumer.
+
+    With ``rest`` undeclared keys stay together as in :func:`align`.
+    """
     steps = MODES[mode]
-    aligned = align(docs, keys, doc, max_keys)
-    return normalise_columns(aligned, aligned.columns[len(carried_columns(docs, doc)) :], steps)
+    aligned = align(docs, keys, doc, max_keys, rest)
+    cells = aligned.columns[len(carried_columns(docs, doc)) :]
+    return normalise_columns(aligned, cells[:-1] if rest is not None else cells, steps)
 
 
 def split_mixed(df: DataFrame, column: str, tags: Iterable[str], depth: int = 0) -> DataFrame:

@@ -87,15 +87,18 @@ def migrate_typed(
     ignore: Iterable[str] = (),
     key: Sequence[str] = (),
     doc: str = DOC,
+    rest: str | None = None,
 ) -> DataFrame:
     """Append documents to ``sink`` as typed columns and return the report.
 
+    With ``rest`` only ``keys`` get columns; the others stay together in the column of that name, as JSON text.
+
     Every value is normalised by the ``typed`` rules and arrives as a native value; a key whose values have several types
     gets a column for each of them.
     """
     report = Report()
-    cells = normalise(ignore_keys(docs, ignore, doc), "typed", keys, doc)
-    rows = native_columns(cells, [c for c in cells.columns if c not in docs.columns or c == doc])
+    cells = normalise(ignore_keys(docs, ignore, doc), "typed", keys, doc, rest=rest)
+    rows = native_columns(cells, [c for c in cells.columns if (c not in docs.columns or c == doc) and c != rest])
     report.step("discover")
     _append(report, rows, sink, key)
     return report.frame(docs.sparkSession)

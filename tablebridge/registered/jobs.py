@@ -10,14 +10,14 @@ from tablebridge.functions.paths import field
 from tablebridge.operators.conform import conform
 from tablebridge.operators.reconcile import reconcile
 from tablebridge.plans.migrate import export_documents, migrate_documents, migrate_table, migrate_typed
-from tablebridge.registered.derived import ARRAYS, DIRTY, SPARSE, dirty, table
+from tablebridge.registered.derived import ARRAYS, DIRTY, SPARSE, WIDE, dirty, documents, table
 from tablebridge.registered.documents import CELLS_OF_D, NEWCOL, name_and_sub_id, newcol_columns, spec
 from tablebridge.registered.tables import _TS_TEXT, jdbc_target
 from tablebridge.session import scratch_path
 from tablebridge.sinks.append import JdbcSink, ParquetSink, append
 from tablebridge.sinks.once import append_once, merge, stage
 from tablebridge.sources.documents import read_documents
-from tablebridge.streaming.migrate import read_migrated, stream_migrate
+from tablebridge.streaming.migrate import read_migrated, stream_migrate, stream_report
 
 
 def write_lines(spark: SparkSession, sf_dir: str) -> str:
@@ -121,6 +121,35 @@ def stream_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.unionAll(malformed.select(F.lit("malformed"))).groupBy("kind").agg(F.count("*").alias("n"))
 
 
+def stream_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of 2,500 keys over four batches and more: one is declared, the others stay together."""
+    lines = write_text(table(spark, sf_dir, "events").select(F.expr(WIDE).alias("value")))
+    out = scratch_path(spark, "stream")
+    declared = {"id": {"dtype": "I32", "dtype_collision_strategy": "NewCol"}}
+    files = spark.read.text(lines).select(F.col("_metadata.file_path")).distinct().count()
+    stream_migrate(
+        spark, lines, out, declared, scratch_path(spark, "checkpoint"), max_files_per_trigger=-(-files // 4), rest="rest"
+    ).awaitTermination()
+    return read_migrated(spark, out).select(F.col("id").cast("bigint").alias("id"), "rest")
+
+
+def stream_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream with broken lines reports, over all of its batches."""
+    lines = write_text(table(spark, sf_dir, "events").select(F.expr(SPARSE).alias("value")))
+    out = scratch_path(spark, "stream")
+    stream_migrate(
+        spark, lines, out, spec("Cast", name="I32"), scratch_path(spark, "checkpoint"), max_files_per_trigger=2
+    ).awaitTermination()
+    return stream_report(spark, out).groupBy("step").agg(F.sum("rows").alias("rows"))
+
+
+def migrate_typed_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of 2,500 keys, one of them a typed column."""
+    sink = ParquetSink(scratch_path(spark, "typed"))
+    migrate_typed(documents(table(spark, sf_dir, "events"), WIDE, "event_id"), sink, keys=["id"], rest="rest")
+    return sink.read(spark).select("event_id", F.col("id").cast("bigint").alias("id"), "rest")
+
+
 def migrate_typed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = ParquetSink(scratch_path(spark, "typed"))
     migrate_typed(dirty(spark, sf_dir), sink)
@@ -187,6 +216,9 @@ QUERIES = {
     "export_documents": export_documents_query,
     "stream_migrate": stream_migrate_query,
     "stream_sparse": stream_sparse,
+    "stream_wide": stream_wide,
+    "stream_report": stream_report_query,
+    "migrate_typed_wide": migrate_typed_wide,
     "migrate_typed": migrate_typed_query,
     "migrate_json_columns": migrate_json_columns,
     "append_keyed": append_keyed,
@@ -212,6 +244,13 @@ ORACLES = {
     "stream_migrate": NEWCOL,
     "stream_sparse": """SELECT CASE WHEN event_id % 5 = 0 THEN 'empty' WHEN event_id % 7 = 0 THEN 'malformed'
         ELSE 'document' END AS kind, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL""",
+    "stream_wide": """SELECT event_id AS id, concat('{"k', event_id % 2500, '":', user_id, '}') AS rest FROM events""",
+    "stream_report": f"""{CELLS_OF_D}, r AS (SELECT event_id % 5 <> 0 AND event_id % 7 <> 0 AS whole, event_id % 5 <> 0 AND event_id % 7 = 0 AS broken,
+          event_id, ntag FROM t)
+        SELECT 'append' AS step, CAST(count(*) - sum(CAST(broken AS INT)) AS BIGINT) AS rows FROM r
+        UNION ALL SELECT 'malformed', CAST(count(*) AS BIGINT) FROM r WHERE broken
+        UNION ALL SELECT 'rejects', CAST(count(*) AS BIGINT) FROM r WHERE whole AND ntag NOT IN ('None', 'I32')""",
+    "migrate_typed_wide": """SELECT event_id, event_id AS id, concat('{"k', event_id % 2500, '":', user_id, '}') AS rest FROM events""",
     "migrate_typed": f"""{CELLS_OF_D} SELECT event_id, event_id AS id,
         CASE WHEN ntag = 'Double64' THEN CAST(nt AS DOUBLE) END AS name_f64,
         CASE WHEN ntag = 'I32' THEN CAST(nt AS BIGINT) END AS name_i32,

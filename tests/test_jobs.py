@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tablebridge.functions.rows import encode_nested, normalise_sql
 from tablebridge.operators.columns import ignore_columns, missing_columns, select_existing
 from tablebridge.operators.conform import conform
-from tablebridge.operators.discover import batch_plan
+from tablebridge.operators.discover import batch_plan, discover
 from tablebridge.operators.locate import differing_ranges, locate_differences
 from tablebridge.operators.reconcile import differences, reconcile, replicate
 from tablebridge.plans.migrate import RejectedValues, export_documents, migrate_bulk, migrate_documents, migrate_table, migrate_typed
@@ -21,7 +21,7 @@ from tablebridge.sinks.once import append_once, merge, stage
 from tablebridge.sinks.bulk import BulkSink, argument_rows, bulk_payloads
 from tablebridge.sinks.bulk_tasks import BulkDataSource, BulkWriter, DeliveryError, chunker, insert_statement
 from tablebridge.sources.tables import count_jdbc, count_table, jdbc_names, list_databases, list_tables, read_table, split_by, table_inventory
-from tablebridge.streaming.migrate import read_migrated, stream_migrate
+from tablebridge.streaming.migrate import KNOWN, read_migrated, stream_migrate, stream_report
 
 SPEC = {
     "title": {"dtype": "String", "dtype_collision_strategy": "NewCol"},
@@ -480,3 +480,57 @@ def test_stream_with_fixed_keys_rejects_what_they_lack(spark, tmp_path):
     stream_migrate(spark, str(inbox), out, SPEC, str(tmp_path / "state"), known=known).awaitTermination()
     assert column(read_migrated(spark, out), "title", by="title") == ["a", "b", None]
     assert sorted((r.column, r.raw_json) for r in read_migrated(spark, out, "rejects").collect()) == [("odd", "true"), ("title", "5")]
+
+
+def test_a_stream_keeps_what_it_knows(spark, tmp_path, monkeypatch):
+    """Only batches with new keys or tags are searched; the state outlives the query, and a batch that runs again finds its own."""
+    import tablebridge.streaming.migrate as module
+
+    searched = []
+    monkeypatch.setattr(module, "discover", lambda docs, *a, **k: searched.append(1) or discover(docs, *a, **k))
+    inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    inbox.mkdir()
+
+    def run(name, *lines):
+        (inbox / name).write_text("\n".join(lines) + "\n")
+        stream_migrate(spark, str(inbox), out, SPEC, state, max_files_per_trigger=1).awaitTermination()
+        return len(searched)
+
+    assert run("a.json", '{"title":"a","qty":1}') == 1
+    assert run("b.json", '{"title":"b"}', '{"qty":2}', "{oops") == 1
+    assert run("c.json", '{"title":5,"extra":{"x":1}}') == 2  # a new tag and a new key
+    assert run("d.json", '{"title":6,"extra":[1]}', '{"title":"d"}') == 2
+    rows = read_migrated(spark, out)
+    assert read_migrated(spark, out, "rejects") is None
+    assert sorted((r.title, r.title_i32) for r in rows.collect() if r.title) == [("a", None), ("b", None), ("d", None)]
+    assert sorted(r.title_i32 for r in rows.where("title_i32 IS NOT NULL").collect()) == [5, 6] and rows.where("extra IS NOT NULL").count() == 2
+    assert sorted(p.name for p in (tmp_path / "state" / KNOWN).iterdir() if p.is_dir()) == ["batch_id=0", "batch_id=2"]
+    found = {(r.batch_id, r.step): r.rows for r in stream_report(spark, out).collect()}
+    assert found == {(0, "append"): 1, (1, "append"): 2, (1, "malformed"): 1, (2, "append"): 1, (3, "append"): 2}
+    assert stream_report(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_rejects_of_a_known_tag_are_no_reason_to_search(spark, tmp_path, monkeypatch):
+    import tablebridge.streaming.migrate as module
+
+    searched = []
+    monkeypatch.setattr(module, "discover", lambda docs, *a, **k: searched.append(1) or discover(docs, *a, **k))
+    inbox, out = tmp_path / "in", str(tmp_path / "out")
+    inbox.mkdir()
+    cast = {"title": {"dtype": "I32", "dtype_collision_strategy": "Cast"}}
+    for name, line in (("a", '{"title":"x"}'), ("b", '{"title":"y"}'), ("c", '{"title":7,"w":1}')):
+        (inbox / name).write_text(line + "\n")
+        stream_migrate(spark, str(inbox), out, cast, str(tmp_path / "state"), rest="rest").awaitTermination()
+    rows = read_migrated(spark, out)
+    assert len(searched) == 1 and sorted((r.title, r.rest) for r in rows.where("title = 7").collect()) == [(7, '{"w":1}')]
+    assert sorted(r.raw_json for r in read_migrated(spark, out, "rejects").collect()) == ['"x"', '"y"']
+
+
+def test_undeclared_keys_stay_together(spark, make_docs, tmp_path):
+    docs = make_docs([{"a": 1, "b": [1, None], "c": None}, {"a": "x"}, {"b": {"k": 2}, "d": 4}, {}])
+    sink = ParquetSink(str(tmp_path / "typed"))
+    migrate_typed(docs, sink, keys=["a"], rest="more", ignore=["d"])
+    rows = sink.read(spark)
+    assert column(rows, "more", by="r") == ['{"b":[1,null]}', None, '{"b":{"k":2}}', None] and set(rows.columns) == {"r", "a_i32", "a_str", "more"}
+    with pytest.raises(ValueError, match="name the keys"):
+        migrate_typed(docs, sink, rest="more")
