@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.paths import field
@@ -16,6 +17,7 @@ from tablebridge.registered.tables import _TS_TEXT, jdbc_target
 from tablebridge.session import scratch_path
 from tablebridge.sinks.append import JdbcSink, ParquetSink, append
 from tablebridge.sinks.once import append_once, merge, stage
+from tablebridge.sources.arrays import read_json_arrays
 from tablebridge.sources.documents import read_documents
 from tablebridge.streaming.migrate import read_migrated, stream_migrate, stream_report
 
@@ -41,6 +43,32 @@ def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return name_and_sub_id(cells, "id").drop("name_tag", "sub_id_tag")
 
 
+def write_arrays(lines: DataFrame) -> str:
+    """The lines of each partition as one file that holds one JSON array."""
+
+    def bracketed(batches):
+        yield pa.RecordBatch.from_pydict({"value": ["["]})
+        between = ""
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_pydict({"value": [between + texts[0], *("," + text for text in texts[1:])]} if texts else {"value": [""]})
+            between = "," if texts else between
+        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+    path = scratch_path(lines.sparkSession, "arrays")
+    lines.repartition(2).mapInArrow(bracketed, "value string").write.text(path)
+    return path
+
+
+def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty documents out of two files, each one array."""
+    docs = read_json_arrays(spark, write_arrays(table(spark, sf_dir, "events").select(F.expr(DIRTY).alias("value")))).docs
+    cells = docs.selectExpr(
+        "try_variant_get(doc, '$.id', 'bigint') AS id", f"{field('doc', 'name')} AS name", f"{field('doc', 'sub_id')} AS sub_id"
+    )
+    return name_and_sub_id(cells, "id").drop("name_tag", "sub_id_tag")
+
+
 def migrate_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     sink = ParquetSink(scratch_path(spark, "orders"))
     migrate_table(table(spark, sf_dir, "orders"), sink, ignore=["o_orderpriority", "no_such_column"])
@@ -207,6 +235,7 @@ def append_once_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "scan_documents": scan_documents,
+    "scan_json_array": scan_json_array,
     "migrate_table": migrate_table_query,
     "migration_report": migration_report,
     "migrate_documents": migrate_documents_query,
@@ -228,6 +257,7 @@ QUERIES = {
 
 ORACLES = {
     "scan_documents": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS sub_id FROM t",
+    "scan_json_array": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS sub_id FROM t",
     "migrate_table": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         {_TS_TEXT.format('o_orderdate')} AS o_orderdate FROM orders""",
     "migration_report": """SELECT 'append' AS step, CAST(count(*) AS BIGINT) AS rows, true AS has_rate FROM lineitem

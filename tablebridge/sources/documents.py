@@ -59,7 +59,7 @@ def read_documents(spark: SparkSession, path: str | list[str], doc: str = DOC) -
 def read_json_files(spark: SparkSession, path: str | list[str], doc: str = DOC) -> DataFrame:
     """Read files that each hold one JSON document or one array of documents.
 
-    Such a file cannot be split, so each is one task. Prefer JSON lines for large data.
+    Each file is one task here; :func:`tablebridge.sources.arrays.read_json_arrays` splits large ones.
     """
     whole = spark.read.option("multiLine", True).option("singleVariantColumn", "v").json(path)
     one_or_many = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.array("v"))
