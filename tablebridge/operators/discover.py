@@ -190,13 +190,17 @@ def shape_groups(docs: DataFrame, doc: str = DOC) -> DataFrame:
     )
 
 
-def batch_plan(docs: DataFrame, size: int, doc: str = DOC) -> DataFrame:
+def batch_plan(docs: DataFrame, size: int, doc: str = DOC, full: bool = False) -> DataFrame:
     """``(shape, n, n_batches)``: the batches that a bulk sink sends, each of one shape and at most ``size`` rows.
 
-    Batches are cut where the rows lie, so every task that holds a shape sends a last one that may be short.
+    Batches are cut where the rows lie, so every task that holds a shape sends a last one that may be short; with ``full``
+    they are cut over the whole collection.
     """
     if size < 1:
         raise ValueError("size must be at least 1")
+    if full:
+        batches = F.expr(f"cast(ceil(n / {size}) AS bigint)").alias("n_batches")
+        return shape_groups(docs, doc).select("shape", "n", batches)
     return (
         docs.selectExpr(f"to_json({shape_keys(quote(doc))}) AS shape", "spark_partition_id() AS task")
         .groupBy("shape", "task")

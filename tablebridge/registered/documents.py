@@ -300,6 +300,16 @@ def bulk_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bulk_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads over documents dealt to seven tasks: per shape, all batches but one are full."""
+    docs = dirty(spark, sf_dir).repartition(7, "event_id")
+    made = bulk_payloads(docs, "doc", "events", size=100, full=True).groupBy("shape").agg(
+        F.sum("n_rows").alias("n"), F.count("*").alias("n_batches"), F.count_if(F.col("n_rows") < 100).alias("n_short")
+    )
+    planned = batch_plan(docs, 100, full=True).select("shape", F.col("n_batches").alias("planned"))
+    return made.join(planned, "shape").select("shape", "n", "n_batches", "n_short", (F.col("planned") == F.col("n_batches")).alias("as_planned"))
+
+
 QUERIES = {
     "align_documents": align_documents,
     "type_tag": type_tag,
@@ -324,6 +334,7 @@ QUERIES = {
     "bulk_payloads": bulk_rows,
     "bulk_batches": bulk_batches,
     "bulk_plan": bulk_plan,
+    "bulk_full": bulk_full,
     "conform_malformed": conform_malformed,
     "conform_declared_arrays": conform_declared_arrays,
     "conform_wide": conform_wide,
@@ -467,6 +478,8 @@ ORACLES = {
           AS stmt, CAST(n AS BIGINT) AS n, true AS within_size FROM g""",
     "bulk_plan": f"""{_SHAPES} SELECT shape, CAST(n AS BIGINT) AS n, true AS same_rows, true AS same_batches,
         true AS within_size FROM g""",
+    "bulk_full": f"""{_SHAPES} SELECT shape, CAST(n AS BIGINT) AS n, CAST(ceil(n / 100.0) AS BIGINT) AS n_batches,
+        CAST(n % 100 > 0 AS BIGINT) AS n_short, true AS as_planned FROM g""",
     "conform_malformed": f"""WITH d AS (SELECT event_id, event_type, user_id,
           CAST(json_extract({MALFORMED}, '$.v') AS VARCHAR) AS raw FROM events),
         t AS (SELECT *, CASE event_id % 8 WHEN 1 THEN 'I32' WHEN 4 THEN 'I32' WHEN 7 THEN 'I32' WHEN 3 THEN 'Double64'

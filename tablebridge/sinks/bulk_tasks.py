@@ -38,7 +38,10 @@ def insert_statement(schema: str, table: str, columns: list[str], ignore_conflic
 
 
 def chunker(schema: str, table: str, size: int, ignore_conflicts: bool, max_bytes: int) -> Callable:
-    """Cuts ``(keys, args)`` rows that come sorted by keys into payloads; one is open at a time."""
+    """Cuts ``(keys, args)`` rows that come sorted by keys into payloads; one is open at a time.
+
+    Rows ``(keys, args, batch)`` come sorted by keys and batch, and no payload holds rows of two batches.
+    """
 
     def payload(keys: str, rows: list[str]) -> pa.RecordBatch:
         stmt = insert_statement(schema, table, json.loads(keys), ignore_conflicts)
@@ -47,17 +50,20 @@ def chunker(schema: str, table: str, size: int, ignore_conflicts: bool, max_byte
         return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_keys, rows, held = None, [], 0
+        open_keys, open_batch, rows, held = None, None, [], 0
         for batch in batches:
             keys, args = batch.column(0), batch.column(1)
+            numbers = batch.column(2).to_numpy(zero_copy_only=False) if batch.num_columns > 2 else np.zeros(len(args), np.int64)
             sizes = np.cumsum(pc.binary_length(args).to_numpy(zero_copy_only=False).astype(np.int64))
             runs = pc.run_end_encode(keys)
+            ends = np.union1d(runs.run_ends.to_numpy(), np.append(np.flatnonzero(np.diff(numbers)) + 1, len(args)))
             at = 0
-            for end, value in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
-                if rows and value != open_keys:
+            for end in ends[ends > 0].tolist():
+                value, number = keys[at].as_py(), int(numbers[at])
+                if rows and (value != open_keys or number != open_batch):
                     yield payload(open_keys, rows)
                     rows, held = [], 0
-                open_keys = value
+                open_keys, open_batch = value, number
                 while at < end:
                     before = sizes[at - 1] if at else 0
                     fits = int(np.searchsorted(sizes[at:end], before + max_bytes - held, side="right"))

@@ -375,6 +375,20 @@ def test_bulk_payloads(dirty):
     assert [set(d) for d in sent] == [set(json.loads(d)) for d in DIRTY]
 
 
+@pytest.mark.parametrize("tasks", [1, 3, 8])
+def test_full_batches_on_any_partitioning(make_docs, tasks):
+    docs = make_docs([{"i": i, **({"a": "x" * (i % 7)} if i % 3 else {"b": None})} for i in range(200)] + [{}]).repartition(tasks, "r")
+    payloads = bulk_payloads(docs, "s", "t", size=30, full=True).collect()
+    sizes = {}
+    for p in payloads:
+        sizes.setdefault(p.shape, []).append(p.n_rows)
+    assert {k: sorted(v) for k, v in sizes.items()} == {'["a","i"]': [13, 30, 30, 30, 30], '["b","i"]': [7, 30, 30]}
+    assert {r.shape: r.n_batches for r in batch_plan(docs.where("r < 200"), 30, full=True).collect()} == {k: len(v) for k, v in sizes.items()}
+    assert sorted(d["i"] for d in unpack(payloads)) == list(range(200))
+    small = bulk_payloads(docs, "s", "t", size=30, max_bytes=50, full=True).collect()
+    assert sorted(d["i"] for d in unpack(small)) == list(range(200)) and max(p.n_rows for p in small) < 30
+
+
 def test_bulk_arguments_equal_the_http_normaliser(make_docs):
     from tablebridge.operators.align import normalise
 
