@@ -36,6 +36,9 @@ LARGEST_FLOAT = "3.4028235e38D"
 # Types that a value gets only where they are declared.
 DECLARED_ONLY = ("I64", "I16", "Double32", "VecString", "VecI32", "VecI64", "VecF32", "VecF64")
 
+# What an array whose objects have a schema of their own is declared as: any array is one, an empty one too.
+OBJECTS = "VecDyn of objects"
+
 # Wrappers of values that have no type of their own and go out as text.
 TEXT_WRAPPERS = r"^OBJECT<`\$(binary|code|dbPointer|maxKey|minKey|regularExpression|symbol|timestamp|undefined|uuid)`:"
 
@@ -108,6 +111,8 @@ def tag_as(v: str, k: str, expected: str | None) -> str:
     if expected in _ELEMENTS_FIT:
         empty = f"{k} = 'ARRAY<VOID>' AND {get(v, '$[0]', 'variant')} IS NULL"
         return f"CASE WHEN {empty} OR ({_ELEMENTS_FIT[expected](v, k)}) THEN '{expected}' ELSE {tag_of(v, k)} END"
+    if expected == OBJECTS:
+        return f"CASE WHEN startswith({k}, 'ARRAY') THEN 'VecDyn' ELSE {tag_of(v, k)} END"
     if expected == "I64":
         return f"CASE WHEN {k} = 'BIGINT' THEN 'I64' ELSE {tag_of(v, k)} END"
     if expected == "I16":

@@ -27,7 +27,7 @@ from tablebridge.functions.paths import entries, field, get, literal, quote
 from tablebridge.functions.tags import NONE, WRAPPERS, kind, one_of, tag_as, tag_of
 from tablebridge.operators.align import carried_columns, check_names
 from tablebridge.operators.discover import DOC, MAX_KEYS, Known, discover
-from tablebridge.spec import ColumnSpec, Spec, parse_spec, spark_type, suffix
+from tablebridge.spec import ELEMENT, ColumnSpec, Spec, declared_tag, parse_spec, spark_type, suffix
 
 REJECTS = "_rejects"
 ROW_ID = "row_id"
@@ -62,14 +62,23 @@ def _reject(column: str, expected: str, actual: str, raw: str) -> str:
 
 
 class _Plan:
-    """The projection for one spec and one set of known keys, as SQL text over cell and tag columns."""
-
-    def __init__(self, spec: Spec, known: Known, stable: bool):
-        self.known = {path: tags for path, tags in known.items() if all(path[:i] in known for i in range(1, len(path)))}
-        self.stable = stable
-        self.cells = {path: f"_cell{i}" for i, path in enumerate(sorted(self.known))}
-        self.kinds = {path: f"_kind{i}" for i, path in enumerate(sorted(self.known))}
-        self.tags = {path: f"_tag{i}" for i, path in enumerate(sorted(self.known))}
+    """The projection for one spec and one set of known keys, as SQL text over cell and tag columns.
+
+    An array of objects has a plan of its own, over the fields of the element that a lambda stands for.
+    """
+
+    def __init__(self, spec: Spec, known: Known, stable: bool, depth: int = 0):
+        whole = {path: tags for path, tags in known.items() if all(path[:i] in known for i in range(1, len(path)))}
+        self.known = {path: tags for path, tags in whole.items() if ELEMENT not in path}
+        self.deeper = {path: tags for path, tags in whole.items() if ELEMENT in path}
+        self.spec, self.stable, self.depth = spec, stable, depth
+        # Inside arrays the cells are fields of the element that a lambda stands for.
+        self.scope = f"e{depth}." if depth else ""
+        self.names = {path: i for i, path in enumerate(sorted(self.known))}
+        self.cells = {path: f"{self.scope}_cell{i}" for path, i in self.names.items()}
+        self.kinds = {path: f"{self.scope}_kind{i}" for path, i in self.names.items()}
+        self.tags = {path: f"{self.scope}_tag{i}" for path, i in self.names.items()}
+        self.elements: dict[Path, _Plan] = {}
         self.rejects: list[str] = []
         self.clashes: list[str] = []
         self.columns = self.build((), spec)
@@ -101,7 +110,8 @@ class _Plan:
         return f"coalesce({', '.join(values)})"
 
     def reject(self, condition: str, path: Path, expected: str) -> None:
-        entry = _reject(literal(".".join(path)), expected, self.tags[path], f"to_json({self.cells[path]})")
+        name = ".".join(path)
+        entry = _reject(literal(f".{name}" if self.depth else name), expected, self.tags[path], f"to_json({self.cells[path]})")
         self.rejects.append(f"CASE WHEN {condition} THEN {entry} END")
 
     def reject_malformed(self, out: _Output, column: ColumnSpec | None) -> None:
@@ -110,8 +120,62 @@ class _Plan:
         expected = column.dtype if column else out.kind
         self.reject(f"{wrapped} AND {out.holds} AND ({out.value}) IS NULL", out.source, expected)
 
+    def stages(self, v: str) -> list[dict[str, str]]:
+        """What is worked out step by step, each under a name of its own: cells of ``v``, their kinds, their tags, elements."""
+        cells = {f"_cell{i}": field(v, *path) for path, i in self.names.items()}
+        kinds = {f"_kind{i}": kind(self.cells[path]) for path, i in self.names.items()}
+        tags = {f"_tag{i}": tag_as(self.cells[p], self.kinds[p], _declared(p, self.spec)) for p, i in self.names.items()}
+        elements = {f"_elements{self.names[p]}": inner.conformed(self.cells[p]) for p, inner in self.elements.items()}
+        return [cells, kinds, tags, elements]
+
+    def all_rejects(self) -> str:
+        """The rejects of a row, or of an element; those of elements say which one."""
+        parts = [f"cast(array_compact(array({', '.join(self.rejects)})) AS {_REJECT_TYPE})"] if self.rejects else []
+        for path in self.elements:
+            name = ".".join(path)
+            at = f"concat({literal(f'.{name}' if self.depth else name)}, '[', cast(x.i AS string), ']', r.column)"
+            moved = f"transform(x.rejects, r -> named_struct('column', {at}, 'expected', r.expected, 'actual', r.actual, 'raw_json', r.raw_json))"
+            found = f"flatten(transform({self.scope}_elements{self.names[path]}, x -> {moved}))"
+            parts.append(f"coalesce(cast({found} AS {_REJECT_TYPE}), {_NO_REJECTS})")
+        return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0] if parts else _NO_REJECTS
+
+    def conformed(self, array: str) -> str:
+        """``array<struct<i, value, rejects>>``: the objects of an array, each conformed; what is no object has no value."""
+        e = self.scope[:-1]
+        kept = {"i": f"{e}.i", "x": f"{e}.x", "tag": f"{e}.tag"}
+        first, *others = self.stages("x")
+        fields = {"i": "i", "x": "x", "tag": tag_of("x", kind("x")), **first}
+
+        def struct(values: dict[str, str]) -> str:
+            return f"named_struct({', '.join(f'{literal(name)}, {value}' for name, value in values.items())})"
+
+        sql = f"transform({get(array, '$', 'array<variant>')}, (x, i) -> {struct(fields)})"
+        known = list(first)
+        for stage in others:
+            if stage:
+                sql = f"transform({sql}, {e} -> {struct({**kept, **{name: f'{e}.{name}' for name in known}, **stage})})"
+                known += stage
+        odd = _reject("''", "Object", f"{e}.tag", f"to_json({e}.x)")
+        rejects = f"""CASE WHEN {e}.tag = 'Object' THEN {self.all_rejects()} WHEN {e}.tag = '{NONE}' THEN {_NO_REJECTS}
+            ELSE cast(array({odd}) AS {_REJECT_TYPE}) END"""
+        value = f"CASE WHEN {e}.tag = 'Object' THEN {struct({name: value for name, value in self.columns.items()})} END"
+        return f"transform({sql}, {e} -> {struct({'i': f'{e}.i', 'value': value, 'rejects': rejects})})"
+
+    def element_plan(self, path: Path, spec: Spec) -> _Plan | None:
+        """The plan for the objects of an array; None while no object in it has a key."""
+        if path not in self.elements:
+            start = path + (ELEMENT,)
+            inner = _Plan(spec, {p[len(start) :]: tags for p, tags in self.deeper.items() if p[: len(start)] == start and p != start}, self.stable, self.depth + 1)
+            if not inner.columns:
+                return None
+            self.elements[path] = inner
+            self.clashes += [f"{'.'.join(path)}[].{clash}" for clash in inner.clashes]
+        return self.elements[path]
+
     def value(self, path: Path, dtype: str, column: ColumnSpec | None) -> str:
-        """The typed value of a cell; objects with a ``sub_schema`` become structs."""
+        """The typed value of a cell; objects with a ``sub_schema`` become structs, arrays of them arrays of structs."""
+        if dtype == "VecDyn" and column and column.sub_schema and self.element_plan(path, column.sub_schema):
+            return f"transform({self.scope}_elements{self.names[path]}, x -> x.value)"
         if dtype == "Object" and column and column.sub_schema:
             inner = self.build(path, column.sub_schema)
             if inner:
@@ -216,10 +280,8 @@ def conform_with_rejects(
 
     kept = [quote(c) for c in carried]
     v = quote(doc)
-    cells = [f"{field(v, *path)} AS {name}" for path, name in plan.cells.items()]
-    kinds = [f"{kind(plan.cells[path])} AS {name}" for path, name in plan.kinds.items()]
-    tags = [f"{tag_as(plan.cells[p], plan.kinds[p], _declared(p, spec))} AS {name}" for p, name in plan.tags.items()]
-    rejects = f"cast(array_compact(array({', '.join(plan.rejects)})) AS {_REJECT_TYPE})" if plan.rejects else _NO_REJECTS
+    cells, *later = ([f"{value} AS {name}" for name, value in stage.items()] for stage in plan.stages(v))
+    rejects = plan.all_rejects()
     if rest is not None:
         # Whatever the plan has no cell for: undeclared keys, and declared ones that a given ``known`` lacks.
         listed = f"cast(array({', '.join(map(literal, sorted({path[0] for path in known} | ignore)))}) AS array<string>)"
@@ -232,7 +294,9 @@ def conform_with_rejects(
     if rest is not None:
         columns.append(f"CASE WHEN size(_others) > 0 THEN to_json(_others) END AS {quote(rest)}")
     # The kinds have a projection of their own: see with_tags.
-    rows = docs.selectExpr(*kept, *cells).selectExpr("*", *kinds).selectExpr("*", *tags)
+    rows = docs.selectExpr(*kept, *cells)
+    for stage in later:
+        rows = rows.selectExpr("*", *stage) if stage else rows
     return rows.selectExpr(*kept, *columns, f"{rejects} AS {REJECTS}"), plan.clashes
 
 
@@ -244,7 +308,7 @@ def _declared(path: Path, spec: Spec) -> str | None:
     for key in path:
         column = spec.get(key)
         spec = column.sub_schema if column else {}
-    return column.dtype if column else None
+    return declared_tag(column) if column else None
 
 
 def _stray_keys(v: str, listed: Iterable[str]) -> str:

@@ -8,9 +8,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from tablebridge.functions.paths import entries, field, literal, quote
-from tablebridge.functions.tags import DECLARED_ONLY, NONE, kind, tag_as, tag_of
-from tablebridge.spec import Spec, parse_spec
+from tablebridge.functions.paths import entries, field, get, literal, quote
+from tablebridge.functions.tags import DECLARED_ONLY, NONE, OBJECTS, kind, tag_as, tag_of
+from tablebridge.spec import ELEMENT, Spec, declared_tag, parse_spec
 
 DOC = "doc"
 MAX_KEYS = None  # no bound unless the caller sets one
@@ -51,24 +51,31 @@ def _path(keys: Iterable[str]) -> str:
     return f"cast(array({', '.join(map(literal, keys))}) AS array<string>)"
 
 
-def _objects(v: str, prefix: tuple[str, ...], spec: Spec) -> Iterator[tuple[tuple[str, ...], str]]:
-    """The document itself, then each object in it that has a ``sub_schema``, with its path."""
-    yield prefix, v
+def _levels(at: DataFrame, prefix: tuple[str, ...], spec: Spec) -> Iterator[tuple[tuple[str, ...], DataFrame]]:
+    """The documents themselves (``_at``), then the objects in them that have a ``sub_schema``, with their path.
+
+    An array with a ``sub_schema`` stands for its elements, each a row.
+    """
+    yield prefix, at
     for name, column in spec.items():
-        if column.sub_schema:
-            yield from _objects(field(v, name), prefix + (name,), column.sub_schema)
+        if column.sub_schema and column.dtype == "VecDyn":
+            elements = get(field("_at", name), "$", "array<variant>")
+            yield from _levels(at.selectExpr(f"explode({elements}) AS _at"), prefix + (name, ELEMENT), column.sub_schema)
+        elif column.sub_schema:
+            yield from _levels(at.selectExpr(f"{field('_at', name)} AS _at"), prefix + (name,), column.sub_schema)
 
 
 def _declared(spec: Spec, dtype: str, prefix: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
     for name, column in spec.items():
-        if column.dtype == dtype:
+        inner = prefix + ((name, ELEMENT) if column.dtype == "VecDyn" else (name,))
+        if declared_tag(column) == dtype:
             yield prefix + (name,)
-        yield from _declared(column.sub_schema, dtype, prefix + (name,))
+        yield from _declared(column.sub_schema, dtype, inner)
 
 
 def _tag_by_path(spec: Spec) -> str:
     branches = ""
-    for dtype in DECLARED_ONLY:
+    for dtype in (*DECLARED_ONLY, OBJECTS):
         paths = ", ".join(_path(keys) for keys in _declared(spec, dtype))
         if paths:
             branches += f" WHEN path IN ({paths}) THEN {tag_as('value', 'kind', dtype)}"
@@ -91,14 +98,17 @@ def discover(
     max_keys: int | None = MAX_KEYS,
     declared_only: bool = False,
 ) -> Known:
-    """Run one job that finds the keys and the tags under each, following ``sub_schema`` into objects.
+    """Run one job that finds the keys and the tags under each, following ``sub_schema`` into objects and arrays of them.
 
     One row per key wanted as a column reaches the driver: all keys, or with
     ``declared_only`` those of the spec, however many others there are.
     """
     spec = parse_spec(spec)
-    parts = [_fields(docs.selectExpr(f"{at} AS _at"), "_at").selectExpr(f"concat({_path(prefix)}, array(key)) AS path", "value", "kind")
-             for prefix, at in _objects(quote(doc), (), spec)]
+    parts = []
+    for prefix, at in _levels(docs.selectExpr(f"{quote(doc)} AS _at"), (), spec):
+        parts.append(_fields(at, "_at").selectExpr(f"concat({_path(prefix)}, array(key)) AS path", "value", "kind"))
+        if prefix and prefix[-1] == ELEMENT:
+            parts.append(at.selectExpr(f"{_path(prefix)} AS path", "_at AS value", f"{kind('_at')} AS kind"))
     values = reduce(DataFrame.unionAll, parts)
     if declared_only:
         values = values.where(F.col("path")[0].isin(list(spec)))

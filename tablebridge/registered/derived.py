@@ -28,6 +28,12 @@ NESTED = """concat('{"id":', o_orderkey, ',"customer":',
                               ELSE concat('"', o_orderpriority, '"') END,
          CASE WHEN o_orderstatus = 'F' THEN ',"closed":true' ELSE '' END, '}') END, '}')"""
 
+# One document per order with an array of objects, whose fields change type; some elements are no objects.
+ITEMS = """concat('{"id":', o_orderkey, ',"items":', CASE WHEN o_orderkey % 11 = 0 THEN '[]' WHEN o_orderkey % 7 = 0 THEN '"none"' ELSE
+  concat('[{"sku":', o_custkey, ',"qty":"', o_orderkey % 9, '"},',
+    CASE WHEN o_orderkey % 3 = 0 THEN cast(o_custkey AS varchar(20)) ELSE concat('{"sku":"', o_orderstatus, '","qty":', o_custkey, ',"tag":true}') END,
+    ',null,{"qty":"', o_orderstatus, '","parts":[{"n":', o_orderkey, '},{"n":"', o_orderstatus, '"}]}]') END, '}')"""
+
 # One mixed array per event.
 MIXED = """concat('[', event_id, ',"', event_type, '",', user_id, ',[', user_id, ',"', event_type, '",true],',
   CASE WHEN event_id % 2 = 0 THEN 'false' ELSE 'null' END, ',{"k":', user_id, '}]')"""

@@ -21,6 +21,7 @@ from tablebridge.registered.derived import (
     CELLS,
     DIRTY,
     EXTENDED,
+    ITEMS,
     MIXED,
     NESTED,
     ORACLE_MILLIS,
@@ -197,6 +198,23 @@ def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def conform_nested_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects inside arrays, and inside arrays within these, conformed element by element, beside what was rejected."""
+    docs = documents(table(spark, sf_dir, "orders"), ITEMS, "o_orderkey")
+    parts = {"n": {"dtype": "I64", "dtype_collision_strategy": "NewCol"}}
+    item = {
+        "sku": {"dtype": "I64", "dtype_collision_strategy": "NewCol"},
+        "qty": {"dtype": "I32", "dtype_collision_strategy": "Cast"},
+        "parts": {"dtype": "VecDyn", "dtype_collision_strategy": "NewCol", "sub_schema": parts},
+    }
+    items = {"items": {"dtype": "VecDyn", "dtype_collision_strategy": "NewCol", "sub_schema": item}}
+    rows, rejects, _ = conform(docs, items, "o_orderkey")
+    refused = rejects.groupBy("o_orderkey").agg(
+        F.array_join(F.sort_array(F.collect_list(F.concat_ws(" ", "column", "expected", "actual", "raw_json"))), "; ").alias("refused")
+    )
+    return rows.join(refused, "o_orderkey", "left").select("o_orderkey", F.to_json("items").alias("items"), "items_str", "refused")
+
+
 def split_mixed_array(spark: SparkSession, sf_dir: str, depth: int = 0) -> DataFrame:
     tags = ["I32", "String", "Bool", "VecDyn", "Object"]
     arrays = table(spark, sf_dir, "events").select("event_id", F.parse_json(F.expr(MIXED)).alias("a"))
@@ -321,6 +339,7 @@ QUERIES = {
     "conform_ignore": conform_ignore,
     "conform_remove": conform_remove,
     "conform_nested": conform_nested,
+    "conform_nested_arrays": conform_nested_arrays,
     "split_mixed_array": split_mixed_array,
     "split_mixed_array_deep": split_mixed_array_deep,
     "normalise_typed": normalise_typed,
@@ -402,6 +421,15 @@ ORACLES = {
           CASE WHEN json_type(k) = 'VARCHAR' THEN kt END AS customer_key_str,
           p AS customer_priority, CAST(closed AS BOOLEAN) AS customer_closed,
           CASE WHEN json_type(c) = 'VARCHAR' THEN json_extract_string(c, '$') END AS customer_str FROM f""",
+    "conform_nested_arrays": """SELECT o_orderkey,
+        CASE WHEN o_orderkey % 11 = 0 THEN '[]' WHEN o_orderkey % 7 <> 0 THEN
+          concat('[{"sku":', o_custkey, ',"qty":', o_orderkey % 9, '},', CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE
+            concat('{"sku_str":"', o_orderstatus, '","qty":', o_custkey, ',"tag":true}') END,
+            ',null,{"parts":[{"n":', o_orderkey, '},{"n_str":"', o_orderstatus, '"}]}]') END AS items,
+        CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 7 = 0 THEN 'none' END AS items_str,
+        CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0 THEN
+          concat(CASE WHEN o_orderkey % 3 = 0 THEN concat('items[1] Object I32 ', o_custkey, '; ') ELSE '' END,
+            'items[3].qty I32 String "', o_orderstatus, '"') END AS refused FROM orders""",
     "split_mixed_array": f"""WITH m AS (SELECT event_id, json_extract({MIXED}, '$[*]') AS a FROM events),
         p AS (SELECT event_id, list_filter(a, lambda e: json_type(e) IN ('UBIGINT', 'BIGINT')) AS i,
           list_filter(a, lambda e: json_type(e) = 'VARCHAR') AS s,

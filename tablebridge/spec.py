@@ -7,7 +7,7 @@ another type::
                 "sub_schema": {"k": {"dtype": "I32", "dtype_collision_strategy": "Cast"}}},
      "sub_id": {"dtype": "I32", "dtype_collision_strategy": "NewCol"}}
 
-Type and strategy names are read case-insensitively, with or without
+The ``sub_schema`` of a ``VecDyn`` column is that of the objects in the array. Type and strategy names are read case-insensitively, with or without
 underscores (``NewCol``, ``new_col``).
 """
 
@@ -17,6 +17,8 @@ import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from tablebridge.functions.tags import OBJECTS
+
 # Type name -> (suffix of a spill column, Spark type of a typed column).
 DTYPES = {
     "Bool": ("bool", "boolean"),
@@ -55,6 +57,14 @@ class ColumnSpec:
 
 Spec = Mapping[str, ColumnSpec]
 
+# Stands in a path for the elements of an array, as a key that no document has.
+ELEMENT = "\0[]"
+
+
+def declared_tag(column: ColumnSpec) -> str:
+    """The type that values of a column are tagged by."""
+    return OBJECTS if column.dtype == "VecDyn" and column.sub_schema else column.dtype
+
 
 def suffix(dtype: str) -> str:
     return DTYPES[dtype][0]

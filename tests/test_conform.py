@@ -277,3 +277,47 @@ def test_no_value_is_lost(make_docs, documents):
         return sum(placed or ()) + rows.agg(F.sum(F.size(REJECTS))).first()[0]
 
     assert accounted("NewCol") == accounted("Cast", title="I32") == accounted("Cast") == whole
+
+
+ITEM_SPEC = {
+    "list": {
+        "dtype": "VecDyn",
+        "dtype_collision_strategy": "NewCol",
+        "sub_schema": {
+            "a": {"dtype": "I32", "dtype_collision_strategy": "NewCol"},
+            "b": {"dtype": "I32", "dtype_collision_strategy": "Cast"},
+            "o": {"dtype": "Object", "dtype_collision_strategy": "NewCol", "sub_schema": {"z": {"dtype": "String", "dtype_collision_strategy": "Remove"}}},
+            "l": {"dtype": "VecDyn", "dtype_collision_strategy": "NewCol", "sub_schema": {"k": {"dtype": "Bool", "dtype_collision_strategy": "NewCol"}}},
+        },
+    }
+}
+
+
+def test_objects_in_arrays(make_docs):
+    docs = make_docs([
+        {"list": [{"a": 1, "b": "2"}, {"a": "x", "b": "y"}, 7, None, {"c": [1]}]}, {"list": []}, {"list": None}, {"list": "text"}, {"list": {"a": 3}},
+        {"list": [{"o": {"z": "in"}}, {"o": {"z": 5}}, {"o": 6}, {}]},
+        {"list": [{"l": [{"k": True}, {"k": 1}, "no", None]}, {"l": []}, {"l": 4}]}, {},
+    ])
+    rows, rejects, clashes = conform(docs, ITEM_SPEC, "r")
+    found = values(rows, by="r")
+    empty = dict.fromkeys(("a", "a_str", "b", "c", "o", "o_i32", "l", "l_i32"))
+    lists = [r["list"] for r in found]
+    assert lists[0] == [empty | {"a": 1, "b": 2}, empty | {"a_str": "x"}, None, None, empty | {"c": lists[0][4]["c"]}] and lists[0][4]["c"] is not None
+    assert lists[1:5] == [[], None, None, None] and [r["list_str"] for r in found[1:4]] == [None, None, "text"] and found[4]["list_object"] == '{"a":3}'
+    assert lists[5] == [empty | {"o": {"z": "in"}}, empty | {"o": {"z": None}}, empty | {"o_i32": 6}, empty]
+    assert lists[6] == [empty | {"l": [{"k": True, "k_i32": None}, {"k": None, "k_i32": 1}, None, None]}, empty | {"l": []}, empty | {"l_i32": 4}]
+    assert sorted((r.r, r.column, r.expected, r.actual, r.raw_json) for r in rejects.collect()) == [
+        (0, "list[1].b", "I32", "String", '"y"'), (0, "list[2]", "Object", "I32", "7"), (6, "list[0].l[2]", "Object", "String", '"no"'),
+    ]
+    assert clashes == []
+
+
+def test_known_elements_reject_what_they_lack(make_docs):
+    """Tags and keys that a given ``known`` does not list are rejected inside arrays, too."""
+    first = make_docs([{"list": [{"a": 1}]}])
+    rows, rejects, _ = conform(make_docs([{"list": [{"a": 2}, {"a": "x"}]}]), ITEM_SPEC, "r", known=discover(first, ITEM_SPEC))
+    assert [r.a for r in rows.first()["list"]] == [2, None]
+    assert [(r.column, r.raw_json) for r in rejects.collect()] == [("list[1].a", '"x"')]
+    plain = conform(make_docs([{"list": [1, 2]}]), ITEM_SPEC, "r").rows  # no object has been seen: the array stays as it is
+    assert values(plain, by="r")[0]["list"] == "[1,2]"
