@@ -47,6 +47,7 @@ from tablebridge.sources.tables import (
     read_parquet,
     read_table,
     split_by,
+    split_evenly,
     table_inventory,
 )
 from tablebridge.spec import ColumnSpec, parse_spec

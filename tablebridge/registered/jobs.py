@@ -201,6 +201,21 @@ def migrate_json_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def evolve_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole and floating numbers that get wider, and narrower again, from append to append."""
+    sink = ParquetSink(scratch_path(spark, "wider"), evolve=True)
+    events = table(spark, sf_dir, "events")
+    for part, (whole, floating) in enumerate((("smallint", "float"), ("bigint", "float"), ("int", "double"))):
+        rows = events.where(F.col("event_id") % 3 == part).select(
+            "event_id",
+            (F.col("event_id") % 100).cast(whole).alias("n"),
+            (F.col("event_id") % 64 / 8).cast(floating).alias("x"),
+            F.array((F.col("event_id") % 10).cast(whole)).alias("l"),
+        )
+        append(rows, sink)
+    return sink.read(spark).withColumn("l", F.to_json("l"))
+
+
 def append_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with NULL in their key, repeated in a batch and from batch to batch, are there once."""
     status = F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("status")
@@ -250,6 +265,7 @@ QUERIES = {
     "migrate_typed_wide": migrate_typed_wide,
     "migrate_typed": migrate_typed_query,
     "migrate_json_columns": migrate_json_columns,
+    "evolve_types": evolve_types,
     "append_keyed": append_keyed,
     "append_repeated": append_repeated,
     "append_once": append_once_query,
@@ -294,6 +310,7 @@ ORACLES = {
         CASE event_id % 7 WHEN 1 THEN concat('["', event_type, '","', user_id, '","null","[1,', user_id, ']"]') END AS texts,
         CASE event_id % 7 WHEN 3 THEN concat('[true,', user_id, ']')
           WHEN 4 THEN CAST(CAST(props AS JSON) -> '$' AS VARCHAR) END AS other FROM events""",
+    "evolve_types": """SELECT event_id, event_id % 100 AS n, CAST(event_id % 64 / 8.0 AS DOUBLE) AS x, concat('[', event_id % 10, ']') AS l FROM events""",
     "append_keyed": """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS status, o_totalprice
         FROM orders""",
     "append_repeated": """WITH k AS (SELECT o_custkey, count(*) AS n, count(DISTINCT coalesce(o_orderstatus, '')) AS kinds FROM orders GROUP BY 1)

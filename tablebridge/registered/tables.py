@@ -13,7 +13,7 @@ from tablebridge.operators.reconcile import reconcile, replicate
 from tablebridge.registered.derived import table
 from tablebridge.session import is_local
 from tablebridge.sinks.append import JdbcSink
-from tablebridge.sources.tables import count_table, read_table, split_by, table_inventory
+from tablebridge.sources.tables import count_table, read_table, split_by, split_evenly, table_inventory
 
 TABLES = (
     "region",
@@ -68,6 +68,18 @@ def scan_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, url, name, parts, properties=properties)
 
 
+def scan_jdbc_evenly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under a key that half of them share, read in eight parts and more; rows, and whether no part is twice the mean."""
+    url, properties = jdbc_target(spark)
+    name = f"hot_{uuid.uuid4().hex}"
+    key = F.when(F.col("o_orderkey") % 2 == 0, 7).otherwise(F.col("o_custkey")).alias("k")
+    JdbcSink(url, name, properties=properties).write(table(spark, sf_dir, "orders").select(key, "o_orderkey", "o_totalprice"))
+    parts = split_evenly(spark, url, name, "k", 8, tie="o_orderkey", properties=properties)
+    back = read_table(spark, url, name, predicates=parts, properties=properties)
+    sizes = back.groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
+    return sizes.agg(F.sum("n").alias("n"), F.sum("keys").alias("keys"), (F.max("n") * 8 <= F.sum("n") * 2).alias("even"))
+
+
 def jdbc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What differs between the orders and their copy in the database."""
     url, name, properties = load_orders(spark, sf_dir)
@@ -178,6 +190,7 @@ def replicate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "scan_parquet": scan_parquet,
     "scan_jdbc": scan_jdbc,
+    "scan_jdbc_evenly": scan_jdbc_evenly,
     "jdbc_roundtrip": jdbc_roundtrip,
     "count_table": count_table_query,
     "table_inventory": table_inventory_query,
@@ -200,6 +213,7 @@ _TS_TEXT = """CASE WHEN date_part('microseconds', {0}) % 1000000 = 0 THEN strfti
 ORACLES = {
     "scan_parquet": "SELECT * FROM events",
     "scan_jdbc": "SELECT * FROM orders",
+    "scan_jdbc_evenly": "SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, true AS even FROM orders",
     "jdbc_roundtrip": """SELECT CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b,
         CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS extra, '' AS missing_columns,
         '' AS extra_columns, true AS matches FROM orders""",

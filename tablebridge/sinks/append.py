@@ -8,6 +8,7 @@ repeated append skips the rows that are already there; or use
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -15,7 +16,7 @@ from operator import and_
 from typing import Protocol
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tablebridge.functions.paths import quote
 from tablebridge.functions.rows import encode_nested
@@ -35,16 +36,65 @@ class SchemaChange(ValueError):
     """The frame does not fit the sink."""
 
 
+# Types of one line take the last of any two.
+WIDER = ((T.ByteType, T.ShortType, T.IntegerType, T.LongType), (T.FloatType, T.DoubleType))
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType | None:
+    """The type that holds all values of both: whole numbers of any width, floating ones, and nested types of these."""
+    if a == b:
+        return a
+    for line in WIDER:
+        if type(a) in line and type(b) in line:
+            return max(a, b, key=lambda kind: line.index(type(kind)))
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        inner = common_type(a.elementType, b.elementType)
+        return inner and T.ArrayType(inner)
+    if isinstance(a, T.MapType) and isinstance(b, T.MapType):
+        inner = common_type(a.keyType, b.keyType), common_type(a.valueType, b.valueType)
+        return T.MapType(*inner) if all(inner) else None
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return common_schema(a, b)
+    # Whether a value may be NULL is no part of its type here.
+    return a if a.simpleString() == b.simpleString() else None
+
+
+def common_schema(a: T.StructType, b: T.StructType) -> T.StructType | None:
+    """Columns of both, by name, each of the common type; None where two have none."""
+    theirs = {f.name: f.dataType for f in b.fields}
+    fields = [(f.name, common_type(f.dataType, theirs[f.name]) if f.name in theirs else f.dataType) for f in a.fields]
+    fields += [(f.name, f.dataType) for f in b.fields if f.name not in a.names]
+    return T.StructType([T.StructField(name, kind) for name, kind in fields]) if all(kind for _, kind in fields) else None
+
+
 @dataclass(frozen=True)
 class ParquetSink:
-    """A Parquet directory. With ``evolve`` new columns may be appended; they read as NULL in older files."""
+    """A Parquet directory. With ``evolve`` new columns may be appended, which read as NULL in older files, and wider types.
+
+    A column takes the widest type that any append had (see :func:`common_type`). The first append that widens one leaves
+    the schema in a small file beside the data, whose readers take that schema and widen older files as they read them.
+    """
 
     path: str
     evolve: bool = False
 
+    @property
+    def schemas(self) -> str:
+        """A folder that Spark does not take for data."""
+        return f"{self.path.rstrip('/')}/_schemas"
+
+    def schema(self, spark: SparkSession) -> T.StructType | None:
+        """The widest schema that appends have left; None while the files agree."""
+        if not path_exists(spark, self.schemas):
+            return None
+        found = [T.StructType.fromJson(json.loads(r.value)) for r in spark.read.text(self.schemas).collect()]
+        return reduce(common_schema, found) if found else None
+
     def read(self, spark: SparkSession) -> DataFrame | None:
         if not path_exists(spark, self.path):
             return None
+        if self.evolve and (schema := self.schema(spark)) is not None:
+            return spark.read.schema(schema).parquet(self.path)
         try:
             return read_parquet(spark, self.path, merge_schema=self.evolve)
         except AnalysisException as error:
@@ -56,6 +106,15 @@ class ParquetSink:
         target = self.read(df.sparkSession)
         if target is not None:
             check_fits(df, target, self.evolve)
+            kept = self.schema(df.sparkSession) if self.evolve else None
+            schema = common_schema(target.schema, df.schema) if self.evolve else None
+            if schema is not None:
+                kinds = {f.name: f.dataType for f in schema.fields}
+                widened = any(f.dataType.simpleString() != kinds[f.name].simpleString() for f in target.schema.fields)
+                if widened or kept is not None and len(schema) > len(kept):
+                    # Before the rows, so that no reader meets files wider than the schema it finds.
+                    line = df.sparkSession.createDataFrame([(schema.json(),)], "value string")
+                    line.coalesce(1).write.mode("append").text(self.schemas)
         df.write.mode("append").parquet(self.path)
 
 
@@ -100,12 +159,16 @@ class JdbcSink:
 
 
 def check_fits(df: DataFrame, target: DataFrame, evolve: bool) -> None:
-    """Refuse a column that changed type, and new columns unless ``evolve``."""
-    have = {f.name: f.dataType.simpleString() for f in target.schema.fields}
+    """Refuse a column that changed type, unless ``evolve`` finds a type for both, and new columns unless ``evolve``."""
+    have = {f.name: f.dataType for f in target.schema.fields}
+
+    def fits(a: T.DataType, b: T.DataType) -> bool:
+        return a.simpleString() == b.simpleString() or evolve and common_type(a, b) is not None
+
     changed = [
-        f"{f.name}: {have[f.name]} -> {f.dataType.simpleString()}"
+        f"{f.name}: {have[f.name].simpleString()} -> {f.dataType.simpleString()}"
         for f in df.schema.fields
-        if f.name in have and have[f.name] != f.dataType.simpleString()
+        if f.name in have and not fits(have[f.name], f.dataType)
     ]
     if changed:
         raise SchemaChange(f"columns change type: {', '.join(changed)}")
@@ -155,9 +218,9 @@ def append(
 
 
 def evolve(parts: Sequence[DataFrame]) -> DataFrame:
-    """One frame of several appends: columns by name, NULL where a part lacks one."""
+    """One frame of several appends: columns by name, of the widest type, NULL where a part lacks one."""
     out = parts[0]
     for part in parts[1:]:
         check_fits(part, out, evolve=True)
-        out = out.unionByName(part, allowMissingColumns=True)
+        out = out.unionByName(part, allowMissingColumns=True)  # a union takes the wider type
     return out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import NamedTuple
@@ -36,7 +37,7 @@ def read_table(
 
     Column and filter pruning reach the database. Bounds only place the split
     points: rows outside them are read too. A column with a hot value splits
-    badly by range; give ``predicates`` that cut the table evenly instead.
+    badly by range; give the ``predicates`` of :func:`split_evenly` instead.
     """
     options = {"preferTimestampNTZ": "true", "fetchsize": str(fetch_size), **(properties or {})}
     if predicates:
@@ -70,6 +71,73 @@ def split_by(
     return None if row is None or row[0] is None else Partitioning(column, row[0], row[1], count)
 
 
+def _sql_value(value: object) -> str:
+    """A literal in the database's own SQL; dates and times by the escapes that all JDBC drivers know."""
+    if isinstance(value, datetime.datetime):
+        return f"{{ts '{value:%Y-%m-%d %H:%M:%S.%f}'}}"
+    if isinstance(value, datetime.date):
+        return f"{{d '{value:%Y-%m-%d}'}}"
+    return str(value)
+
+
+def _edges(df: DataFrame, column: str, parts: int) -> list:
+    """Upper ends of ``parts`` shares of the rows; the same value again where one value fills several shares."""
+    if parts < 2:
+        return []
+    places = [i / parts for i in range(1, parts)]
+    return list(df.agg(F.percentile_approx(F.col(quote(column)), places, 10_000)).first()[0] or [])
+
+
+def split_evenly(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    column: str,
+    count: int,
+    tie: str | None = None,
+    sample: float = 1.0,
+    partition: Partitioning | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> list[str]:
+    """Predicates for :func:`read_table` that cut a table into about ``count`` parts of about as many rows each.
+
+    They follow from the quantiles of a ``sample`` of the keys alone, which are counted in Spark (read by several tasks with
+    ``partition``); every row is in one part, whatever was sampled. Where one value of ``column`` fills more than a part, its
+    rows are cut by quantiles of ``tie``, another numeric or date column. Rows without a key are a part of their own.
+    """
+    mark = identifier_mark(url)
+
+    def name(c: str) -> str:
+        return mark + c.replace(mark, mark * 2) + mark
+
+    columns = [column, *([tie] if tie else [])]
+    keys = read_table(spark, url, table, partition, columns=columns, properties=properties)
+    keys = keys.sample(sample, seed=1) if sample < 1 else keys
+    edges = _edges(keys, column, count)
+    if not edges:
+        return ["1 = 1"]
+    key = name(column)
+    hot = {v: edges.count(v) for v in edges if edges.count(v) > 1}
+    parts = [f"{key} IS NULL"]
+    ends = sorted(set(edges))
+    for low, high in zip([None, *ends], [*ends, None]):
+        # From an end on, or behind it where its value has parts of its own.
+        sides = [f"{key} {'>' if low in hot else '>='} {_sql_value(low)}"] if low is not None else []
+        sides += [f"{key} < {_sql_value(high)}"] if high is not None else []
+        parts.append(" AND ".join(sides))
+    for value, filled in hot.items():
+        same = f"{key} = {_sql_value(value)}"
+        among = keys.where(F.col(quote(column)) == F.lit(value))
+        cuts = sorted(set(_edges(among, tie, filled + 1))) if tie else []
+        for low, high in zip([None, *cuts], [*cuts, None]):
+            sides = [f"{name(tie)} >= {_sql_value(low)}"] if low is not None else []
+            sides += [f"{name(tie)} < {_sql_value(high)}"] if high is not None else []
+            # Rows whose tie is NULL go with the first part of their value.
+            tied = " AND ".join(sides)
+            parts.append(f"{same} AND ({tied} OR {name(tie)} IS NULL)" if tied and low is None else f"{same} AND {tied}" if tied else same)
+    return parts
+
+
 def read_parquet(spark: SparkSession, path: str, schema: str | None = None, merge_schema: bool = False) -> DataFrame:
     """Read a Parquet directory.
 

@@ -20,7 +20,7 @@ from tablebridge.sinks.append import JdbcSink, ParquetSink, SchemaChange, append
 from tablebridge.sinks.once import append_once, merge, stage
 from tablebridge.sinks.bulk import BulkSink, argument_rows, bulk_payloads
 from tablebridge.sinks.bulk_tasks import BulkDataSource, BulkWriter, DeliveryError, chunker, insert_statement
-from tablebridge.sources.tables import count_jdbc, count_table, jdbc_names, list_databases, list_tables, read_table, split_by, table_inventory
+from tablebridge.sources.tables import count_jdbc, count_table, jdbc_names, list_databases, list_tables, read_table, split_by, split_evenly, table_inventory
 from tablebridge.streaming.migrate import KNOWN, read_migrated, stream_migrate, stream_report
 
 SPEC = {
@@ -148,6 +148,45 @@ def test_appending_files(spark, tmp_path):
     assert column(evolve([df, spark.range(7, 8).selectExpr("id", "'x' AS w")]), "w") == [None, None, None, "x"]
 
 
+def test_types_widen_over_appends(spark, tmp_path):
+    sink = ParquetSink(str(tmp_path / "w"), evolve=True)
+
+    def add(*columns):
+        append(spark.range(1).selectExpr(*columns), sink)
+
+    add("1 AS id", "cast(7 AS smallint) AS n", "cast(0.5 AS float) AS x", "array(1) AS l", "named_struct('a', 1) AS s")
+    assert sink.schema(spark) is None
+    add("2 AS id", "8 AS n", "0.25D AS x", "array(2L) AS l", "named_struct('a', 2L, 'b', 'new') AS s")
+    add("3 AS id", "5000000000 AS n", "cast(0.5 AS float) AS x", "array(3) AS l", "named_struct('a', 3) AS s")
+    add("4 AS id", "cast(9 AS tinyint) AS n", "'late' AS w")
+    back = sink.read(spark)
+    assert back.schema.simpleString() == "struct<id:int,n:bigint,x:double,l:array<bigint>,s:struct<a:bigint,b:string>,w:string>"
+    assert column(back, "n") == [7, 8, 5_000_000_000, 9] and column(back, "x") == [0.5, 0.25, 0.5, None] and column(back, "l") == [[1], [2], [3], None]
+    assert column(back, "s") == [{"a": 1, "b": None}, {"a": 2, "b": "new"}, {"a": 3, "b": None}, None] and column(back, "w") == [None] * 3 + ["late"]
+    for wrong in ("'x' AS n", "1.5D AS n", "array('x') AS l", "named_struct('a', 'x') AS s"):
+        with pytest.raises(SchemaChange, match="change type"):
+            add("5 AS id", wrong)
+    parts = [spark.sql("SELECT 1 AS id, 2 AS v"), spark.sql("SELECT 2 AS id, 3L AS v"), spark.sql("SELECT 3 AS id")]
+    assert evolve(parts).dtypes == [("id", "int"), ("v", "bigint")] and column(evolve(parts), "v") == [2, 3, None]
+
+
+def test_even_parts_of_a_hot_key(spark):
+    url, properties = jdbc_target(spark)
+    name = f"T{uuid.uuid4().hex}".upper()
+    rows = spark.range(1200).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 40 WHEN id % 100 = 1 THEN NULL ELSE id END AS k", "CASE WHEN id % 50 = 0 THEN NULL ELSE id END AS t",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, id % 7) AS at", "id",
+    )
+    JdbcSink(url, name, properties=properties).write(rows)
+    for column_, tie, most in (("k", "t", 300), ("at", "id", 300), ("id", None, 300), ("k", None, 700)):
+        for sample in (1.0, 0.5):
+            parts = split_evenly(spark, url, name, column_, 8, tie, sample, properties=properties)
+            back = read_table(spark, url, name, predicates=parts, properties=properties)
+            sizes = [r["count"] for r in back.groupBy(F.spark_partition_id()).count().collect()]
+            assert sorted(r.id for r in back.select("id").collect()) == list(range(1200)) and max(sizes) <= most
+    assert split_evenly(spark, url, name, "k", 1, properties=properties) == ["1 = 1"]
+
+
 def test_reconcile(spark):
     a = spark.createDataFrame([(1, "a", None), (1, "a", None), (2, None, "a"), (3, "c", "c")], "k int, x string, y string")
     b = spark.createDataFrame([(1, "a", None), (2, "a", None), (4, "d", "d")], "k int, x string, y string")
