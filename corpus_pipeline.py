@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablebridge.llm import registered
-from tablebridge.llm.common import held_out, kept, read
-from tablebridge.llm.mixing import mix, mixture_plan
+from tablebridge.llm.common import fresh, held_out, kept, read
+from tablebridge.llm.mixing import RESULTS, mix, mixture_plan
 from tablebridge.llm.neardup import deduplicated
 from tablebridge.llm.packing import pack
 from tablebridge.llm.quality import fit_quality, score_quality
@@ -24,13 +24,15 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5."""
     model = fit_toxicity(docs, _labels(spark, sf_dir))
-    return score_toxicity(docs, model, result="_toxicity").filter("_toxicity.score < 0.5").drop("_toxicity")
+    (result,) = fresh(docs, "_toxicity")
+    return score_toxicity(docs, model, result=result).filter(F.col(result)["score"] < 0.5).drop(result)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score is 0.3 or more."""
     model = fit_quality(docs, _labels(spark, sf_dir))
-    return score_quality(docs, model, result="_quality").filter("_quality.score >= 0.3").drop("_quality")
+    (result,) = fresh(docs, "_quality")
+    return score_quality(docs, model, result=result).filter(F.col(result)["score"] >= 0.3).drop(result)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +44,10 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mixture takes them, up to three times; those it does not take go."""
     mixed = mix(docs, mixture_plan(docs))
     often = F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))
-    return mixed.filter("mix_copies > 0").withColumn("_copy", F.explode(often)).select(*docs.columns)
+    (copy,) = fresh(mixed, "_copy")
+    # A column that has the name of a result was moved aside and gets its name back: columns keep their places.
+    each = mixed.filter("mix_copies > 0").withColumn(copy, F.explode(often)).drop(copy, *RESULTS)
+    return each.toDF(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

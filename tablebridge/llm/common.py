@@ -51,6 +51,34 @@ def portions(batch: pa.RecordBatch, column: int, rows: int = 1000, volume: int =
         at = to
 
 
+def _taken(docs: DataFrame) -> set[str]:
+    return {c.lower() for c in docs.columns}
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Names for columns of an operator's own that no column of ``docs`` has."""
+    taken = _taken(docs)
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def apart(docs: DataFrame, *results: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``docs``, in which a column that has the name of a result stays with ``_before`` behind its name.
+
+    Columns in ``keep`` are read by name and may not have a result's name.
+    """
+    wanted = {r.lower() for r in results}
+    if clash := [c for c in keep if c.lower() in wanted]:
+        raise ValueError(f"columns {', '.join(clash)} are read here and cannot have the name of a result")
+    moved = {c: fresh(docs, f"{c}_before")[0] for c in docs.columns if c.lower() in wanted}
+    return docs.withColumnsRenamed(moved) if moved else docs
+
+
 def held_out(column: str, parts: int, part: int) -> Column:
     """Whether crc32 of the id as text falls into ``part`` of ``parts``."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % parts == part

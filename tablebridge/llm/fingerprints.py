@@ -4,7 +4,10 @@ A sketch keeps every shingle hash below a fixed fraction of the hash range, so i
 sketches of any two documents are samples of the same hashes: their union is the sketch of both texts together, and the
 share of one found in the other estimates containment however unequal the lengths are.
 
-A document whose hashes all lie above the fraction keeps its smallest one, so that short texts have a sketch too.
+A sketch also keeps a document's lowest few hashes, wherever they lie, so that short texts are held whole. Each sketch is
+complete up to a bound of its own (:func:`complete_to`), and two are compared up to the smaller bound. So two short texts,
+or a text and its edited version, are compared exactly; a short text without a hash below the fraction is unlike any long
+one, as what the long one has up there is not known (a third of all texts of 8 shingles).
 
 Defined cases: a null text is an empty one; a text with fewer words than a shingle has one shingle, the whole sequence; a
 text without words has an empty sketch, alike (1.0) to another empty one and unlike (0.0) to any other; repeated rows are
@@ -16,9 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import WORD, bound
+from tablebridge.functions.paths import quote
+from tablebridge.llm.common import WORD, apart, bound, fresh
 
 LOWEST = -(1 << 63)
+FRACTION, LEAST = 0.125, 16
 
 
 def shingle_hashes(text: Column, words: int) -> Column:
@@ -31,41 +36,61 @@ def shingle_hashes(text: Column, words: int) -> Column:
     return bound(each, lambda h: F.when(F.size(h) > 0, run(h)).otherwise(F.array().cast("array<long>")))
 
 
-def sketch(text: Column, fraction: float = 0.125, words: int = 5) -> Column:
-    """Sorted distinct shingle hashes in the lowest ``fraction`` of the range, or else the smallest one."""
+def sketch(text: Column, fraction: float = FRACTION, words: int = 5, least: int = LEAST) -> Column:
+    """Sorted distinct shingle hashes in the lowest ``fraction`` of the range, and at least the ``least`` lowest ones."""
     limit = LOWEST + int(fraction * (1 << 64))
 
     def small(hashes: Column) -> Column:
-        below = F.filter(hashes, lambda h: h < F.lit(limit))
-        return F.when(F.size(below) > 0, F.array_sort(F.array_distinct(below))).otherwise(
-            F.filter(F.array(F.array_min(hashes)), lambda h: h.isNotNull())
-        )
+        below = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < F.lit(limit))))
+        return bound(below, lambda b: F.when(F.size(b) >= least, b).otherwise(F.slice(F.array_sort(F.array_distinct(hashes)), 1, least)))
 
     return bound(shingle_hashes(text, words), small)
 
 
-def merged(left: Column, right: Column) -> Column:
+def complete_to(hashes: Column, fraction: float = FRACTION, least: int = LEAST) -> Column:
+    """The largest number up to which a sketch holds every hash of its text."""
+    limit = LOWEST + int(fraction * (1 << 64)) - 1
+    return F.when(F.size(hashes) < least, F.lit(-LOWEST - 1)).otherwise(F.greatest(F.element_at(hashes, -1), F.lit(limit)))
+
+
+def _comparable(left: Column, right: Column, fraction: float, least: int, body) -> Column:
+    """``body`` of both sketches up to the smaller of their bounds."""
+    to = F.least(complete_to(left, fraction, least), complete_to(right, fraction, least))
+    cut = lambda hashes: F.filter(hashes, lambda h: h <= to)
+    return bound(F.struct(cut(left).alias("l"), cut(right).alias("r")), lambda both: body(both["l"], both["r"]))
+
+
+def merged(left: Column, right: Column, fraction: float = FRACTION, least: int = LEAST) -> Column:
     """The sketch of two texts together."""
-    return F.array_sort(F.array_union(left, right))
+    return _comparable(left, right, fraction, least, lambda a, b: F.array_sort(F.array_union(a, b)))
 
 
-def containment(part: Column, whole: Column) -> Column:
+def containment(part: Column, whole: Column, fraction: float = FRACTION, least: int = LEAST) -> Column:
     """Estimated share of the shingles of ``part`` that ``whole`` has; two empty sketches hold one another."""
-    common = F.size(F.array_intersect(part, whole)) / F.size(part)
-    return F.when(F.size(part) > 0, common).otherwise((F.size(whole) == 0).cast("double"))
+    share = lambda a, b: F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(0.0)
+    return F.when(F.size(part) == 0, (F.size(whole) == 0).cast("double")).otherwise(_comparable(part, whole, fraction, least, share))
 
 
-def likeness(left: Column, right: Column) -> Column:
+def likeness(left: Column, right: Column, fraction: float = FRACTION, least: int = LEAST) -> Column:
     """Containment of the smaller sketch in the larger one, which does not suffer from unequal lengths."""
-    least = F.least(F.size(left), F.size(right))
-    common = F.size(F.array_intersect(left, right)) / least
-    return F.when(least > 0, common).otherwise((F.size(left) == F.size(right)).cast("double"))
 
+    def share(a: Column, b: Column) -> Column:
+        few = F.least(F.size(a), F.size(b))
+        return F.when(few > 0, F.size(F.array_intersect(a, b)) / few).otherwise(0.0)
 
-def resemblance(left: Column, right: Column) -> Column:
+    empty = (F.size(left) == 0) | (F.size(right) == 0)
+    return F.when(empty, (F.size(left) == F.size(right)).cast("double")).otherwise(_comparable(left, right, fraction, least, share))
+
+
+def resemblance(left: Column, right: Column, fraction: float = FRACTION, least: int = LEAST) -> Column:
     """Estimated Jaccard similarity."""
-    union = F.size(F.array_union(left, right))
-    return F.when(union > 0, F.size(F.array_intersect(left, right)) / union).otherwise(1.0)
+
+    def share(a: Column, b: Column) -> Column:
+        union = F.size(F.array_union(a, b))
+        return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(0.0)
+
+    both = (F.size(left) == 0) & (F.size(right) == 0)
+    return F.when(both, F.lit(1.0)).otherwise(_comparable(left, right, fraction, least, share))
 
 
 def fingerprint(hashes: Column) -> Column:
@@ -95,40 +120,40 @@ def with_next(
     first ids, at most ``most_ranges`` of each. Rows of one id stand in the order of a hash of what they lead with.
     """
     spark = docs.sparkSession
+    docs = apart(docs, *[f"next_{c}" for c in columns], keep=(id_column, *columns))
+    own, group, tie, copied, before, minus, first_tie = fresh(docs, "_id", "_range", "_tie", "_copy", "_before", "_minus", "_first_tie")
     ids = docs.select(F.col(id_column).cast("long").alias("id"))
     many = min(most_ranges, max(8, -(-ids.count() // rows_per_range)))
     shares = [i / many for i in range(1, many)]
     cuts = ids.agg(F.percentile_approx("id", shares, max(10_000, 20 * many)).alias("cuts")).first().cuts
     # Ranges count from the largest id on; null ids are a range of their own behind them.
     bounds = sorted(set(cuts or []), reverse=True)
-    place = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in bounds]), lambda x: x > F.col("_id")))
-    placed = docs.withColumn("_id", F.col(id_column).cast("long")).withColumns(
+    place = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in bounds]), lambda x: x > F.col(own)))
+    placed = docs.withColumn(own, F.col(id_column).cast("long")).withColumns(
         {
-            "_range": F.when(F.col("_id").isNull(), F.lit(len(bounds) + 1)).otherwise(place if bounds else F.lit(0)),
-            "_tie": F.xxhash64(*columns),
+            group: F.when(F.col(own).isNull(), F.lit(len(bounds) + 1)).otherwise(place if bounds else F.lit(0)),
+            tie: F.xxhash64(*columns),
         }
     )
     firsts = (
-        placed.select("_range", F.struct((-F.col("_id")).alias("id"), F.col("_tie").alias("tie")).alias("first"))
-        .groupBy("_range")
+        placed.select(F.col(group).alias("range"), F.struct((-F.col(own)).alias("id"), F.col(tie).alias("tie")).alias("first"))
+        .groupBy("range")
         .agg(F.min("first").alias("first"))
         .collect()
     )
-    firsts = sorted((row._range, row["first"].id, row["first"].tie) for row in firsts)
+    firsts = sorted((row["range"], row["first"].id, row["first"].tie) for row in firsts)
     follows = [(this[0], *after[1:]) for this, after in zip(firsts, firsts[1:] + firsts[:1])]
-    wanted = spark.createDataFrame(follows, "_before int, _minus long, _first_tie long")
+    wanted = spark.createDataFrame(follows, f"{before} int, {minus} long, {first_tie} long")
     copies = (
-        placed.join(
-            F.broadcast(wanted), (-F.col("_id")).eqNullSafe(F.col("_minus")) & (F.col("_tie") == F.col("_first_tie"))
-        )
-        .withColumn("_range", F.col("_before"))
-        .select(*placed.columns, F.lit(1).alias("_copy"))
+        placed.join(F.broadcast(wanted), (-F.col(own)).eqNullSafe(F.col(minus)) & (F.col(tie) == F.col(first_tie)))
+        .withColumn(group, F.col(before))
+        .select(*[F.col(quote(c)) for c in placed.columns], F.lit(1).alias(copied))
     )
-    order = [F.col("_copy"), F.col("_id").desc_nulls_last(), F.col("_tie")]
-    within = Window.partitionBy("_range").orderBy(*order)
-    both = placed.withColumn("_copy", F.lit(0)).unionByName(copies)
+    order = [F.col(copied), F.col(own).desc_nulls_last(), F.col(tie)]
+    within = Window.partitionBy(group).orderBy(*order)
+    both = placed.withColumn(copied, F.lit(0)).unionByName(copies)
     led = both.withColumns({f"next_{c}": F.lead(c).over(within) for c in columns})
-    return led.filter(F.col("_copy") == 0).drop("_id", "_range", "_tie", "_copy")
+    return led.filter(F.col(copied) == 0).drop(own, group, tie, copied)
 
 
 def edited(text: Column, other: Column) -> Column:
@@ -138,8 +163,8 @@ def edited(text: Column, other: Column) -> Column:
 
 
 def fingerprints(
-    docs: DataFrame, fraction: float = 0.125, words: int = 5, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, fraction: float = FRACTION, words: int = 5, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """``docs`` with ``sketch`` and ``fingerprint``, its text form."""
-    made = docs.withColumn("sketch", sketch(F.col(text_column).cast("string"), fraction, words))
+    made = apart(docs, "sketch", "fingerprint", keep=(id_column, text_column)).withColumn("sketch", sketch(F.col(text_column).cast("string"), fraction, words))
     return made.withColumn("fingerprint", fingerprint(F.col("sketch")))

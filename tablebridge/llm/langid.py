@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tablebridge.llm.common import kept
+from tablebridge.llm.common import apart, kept
 
 WORDS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -285,7 +285,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_column: str = "text", r
                 [pa.array([x[0] for x in rows], pa.string()), pa.array([x[1] for x in rows], pa.float64())], names=["lang", "score"]
             )
 
-    return docs.withColumn(result, identified(F.col(text_column).cast("string")))
+    return apart(docs, result, keep=(text_column,)).withColumn(result, identified(F.col(text_column).cast("string")))
 
 
 _SCORES: dict[int, WordScores] = {}

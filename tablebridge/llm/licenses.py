@@ -24,7 +24,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import ascii_lower, bound
+from tablebridge.llm.common import apart, ascii_lower, bound, fresh
 
 # The contract's words, before and after A-Z are lower-cased: the first also takes A-Z, so it finds the same runs.
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -139,6 +139,9 @@ def strings(values: list[str]) -> Column:
     return F.array(*[F.lit(x) for x in values]) if values else F.array().cast("array<string>")
 
 
+RESULTS = ("n_words", "base", "found", "labels")
+
+
 def document_counts(docs: DataFrame, vocabulary: list[str], text_column: str) -> tuple[int, dict[str, int]]:
     """The number of documents, and for each word of the vocabulary the number that have it."""
     text = F.col(text_column).cast("string")
@@ -185,6 +188,7 @@ def scan(
     template. A document looks up all of them that it has; a template needs ``hits`` of them in line (fewer if it
     has fewer), and all its key phrases.
     """
+    docs = apart(docs, *RESULTS, keep=(id_column, text_column))
     phrases = BASE_PHRASES if phrases is None else phrases
     words = [t.words for t in templates]
     vocabulary = sorted({w for of in words for w in of})
@@ -277,13 +281,14 @@ def scan(
 
     none_base = F.array().cast("array<struct<place:bigint,label:string>>")
     none_found = F.array().cast("array<struct<label:string,place:bigint,share:double>>")
-    read = docs.withColumn("_words", F.when(may_have, words_of(text)))
+    (split,) = fresh(docs, "_words")
+    read = docs.withColumn(split, F.when(may_have, words_of(text)))
     scanned = read.withColumns(
         {
             "n_words": F.regexp_count(text, F.lit(RAW_WORD)).cast("long"),
-            "base": F.coalesce(F.when(F.col("_words").isNotNull(), bound(F.col("_words"), lambda of: base_places(of, phrases))), none_base),
-            "found": F.coalesce(F.when(F.col("_words").isNotNull(), bound(F.col("_words"), verified)), none_found),
+            "base": F.coalesce(F.when(F.col(split).isNotNull(), bound(F.col(split), lambda of: base_places(of, phrases))), none_base),
+            "found": F.coalesce(F.when(F.col(split).isNotNull(), bound(F.col(split), verified)), none_found),
         }
-    ).drop("_words")
+    ).drop(split)
     every = F.concat(F.transform("base", lambda x: x["label"]), F.transform("found", lambda x: x["label"]))
     return scanned.withColumn("labels", F.array_sort(F.array_distinct(every)))

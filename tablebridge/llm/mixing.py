@@ -16,9 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import WORD, kept, spread
+from tablebridge.llm.common import WORD, apart, fresh, kept, spread
 
 BITS, STEP = 60, 10
+RESULTS = ("mix_copies", "mix_size", "mix_target")
 
 
 def n_words(text: Column) -> Column:
@@ -123,7 +124,8 @@ def mixture_plan(
             break
     one_more = F.col("left") * 2 >= F.col("last_size")
     threshold = (
-        F.when(F.col("last_low").isNull(), F.lit(1 << BITS))
+        F.when(F.col("copies") >= most, F.lit(0))  # at the stop already, documents without words included
+        .when(F.col("last_low").isNull(), F.lit(1 << BITS))
         .when(one_more, F.col("last_low") + 1)
         .otherwise(F.col("last_low"))
     )
@@ -134,16 +136,18 @@ def mixture_plan(
 
 def mix(docs: DataFrame, plan: DataFrame, id_column: str = "doc_id", source_column: str = "source") -> DataFrame:
     """``docs`` with ``mix_copies``, how often the mixture takes the row, and its source's ``mix_size`` and ``mix_target``."""
+    docs = apart(docs, *RESULTS, keep=(id_column, source_column))
+    of, whole, threshold = fresh(docs, "mix_of", "mix_whole", "mix_threshold")
     sources = plan.select(
-        F.col("source").alias("mix_of"),
+        F.col("source").alias(of),
         F.col("source_size").alias("mix_size"),
         F.col("target").alias("mix_target"),
-        F.col("copies").alias("mix_whole"),
-        F.col("threshold").alias("mix_threshold"),
+        F.col("copies").alias(whole),
+        F.col("threshold").alias(threshold),
     )
-    copies = F.col("mix_whole") + F.when(spread(id_column) < F.col("mix_threshold"), 1).otherwise(0)
+    copies = F.col(whole) + F.when(spread(id_column) < F.col(threshold), 1).otherwise(0)
     return (
-        docs.join(sources, docs[source_column].cast("string").eqNullSafe(F.col("mix_of")), "left")
+        docs.join(sources, docs[source_column].cast("string").eqNullSafe(F.col(of)), "left")
         .withColumn("mix_copies", copies)
-        .drop("mix_of", "mix_whole", "mix_threshold")
+        .drop(of, whole, threshold)
     )

@@ -33,7 +33,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import discard, kept, portions
+from tablebridge.functions.paths import quote
+from tablebridge.llm.common import discard, fresh, kept, portions
 from tablebridge.llm.components import components
 
 _random = np.random.default_rng(20240229)
@@ -421,14 +422,16 @@ def deduplicated(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     Of several rows with that id the one whose text has the least hash stays, then the least text and other columns.
     """
     found = near_duplicates(docs, id_column=id_column, text_column=text_column, **options).filter("doc_id IS NOT NULL")
-    ids = found.groupBy(F.col("doc_id").alias("_id")).agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
-    marked = kept(ids.filter("_id <> least OR n > 1").select("_id", (F.col("_id") != F.col("least")).alias("gone")), "neardup-marked")
+    (own,) = fresh(docs, "_id")
+    ids = found.groupBy(F.col("doc_id").alias(own)).agg(F.min("component_id").alias("least"), F.count("*").alias("n"))
+    mine = F.col(own)
+    marked = kept(ids.filter((mine != F.col("least")) | (F.col("n") > 1)).select(own, (mine != F.col("least")).alias("gone")), "neardup-marked")
     key = F.col(id_column).cast("long")
-    alone = docs.join(marked.select("_id"), key == F.col("_id"), "left_anti")
+    alone = docs.join(marked.select(own), key == mine, "left_anti")
     # Written first, so that rows of one id are read by many tasks and combined there.
-    several = kept(docs.join(marked.filter("NOT gone").select("_id"), key == F.col("_id"), "left_semi"), "neardup-repeated")
+    several = kept(docs.join(marked.filter("NOT gone").select(own), key == mine, "left_semi"), "neardup-repeated")
     text = F.col(text_column).cast("string")
-    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_column, text_column)]
+    others = [F.col(quote(c)) for c in docs.columns if c not in (id_column, text_column)]
     order = F.struct(F.xxhash64(text), text, F.to_json(F.struct(*others)) if others else F.lit(""))
-    one = several.groupBy(key.alias("_id")).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), order).alias("_row"))
+    one = several.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*[F.col(quote(c)) for c in docs.columns]), order).alias("_row"))
     return alone.unionByName(one.select("_row.*"))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from tablebridge.llm.common import apart, portions
 from tablebridge.llm.samples import labelled_sample, logistic
 
 SIGNS = ("length", "letters", "capitals", "digits", "spaces", "stops", "marks", "pipes", "shouts", "word", "fresh", "echo", "again")
@@ -219,9 +220,16 @@ def _log_odds(share: np.ndarray) -> np.ndarray:
 
 
 def fit_quality(
-    docs: DataFrame, labels: DataFrame, rows: int = 12_000, label: str = "quality", id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    labels: DataFrame,
+    rows: int = 12_000,
+    label: str = "quality",
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    most_lines: int = 200,
 ) -> QualityModel:
-    """Fit on at most ``rows`` labelled documents, the documented bound of the sample. ``labels`` must hold no test rows.
+    """Fit on at most ``rows`` labelled documents, and of each at most ``most_lines`` lines that follow each other, from a place
+    that its hash draws: the documented bounds of the sample. ``labels`` must hold no test rows.
 
     The lines' signs are taken on the executors; the driver gets a dozen short numbers for each line of the sample.
     """
@@ -229,22 +237,24 @@ def fit_quality(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for part in portions(batch, 0, rows=500):
                 signs, per_text, length = line_signs(part.column(0).to_pylist())
-                ends = np.cumsum(per_text)
+                ends, few = np.cumsum(per_text), np.minimum(per_text, most_lines)
+                drawn = part.column(3).to_numpy(zero_copy_only=False) % (per_text - few + 1)
+                begins = ends - per_text + drawn
                 packed = signs.astype("<f4")
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(1),
                         part.column(2),
-                        pa.array([packed[e - n : e].tobytes() for e, n in zip(ends, per_text)], pa.binary()),
-                        pa.array([length[e - n : e].astype("<i8").tobytes() for e, n in zip(ends, per_text)], pa.binary()),
+                        pa.array([packed[b : b + n].tobytes() for b, n in zip(begins, few)], pa.binary()),
+                        pa.array([length[b : b + n].astype("<i8").tobytes() for b, n in zip(begins, few)], pa.binary()),
                     ],
                     names=["label", "fold", "signs", "length"],
                 )
 
-    found = sample.select("text", "label", "fold").mapInArrow(run, "label int, fold int, signs binary, length binary").collect()
+    place = F.pmod(F.xxhash64(F.lit("lines"), "doc_id"), F.lit(1 << 40)).alias("place")
+    found = sample.select("text", "label", "fold", place).mapInArrow(run, "label int, fold int, signs binary, length binary").collect()
     y = np.array([int(row.label > 0) for row in found])
     model = QualityModel(base=float(y.mean()) if len(y) else 0.0)
     learn = np.array([row.fold > 0 for row in found], bool)
@@ -297,10 +307,11 @@ def score_quality(docs: DataFrame, model: QualityModel, text_column: str = "text
             return pa.StructArray.from_arrays([pa.array(score), pa.array(share), lines], names=["score", "good_share", "lines"])
 
         for texts in batches:
-            parts = [some(texts.slice(at, 250).to_pylist()) for at in range(0, len(texts), 250)]
+            whole = pa.RecordBatch.from_arrays([texts], names=["text"])
+            parts = [some(part.column(0).to_pylist()) for part in portions(whole, 0, rows=250)]
             yield pa.concat_arrays(parts) if parts else pa.array([], KIND)
 
-    return docs.withColumn(result, scored(F.col(text_column).cast("string")))
+    return apart(docs, result, keep=(text_column,)).withColumn(result, scored(F.col(text_column).cast("string")))
 
 
 KIND = pa.struct([("score", pa.float64()), ("good_share", pa.float64()), ("lines", pa.list_(pa.float64()))])

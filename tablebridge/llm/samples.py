@@ -19,6 +19,8 @@ def labelled_sample(
 ) -> DataFrame:
     """(doc_id, text, label, fold): at most ``rows`` labelled documents, of which near copies have been left out.
 
+    An id with several rows brings one of their texts, the one of the least hash.
+
     The rows are those of the smallest hashes of the id, so another run takes the same. A document of several labels
     counts as 1 if any is 1; null labels and ids do not count. Copies would make their chance words look telling, so a
     document that agrees with an earlier one in any of four MinHash values is left out. ``fold`` (0 to 4) is by hash.
@@ -38,8 +40,12 @@ def labelled_sample(
         F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text")
     )
     hashes = shingle_hashes(F.col("text"), 3)
+    # One text for each id, the same in every run: an id that a table repeats without end is one row of the sample.
+    single = F.min_by("text", F.struct(F.xxhash64("text"), F.col("text"))).alias("text")
     sample = (
         texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(single)
         .withColumn("hashes", hashes)
         .withColumn("again", F.transform("hashes", lambda h: F.xxhash64(h, F.lit(1))))
         .select(

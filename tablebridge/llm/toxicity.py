@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from tablebridge.llm.common import apart
 from tablebridge.llm.samples import labelled_sample, logistic
 
 WORDS = re.compile(r"[^\W\d_]+")
@@ -152,9 +153,9 @@ def _log_odds(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dic
 def word_values(words: list[str], scores: Scores) -> np.ndarray:
     """Scores of the words in order; a word right after itself is no further evidence."""
     values = np.fromiter(map(scores.__getitem__, words), float, len(words))
-    again = np.zeros(len(values), bool)
-    again[1:] = (values[1:] == values[:-1]) & (values[1:] > 0)
-    values[again] = 0.0
+    for i in np.flatnonzero((values[1:] == values[:-1]) & (values[1:] > 0)).tolist():
+        if words[i + 1].lower() == words[i].lower():
+            values[i + 1] = 0.0
     return values
 
 
@@ -189,42 +190,53 @@ def fit_toxicity(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per document of the tuning fold: label, words, segment scores; and for clean ones a histogram of word scores."""
+        """Per document of the tuning fold: label, words, its best segment; and for clean ones a histogram of word scores."""
         scores = Scores(shared.value)
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = WORDS.findall(text)
                 values = word_values(words, scores)
-                found = [s for s, _, _ in maximal_segments(values)]
+                best = max((s for s, _, _ in maximal_segments(values)), default=0.0)
                 bins, many = np.unique(np.round(values, 1), return_counts=True) if label == 0 else ([], [])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([label], pa.int32()),
                         pa.array([len(words)], pa.int64()),
-                        pa.array([sorted(found)[-50:]], pa.list_(pa.float64())),
-                        pa.array([sum(found)], pa.float64()),
+                        pa.array([best], pa.float64()),
                         pa.array([list(map(float, bins))], pa.list_(pa.float64())),
                         pa.array([list(map(int, many))], pa.list_(pa.int64())),
                     ],
-                    names=["label", "n", "best", "total", "bins", "many"],
+                    names=["label", "n", "best", "bins", "many"],
                 )
 
-    schema = "label int, n long, best array<double>, total double, bins array<double>, many array<long>"
+    schema = "label int, n long, best double, bins array<double>, many array<long>"
     tuned = tune.select("text", "label").mapInArrow(run, schema).collect()
     if not any(row.label for row in tuned) or all(row.label for row in tuned):
-        tuned = [*tuned, *learn.select("text", "label").mapInArrow(run, schema).collect()]
+        tune = sample
+        tuned = tune.select("text", "label").mapInArrow(run, schema).collect()
     histogram: Counter = Counter()
     for row in tuned:
         if not row.label:
             histogram.update(dict(zip(row.bins, row.many)))
     model.rate = _rate(histogram)
-    best = [(row.best[-1] if row.best else 0.0, row.n) for row in tuned if not row.label and row.n]
+    best = [(row.best, row.n) for row in tuned if not row.label and row.n]
     if best:
         s, n = np.array(best).T
         model.size = float(np.exp(np.mean(model.rate * s - np.log(n)) - np.euler_gamma))
-    x = np.array([summary([(s, 0, 0) for s in row.best], row.n, model) for row in tuned])
-    x[:, 1] = np.log1p(x[:, 1])
-    beta = logistic(x, np.array([float(row.label > 0) for row in tuned]))
+    calibrated = docs.sparkSession.sparkContext.broadcast(model)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The evidence of a document from all of its segments, as scoring takes it."""
+        model = calibrated.value
+        scores = Scores(model)
+        for batch in batches:
+            found = [summary(*segments_of(text, scores), model) for text in batch.column(0).to_pylist()]
+            columns = [batch.column(1), *(pa.array([x[i] for x in found], pa.float64()) for i in range(2))]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "best", "total"])
+
+    weighed = tune.select("text", "label").mapInArrow(weigh, "label int, best double, total double").collect()
+    x = np.array([(row.best, np.log1p(row.total)) for row in weighed])
+    beta = logistic(x, np.array([float(row.label > 0) for row in weighed]))
     model.curve = tuple(float(b) for b in beta)
     return model
 
@@ -297,4 +309,4 @@ def score_toxicity(
                 names=["score", "words", "passages"],
             )
 
-    return docs.withColumn(result, scored(F.col(text_column).cast("string")))
+    return apart(docs, result, keep=(text_column,)).withColumn(result, scored(F.col(text_column).cast("string")))

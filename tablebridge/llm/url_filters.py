@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.common import ascii_lower, kept
+from tablebridge.llm.common import apart, ascii_lower, fresh, kept
 
 ALLOW, BLOCK = "allow", "block"
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -120,6 +120,8 @@ def filter_urls(
     A host is a seed if more than ``seed_share`` of its pages have the same verdict by rule, weighted by those pages.
     Distrust blocks above ``ratio`` times the trust and above ``floor`` times the mean rank of a host.
     """
+    pages = apart(pages, "url_filter", keep=(url_column, html_column))
+    own, way, fits, match, trusted, distrusted = fresh(pages, "_own", "_path", "_rule", "_host", "_trust", "_distrust")
     url, html = F.col(url_column).cast("string"), F.col(html_column).cast("string")
     host, path = host_of(url), path_of(url)
     edges = kept(host_edges(pages, host, html), "graph-edges")
@@ -136,21 +138,21 @@ def filter_urls(
         seen.select("host")
         .join(trust.withColumnRenamed("rank", "trust"), "host", "left")
         .join(distrust.withColumnRenamed("rank", "distrust"), "host", "left")
-        .select(F.col("host").alias("_host"), *[F.coalesce(c, F.lit(0.0)).alias(f"_{c}") for c in ("trust", "distrust")])
+        .select(F.col("host").alias(match), *[F.coalesce(c, F.lit(0.0)).alias(name) for c, name in (("trust", trusted), ("distrust", distrusted))])
     )
     ranks = kept(ranks, "graph-verdicts")
     least = floor / max(1, ranks.count())
-    bad = (F.col("_distrust") > F.col("_trust") * ratio) & (F.col("_distrust") > least)
-    rule = F.col("_rule")
+    bad = (F.col(distrusted) > F.col(trusted) * ratio) & (F.col(distrusted) > least)
+    rule = F.col(fits)
     verdict = F.when(rule.isNotNull(), rule["verdict"]).when(bad, F.lit(BLOCK)).otherwise(F.lit(ALLOW))
     result = F.struct(
-        F.col("_own").alias("host"),
-        F.col("_path").alias("path"),
+        F.col(own).alias("host"),
+        F.col(way).alias("path"),
         rule["rule"].alias("rule"),
         verdict.alias("verdict"),
-        F.coalesce("_trust", F.lit(0.0)).alias("trust"),
-        F.coalesce("_distrust", F.lit(0.0)).alias("distrust"),
+        F.coalesce(trusted, F.lit(0.0)).alias("trust"),
+        F.coalesce(distrusted, F.lit(0.0)).alias("distrust"),
     )
-    marked = pages.withColumns({"_own": host, "_path": path}).withColumn("_rule", rule_of(F.col("_own"), F.col("_path"), rules))
-    joined = marked.join(ranks, F.col("_own") == F.col("_host"), "left")
-    return joined.withColumn("url_filter", result).drop("_own", "_path", "_rule", "_host", "_trust", "_distrust")
+    marked = pages.withColumns({own: host, way: path}).withColumn(fits, rule_of(F.col(own), F.col(way), rules))
+    joined = marked.join(ranks, F.col(own) == F.col(match), "left")
+    return joined.withColumn("url_filter", result).drop(own, way, fits, match, trusted, distrusted)
