@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.sources.documents import parse_documents
 
-# One ragged document per event: ``name`` takes seven types in turn, ``sub_id`` is a number, a text or missing.
+# One ragged document per event: ``name`` takes seven types in turn, ``ref`` is a number, a text or missing.
 DIRTY = """concat('{"id":', event_id, ',"name":',
   CASE event_id % 7
     WHEN 0 THEN concat('"', event_type, '"')
@@ -16,8 +16,8 @@ DIRTY = """concat('{"id":', event_id, ',"name":',
     WHEN 4 THEN 'null'
     WHEN 5 THEN 'true'
     ELSE cast(value AS varchar(40)) END,
-  CASE WHEN event_id % 3 = 0 THEN concat(',"sub_id":"', user_id, '"')
-       WHEN event_id % 3 = 1 THEN concat(',"sub_id":', user_id) ELSE '' END, '}')"""
+  CASE WHEN event_id % 3 = 0 THEN concat(',"ref":"', user_id, '"')
+       WHEN event_id % 3 = 1 THEN concat(',"ref":', user_id) ELSE '' END, '}')"""
 
 # One document per order with an object in it, whose own fields change type as well.
 NESTED = """concat('{"id":', o_orderkey, ',"customer":',

@@ -46,35 +46,35 @@ JSON_TAG = """CASE WHEN json_type({0}) IS NULL OR json_type({0}) = 'NULL' THEN '
     ELSE 'Object' END"""
 
 # The parts of ``d`` that the oracles read.
-CELLS_OF_D = f"""{D}, c AS (SELECT event_id, json_extract(doc, '$.name') AS n, json_extract(doc, '$.sub_id') AS s,
-    json_extract_string(doc, '$.name') AS nt, json_extract_string(doc, '$.sub_id') AS st FROM d),
+CELLS_OF_D = f"""{D}, c AS (SELECT event_id, json_extract(doc, '$.name') AS n, json_extract(doc, '$.ref') AS s,
+    json_extract_string(doc, '$.name') AS nt, json_extract_string(doc, '$.ref') AS st FROM d),
   t AS (SELECT *, {JSON_TAG.format('n')} AS ntag, {JSON_TAG.format('s')} AS stag FROM c)"""
 
 
-def spec(strategy: str, name: str = "String", sub_id: str = "I32") -> dict:
+def spec(strategy: str, name: str = "String", ref: str = "I32") -> dict:
     return {
         "name": {"dtype": name, "dtype_collision_strategy": strategy},
-        "sub_id": {"dtype": sub_id, "dtype_collision_strategy": strategy},
+        "ref": {"dtype": ref, "dtype_collision_strategy": strategy},
     }
 
 
-def name_and_sub_id(cells: DataFrame, *others: str) -> DataFrame:
+def name_and_ref(cells: DataFrame, *others: str) -> DataFrame:
     """Tags and texts of the two ragged columns."""
-    tagged = with_tags(cells, {"name": "name_tag", "sub_id": "sub_id_tag"})
-    texts = [f"{text_of(c, f'{c}_tag')} AS {c}" for c in ("name", "sub_id")]
-    return tagged.selectExpr(*others, "name_tag", "sub_id_tag", *texts)
+    tagged = with_tags(cells, {"name": "name_tag", "ref": "ref_tag"})
+    texts = [f"{text_of(c, f'{c}_tag')} AS {c}" for c in ("name", "ref")]
+    return tagged.selectExpr(*others, "name_tag", "ref_tag", *texts)
 
 
 def align_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = align(dirty(spark, sf_dir))
-    return name_and_sub_id(aligned, "event_id", "try_variant_get(id, '$', 'bigint') AS id").drop("name_tag", "sub_id_tag")
+    return name_and_ref(aligned, "event_id", "try_variant_get(id, '$', 'bigint') AS id").drop("name_tag", "ref_tag")
 
 
 def type_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = dirty(spark, sf_dir).selectExpr(
-        "event_id", f"{field('doc', 'name')} AS name", f"{field('doc', 'sub_id')} AS sub_id"
+        "event_id", f"{field('doc', 'name')} AS name", f"{field('doc', 'ref')} AS ref"
     )
-    return with_tags(cells, {"name": "name_tag", "sub_id": "sub_id_tag"}).drop("name", "sub_id")
+    return with_tags(cells, {"name": "name_tag", "ref": "ref_tag"}).drop("name", "ref")
 
 
 def type_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,8 +99,8 @@ def newcol_columns(rows: DataFrame) -> DataFrame:
         "name_i32",
         F.to_json("name_object").alias("name_object"),
         F.to_json("name_vecdyn").alias("name_vecdyn"),
-        "sub_id",
-        "sub_id_str",
+        "ref",
+        "ref_str",
     )
 
 
@@ -111,12 +111,12 @@ NEWCOL = f"""{CELLS_OF_D} SELECT event_id, event_id AS id,
     CASE WHEN ntag = 'I32' THEN CAST(nt AS INTEGER) END AS name_i32,
     CASE WHEN ntag = 'Object' THEN nt END AS name_object,
     CASE WHEN ntag = 'VecDyn' THEN nt END AS name_vecdyn,
-    CASE WHEN stag = 'I32' THEN CAST(st AS INTEGER) END AS sub_id,
-    CASE WHEN stag = 'String' THEN st END AS sub_id_str FROM t"""
+    CASE WHEN stag = 'I32' THEN CAST(st AS INTEGER) END AS ref,
+    CASE WHEN stag = 'String' THEN st END AS ref_str FROM t"""
 
 
 def conform_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(dirty(spark, sf_dir), spec("Cast"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "sub_id")
+    return conform(dirty(spark, sf_dir), spec("Cast"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "ref")
 
 
 def conform_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,11 +125,11 @@ def conform_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conform_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = conform(dirty(spark, sf_dir), spec("Ignore"), "event_id").rows
-    return name_and_sub_id(rows, "event_id", "cast(id AS bigint) AS id")
+    return name_and_ref(rows, "event_id", "cast(id AS bigint) AS id")
 
 
 def conform_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(dirty(spark, sf_dir), spec("Remove"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "sub_id")
+    return conform(dirty(spark, sf_dir), spec("Remove"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "ref")
 
 
 def conform_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -384,16 +384,16 @@ _CELL_OF_STMT = {
 }
 
 ORACLES = {
-    "align_documents": f"{CELLS_OF_D} SELECT event_id, event_id AS id, nt AS name, st AS sub_id FROM t",
-    "type_tag": f"{CELLS_OF_D} SELECT event_id, ntag AS name_tag, stag AS sub_id_tag FROM t",
+    "align_documents": f"{CELLS_OF_D} SELECT event_id, event_id AS id, nt AS name, st AS ref FROM t",
+    "type_tag": f"{CELLS_OF_D} SELECT event_id, ntag AS name_tag, stag AS ref_tag FROM t",
     "type_profile": f"""{CELLS_OF_D}, e AS (
         SELECT 'id' AS key, 'I32' AS tag FROM t UNION ALL SELECT 'name', ntag FROM t
-        UNION ALL SELECT 'sub_id', stag FROM t WHERE s IS NOT NULL)
+        UNION ALL SELECT 'ref', stag FROM t WHERE s IS NOT NULL)
         SELECT key, tag, CAST(count(*) AS BIGINT) AS n FROM e GROUP BY key, tag""",
     "schema_report": f"""{CELLS_OF_D}, e AS (
         SELECT 'id' AS key, 'I32' AS tag, 'Unknown' AS expected_dtype, 'Ignore' AS strategy FROM t
         UNION ALL SELECT 'name', ntag, 'String', 'NewCol' FROM t
-        UNION ALL SELECT 'sub_id', stag, 'I32', 'NewCol' FROM t WHERE s IS NOT NULL)
+        UNION ALL SELECT 'ref', stag, 'I32', 'NewCol' FROM t WHERE s IS NOT NULL)
         SELECT key, expected_dtype, strategy,
           array_to_string(list_sort(list(DISTINCT tag) FILTER (tag <> 'None')), ',') AS dtypes,
           CAST(count(*) FILTER (tag <> 'None') AS BIGINT) AS n_values,
@@ -403,15 +403,15 @@ ORACLES = {
     "conform_newcol": NEWCOL,
     "conform_cast": f"""{CELLS_OF_D} SELECT event_id, event_id AS id,
         CASE WHEN ntag = 'VecDyn' THEN array_to_string(CAST(n AS VARCHAR[]), ' ') ELSE nt END AS name,
-        CASE WHEN regexp_matches(st, '^[+-]?[0-9]+$') THEN TRY_CAST(st AS INTEGER) END AS sub_id FROM t""",
+        CASE WHEN regexp_matches(st, '^[+-]?[0-9]+$') THEN TRY_CAST(st AS INTEGER) END AS ref FROM t""",
     "conform_cast_rejects": f"""{CELLS_OF_D} SELECT event_id, 'name' AS "column", 'I32' AS expected, ntag AS actual,
         CASE ntag WHEN 'Double64' THEN regexp_replace(CAST(n AS VARCHAR), '\\.0$', '')
           ELSE CAST(n AS VARCHAR) END AS raw_json FROM t
         WHERE ntag NOT IN ('None', 'I32') AND NOT (ntag = 'String' AND regexp_matches(nt, '^[+-]?[0-9]+$'))""",
-    "conform_ignore": f"""{CELLS_OF_D} SELECT event_id, event_id AS id, ntag AS name_tag, nt AS name, stag AS sub_id_tag,
-        st AS sub_id FROM t""",
+    "conform_ignore": f"""{CELLS_OF_D} SELECT event_id, event_id AS id, ntag AS name_tag, nt AS name, stag AS ref_tag,
+        st AS ref FROM t""",
     "conform_remove": f"""{CELLS_OF_D} SELECT event_id, event_id AS id, CASE WHEN ntag = 'String' THEN nt END AS name,
-        CASE WHEN stag = 'I32' THEN CAST(st AS INTEGER) END AS sub_id FROM t""",
+        CASE WHEN stag = 'I32' THEN CAST(st AS INTEGER) END AS ref FROM t""",
     "conform_nested": f"""WITH d AS (SELECT o_orderkey, {NESTED} AS doc FROM orders),
         c AS (SELECT o_orderkey, json_extract(doc, '$.customer') AS c FROM d),
         f AS (SELECT o_orderkey, c, json_extract(c, '$.key') AS k, json_extract_string(c, '$.key') AS kt,
@@ -498,9 +498,9 @@ ORACLES = {
     "bulk_payloads": f"""{CELLS_OF_D}, a AS (SELECT s IS NULL AS short, concat('[', event_id, ',', CASE ntag
         {' '.join(f"WHEN '{k}' THEN {v}" for k, v in _CELL_OF_STMT.items())} END,
         CASE WHEN s IS NULL THEN '' ELSE concat(',', CAST(s AS VARCHAR)) END, ']') AS args FROM t)
-        SELECT CASE WHEN short THEN '["id","name"]' ELSE '["id","name","sub_id"]' END AS shape,
+        SELECT CASE WHEN short THEN '["id","name"]' ELSE '["id","name","ref"]' END AS shape,
           CASE WHEN short THEN 'INSERT INTO "doc"."events" ("id","name") VALUES (?,?)'
-            ELSE 'INSERT INTO "doc"."events" ("id","name","sub_id") VALUES (?,?,?)' END AS stmt, args FROM a""",
+            ELSE 'INSERT INTO "doc"."events" ("id","name","ref") VALUES (?,?,?)' END AS stmt, args FROM a""",
     "bulk_batches": f"""{_SHAPES} SELECT shape,
         concat('INSERT INTO "doc"."events" (', array_to_string(names, ','), ') VALUES (', CASE n_keys WHEN 2 THEN '?,?' ELSE '?,?,?' END, ')')
           AS stmt, CAST(n AS BIGINT) AS n, true AS within_size FROM g""",

@@ -12,7 +12,7 @@ from tablebridge.operators.conform import conform
 from tablebridge.operators.reconcile import reconcile
 from tablebridge.plans.migrate import export_documents, migrate_documents, migrate_table, migrate_typed
 from tablebridge.registered.derived import ARRAYS, DIRTY, SPARSE, WIDE, dirty, documents, table
-from tablebridge.registered.documents import CELLS_OF_D, NEWCOL, name_and_sub_id, newcol_columns, spec
+from tablebridge.registered.documents import CELLS_OF_D, NEWCOL, name_and_ref, newcol_columns, spec
 from tablebridge.registered.tables import _TS_TEXT, jdbc_target
 from tablebridge.session import scratch_path
 from tablebridge.sinks.append import JdbcSink, ParquetSink, append
@@ -38,9 +38,9 @@ def scan_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = docs.selectExpr(
         "try_variant_get(doc, '$.id', 'bigint') AS id",
         f"{field('doc', 'name')} AS name",
-        f"{field('doc', 'sub_id')} AS sub_id",
+        f"{field('doc', 'ref')} AS ref",
     )
-    return name_and_sub_id(cells, "id").drop("name_tag", "sub_id_tag")
+    return name_and_ref(cells, "id").drop("name_tag", "ref_tag")
 
 
 def write_arrays(lines: DataFrame) -> str:
@@ -64,9 +64,9 @@ def scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty documents out of two files, each one array."""
     docs = read_json_arrays(spark, write_arrays(table(spark, sf_dir, "events").select(F.expr(DIRTY).alias("value")))).docs
     cells = docs.selectExpr(
-        "try_variant_get(doc, '$.id', 'bigint') AS id", f"{field('doc', 'name')} AS name", f"{field('doc', 'sub_id')} AS sub_id"
+        "try_variant_get(doc, '$.id', 'bigint') AS id", f"{field('doc', 'name')} AS name", f"{field('doc', 'ref')} AS ref"
     )
-    return name_and_sub_id(cells, "id").drop("name_tag", "sub_id_tag")
+    return name_and_ref(cells, "id").drop("name_tag", "ref_tag")
 
 
 def migrate_table_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +111,10 @@ def migrate_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def evolve_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents without ``sub_id`` first, the others after: the sink gains columns."""
+    """Documents without ``ref`` first, the others after: the sink gains columns."""
     sink = ParquetSink(scratch_path(spark, "evolve"), evolve=True)
     docs = dirty(spark, sf_dir)
-    short = F.expr(field("doc", "sub_id")).isNull()
+    short = F.expr(field("doc", "ref")).isNull()
     for part in (docs.where(short), docs.where(~short)):
         append(conform(part, spec("NewCol"), "event_id").rows, sink)
     return newcol_columns(sink.read(spark))
@@ -188,8 +188,8 @@ def migrate_typed_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("name_i32").cast("bigint").alias("name_i32"),
         "name_str",
         F.to_json("name_vecstring").alias("name_vecstring"),
-        F.col("sub_id_i32").cast("bigint").alias("sub_id_i32"),
-        "sub_id_str",
+        F.col("ref_i32").cast("bigint").alias("ref_i32"),
+        "ref_str",
     )
 
 
@@ -272,8 +272,8 @@ QUERIES = {
 }
 
 ORACLES = {
-    "scan_documents": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS sub_id FROM t",
-    "scan_json_array": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS sub_id FROM t",
+    "scan_documents": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS ref FROM t",
+    "scan_json_array": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS ref FROM t",
     "migrate_table": f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         {_TS_TEXT.format('o_orderdate')} AS o_orderdate FROM orders""",
     "migration_report": """SELECT 'append' AS step, CAST(count(*) AS BIGINT) AS rows, true AS has_rate FROM lineitem
@@ -302,8 +302,8 @@ ORACLES = {
         CASE WHEN ntag = 'I32' THEN CAST(nt AS BIGINT) END AS name_i32,
         CASE WHEN ntag IN ('String', 'Bool', 'Object') THEN nt END AS name_str,
         CASE WHEN ntag = 'VecDyn' THEN nt END AS name_vecstring,
-        CASE WHEN stag = 'I32' THEN CAST(st AS BIGINT) END AS sub_id_i32,
-        CASE WHEN stag = 'String' THEN st END AS sub_id_str FROM t""",
+        CASE WHEN stag = 'I32' THEN CAST(st AS BIGINT) END AS ref_i32,
+        CASE WHEN stag = 'String' THEN st END AS ref_str FROM t""",
     "migrate_json_columns": """SELECT event_id,
         CASE event_id % 7 WHEN 0 THEN to_json([CAST(user_id AS DOUBLE), CAST(event_id AS DOUBLE), NULL, NULL])
           WHEN 6 THEN to_json([value + 0.25, CAST(user_id AS DOUBLE)]) END AS numbers,

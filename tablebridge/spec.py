@@ -5,7 +5,7 @@ another type::
 
     {"name":   {"dtype": "String", "dtype_collision_strategy": "NewCol",
                 "sub_schema": {"k": {"dtype": "I32", "dtype_collision_strategy": "Cast"}}},
-     "sub_id": {"dtype": "I32", "dtype_collision_strategy": "NewCol"}}
+     "ref": {"dtype": "I32", "dtype_collision_strategy": "NewCol"}}
 
 The ``sub_schema`` of a ``VecDyn`` column is that of the objects in the array. Type and strategy names are read case-insensitively, with or without
 underscores (``NewCol``, ``new_col``).
