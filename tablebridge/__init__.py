@@ -36,7 +36,7 @@ from tablebridge.sinks.append import JdbcSink, ParquetSink, append, evolve
 from tablebridge.sinks.once import append_once
 from tablebridge.sinks.bulk import BulkDataSource, BulkSink, bulk_payloads
 from tablebridge.sources.arrays import read_json_arrays
-from tablebridge.sources.documents import parse_documents, read_collection, read_documents, read_json_files
+from tablebridge.sources.documents import parse_documents, read_collection, read_documents, read_json_files, spread
 from tablebridge.sources.tables import (
     Partitioning,
     count_jdbc,

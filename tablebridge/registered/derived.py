@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tablebridge.sources.documents import parse_documents
+from tablebridge.sources.documents import parse_documents, spread
 
 # One ragged document per event: ``name`` takes seven types in turn, ``ref`` is a number, a text or missing.
 DIRTY = """concat('{"id":', event_id, ',"name":',
@@ -117,9 +117,18 @@ def documents(df: DataFrame, text: str, carry: str) -> DataFrame:
     return parse_documents(df.select(carry, F.expr(text).alias("value"))).docs
 
 
+def dealt(df: DataFrame, text: str, carry: str) -> DataFrame:
+    """:func:`documents`, dealt out over all cores before they are parsed."""
+    return parse_documents(spread(df.select(carry, F.expr(text).alias("value")))).docs
+
+
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(table(spark, sf_dir, "events"), DIRTY, "event_id")
 
 
+def dealt_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dealt(table(spark, sf_dir, "events"), DIRTY, "event_id")
+
+
 def extended(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(table(spark, sf_dir, "events"), EXTENDED.format(millis=SPARK_MILLIS), "event_id")
+    return dealt(table(spark, sf_dir, "events"), EXTENDED.format(millis=SPARK_MILLIS), "event_id")

@@ -25,6 +25,8 @@ from tablebridge.registered.derived import (
     MIXED,
     NESTED,
     ORACLE_MILLIS,
+    dealt,
+    dealt_dirty,
     dirty,
     documents,
     extended,
@@ -86,7 +88,7 @@ def schema_report_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_newcol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newcol_columns(conform(dirty(spark, sf_dir), spec("NewCol"), "event_id").rows)
+    return newcol_columns(conform(dealt_dirty(spark, sf_dir), spec("NewCol"), "event_id").rows)
 
 
 def newcol_columns(rows: DataFrame) -> DataFrame:
@@ -116,20 +118,20 @@ NEWCOL = f"""{CELLS_OF_D} SELECT event_id, event_id AS id,
 
 
 def conform_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(dirty(spark, sf_dir), spec("Cast"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "ref")
+    return conform(dealt_dirty(spark, sf_dir), spec("Cast"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "ref")
 
 
 def conform_cast_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(dirty(spark, sf_dir), spec("Cast", name="I32"), "event_id").rejects
+    return conform(dealt_dirty(spark, sf_dir), spec("Cast", name="I32"), "event_id").rejects
 
 
 def conform_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = conform(dirty(spark, sf_dir), spec("Ignore"), "event_id").rows
+    rows = conform(dealt_dirty(spark, sf_dir), spec("Ignore"), "event_id").rows
     return name_and_ref(rows, "event_id", "cast(id AS bigint) AS id")
 
 
 def conform_remove(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conform(dirty(spark, sf_dir), spec("Remove"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "ref")
+    return conform(dealt_dirty(spark, sf_dir), spec("Remove"), "event_id").rows.select("event_id", F.col("id").cast("bigint").alias("id"), "name", "ref")
 
 
 def conform_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +179,7 @@ def conform_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(table(spark, sf_dir, "orders"), NESTED, "o_orderkey")
+    docs = dealt(table(spark, sf_dir, "orders"), NESTED, "o_orderkey")
     nested_spec = {
         "customer": {
             "dtype": "Object",
@@ -200,7 +202,7 @@ def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def conform_nested_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Objects inside arrays, and inside arrays within these, conformed element by element, beside what was rejected."""
-    docs = documents(table(spark, sf_dir, "orders"), ITEMS, "o_orderkey")
+    docs = dealt(table(spark, sf_dir, "orders"), ITEMS, "o_orderkey")
     parts = {"n": {"dtype": "I64", "dtype_collision_strategy": "NewCol"}}
     item = {
         "sku": {"dtype": "I64", "dtype_collision_strategy": "NewCol"},

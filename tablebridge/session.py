@@ -11,12 +11,17 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g", **conf: str) -> SparkSession:
-    """A session for tests and benchmarks on one machine. On a cluster, bring your own."""
+    """A session for tests and benchmarks on one machine. On a cluster, bring your own.
+
+    Projections over many keys generate methods of more than 8,000 bytecodes, which the JVM interprets for ever unless
+    it is told to compile them; on a cluster the same option belongs into ``spark.executor.extraJavaOptions``.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tablebridge")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.driver.extraJavaOptions", "-XX:-DontCompileHugeMethods")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

@@ -20,6 +20,18 @@ class Documents(NamedTuple):
     rejects: DataFrame
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as the cluster runs tasks at once.
+
+    One Parquet row group is one task, however many cores are idle, and parsing and conforming its documents costs far
+    more than dealing them out. Data in enough partitions, as any large input is, and streams stay as they are.
+    """
+    if df.isStreaming:
+        return df
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def parse_column(df: DataFrame, text: str, doc: str = DOC) -> DataFrame:
     """Add ``doc``, the parsed ``text``, NULL where it is not JSON.
 
