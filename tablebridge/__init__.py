@@ -24,6 +24,7 @@ from tablebridge.operators.discover import (
     with_spec,
 )
 from tablebridge.operators.locate import differing_ranges, locate_differences
+from tablebridge.operators.profile_store import merge_profiles, read_profile, sketch_profile, stored_profile, update_profile
 from tablebridge.operators.reconcile import differences, reconcile, replicate
 from tablebridge.plans.migrate import (
     export_documents,
@@ -35,6 +36,7 @@ from tablebridge.plans.migrate import (
 from tablebridge.sinks.append import JdbcSink, ParquetSink, append, evolve
 from tablebridge.sinks.once import append_once
 from tablebridge.sinks.bulk import BulkDataSource, BulkSink, bulk_payloads
+from tablebridge.sinks.shredded import read_keys, write_shredded
 from tablebridge.sources.arrays import read_json_arrays
 from tablebridge.sources.documents import parse_documents, read_collection, read_documents, read_json_files, spread
 from tablebridge.sources.tables import (

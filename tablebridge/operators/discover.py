@@ -23,7 +23,7 @@ class TooManyKeys(ValueError):
     """The documents use data as keys: turning keys into columns would not end well."""
 
 
-def _fields(docs: DataFrame, doc: str) -> DataFrame:
+def fields(docs: DataFrame, doc: str) -> DataFrame:
     """One ``(key, value, kind)`` row per top-level field."""
     spark = docs.sparkSession
     return (
@@ -40,7 +40,7 @@ def profile(docs: DataFrame, doc: str = DOC) -> DataFrame:
     costs one row per task.
     """
     return (
-        _fields(docs, doc)
+        fields(docs, doc)
         .selectExpr("key", f"{tag_of('value', 'kind')} AS tag")
         .groupBy("key", "tag")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -106,7 +106,7 @@ def discover(
     spec = parse_spec(spec)
     parts = []
     for prefix, at in _levels(docs.selectExpr(f"{quote(doc)} AS _at"), (), spec):
-        parts.append(_fields(at, "_at").selectExpr(f"concat({_path(prefix)}, array(key)) AS path", "value", "kind"))
+        parts.append(fields(at, "_at").selectExpr(f"concat({_path(prefix)}, array(key)) AS path", "value", "kind"))
         if prefix and prefix[-1] == ELEMENT:
             parts.append(at.selectExpr(f"{_path(prefix)} AS path", "_at AS value", f"{kind('_at')} AS kind"))
     values = reduce(DataFrame.unionAll, parts)
@@ -155,7 +155,7 @@ def schema_report(docs: DataFrame, spec: object, doc: str = DOC) -> DataFrame:
     )
     found = tag_of("value", "kind")
     return (
-        _fields(docs, doc)
+        fields(docs, doc)
         .selectExpr(
             "key",
             f"{found} AS tag",

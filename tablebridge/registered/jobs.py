@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablebridge.functions.paths import field
 from tablebridge.operators.conform import conform
+from tablebridge.operators.profile_store import read_profile, stored_profile, update_profile
 from tablebridge.operators.reconcile import reconcile
 from tablebridge.plans.migrate import export_documents, migrate_documents, migrate_table, migrate_typed
 from tablebridge.registered.derived import ARRAYS, DIRTY, SPARSE, WIDE, dirty, documents, table
@@ -17,6 +18,7 @@ from tablebridge.registered.tables import _TS_TEXT, jdbc_target
 from tablebridge.session import scratch_path
 from tablebridge.sinks.append import JdbcSink, ParquetSink, append
 from tablebridge.sinks.once import append_once, merge, stage
+from tablebridge.sinks.shredded import read_keys, write_shredded
 from tablebridge.sources.arrays import read_json_arrays
 from tablebridge.sources.documents import read_documents
 from tablebridge.streaming.migrate import read_migrated, stream_migrate, stream_report
@@ -248,6 +250,22 @@ def append_once_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
+def profile_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile kept over three runs: some of the files, then all of them, of which only the new ones are read."""
+    lines, store = write_lines(spark, sf_dir), scratch_path(spark, "profile")
+    files = sorted(spark.read.text(lines).inputFiles())
+    read = [update_profile(spark, wanted, store) for wanted in (files[: len(files) // 2], lines, lines)]
+    assert sum(read) == len(files) and read[-1] == 0
+    return read_profile(stored_profile(spark, store))
+
+
+def shredded_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two keys of stored documents; the scan leaves the columns of the others alone."""
+    path = scratch_path(spark, "shredded")
+    write_shredded(dirty(spark, sf_dir), path)
+    return read_keys(spark, path, "doc", {"id": "bigint", "ref": "string"}, carry=("event_id",))
+
+
 QUERIES = {
     "scan_documents": scan_documents,
     "scan_json_array": scan_json_array,
@@ -269,8 +287,37 @@ QUERIES = {
     "append_keyed": append_keyed,
     "append_repeated": append_repeated,
     "append_once": append_once_query,
+    "profile_stored": profile_stored,
+    "shredded_scan": shredded_scan,
 }
 
+# Sketch rows in plain SQL, and what is read off them.
+PROFILE = f"""{CELLS_OF_D},
+  v AS (SELECT 'id' AS key, 'I32' AS tag, CAST(event_id AS VARCHAR) AS j, CAST(event_id AS VARCHAR) AS x FROM d
+    UNION ALL SELECT 'name', ntag, CAST(n AS VARCHAR), nt FROM t
+    UNION ALL SELECT 'ref', stag, CAST(s AS VARCHAR), st FROM t WHERE event_id % 3 < 2),
+  h AS (SELECT key, tag, CASE WHEN tag IN ('I32', 'I64', 'Double64') THEN CAST(x AS DOUBLE) END AS number,
+    CASE WHEN tag <> 'None' THEN md5(CASE WHEN tag = 'Double64' THEN regexp_replace(j, '[.]0$', '') ELSE j END) END AS hash FROM v),
+  p AS (SELECT key, tag, number, floor(log2(CASE WHEN number <> 0 THEN abs(number) END)) AS e,
+    CAST('0x' || substr(hash, 1, 3) AS BIGINT) % 1024 AS register, CAST('0x' || substr(hash, 4, 13) AS BIGINT) AS bits FROM h),
+  b AS (SELECT key, tag, CASE WHEN number = 0 THEN 0
+      ELSE sign(number) * (100000 + e * 64 + floor((abs(number) / pow(2, e) - 1) * 64)) END AS slot, count(*) AS n FROM p GROUP BY ALL),
+  a AS (SELECT key, tag, CAST(sum(n) AS BIGINT) AS n FROM b GROUP BY ALL),
+  r AS (SELECT key, tag, register, max(CASE WHEN bits = 0 THEN 53 ELSE 53 - length(bin(bits)) END) AS run
+    FROM p WHERE bits IS NOT NULL GROUP BY ALL),
+  l AS (SELECT key, tag, 1024 - count(*) AS empty, sum(pow(2.0, -run)) + 1024 - count(*) AS harmonic FROM r GROUP BY ALL),
+  w AS (SELECT *, 0.7213 / (1 + CAST(1.079 AS DOUBLE) / 1024) * 1024 * 1024 / harmonic AS raw FROM l),
+  k AS (SELECT key, tag, CAST(round(CASE WHEN raw <= 2560 AND empty > 0 THEN 1024 * ln(CAST(1024 AS DOUBLE) / nullif(empty, 0)) ELSE raw END) AS BIGINT)
+    AS n_distinct FROM w),
+  o AS (SELECT key, tag, slot, sum(n) OVER (PARTITION BY key, tag ORDER BY slot) AS up_to, sum(n) OVER (PARTITION BY key, tag) AS numbers
+    FROM b WHERE slot IS NOT NULL),
+  g AS (SELECT key, tag, q, min(slot) AS slot FROM o, (VALUES (CAST(0.5 AS DOUBLE)), (0.95), (0.99)) AS s(q) WHERE up_to >= ceil(numbers * q) GROUP BY ALL),
+  f AS (SELECT key, tag, q, slot, floor((abs(slot) - 100000) / 64) AS e, abs(slot) - 100000 AS place FROM g),
+  m AS (SELECT key, tag, q, CASE WHEN slot = 0 THEN 0.0 ELSE sign(slot) * pow(2.0, e) * (1 + (place - e * 64 + 0.5) / CAST(64 AS DOUBLE)) END AS middle FROM f)
+  SELECT key, tag, a.n, n_distinct, CAST(max(middle) FILTER (WHERE q = 0.5) AS DOUBLE) AS p50,
+    CAST(max(middle) FILTER (WHERE q = 0.95) AS DOUBLE) AS p95, CAST(max(middle) FILTER (WHERE q = 0.99) AS DOUBLE) AS p99
+  FROM a LEFT JOIN k USING (key, tag) LEFT JOIN m USING (key, tag) GROUP BY key, tag, a.n, n_distinct"""
+
 ORACLES = {
     "scan_documents": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS ref FROM t",
     "scan_json_array": f"{CELLS_OF_D} SELECT event_id AS id, nt AS name, st AS ref FROM t",
@@ -317,4 +364,6 @@ ORACLES = {
         SELECT 'append' AS step, CAST(count(*) AS BIGINT) AS rows FROM k
         UNION ALL SELECT 'repeated', CAST(sum(CASE WHEN kinds > 1 THEN n - 1 ELSE 0 END) AS BIGINT) FROM k HAVING max(kinds) > 1""",
     "append_once": "SELECT * FROM orders",
+    "profile_stored": PROFILE,
+    "shredded_scan": f"{CELLS_OF_D} SELECT event_id, event_id AS id, st AS ref FROM t",
 }
