@@ -40,7 +40,10 @@ def discard(*tables: DataFrame) -> None:
 
 
 def portions(batch: pa.RecordBatch, column: int, rows: int = 1000, volume: int = 1 << 23) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of at most ``rows`` rows and ``volume`` bytes of a text or binary column; a longer value is alone."""
+    """Slices of a batch of at most ``rows`` rows and ``volume`` bytes of a text or binary column; a longer value is alone.
+
+    After each, memory that Arrow holds for later goes back: a worker that lives on would keep what its largest slice took.
+    """
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes, dtype=np.int64)
     at = 0
@@ -48,6 +51,7 @@ def portions(batch: pa.RecordBatch, column: int, rows: int = 1000, volume: int =
         before = int(ends[at - 1]) if at else 0
         to = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + volume, side="right"))), batch.num_rows)
         yield batch.slice(at, to - at)
+        pa.default_memory_pool().release_unused()
         at = to
 
 

@@ -36,7 +36,9 @@ PLAIN = re.compile(rf"[{LETTER}0-9!-&(-/:;=?@\[-`{{}}~]+").fullmatch
 PARTS = re.compile(rf"[{LETTER}]+|[0-9]|[^{LETTER}0-9]+").findall
 # Most words are letters and, at most, signs behind them: two parts.
 USUAL = re.compile(rf"([{LETTER}]+)([!-&(-/:;=?@\[-`{{}}~]*)").fullmatch
-CACHED = 800_000  # entries of each cache of a Python worker; a full cache starts afresh
+# What a Python worker keeps of words seen before, bytes of words and their ids and entries by part; a full table starts afresh.
+KEPT, CACHED = 1 << 24, 100_000
+COPIED = 1 << 17  # words whose ids are copied at a time
 # Byte-level vocabularies print a byte as this character: printable ones as themselves, the rest from U+0100 on.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 SHOWN = [chr(b if b in PRINTED else 256 + sum(x not in PRINTED for x in range(b))) for b in range(256)]
@@ -58,61 +60,71 @@ class Parts(dict):
         return ids
 
 
-class Words(dict):
-    """Ids of a word between white space, found when first asked for."""
-
-    def __init__(self, tokenizer) -> None:
-        super().__init__()
-        self.tokenizer, self.parts = tokenizer, Parts(tokenizer)
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode()
-        if usual := USUAL(text):
-            head, tail = usual.groups()
-            ids = self.parts[head] + self.parts[tail] if tail else self.parts[head]
-        elif PLAIN(text):
-            ids = b"".join(map(self.parts.__getitem__, PARTS(text)))
-        else:
-            ids = array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        self[word] = ids
-        return ids
-
-
 class WordIds:
     """Ids of texts, by a tokenizer that treats every word between white space on its own.
 
-    Most words have been seen before, so ids are kept by word, and by part of a word (letters, a digit, other signs).
+    Most words have been seen before, so ids are kept by word, and by part of a word (letters, a digit, other signs). Words
+    are kept in columns, as a table of Python objects takes ten times the memory: a corpus brings a million of them.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.words = Words(Tokenizer.from_file(path))
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts = Parts(self.tokenizer)
+        self.words = self.ids = pa.array([], pa.binary())
         self.end = end_id
 
+    def ids_of(self, word: bytes) -> bytes:
+        """Ids of a word between white space."""
+        text = word.decode()
+        if usual := USUAL(text):
+            head, tail = usual.groups()
+            return self.parts[head] + self.parts[tail] if tail else self.parts[head]
+        if PLAIN(text):
+            return b"".join(map(self.parts.__getitem__, PARTS(text)))
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def looked_up(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words; those that were not known are kept, and a table that is full starts afresh with these."""
+        if len(self.parts) > CACHED:
+            self.parts.clear()
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(place.is_null())
+        seen, ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, pa.array(map(self.ids_of, new.to_pylist()), pa.binary())])
+        at = place.fill_null(-1).to_numpy().copy()
+        at[at < 0] = np.arange(len(self.words), len(seen))
+        found = ids.take(pa.array(at))
+        if seen.nbytes + ids.nbytes > KEPT:
+            seen, ids = (words, found) if words.nbytes + found.nbytes <= KEPT else (words[:0], found[:0])
+        self.words, self.ids = seen, ids
+        return found
+
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, ids of each text), 16 bits an id, the end id last in each text.
 
         The distinct words of the column are looked up; where each occurs, its ids are copied by their offsets.
         """
-        for known in (self.words, self.words.parts):
-            if len(known) > CACHED:
-                known.clear()
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         words = split.flatten().dictionary_encode()
-        found = list(map(self.words.__getitem__, words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()))
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        known = np.frombuffer(b"".join(found), np.uint16)
+        found = self.looked_up(words.dictionary.cast(pa.binary()))
+        sizes = pc.binary_length(found).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+        begins = np.cumsum(sizes) - sizes
+        known = np.frombuffer(found.buffers()[2] or b"", np.uint16)  # just taken, so it starts at 0
         word = words.indices.to_numpy(zero_copy_only=False)
-        many = sizes[word]
-        ends = np.concatenate([[0], np.cumsum(many)])
-        at = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[word] - ends[:-1], many)
-        # Texts begin at these words; each id moves up by one place for every text before its own.
-        bounds = np.concatenate([[0], np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))])
-        counts = np.diff(ends[bounds])
+        per_text = split.value_lengths().to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(sizes[word])])
+        counts = np.diff(ends[np.concatenate([[0], np.cumsum(per_text, dtype=np.int64)])])
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), per_text)
         ids = np.full(ends[-1] + len(texts), self.end, np.uint16)
-        ids[np.arange(ends[-1]) + np.repeat(np.arange(len(texts)), counts)] = known[at]
+        for at in range(0, len(word), COPIED):
+            some = word[at : at + COPIED]
+            many = sizes[some]
+            to = np.arange(ends[at], ends[at + len(some)])
+            # Where the word's ids lie among the known, and one place further for every text that ended before.
+            of = to + np.repeat(begins[some] - ends[at : at + len(some)], many)
+            ids[to + np.repeat(text[at : at + COPIED], many)] = known[of]
         return ids, counts + 1
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -145,7 +157,7 @@ def tokenise(docs: DataFrame, tokenizer: str, end_id: int, id_column: str, text_
         part = TaskContext.get().partitionId()
         so_far: dict[str, int] = {}
         for whole in batches:
-            for batch in portions(whole, 2, rows=4000):
+            for batch in portions(whole, 2, rows=4000, volume=1 << 22):
                 ids, counts = encoder.encode_column(batch.column(2))
                 sources = batch.column(1).to_pylist()
                 queues = ["" if source is None else f"={source}" for source in sources]
@@ -176,7 +188,7 @@ def places(block: np.ndarray, queue: np.ndarray, totals: np.ndarray, weights: np
     only, so any two tasks agree.
     """
     out = np.empty(len(block), np.int64)
-    step = max(1, 2_000_000 // len(totals))
+    step = max(1, 250_000 // len(totals))
     order = np.arange(len(totals))
     for at in range(0, len(block), step):
         b, q = block[at : at + step, None], queue[at : at + step, None]
@@ -245,7 +257,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, totals, scaled = shared.value
         for whole in batches:
-            for batch in portions(whole, 5):
+            for batch in portions(whole, 5, volume=1 << 21):
                 doc_id, source, queue, start, n, ids = (batch.column(i) for i in range(6))
                 start, n = (x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (start, n))
                 queue = np.array([index[x] for x in queue.to_pylist()], np.int64)

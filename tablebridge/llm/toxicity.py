@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from tablebridge.llm.common import apart
+from tablebridge.llm.common import apart, portions
 from tablebridge.llm.samples import labelled_sample, logistic
 
 WORDS = re.compile(r"[^\W\d_]+")
 STEMS = (3, 4, 5)  # letters of the stems, each the prior of the next, the last that of the word
 PRIOR = 5.0  # documents that a prior counts as
-CACHED = 500_000
+CACHED = 100_000
 
 
 @dataclass
@@ -258,6 +258,7 @@ def _rate(histogram: Counter) -> float:
 
 RESULT = "struct<score:double,words:bigint,passages:array<struct<start:bigint,length:bigint,score:double,expected:double>>>"
 PASSAGE = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("score", pa.float64()), ("expected", pa.float64())])
+KIND = pa.struct([("score", pa.float64()), ("words", pa.int64()), ("passages", pa.list_(PASSAGE))])
 
 
 def score_toxicity(
@@ -296,17 +297,16 @@ def score_toxicity(
                 for s, first, last in found
             ]
 
-        for texts in batches:
+        def some(texts: list[str | None]) -> pa.Array:
             if len(scores) > CACHED:
                 scores.clear()
-            rows = [one(text) for text in texts.to_pylist()]
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array([x[0] for x in rows], pa.float64()),
-                    pa.array([x[1] for x in rows], pa.int64()),
-                    pa.array([x[2] for x in rows], pa.list_(PASSAGE)),
-                ],
-                names=["score", "words", "passages"],
-            )
+            rows = list(map(one, texts))
+            columns = [pa.array([x[i] for x in rows], kind.type) for i, kind in enumerate(KIND)]
+            return pa.StructArray.from_arrays(columns, names=["score", "words", "passages"])
+
+        for texts in batches:
+            whole = pa.RecordBatch.from_arrays([texts], names=["text"])
+            parts = [some(part.column(0).to_pylist()) for part in portions(whole, 0)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], KIND)
 
     return apart(docs, result, keep=(text_column,)).withColumn(result, scored(F.col(text_column).cast("string")))

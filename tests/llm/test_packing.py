@@ -76,3 +76,33 @@ def test_nothing(nothing):
 def test_checksum_of_a_piece(corpus):
     piece = pack(corpus.filter("doc_id = 203"), PATH).first()
     assert zlib.crc32(piece.ids) == zlib.crc32(np.frombuffer(piece.ids, "<u4").tobytes()) and piece.start == 0
+
+
+def test_tables_of_words_stay_bounded(tokenizer, monkeypatch):
+    from tablebridge.llm import packing
+
+    monkeypatch.setattr(packing, "KEPT", 4000)
+    monkeypatch.setattr(packing, "CACHED", 50)
+    encoder = WordIds(PATH, 1)
+    for turn in range(20):
+        texts = [" ".join(f"w{turn}x{i}, The" for i in range(40)), None, "z" * 6000 * (turn == 7), "the end"]
+        for text, ids in zip(texts, encoder.encode(texts)):
+            assert np.frombuffer(ids, np.uint16).tolist() == tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        assert encoder.words.nbytes + encoder.ids.nbytes <= 4000 and len(encoder.parts) < 500
+
+
+def test_many_words_take_little_memory():
+    """A worker that lives on keeps what words it saw in a few bytes each."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    encoder = WordIds(PATH, 1)
+    encoder.encode(["warm up"])
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    for turn in range(3):
+        encoder.encode_column(pa.array([" ".join(f"{turn}.{i}" for i in range(at, at + 5000)) for at in range(0, 100_000, 5000)]))
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 25e6
