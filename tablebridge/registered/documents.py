@@ -214,7 +214,8 @@ def conform_nested_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     refused = rejects.groupBy("o_orderkey").agg(
         F.array_join(F.sort_array(F.collect_list(F.concat_ws(" ", "column", "expected", "actual", "raw_json"))), "; ").alias("refused")
     )
-    return rows.join(refused, "o_orderkey", "left").select("o_orderkey", F.to_json("items").alias("items"), "items_str", "refused")
+    # Spark takes rejects, which a generator makes of wide rows, for a small table whatever their number: no broadcast of them.
+    return rows.join(refused.hint("merge"), "o_orderkey", "left").select("o_orderkey", F.to_json("items").alias("items"), "items_str", "refused")
 
 
 def split_mixed_array(spark: SparkSession, sf_dir: str, depth: int = 0) -> DataFrame:

@@ -321,3 +321,11 @@ def test_known_elements_reject_what_they_lack(make_docs):
     assert [(r.column, r.raw_json) for r in rejects.collect()] == [("list[1].a", '"x"')]
     plain = conform(make_docs([{"list": [1, 2]}]), ITEM_SPEC, "r").rows  # no object has been seen: the array stays as it is
     assert values(plain, by="r")[0]["list"] == "[1,2]"
+
+
+def test_rejects_are_never_broadcast(spark):
+    """They are as many as the documents, however small the plan's estimate of them is."""
+    from tablebridge.registered import QUERIES
+
+    plan = QUERIES["conform_nested_arrays"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
