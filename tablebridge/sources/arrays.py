@@ -165,7 +165,7 @@ def read_json_arrays(spark: SparkSession, path: str | list[str], doc: str = DOC)
     :func:`read_documents`. An empty array, and an empty file, hold nothing. Compressed files cannot be split.
     """
     fragments = _fragments(spark, path)
-    ordered = fragments.withColumn("nth", F.monotonically_increasing_id())
-    # However the few rows of states are joined, fragments come in the order of their file again.
-    placed = ordered.join(_states(_effects(fragments)), ["file", "start"]).sortWithinPartitions("file", "start", "nth")
+    # A broadcast, of one short row for each byte range, leaves the fragments of a range where and in the order they are read.
+    # A join that shuffled them would need a sort behind it, in which a task holds all fragments of its ranges.
+    placed = fragments.join(F.broadcast(_states(_effects(fragments))), ["file", "start"])
     return parse_documents(_assembled(_pieces(placed)), "value", doc)

@@ -70,3 +70,11 @@ def test_a_large_array_is_read_by_many_tasks_and_equals_its_lines(spark, tmp_pat
     hashed = F.sum(F.xxhash64(F.to_json("doc")).cast("decimal(38,0)"))
     want = spark.read.text(str(tmp_path / "lines.json")).select(F.parse_json("value").alias("doc")).agg(F.count("*"), hashed).first()
     assert docs.agg(F.count("*"), hashed).first() == want and rejects.isEmpty()
+
+
+def test_no_task_sorts_the_fragments_of_its_range(spark, tmp_path):
+    """What a task holds does not grow with its byte range."""
+    (tmp_path / "a.json").write_text(json.dumps([{"k": i} for i in range(1000)]))
+    plan = read_json_arrays(spark, str(tmp_path)).docs._jdf.queryExecution().executedPlan().toString()
+    before = [line for line in plan.splitlines() if "nth" in line]
+    assert "BroadcastHashJoin" in plan and not before and "SortMergeJoin" not in plan
